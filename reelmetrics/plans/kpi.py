@@ -314,7 +314,7 @@ def kpi_user_engagement_churn(
         held = active.groupBy("user_id").agg(_rows().alias("_held"))
         slots = F.ceil(F.col("_held") / F.lit(rows_per_slot)).cast("int")
         heavy = held.where(F.col("_held") > rows_per_slot).select("user_id", slots.alias("_slots"))
-        spread = F.pmod(F.xxhash64(*active.columns), F.coalesce("_slots", F.lit(1)))
+        spread = F.pmod(F.xxhash64("subscription_id"), F.coalesce("_slots", F.lit(1)))
         placed = active.join(F.broadcast(heavy), "user_id", "left").select(
             "user_id", "plan_id", "start_date", spread.cast("int").alias("_slot"), F.lit(True).alias("_found")
         )

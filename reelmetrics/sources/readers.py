@@ -47,6 +47,10 @@ def read_csv(
         # A pruned read would not look at the fields that a query does not use.
         reader = reader.options(columnNameOfCorruptRecord=REJECT, columnPruning=False)
     df = reader.csv(path)
+    if keep_rejects:
+        # Spark refuses to read the rejected lines alone, so they depend on one more column.
+        always = F.length(F.coalesce(F.col(df.columns[0]).cast("string"), F.lit(""))) >= 0
+        df = df.withColumn(REJECT, F.when(always, F.col(REJECT)))
     if with_position:
         # Within one block of a file the id grows with the lines.
         place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))

@@ -1,0 +1,190 @@
+"""Shapes of plans, and keys that hold a third of all rows."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from reelmetrics.operators import clean, enrich
+from reelmetrics.plans import kpi
+from reelmetrics.sources.sample_star import SampleStar
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    return SampleStar(spark, SF_DIR)
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session options for one test."""
+    changed = []
+
+    def set_all(options):
+        for key, value in options.items():
+            changed.append(key)
+            spark.conf.set(key, value)
+
+    yield set_all
+    for key in changed:
+        spark.conf.unset(key)
+
+
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+def plan(df, final=False):
+    if final:
+        df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("+- == Initial Plan ==")[0]
+
+
+def exchanges(text):
+    return re.findall(r"Exchange (\w+)\(([^)]*)", text)
+
+
+def test_device_usage_reads_three_columns_and_joins_nothing(star):
+    text = plan(kpi.kpi_device_usage(clean.clean_watch(star.watch(with_user=False))))
+    assert "Join" not in text
+    assert re.search(r"ReadSchema: struct<l_quantity:double,l_returnflag:string,l_linestatus:string>", text)
+    assert "PushedFilters: [IsNotNull(l_quantity)]" in text
+
+
+def test_top_titles_is_a_top_k(star):
+    text = plan(kpi.kpi_top_watched_titles(star.watch(with_user=False), star.movies()))
+    assert "TakeOrderedAndProject(limit=10" in text
+
+
+def test_events_are_summed_before_the_join(star, conf):
+    conf(NO_BROADCAST)
+    text = plan(kpi.kpi_popular_genres(star.watch(with_user=False), star.movies()))
+    # Events by title, titles by key, and genres: the join adds no shuffle of the sums.
+    assert [how for how, _ in exchanges(text)] == ["hashpartitioning"] * 3
+    join, sums = text.index("SortMergeJoin"), text.index("partial_count(1)")
+    assert join < sums
+
+
+@pytest.mark.parametrize("build", [kpi.vw_top_watched_titles, None])
+def test_grouping_by_title_reuses_the_partitioning(star, conf, build):
+    conf(NO_BROADCAST)
+    if build:
+        df = build(star.watch(with_user=False), star.movies())
+    else:
+        df = kpi.kpi_top_rated(star.ratings(with_user=False), star.movies())
+    hashed = [cols for how, cols in exchanges(plan(df)) if how == "hashpartitioning"]
+    assert len(hashed) == 2
+
+
+def test_top_genres_are_cut_before_the_last_shuffle(star):
+    text = plan(kpi.kpi_user_top_genres(star.watch(), star.movies(), k=3))
+    assert text.count("WindowGroupLimit") == 2
+    assert "Partial" in text and "Final" in text
+
+
+def test_dedup_is_cut_before_the_shuffle(star):
+    text = plan(clean.dedup(star.movies_with_copies(), "show_id"))
+    assert re.search(r"WindowGroupLimit .*Partial", text)
+
+
+def test_top_rated_sorts_no_more_than_k_rows_in_one_task(star):
+    text = plan(kpi.kpi_top_rated(star.ratings(with_user=False), star.movies(), k=20))
+    assert "TakeOrderedAndProject(limit=20" in text
+    assert text.index("Window [") < text.index("TakeOrderedAndProject")
+
+
+def test_no_python_and_no_cartesian_product_in_any_query(spark):
+    import __spark_entry__ as contract
+
+    writes = {"read_csv", "write_curated", "load_table", "stored_views", "curated_outputs"}
+    for name, query in contract.queries().items():
+        if name in writes:
+            continue
+        text = plan(query(spark, "/root/testdata/sf0.001"))
+        for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD"):
+            assert node not in text, (name, node)
+
+
+# -- keys that hold a third of all rows ------------------------------------------------
+
+SMALL_PARTITIONS = {
+    **NO_BROADCAST,
+    "spark.sql.shuffle.partitions": "16",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.files.maxPartitionBytes": "64KB",
+}
+
+
+def hot(df, col):
+    """Give every third row the same key."""
+    return df.withColumn(col, F.when(F.pmod(F.xxhash64(*df.columns), F.lit(3)) == 0, 7).otherwise(F.col(col)).cast("bigint"))
+
+
+@pytest.fixture(scope="module")
+def hot_watch(spark, star, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("hot") / "watch")
+    watch = clean.clean_watch(star.watch())
+    hot(hot(watch, "show_id"), "user_id").repartition(12).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_a_hot_key_is_split_by_the_adaptive_join(hot_watch, star, conf):
+    plain = rows(enrich.lookup(hot_watch, star.movies(), "show_id"))
+    conf(SMALL_PARTITIONS)
+    df = enrich.lookup(hot_watch, star.movies(), "show_id")
+    assert rows(df) == plain
+    assert "SortMergeJoin(skew=true)" in plan(df)
+
+
+def test_a_hot_key_is_split_before_top_genres(hot_watch, star, conf):
+    plain = rows(kpi.kpi_user_top_genres(hot_watch, star.movies()))
+    conf(SMALL_PARTITIONS)
+    df = kpi.kpi_user_top_genres(hot_watch, star.movies())
+    assert rows(df) == plain
+    assert "SortMergeJoin(skew=true)" in plan(df)
+
+
+def test_slots_spread_a_hot_key_over_partitions(hot_watch, star, conf):
+    plain = rows(enrich.lookup(hot_watch, clean.clean_movies(star.movies()), "show_id"))
+    conf(NO_BROADCAST | {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"})
+    movies = clean.clean_movies(star.movies())
+
+    def largest(slots):
+        df = enrich.lookup(hot_watch, movies, "show_id", slots=slots)
+        return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+    assert rows(enrich.lookup(hot_watch, movies, "show_id", slots=8)) == plain
+    assert largest(1) > hot_watch.count() / 3
+    assert largest(8) < hot_watch.count() / 5
+
+
+def test_a_hot_key_leaves_each_map_task_as_one_row(hot_watch, star, conf):
+    """The partition with the hot key of the summed events is no larger than the others."""
+    conf(NO_BROADCAST | {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"})
+    per_show = hot_watch.groupBy("show_id").agg(F.count(F.lit(1)).alias("n"))
+    sizes = [r["count"] for r in per_show.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * min(sizes)
+
+
+def test_a_hot_subscriber_is_spread_over_slots(hot_watch, star, conf):
+    subs = clean.clean_subscriptions(hot(star.subscriptions(), "user_id"), kpi.dt.date(2001, 11, 5))
+    as_of = kpi.dt.date(2001, 11, 5)
+    plain = rows(kpi.kpi_user_engagement_churn(hot_watch, subs, as_of))
+    conf(NO_BROADCAST | {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"})
+
+    def largest(rows_per_slot):
+        df = kpi.kpi_user_engagement_churn(hot_watch, subs, as_of, rows_per_slot=rows_per_slot)
+        return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+    spread = kpi.kpi_user_engagement_churn(hot_watch, subs, as_of, rows_per_slot=50)
+    assert rows(spread) == plain
+    assert largest(10**6) > len(plain) / 4
+    assert largest(50) < len(plain) / 7
