@@ -718,7 +718,9 @@ def _(s: SampleStar) -> DataFrame:
 )
 def _(s: SampleStar) -> DataFrame:
     prefix = _loaded_star(s, ["subscriptions"])
-    return s.spark.table(f"{prefix}subscriptions")
+    loaded = s.spark.table(f"{prefix}subscriptions")
+    tables.drop_star_tables(s.spark, prefix)
+    return loaded
 
 
 @_query(
@@ -737,11 +739,17 @@ def _(s: SampleStar) -> DataFrame:
         )
         for view, total in zip(tables.create_kpi_views(s.spark, prefix), totals)
     ]
+    tables.drop_kpi_views(s.spark, prefix)
+    tables.drop_star_tables(s.spark, prefix)
     return reports[0].unionByName(reports[1]).unionByName(reports[2])
 
 
 def _loaded_star(s: SampleStar, names: list[str]) -> str:
-    """Load tables into the catalog under names of their own and return the prefix."""
+    """Load tables into the catalog under names of their own and return the prefix.
+
+    The data lies in the shared folder, so a result that is already defined on a table
+    can be read after its name was dropped.
+    """
     place = scratch_dir(s.spark, "star")
     prefix = f"reel_{place[-12:]}_"
     tables.create_star_tables(s.spark, prefix, place)

@@ -15,21 +15,22 @@ def mean_and_median(values: DataFrame, col: str, digits: int = 1) -> DataFrame:
     """One row ``(n, mean, median)`` for an integer or decimal column; NULLs are skipped.
 
     The median is the mean of the two middle values. The built-in ``median`` keeps a
-    table of all distinct values in one task. Here the values are counted by value, and
-    then the two middle ranks are located by a histogram of the leading bits, a finer one
-    inside the buckets that were hit, and so on. The sides that are broadcast hold two
-    rows, one per middle rank.
+    table of all distinct values in one task. Here the two middle ranks are located by a
+    histogram of the leading bits, then by a finer one inside the buckets that were hit,
+    and so on. Each histogram is formed in the map tasks; a value that very many rows
+    share is one bucket. The sides that are broadcast hold two rows, one per middle rank.
     """
     dtype = values.schema[col].dataType
     scale = dtype.scale if isinstance(dtype, DecimalType) else 0
     unit = (F.col(col) * F.lit(10**scale)).cast("long")
-    counted = values.where(F.col(col).isNotNull()).groupBy(unit.alias("unit")).agg(F.count(F.lit(1)).alias("n"))
+    units = values.where(F.col(col).isNotNull()).select(unit.alias("unit"))
+    rows = F.count(F.lit(1)).alias("n")
 
     shift = _STEPS[0]
     everything = Window.partitionBy(F.lit(0))
     hist = (
-        counted.groupBy(F.shiftright("unit", shift).alias("bucket"))
-        .agg(F.sum("n").alias("n"), F.sum(F.col("unit").cast("decimal(38,0)") * F.col("n")).alias("units"))
+        units.groupBy(F.shiftright("unit", shift).alias("bucket"))
+        .agg(rows, F.sum(F.col("unit").cast("decimal(20,0)")).alias("units"))
         .withColumns({"rows": F.sum("n").over(everything), "total": F.sum("units").over(everything)})
         .withColumn("upto", F.sum("n").over(everything.orderBy("bucket")))
     )
@@ -39,10 +40,10 @@ def mean_and_median(values: DataFrame, col: str, digits: int = 1) -> DataFrame:
 
     for finer in _STEPS[1:]:
         hist = (
-            counted.withColumn("prefix", F.shiftright("unit", shift))
+            units.withColumn("prefix", F.shiftright("unit", shift))
             .join(F.broadcast(hits.withColumnRenamed("bucket", "prefix")), "prefix")
             .groupBy("side", "rank", "rows", "total", F.shiftright("unit", finer).alias("bucket"))
-            .agg(F.sum("n").alias("n"))
+            .agg(rows)
         )
         hist = hist.withColumn("upto", F.sum("n").over(Window.partitionBy("side").orderBy("bucket")))
         hits = _hit(hist)

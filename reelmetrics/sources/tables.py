@@ -91,3 +91,9 @@ def create_kpi_views(spark: SparkSession, prefix: str = "") -> list[str]:
         spark.sql(f"CREATE OR REPLACE VIEW {prefix}{view} AS {query.format(p=prefix)}")
         names.append(prefix + view)
     return names
+
+
+def drop_kpi_views(spark: SparkSession, prefix: str = "") -> None:
+    """Drop the KPI views where they exist."""
+    for view in KPI_VIEWS:
+        spark.sql(f"DROP VIEW IF EXISTS {prefix}{view}")
