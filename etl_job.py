@@ -20,10 +20,10 @@ def main() -> None:
     parser.add_argument("dst")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="the day that counts as today")
     parser.add_argument("--genres-per-user", type=int, default=5)
-    parser.add_argument("--persist", action="store_true", help="cache the cleaned events for the reports")
+    parser.add_argument("--no-persist", action="store_true", help="do not cache the shared rollups")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("reelmetrics-etl").getOrCreate()
-    rows = run_pipeline(spark, args.src, args.dst, args.as_of, args.genres_per_user, args.persist)
+    rows = run_pipeline(spark, args.src, args.dst, args.as_of, args.genres_per_user, not args.no_persist)
     for name, n in rows.items():
         print(f"{name}: {n} rows")
     spark.stop()

@@ -29,13 +29,18 @@ def dedup(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str | Colu
     The row number is filtered to 1, so Spark drops surplus copies in the map tasks,
     before the shuffle (``WindowGroupLimit`` in the plan). A key with very many copies
     sends at most one of them per map task.
+
+    Rows are brought together by a hash of the key, so the result does not count as
+    partitioned by the key itself. A join on the key then has a shuffle of its own on both
+    sides, which the adaptive skew join needs to split a hot key of the other table. That
+    costs one more shuffle of the deduplicated table, which is the smaller one.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if order_by is None:
         order_by = [c for c in df.columns if c not in keys] or keys
     ordering = [F.asc_nulls_last(c) if isinstance(c, str) else c for c in order_by]
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering))
-    return df.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    nth = F.row_number().over(Window.partitionBy("_hash", *keys).orderBy(*ordering))
+    return df.withColumn("_hash", F.xxhash64(*keys)).withColumn("_nth", nth).where("_nth = 1").drop("_nth", "_hash")
 
 
 def fill_unknown(df: DataFrame, cols: Sequence[str] = ("director", "primary_country"), value: str = "Unknown") -> DataFrame:

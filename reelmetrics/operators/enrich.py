@@ -23,12 +23,14 @@ def lookup(fact: DataFrame, dim: DataFrame, on: str, how: str = "left", slots: i
     key, and a key (or a missing key) that holds a large part of the fact is split by the
     adaptive skew join.
 
-    The adaptive split needs two plain shuffles below the join. It does not act on a
-    dimension that was grouped or deduplicated by the key in the same plan. Then give
-    ``slots`` > 1: fact rows spread over that many slots per key, by a hash of the whole
-    row, and the dimension is repeated once per slot. Or write the dimension first and
-    read it back, as ``run_pipeline`` does.
+    The adaptive split needs two plain shuffles below the join, as there are for tables
+    that were read, filtered, or deduplicated by ``dedup``. It does not act on a dimension
+    that was grouped by the key in the same plan, nor with adaptive execution turned off.
+    For these cases ``slots`` > 1 spreads the rows of each key over that many slots, by a
+    hash of the whole row, and repeats the dimension once per slot.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     if slots == 1:
         return fact.join(dim, on, how)
     slot = F.pmod(F.xxhash64(*fact.columns), F.lit(slots)).cast("int")

@@ -47,20 +47,26 @@ def _report(df: DataFrame, order: list[Column], k: int | None, ordered: bool) ->
 # -- titles and genres ---------------------------------------------------------------
 
 
-def _views_with_titles(
-    watch: DataFrame, movies: DataFrame, attributes: list[str], how: str, count_col: str | None = None
-) -> DataFrame:
-    """Views and minutes per title, with title attributes."""
+def views_by_show(watch: DataFrame, count_col: str | None = None) -> DataFrame:
+    """Views and minutes per ``show_id``: the rollup that the reports on titles start from.
+
+    Several reports can share one: keep it, and pass it as ``rollup``.
+    """
     views = _rows() if count_col is None else F.count(count_col)
-    per_show = watch.groupBy("show_id").agg(views.alias("views"), F.sum(MINUTES).alias("minutes"))
+    return watch.groupBy("show_id").agg(views.alias("views"), F.sum(MINUTES).alias("minutes"))
+
+
+def _with_titles(per_show: DataFrame, movies: DataFrame, attributes: list[str], how: str) -> DataFrame:
     return per_show.join(movies.select("show_id", *attributes), "show_id", how)
 
 
-def kpi_top_watched_titles(watch: DataFrame, movies: DataFrame, k: int | None = 10, how: str = "inner") -> DataFrame:
+def kpi_top_watched_titles(
+    watch: DataFrame, movies: DataFrame, k: int | None = 10, how: str = "inner", rollup: DataFrame | None = None
+) -> DataFrame:
     """The ``k`` most viewed titles, by name, type and genre."""
     keys = ["title", "type", "primary_genre"]
     totals = (
-        _views_with_titles(watch, movies, keys, how)
+        _with_titles(rollup or views_by_show(watch), movies, keys, how)
         .groupBy(*keys)
         .agg(F.sum("views").alias("total_views"), F.round(F.sum("minutes"), 1).alias("total_watch_minutes"))
     )
@@ -70,7 +76,7 @@ def kpi_top_watched_titles(watch: DataFrame, movies: DataFrame, k: int | None =
 def kpi_top_titles_by_name(watch: DataFrame, movies: DataFrame, k: int | None = 10, count_col: str = "watch_id") -> DataFrame:
     """The ``k`` most viewed titles by name alone; events without a title take no part."""
     totals = (
-        _views_with_titles(watch, movies, ["title"], "inner", count_col)
+        _with_titles(views_by_show(watch, count_col), movies, ["title"], "inner")
         .where(F.col("title").isNotNull())
         .groupBy("title")
         .agg(F.sum("views").alias("total_views"), F.sum("minutes").alias("total_minutes"))
@@ -85,10 +91,11 @@ def kpi_popular_genres(
     how: str = "inner",
     drop_null: bool = False,
     ordered: bool = False,
+    rollup: DataFrame | None = None,
 ) -> DataFrame:
     """Views and minutes per genre, or the ``k`` genres with the most minutes."""
     totals = (
-        _views_with_titles(watch, movies, ["primary_genre"], how)
+        _with_titles(rollup or views_by_show(watch), movies, ["primary_genre"], how)
         .groupBy("primary_genre")
         .agg(F.sum("views").alias("view_count"), F.round(F.sum("minutes"), 1).alias("total_minutes"))
     )
@@ -99,7 +106,7 @@ def kpi_popular_genres(
 def watch_events_by_type(watch: DataFrame, movies: DataFrame) -> DataFrame:
     """Watch events per kind of title; events without a known kind take no part."""
     return (
-        _views_with_titles(watch, movies, ["type"], "inner")
+        _with_titles(views_by_show(watch), movies, ["type"], "inner")
         .where(F.col("type").isNotNull())
         .groupBy("type")
         .agg(F.sum("views").alias("watch_events"))
@@ -110,7 +117,7 @@ def vw_top_watched_titles(watch: DataFrame, movies: DataFrame) -> DataFrame:
     """Views and minutes of every watched title."""
     keys = ["show_id", "title", "type", "primary_genre"]
     return (
-        _views_with_titles(watch, movies, keys[1:], "inner")
+        _with_titles(views_by_show(watch), movies, keys[1:], "inner")
         .groupBy(*keys)
         .agg(F.sum("views").alias("total_views"), F.sum("minutes").alias("total_watch_minutes"))
     )
@@ -126,13 +133,14 @@ def kpi_active_cities(
     how: str = "inner",
     drop_null: bool = False,
     ordered: bool = False,
+    rollup: DataFrame | None = None,
 ) -> DataFrame:
     """Watch events and distinct viewers per city, or the ``k`` cities with most events."""
-    per_user = watch.groupBy("user_id").agg(_rows().alias("events"))
+    per_user = rollup or vw_user_engagement(watch)
     totals = (
         per_user.join(users.select("user_id", "city", "country"), "user_id", how)
         .groupBy("city", "country")
-        .agg(F.sum("events").alias("watch_events"), F.count_distinct("user_id").alias("active_users"))
+        .agg(F.sum("total_sessions").alias("watch_events"), F.count_distinct("user_id").alias("active_users"))
     )
     totals = totals.where(F.col("city").isNotNull() & F.col("country").isNotNull()) if drop_null else totals
     return _report(totals, [_desc("watch_events"), _asc("city"), _asc("country")], k, ordered)
@@ -256,7 +264,10 @@ def kpi_top_rated_raw_mean(ratings: DataFrame, movies: DataFrame, min_ratings: i
 
 
 def vw_user_engagement(watch: DataFrame) -> DataFrame:
-    """Sessions, minutes and last watch date per viewer."""
+    """Sessions, minutes and last watch date per viewer.
+
+    This is also the rollup that the reports on viewers start from.
+    """
     return watch.groupBy("user_id").agg(
         _rows().alias("total_sessions"),
         F.sum(MINUTES).alias("total_watch_minutes"),
@@ -290,6 +301,7 @@ def kpi_user_engagement_churn(
     as_of: dt.date | None = None,
     one_row_per_user: bool = False,
     rows_per_slot: int = 1_000_000,
+    rollup: DataFrame | None = None,
 ) -> DataFrame:
     """Recency, churn risk and active subscriptions of every viewer.
 
@@ -302,7 +314,7 @@ def kpi_user_engagement_churn(
     ``rows_per_slot``) entries. A slot may stay empty; it is then removed again, as the
     number of subscriptions says that this user has some.
     """
-    engagement = _with_recency(vw_user_engagement(watch), as_of).withColumn(
+    engagement = _with_recency(rollup or vw_user_engagement(watch), as_of).withColumn(
         "total_watch_minutes", F.round("total_watch_minutes", 1)
     )
     active = subs.where("is_active").where(F.col("user_id").isNotNull())

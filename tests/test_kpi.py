@@ -204,3 +204,8 @@ def test_enriched_tables_keep_the_rows(watch, movies, users, subs, spark):
     assert enrich.subs_enriched(subs, plans, users).count() == subs.count()
     ratings = spark.createDataFrame([("s1", 5), ("zz", 1)], "show_id string, rating int")
     assert by_key(enrich.ratings_enriched(ratings, movies)) == [("s1", 5, "Same", "Drama"), ("zz", 1, None, None)]
+
+
+def test_lookup_takes_no_other_join(watch, movies):
+    with pytest.raises(ValueError):
+        enrich.lookup(watch, movies, "show_id", "full", 2)

@@ -144,6 +144,23 @@ def test_a_hot_key_is_split_by_the_adaptive_join(hot_watch, star, conf):
     assert "SortMergeJoin(skew=true)" in plan(df)
 
 
+def test_a_hot_key_is_split_when_the_dimension_was_deduplicated(hot_watch, star, conf):
+    movies = clean.clean_movies(star.movies())
+    plain = rows(enrich.lookup(hot_watch, movies, "show_id"))
+    conf(SMALL_PARTITIONS)
+    df = enrich.lookup(hot_watch, movies, "show_id")
+    assert rows(df) == plain
+    assert "SortMergeJoin(skew=true)" in plan(df)
+
+
+def test_a_missing_key_is_split_too(hot_watch, star, conf):
+    watch = hot_watch.withColumn("show_id", F.when(F.col("show_id") != 7, F.col("show_id")))
+    conf(SMALL_PARTITIONS)
+    df = enrich.lookup(watch, star.movies(), "show_id")
+    assert len(rows(df)) == hot_watch.count()
+    assert "SortMergeJoin(skew=true)" in plan(df)
+
+
 def test_a_hot_key_is_split_before_top_genres(hot_watch, star, conf):
     plain = rows(kpi.kpi_user_top_genres(hot_watch, star.movies()))
     conf(SMALL_PARTITIONS)
@@ -153,13 +170,14 @@ def test_a_hot_key_is_split_before_top_genres(hot_watch, star, conf):
 
 
 def test_slots_spread_a_hot_key_over_partitions(hot_watch, star, conf):
-    plain = rows(enrich.lookup(hot_watch, clean.clean_movies(star.movies()), "show_id"))
+    movies = star.movies().groupBy("show_id").agg(F.first("title").alias("title"))
+    plain = rows(enrich.lookup(hot_watch, movies, "show_id"))
     conf(NO_BROADCAST | {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"})
-    movies = clean.clean_movies(star.movies())
 
     def largest(slots):
         df = enrich.lookup(hot_watch, movies, "show_id", slots=slots)
-        return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        sizes = df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.max("title"))
+        return max(r.n for r in sizes.collect())
 
     assert rows(enrich.lookup(hot_watch, movies, "show_id", slots=8)) == plain
     assert largest(1) > hot_watch.count() / 3

@@ -114,7 +114,7 @@ def test_whole_run(spark, csv_star, tmp_path):
     assert "watch_month" not in spark.read.parquet(f"{out}/fact_watch_history").columns
     assert {"watch_month", "watch_year", "city"} <= set(spark.read.parquet(f"{out}/watch_enriched").columns)
     before = {n: sorted(map(repr, spark.read.parquet(f"{out}/{n}").collect())) for n in rows}
-    assert star_etl.run_pipeline(spark, csv_star, out, AS_OF, persist=True) == rows
+    assert star_etl.run_pipeline(spark, csv_star, out, AS_OF, persist=False) == rows
     assert before == {n: sorted(map(repr, spark.read.parquet(f"{out}/{n}").collect())) for n in rows}
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
