@@ -16,9 +16,13 @@ class SampleStar:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._frames: dict[str, DataFrame] = {}
 
     def parquet(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A source table; its schema is read from the files once."""
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._frames[name]
 
     def movies(self) -> DataFrame:
         """Titles; some have no director, some no country."""
