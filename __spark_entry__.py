@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegerType, ShortType
+from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType
 
 from reelmetrics.functions import age_bucket
 from reelmetrics.functions.columns import AGE_GROUPS, CHURN_RISKS
@@ -98,7 +98,7 @@ def _percent(part: str, whole: str, scale: int) -> str:
 
 
 def _plain(df: DataFrame) -> DataFrame:
-    """Decimals as double and short integers as bigint, so that two engines agree on types."""
+    """Decimals as double, short integers as bigint and dates as text, so that two engines agree."""
     cols = []
     for field in df.schema.fields:
         col = F.col(f"`{field.name}`")
@@ -106,11 +106,18 @@ def _plain(df: DataFrame) -> DataFrame:
             col = col.cast("double").alias(field.name)
         elif isinstance(field.dataType, (IntegerType, ShortType)):
             col = col.cast("bigint").alias(field.name)
+        elif isinstance(field.dataType, DateType):
+            col = col.cast("string").alias(field.name)
         cols.append(col)
     return df.select(*cols)
 
 
-def _query(name: str, sql: str):
+def _query(name: str, sql: str, dates: str = ""):
+    """Register a query and its SQL; ``dates`` names the columns to compare as text."""
+    if dates:
+        as_text = ", ".join(f"CAST({d} AS VARCHAR) AS {d}" for d in dates.split())
+        sql = f"SELECT * REPLACE ({as_text}) FROM ({sql})"
+
     def register(build: Callable[[SampleStar], DataFrame]):
         _QUERIES[name] = build
         _SQL[name] = f"WITH {_ROLES} {sql}"
@@ -153,6 +160,7 @@ def _(s: SampleStar) -> DataFrame:
 @_query(
     "clean_subscriptions",
     """SELECT * REPLACE (CAST(plan_id AS BIGINT) AS plan_id, CAST(monthly_revenue AS DOUBLE) AS monthly_revenue) FROM subs""",
+    dates="start_date end_date",
 )
 def _(s: SampleStar) -> DataFrame:
     return clean.clean_subscriptions(s.subscriptions(), AS_OF)
@@ -162,6 +170,7 @@ def _(s: SampleStar) -> DataFrame:
     "clean_watch",
     """SELECT * REPLACE (CAST(watch_duration_minutes AS DOUBLE) AS watch_duration_minutes,
                          CAST(completion_pct AS DOUBLE) AS completion_pct) FROM fact_watch""",
+    dates="watch_date",
 )
 def _(s: SampleStar) -> DataFrame:
     return clean.clean_watch(s.watch())
@@ -173,6 +182,7 @@ def _(s: SampleStar) -> DataFrame:
               CAST(least(greatest(completion_pct, 0), 100) AS DOUBLE) AS completion_pct,
               strftime(watch_date, '%Y-%m') AS watch_month
        FROM watch WHERE watch_duration_minutes > 0""",
+    dates="watch_date",
 )
 def _(s: SampleStar) -> DataFrame:
     return clean.clean_watch(s.watch(), min_exclusive=True, clip="both")
@@ -190,6 +200,7 @@ def _(s: SampleStar) -> DataFrame:
        FROM lineitem
        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey, l_suppkey,
          l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) = 1""",
+    dates="l_shipdate",
 )
 def _(s: SampleStar) -> DataFrame:
     lines = s.parquet("lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
@@ -215,6 +226,7 @@ def _(s: SampleStar) -> DataFrame:
     "binge_flag",
     """SELECT show_id, device, watch_date, CAST(completion_pct AS DOUBLE) AS completion_pct,
               completion_pct >= 90 AS is_binge FROM fact_watch""",
+    dates="watch_date",
 )
 def _(s: SampleStar) -> DataFrame:
     watch = clean.clean_watch(s.watch(with_user=False))
@@ -392,7 +404,7 @@ _WATCH_ENRICHED = """SELECT w.user_id, w.show_id, w.device, w.watch_date,
        FROM fact_watch w LEFT JOIN movies m USING (show_id) LEFT JOIN grouped_users u USING (user_id)"""
 
 
-@_query("watch_enriched", _WATCH_ENRICHED.format(more=""))
+@_query("watch_enriched", _WATCH_ENRICHED.format(more=""), dates="watch_date")
 def _(s: SampleStar) -> DataFrame:
     return enrich.watch_enriched(clean.clean_watch(s.watch()), s.movies(), _grouped_users(s))
 
@@ -402,6 +414,7 @@ def _(s: SampleStar) -> DataFrame:
     """SELECT s.* REPLACE (CAST(s.plan_id AS BIGINT) AS plan_id, CAST(s.monthly_revenue AS DOUBLE) AS monthly_revenue),
               p.plan_name, u.city, u.country
        FROM subs s LEFT JOIN plans p USING (plan_id) LEFT JOIN users u USING (user_id)""",
+    dates="start_date end_date",
 )
 def _(s: SampleStar) -> DataFrame:
     return enrich.subs_enriched(clean.clean_subscriptions(s.subscriptions(), AS_OF), s.plans(), s.users())
@@ -545,6 +558,7 @@ def _(s: SampleStar) -> DataFrame:
     "kpi_churn_users",
     """SELECT user_id, name, last_watch_date, days_since_last_watch, total_sessions,
               CAST(minutes AS DOUBLE) AS total_watch_minutes, churn_risk FROM risk JOIN users USING (user_id)""",
+    dates="last_watch_date",
 )
 def _(s: SampleStar) -> DataFrame:
     return kpi.kpi_churn_users(_viewer_events(s), s.users(), AS_OF)
@@ -555,7 +569,7 @@ _CHURN = """SELECT r.user_id, r.last_watch_date, r.total_sessions, CAST(r.minute
        FROM risk r LEFT JOIN {subs} s ON s.user_id = r.user_id"""
 
 
-@_query("kpi_user_engagement_churn", _CHURN.format(subs="(SELECT * FROM subs WHERE is_active)"))
+@_query("kpi_user_engagement_churn", _CHURN.format(subs="(SELECT * FROM subs WHERE is_active)"), dates="last_watch_date start_date")
 def _(s: SampleStar) -> DataFrame:
     return kpi.kpi_user_engagement_churn(_viewer_events(s), _clean_subs(s), AS_OF)
 
@@ -566,12 +580,13 @@ def _(s: SampleStar) -> DataFrame:
         subs="""(SELECT * FROM subs WHERE is_active
                  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY start_date DESC, plan_id) = 1)"""
     ),
+    dates="last_watch_date start_date",
 )
 def _(s: SampleStar) -> DataFrame:
     return kpi.kpi_user_engagement_churn(_viewer_events(s), _clean_subs(s), AS_OF, one_row_per_user=True)
 
 
-@_query("kpi_churn_active_subscribers", "SELECT * FROM churn_active")
+@_query("kpi_churn_active_subscribers", "SELECT * FROM churn_active", dates="last_watch_date")
 def _(s: SampleStar) -> DataFrame:
     return kpi.kpi_churn_active_subscribers(_viewer_events(s), _clean_subs(s), AS_OF)
 
@@ -637,6 +652,7 @@ def _(s: SampleStar) -> DataFrame:
 @_query(
     "vw_user_engagement",
     """SELECT user_id, total_sessions, CAST(minutes AS DOUBLE) AS total_watch_minutes, last_watch_date FROM engagement""",
+    dates="last_watch_date",
 )
 def _(s: SampleStar) -> DataFrame:
     return kpi.vw_user_engagement(_viewer_events(s))
@@ -704,7 +720,7 @@ def _(s: SampleStar) -> DataFrame:
     return readers.read_csv(s.spark, path, schema, multi_line=True)
 
 
-@_query("write_curated", _WATCH_ENRICHED.format(more=", CAST(year(w.watch_date) AS BIGINT) AS watch_year"))
+@_query("write_curated", _WATCH_ENRICHED.format(more=", CAST(year(w.watch_date) AS BIGINT) AS watch_year"), dates="watch_date")
 def _(s: SampleStar) -> DataFrame:
     enriched = clean.add_watch_year(enrich.watch_enriched(_viewer_events(s), s.movies(), _grouped_users(s)))
     path = scratch_dir(s.spark, "watch-by-year")
@@ -715,6 +731,7 @@ def _(s: SampleStar) -> DataFrame:
 @_query(
     "load_table",
     "SELECT * EXCLUDE (is_active, tenure_days) REPLACE (CAST(plan_id AS BIGINT) AS plan_id, CAST(monthly_revenue AS DOUBLE) AS monthly_revenue) FROM subs",
+    dates="start_date end_date",
 )
 def _(s: SampleStar) -> DataFrame:
     prefix = _loaded_star(s, ["subscriptions"])
@@ -744,6 +761,31 @@ def _(s: SampleStar) -> DataFrame:
     return reports[0].unionByName(reports[1]).unionByName(reports[2])
 
 
+@_query(
+    "register_views",
+    """SELECT 'watch_enriched' AS view_name, count(*) AS rows, count(DISTINCT title) AS titles FROM fact_watch LEFT JOIN movies USING (show_id)
+       UNION ALL SELECT 'subs_enriched', count(*), 0 FROM subs
+       UNION ALL SELECT 'ratings_enriched', count(*), count(DISTINCT title) FROM ratings LEFT JOIN movies USING (show_id)
+       UNION ALL SELECT 'dim_movies', count(*), count(DISTINCT title) FROM movies""",
+)
+def _(s: SampleStar) -> DataFrame:
+    cleaned = {
+        "movies": clean.clean_movies(s.movies(), AS_OF),
+        "users": clean.clean_users(s.users()),
+        "plans": s.plans(),
+        "subscriptions": _clean_subs(s),
+        "watch": _viewer_events(s),
+        "ratings": clean.clean_ratings(s.ratings()),
+    }
+    tables.register_views(star_etl.star_views(cleaned))
+    return s.spark.sql(
+        """SELECT 'watch_enriched' AS view_name, count(*) AS rows, count(DISTINCT title) AS titles FROM watch_enriched
+           UNION ALL SELECT 'subs_enriched', count(*), 0 FROM subs_enriched
+           UNION ALL SELECT 'ratings_enriched', count(*), count(DISTINCT title) FROM ratings_enriched
+           UNION ALL SELECT 'dim_movies', count(*), count(DISTINCT title) FROM dim_movies"""
+    )
+
+
 def _loaded_star(s: SampleStar, names: list[str]) -> str:
     """Load tables into the catalog under names of their own and return the prefix.
 

@@ -311,8 +311,8 @@ def kpi_user_engagement_churn(
 
     A user with more than ``rows_per_slot`` active subscriptions is spread over several
     slots. Only such users are broadcast, so their list has at most (active rows /
-    ``rows_per_slot``) entries. A slot may stay empty; it is then removed again, as the
-    number of subscriptions says that this user has some.
+    ``rows_per_slot``) entries. A slot of such a user may stay empty; it is then removed
+    again, as this user has other slots that are not.
     """
     engagement = _with_recency(rollup or vw_user_engagement(watch), as_of).withColumn(
         "total_watch_minutes", F.round("total_watch_minutes", 1)
@@ -323,18 +323,18 @@ def kpi_user_engagement_churn(
         newest = dedup(active.select("user_id", "plan_id", "start_date"), "user_id", newest_first)
         joined = engagement.join(newest, "user_id", "left")
     else:
-        held = active.groupBy("user_id").agg(_rows().alias("_held"))
-        slots = F.ceil(F.col("_held") / F.lit(rows_per_slot)).cast("int")
-        heavy = held.where(F.col("_held") > rows_per_slot).select("user_id", slots.alias("_slots"))
-        spread = F.pmod(F.xxhash64("subscription_id"), F.coalesce("_slots", F.lit(1)))
-        placed = active.join(F.broadcast(heavy), "user_id", "left").select(
-            "user_id", "plan_id", "start_date", spread.cast("int").alias("_slot"), F.lit(True).alias("_found")
+        held = active.groupBy("user_id").agg(_rows().alias("_held")).where(F.col("_held") > rows_per_slot)
+        heavy = F.broadcast(held.select("user_id", F.ceil(F.col("_held") / rows_per_slot).cast("int").alias("_slots")))
+        slots = F.coalesce("_slots", F.lit(1))
+        slot = F.pmod(F.xxhash64("subscription_id"), slots).cast("int")
+        placed = active.join(heavy, "user_id", "left").select(
+            "user_id", "plan_id", "start_date", slot.alias("_slot"), F.lit(True).alias("_found")
         )
-        needed = engagement.join(held, "user_id", "left").withColumn(
-            "_slot", F.explode(F.sequence(F.lit(0), F.coalesce(slots, F.lit(1)) - 1))
-        )
-        joined = needed.join(placed, ["user_id", "_slot"], "left").where(
-            F.col("_held").isNull() | F.col("_found").isNotNull()
+        joined = (
+            engagement.join(heavy, "user_id", "left")
+            .withColumn("_slot", F.explode(F.sequence(F.lit(0), slots - 1)))
+            .join(placed, ["user_id", "_slot"], "left")
+            .where(F.col("_slots").isNull() | F.col("_found").isNotNull())
         )
     return joined.select(
         "user_id",
