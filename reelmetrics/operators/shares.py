@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmetrics.functions import percent_of
@@ -13,11 +13,12 @@ from reelmetrics.functions import percent_of
 def share_of_total(df: DataFrame, key: str, measure: str, digits: int = 1) -> DataFrame:
     """Add ``share_pct``, the share of each key in the sum of ``measure``.
 
-    Rows are summed by key first, so the window that forms the total sees one row per
-    category and never the facts. A row without a key takes no part.
+    A row without a key takes no part. The total is a scalar subquery over the sums by key:
+    no window gathers the keys in one task, and the sums are computed once, as Spark reuses
+    their shuffle.
     """
     per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(measure).alias(measure))
-    whole = F.sum(measure).over(Window.partitionBy(F.lit(0)))
+    whole = per_key.agg(F.sum(measure)).scalar()
     return per_key.withColumn("share_pct", percent_of(F.col(measure), whole, digits))
 
 
