@@ -81,12 +81,13 @@ def dq_decimal_fit(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return _per_column(df, list(types), {"out_of_range": out_of_range, "rounded": rounded})
 
 
-def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per table with its number of rows."""
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-        for name, df in tables.items()
-    ]
+def table_row_counts(tables: Mapping[str, DataFrame], with_columns: bool = False) -> DataFrame:
+    """One row per table with its number of rows, and of columns if asked for."""
+    counts = []
+    for name, df in tables.items():
+        shape = ["rows", F.lit(len(df.columns)).cast("long").alias("columns")] if with_columns else ["rows"]
+        counted = df.agg(F.count(F.lit(1)).alias("rows"))
+        counts.append(counted.select(F.lit(name).alias("table_name"), *shape))
     return reduce(DataFrame.unionByName, counts)
 
 

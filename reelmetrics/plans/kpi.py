@@ -363,7 +363,9 @@ def kpi_churn_distribution(churn: DataFrame) -> DataFrame:
     return churn.groupBy("churn_risk").agg(_rows().alias("users"))
 
 
-def kpi_user_top_genres(watch: DataFrame, movies: DataFrame, k: int = 5, how: str = "inner") -> DataFrame:
+def kpi_user_top_genres(
+    watch: DataFrame, movies: DataFrame, k: int = 5, how: str = "inner", ordered: bool = False
+) -> DataFrame:
     """The ``k`` genres that each viewer watched most often.
 
     Spark keeps the best ``k`` rows per viewer before the last shuffle
@@ -376,7 +378,8 @@ def kpi_user_top_genres(watch: DataFrame, movies: DataFrame, k: int = 5, how: st
         .agg(_rows().alias("genre_view_count"))
     )
     favourites = Window.partitionBy("user_id").orderBy(_desc("genre_view_count"), _asc("primary_genre"))
-    return counts.withColumn("genre_rank", F.row_number().over(favourites)).where(F.col("genre_rank") <= k)
+    top = counts.withColumn("genre_rank", F.row_number().over(favourites)).where(F.col("genre_rank") <= k)
+    return _report(top, [_asc("user_id"), _asc("genre_rank")], None, ordered)
 
 
 def kpi_avg_watch_per_user(watch: DataFrame, digits: int = 1) -> DataFrame:

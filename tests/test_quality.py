@@ -47,6 +47,7 @@ def test_decimal_fit(spark):
 def test_row_counts(spark):
     counts = quality.table_row_counts({"a": spark.range(10), "b": spark.range(0)})
     assert rows(counts) == [("a", 10), ("b", 0)]
+    assert rows(quality.table_row_counts({"a": spark.range(3)}, with_columns=True)) == [("a", 3, 1)]
     report = quality.dq_row_count(counts, {"a": 11, "b": 0, "c": 1}, tolerance=0.1)
     assert rows(report) == [("a", 11, 10, True), ("b", 0, 0, True), ("c", 1, None, False)]
 
