@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from reelmetrics.functions import as_of_date, churn_bucket, days_between, exact_mean, month_key
 from reelmetrics.operators.clean import dedup
+from reelmetrics.operators.enrich import lookup
 from reelmetrics.operators.order_stats import mean_and_median
 
 MINUTES = "watch_duration_minutes"
@@ -364,16 +365,16 @@ def kpi_churn_distribution(churn: DataFrame) -> DataFrame:
 
 
 def kpi_user_top_genres(
-    watch: DataFrame, movies: DataFrame, k: int = 5, how: str = "inner", ordered: bool = False
+    watch: DataFrame, movies: DataFrame, k: int = 5, how: str = "inner", ordered: bool = False, slots: int = 1
 ) -> DataFrame:
     """The ``k`` genres that each viewer watched most often.
 
     Spark keeps the best ``k`` rows per viewer before the last shuffle
-    (``WindowGroupLimit`` in the plan), and a viewer has at most one row per genre.
+    (``WindowGroupLimit`` in the plan), and a viewer has at most one row per genre. For
+    ``slots`` see ``lookup``.
     """
     counts = (
-        watch.select("user_id", "show_id")
-        .join(movies.select("show_id", "primary_genre"), "show_id", how)
+        lookup(watch.select("user_id", "show_id"), movies.select("show_id", "primary_genre"), "show_id", how, slots)
         .groupBy("user_id", "primary_genre")
         .agg(_rows().alias("genre_view_count"))
     )

@@ -178,6 +178,7 @@ def test_top_genres_break_ties_by_name(spark, watch, movies):
     assert by_key(kpi.kpi_user_top_genres(watch, movies, k=1)) == [
         (1, "Comedy", 1, 1), (2, "Drama", 1, 1), (3, "Comedy", 1, 1), (None, "Drama", 1, 1)
     ]
+    assert by_key(kpi.kpi_user_top_genres(watch, movies, k=1, slots=3)) == by_key(kpi.kpi_user_top_genres(watch, movies, k=1))
     ordered = rows(kpi.kpi_user_top_genres(watch, movies, k=5, ordered=True))
     assert [(r[0], r[3]) for r in ordered] == [(1, 1), (1, 2), (2, 1), (3, 1), (None, 1)]
 

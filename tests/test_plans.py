@@ -1,5 +1,6 @@
 """Shapes of plans, and keys that hold a third of all rows."""
 
+import pathlib
 import re
 
 import pytest
@@ -107,6 +108,14 @@ def test_no_python_and_no_cartesian_product_in_any_query(spark):
             assert node not in text, (name, node)
 
 
+def test_library_runs_nothing_on_the_driver():
+    """No results are fetched, no Python runs on executors, no option is set."""
+    folder = pathlib.Path(kpi.__file__).parents[1]
+    banned = r"\.(collect|toPandas|toLocalIterator|localCheckpoint|crossJoin|rdd|first|take|head)\(|udf\(|InPandas|conf\.set"
+    for path in folder.rglob("*.py"):
+        assert not re.search(banned, path.read_text()), path
+
+
 # -- keys that hold a third of all rows ------------------------------------------------
 
 SMALL_PARTITIONS = {
