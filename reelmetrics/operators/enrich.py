@@ -46,15 +46,21 @@ def watch_enriched(
     user_attributes: Sequence[str] = USER_ATTRIBUTES,
     slots: int = 1,
 ) -> DataFrame:
-    """Watch events with title and viewer attributes."""
-    titled = lookup(watch, movies.select("show_id", *TITLE_ATTRIBUTES), "show_id", how, slots)
-    return lookup(titled, users.select("user_id", *user_attributes), "user_id", how, slots)
+    """Watch events with title and viewer attributes.
+
+    Viewers come first, as there are more of them than titles: if only their join has to
+    shuffle the events, it does so before title texts make the rows wider.
+    """
+    known = lookup(watch, users.select("user_id", *user_attributes), "user_id", how, slots)
+    titled = lookup(known, movies.select("show_id", *TITLE_ATTRIBUTES), "show_id", how, slots)
+    return titled.select(*watch.columns, *TITLE_ATTRIBUTES, *user_attributes)
 
 
 def subs_enriched(subs: DataFrame, plans: DataFrame, users: DataFrame, how: str = "left", slots: int = 1) -> DataFrame:
-    """Subscriptions with plan and subscriber attributes."""
-    planned = lookup(subs, plans, "plan_id", how, slots)
-    return lookup(planned, users.select("user_id", *SUBSCRIBER_ATTRIBUTES), "user_id", how, slots)
+    """Subscriptions with plan and subscriber attributes; the few plans are joined last."""
+    known = lookup(subs, users.select("user_id", *SUBSCRIBER_ATTRIBUTES), "user_id", how, slots)
+    plan_attributes = [c for c in plans.columns if c != "plan_id"]
+    return lookup(known, plans, "plan_id", how, slots).select(*subs.columns, *plan_attributes, *SUBSCRIBER_ATTRIBUTES)
 
 
 def ratings_enriched(ratings: DataFrame, movies: DataFrame, how: str = "left", slots: int = 1) -> DataFrame:
