@@ -310,8 +310,10 @@ def kpi_user_engagement_churn(
     ``one_row_per_user`` only the subscription that started last (then the one with the
     smaller plan) is kept. ``subs`` must be cleaned, so that ``is_active`` is there.
 
-    A user with more than ``rows_per_slot`` active subscriptions is spread over several
-    slots. Only such users are broadcast, so their list has at most (active rows /
+    Equal subscriptions of a user are counted in the map tasks, travel as one row and are
+    repeated after the join. A user with more than ``rows_per_slot`` active subscriptions
+    is spread over several slots, and so are the copies of one subscription, in portions
+    of that size. Only such users are broadcast, so their list has at most (active rows /
     ``rows_per_slot``) entries. A slot of such a user may stay empty; it is then removed
     again, as this user has other slots that are not.
     """
@@ -324,18 +326,28 @@ def kpi_user_engagement_churn(
         newest = dedup(active.select("user_id", "plan_id", "start_date"), "user_id", newest_first)
         joined = engagement.join(newest, "user_id", "left")
     else:
-        held = active.groupBy("user_id").agg(_rows().alias("_held")).where(F.col("_held") > rows_per_slot)
-        heavy = F.broadcast(held.select("user_id", F.ceil(F.col("_held") / rows_per_slot).cast("int").alias("_slots")))
+        held = active.groupBy("user_id", "plan_id", "start_date").agg(_rows().alias("_copies"))
+        heavy = held.groupBy("user_id").agg(F.sum("_copies").alias("_held")).where(F.col("_held") > rows_per_slot)
+        heavy = F.broadcast(heavy.select("user_id", F.ceil(F.col("_held") / rows_per_slot).cast("int").alias("_slots")))
         slots = F.coalesce("_slots", F.lit(1))
-        slot = F.pmod(F.xxhash64("subscription_id"), slots).cast("int")
-        placed = active.join(heavy, "user_id", "left").select(
-            "user_id", "plan_id", "start_date", slot.alias("_slot"), F.lit(True).alias("_found")
+        portion = F.explode(F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {rows_per_slot}")))
+        placed = (
+            held.join(heavy, "user_id", "left")
+            .withColumn("_portion", portion)
+            .select(
+                "user_id",
+                "plan_id",
+                "start_date",
+                F.pmod(F.xxhash64("plan_id", "start_date", "_portion"), slots).cast("int").alias("_slot"),
+                F.least(F.col("_copies") - F.col("_portion") * rows_per_slot, F.lit(rows_per_slot)).alias("_copies"),
+            )
         )
         joined = (
             engagement.join(heavy, "user_id", "left")
             .withColumn("_slot", F.explode(F.sequence(F.lit(0), slots - 1)))
             .join(placed, ["user_id", "_slot"], "left")
-            .where(F.col("_slots").isNull() | F.col("_found").isNotNull())
+            .where(F.col("_slots").isNull() | F.col("_copies").isNotNull())
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.coalesce("_copies", F.lit(1)))))
         )
     return joined.select(
         "user_id",

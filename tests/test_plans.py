@@ -1,5 +1,6 @@
 """Shapes of plans, and keys that hold a third of all rows."""
 
+import datetime as dt
 import pathlib
 import re
 
@@ -201,15 +202,21 @@ def test_a_hot_key_leaves_each_map_task_as_one_row(hot_watch, star, conf):
     assert max(sizes) < 2 * min(sizes)
 
 
-def test_a_hot_subscriber_is_spread_over_slots(hot_watch, star, conf):
-    subs = clean.clean_subscriptions(hot(star.subscriptions(), "user_id"), kpi.dt.date(2001, 11, 5))
-    as_of = kpi.dt.date(2001, 11, 5)
+@pytest.mark.parametrize("copies", [False, True])
+def test_a_hot_subscriber_is_spread_over_slots(hot_watch, star, conf, copies):
+    as_of = dt.date(2001, 11, 5)
+    subs = clean.clean_subscriptions(hot(star.subscriptions(), "user_id"), as_of)
+    if copies:
+        one = {"subscription_id": F.lit(1), "plan_id": F.lit(2), "start_date": F.lit(as_of)}
+        subs = subs.withColumns({c: F.when(F.col("user_id") == 7, v).otherwise(F.col(c)) for c, v in one.items()})
     plain = rows(kpi.kpi_user_engagement_churn(hot_watch, subs, as_of))
+    assert len(plain) > subs.where("is_active").count()
     conf(NO_BROADCAST | {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"})
 
     def largest(rows_per_slot):
         df = kpi.kpi_user_engagement_churn(hot_watch, subs, as_of, rows_per_slot=rows_per_slot)
-        return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        sizes = df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.max("plan_id"), F.max("start_date"))
+        return max(r.n for r in sizes.collect())
 
     spread = kpi.kpi_user_engagement_churn(hot_watch, subs, as_of, rows_per_slot=50)
     assert rows(spread) == plain

@@ -103,6 +103,11 @@ def test_mean_and_median_of_nothing(spark):
     assert tuple(mean_and_median(spark.createDataFrame([], "v bigint"), "v").first()) == (0, None, None)
 
 
+def test_median_takes_exact_numbers_only(spark):
+    with pytest.raises(TypeError):
+        mean_and_median(spark.createDataFrame([(1.5,)], "v double"), "v")
+
+
 def test_median_of_decimals_equals_the_built_in_one(spark):
     df = spark.range(5000).selectExpr("CAST(pmod(xxhash64(id), 1000003) / 10.0 AS decimal(12,1)) AS v")
     ours = mean_and_median(df, "v", digits=2).first()
