@@ -5,6 +5,7 @@ import pathlib
 import re
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from reelmetrics.operators import clean, enrich
@@ -109,6 +110,13 @@ def test_no_python_and_no_cartesian_product_in_any_query(spark):
             assert node not in text, (name, node)
 
 
+def test_a_write_counts_rows_after_its_last_shuffle(spark):
+    """As in ``write_curated``: the shuffle lies below the count, so its re-run counts nothing."""
+    df = spark.range(10).withColumn("y", F.col("id") % 2).hint("rebalance", "y")
+    text = plan(df.observe(Observation(), F.count(F.lit(1)).alias("rows")))
+    assert text.index("CollectMetrics") < text.index("REBALANCE_PARTITIONS_BY_COL")
+
+
 def test_library_runs_nothing_on_the_driver():
     """No results are fetched, no Python runs on executors, no option is set."""
     folder = pathlib.Path(kpi.__file__).parents[1]

@@ -113,6 +113,21 @@ def test_whole_run(spark, csv_star, tmp_path):
     assert {"watch_year=2000", "watch_year=2001"} <= set(os.listdir(f"{out}/watch_enriched"))
     assert "watch_month" not in spark.read.parquet(f"{out}/fact_watch_history").columns
     assert {"watch_month", "watch_year", "city"} <= set(spark.read.parquet(f"{out}/watch_enriched").columns)
+    def values(name, *cols):
+        return sorted(map(tuple, spark.read.parquet(f"{out}/{name}").select(*cols).collect()), key=repr)
+
+    minutes = Decimal("30.5"), Decimal("10.0"), Decimal("0.0")
+    assert values("kpi_popular_genres", "primary_genre", "view_count", "total_minutes") == [
+        ("Comedy", 1, minutes[1]), ("Drama", 1, minutes[0]), (None, 1, minutes[2])
+    ]
+    assert values("kpi_active_cities", "city", "watch_events", "active_users") == [("Oslo", 2, 1), ("Rome", 1, 1)]
+    assert values("kpi_user_engagement_churn", "user_id", "plan_id", "days_since_last_watch", "churn_risk") == [
+        (1, 1, 4, "Low"), (1, 3, 4, "Low"), (2, None, 46, "Medium")
+    ]
+    assert values("kpi_monthly_trend", "watch_month", "unique_viewers") == [("2000-01", 1), ("2001-09", 1), ("2001-11", 1)]
+    assert values("dim_movies", "show_id", "title", "content_age_years", "type") == [
+        ("s1", "One", 0, "Movie"), ("s2", "Two", 11, "TV Show")
+    ]
     before = {n: sorted(map(repr, spark.read.parquet(f"{out}/{n}").collect())) for n in rows}
     assert star_etl.run_pipeline(spark, csv_star, out, AS_OF, persist=False) == rows
     assert before == {n: sorted(map(repr, spark.read.parquet(f"{out}/{n}").collect())) for n in rows}
