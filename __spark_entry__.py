@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType
+from pyspark.sql.types import DecimalType, IntegerType, ShortType
 
 from reelmetrics.functions import age_bucket
 from reelmetrics.functions.columns import AGE_GROUPS, CHURN_RISKS
@@ -21,7 +21,7 @@ from reelmetrics.sources.writers import write_curated
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = dt.date(2001, 11, 5)
 
-_QUERIES: dict[str, Callable[[SampleStar], DataFrame]] = {}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
 # The roles of the tables, as the SQL sees them. `subs` and `fact_watch` are cleaned.
@@ -97,29 +97,32 @@ def _percent(part: str, whole: str, scale: int) -> str:
     return f"CAST((2000 * {x} + {y}) // (2 * {y}) AS DOUBLE) / 10.0"
 
 
-def _plain(df: DataFrame) -> DataFrame:
-    """Decimals as double, short integers as bigint and dates as text, so that two engines agree."""
+def _plain(df: DataFrame, text: list[str]) -> DataFrame:
+    """Decimals as double, short integers as bigint and some columns as text.
+
+    So two engines agree on types. Text are dates, and numbers that may be missing.
+    """
     cols = []
     for field in df.schema.fields:
         col = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, DecimalType):
+        if field.name in text:
+            col = col.cast("string").alias(field.name)
+        elif isinstance(field.dataType, DecimalType):
             col = col.cast("double").alias(field.name)
         elif isinstance(field.dataType, (IntegerType, ShortType)):
             col = col.cast("bigint").alias(field.name)
-        elif isinstance(field.dataType, DateType):
-            col = col.cast("string").alias(field.name)
         cols.append(col)
     return df.select(*cols)
 
 
-def _query(name: str, sql: str, dates: str = ""):
-    """Register a query and its SQL; ``dates`` names the columns to compare as text."""
-    if dates:
-        as_text = ", ".join(f"CAST({d} AS VARCHAR) AS {d}" for d in dates.split())
-        sql = f"SELECT * REPLACE ({as_text}) FROM ({sql})"
+def _query(name: str, sql: str, text: str = ""):
+    """Register a query and its SQL; ``text`` names the columns to compare as text."""
+    names = text.split()
+    if names:
+        sql = f"SELECT * REPLACE ({', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in names)}) FROM ({sql})"
 
     def register(build: Callable[[SampleStar], DataFrame]):
-        _QUERIES[name] = build
+        _QUERIES[name] = lambda spark, sf_dir: _plain(build(SampleStar(spark, sf_dir)), names)
         _SQL[name] = f"WITH {_ROLES} {sql}"
         return build
 
@@ -160,7 +163,7 @@ def _(s: SampleStar) -> DataFrame:
 @_query(
     "clean_subscriptions",
     """SELECT * REPLACE (CAST(plan_id AS BIGINT) AS plan_id, CAST(monthly_revenue AS DOUBLE) AS monthly_revenue) FROM subs""",
-    dates="start_date end_date",
+    text="start_date end_date",
 )
 def _(s: SampleStar) -> DataFrame:
     return clean.clean_subscriptions(s.subscriptions(), AS_OF)
@@ -170,7 +173,7 @@ def _(s: SampleStar) -> DataFrame:
     "clean_watch",
     """SELECT * REPLACE (CAST(watch_duration_minutes AS DOUBLE) AS watch_duration_minutes,
                          CAST(completion_pct AS DOUBLE) AS completion_pct) FROM fact_watch""",
-    dates="watch_date",
+    text="watch_date",
 )
 def _(s: SampleStar) -> DataFrame:
     return clean.clean_watch(s.watch())
@@ -182,7 +185,7 @@ def _(s: SampleStar) -> DataFrame:
               CAST(least(greatest(completion_pct, 0), 100) AS DOUBLE) AS completion_pct,
               strftime(watch_date, '%Y-%m') AS watch_month
        FROM watch WHERE watch_duration_minutes > 0""",
-    dates="watch_date",
+    text="watch_date",
 )
 def _(s: SampleStar) -> DataFrame:
     return clean.clean_watch(s.watch(), min_exclusive=True, clip="both")
@@ -200,7 +203,7 @@ def _(s: SampleStar) -> DataFrame:
        FROM lineitem
        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey, l_suppkey,
          l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) = 1""",
-    dates="l_shipdate",
+    text="l_shipdate",
 )
 def _(s: SampleStar) -> DataFrame:
     lines = s.parquet("lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
@@ -226,7 +229,7 @@ def _(s: SampleStar) -> DataFrame:
     "binge_flag",
     """SELECT show_id, device, watch_date, CAST(completion_pct AS DOUBLE) AS completion_pct,
               completion_pct >= 90 AS is_binge FROM fact_watch""",
-    dates="watch_date",
+    text="watch_date",
 )
 def _(s: SampleStar) -> DataFrame:
     watch = clean.clean_watch(s.watch(with_user=False))
@@ -355,6 +358,7 @@ def _(s: SampleStar) -> DataFrame:
        LEFT JOIN (SELECT 'users' AS table_name, count(*) AS rows FROM users
                   UNION ALL SELECT 'plans', count(*) FROM plans
                   UNION ALL SELECT 'subscriptions', count(*) FROM raw_subs) c USING (table_name)""",
+    text="rows",
 )
 def _(s: SampleStar) -> DataFrame:
     counts = quality.table_row_counts({"users": s.users(), "plans": s.plans(), "subscriptions": s.subscriptions()})
@@ -404,7 +408,7 @@ _WATCH_ENRICHED = """SELECT w.user_id, w.show_id, w.device, w.watch_date,
        FROM fact_watch w LEFT JOIN movies m USING (show_id) LEFT JOIN grouped_users u USING (user_id)"""
 
 
-@_query("watch_enriched", _WATCH_ENRICHED.format(more=""), dates="watch_date")
+@_query("watch_enriched", _WATCH_ENRICHED.format(more=""), text="watch_date")
 def _(s: SampleStar) -> DataFrame:
     return enrich.watch_enriched(clean.clean_watch(s.watch()), s.movies(), _grouped_users(s))
 
@@ -414,7 +418,7 @@ def _(s: SampleStar) -> DataFrame:
     """SELECT s.* REPLACE (CAST(s.plan_id AS BIGINT) AS plan_id, CAST(s.monthly_revenue AS DOUBLE) AS monthly_revenue),
               p.plan_name, u.city, u.country
        FROM subs s LEFT JOIN plans p USING (plan_id) LEFT JOIN users u USING (user_id)""",
-    dates="start_date end_date",
+    text="start_date end_date",
 )
 def _(s: SampleStar) -> DataFrame:
     return enrich.subs_enriched(clean.clean_subscriptions(s.subscriptions(), AS_OF), s.plans(), s.users())
@@ -558,7 +562,7 @@ def _(s: SampleStar) -> DataFrame:
     "kpi_churn_users",
     """SELECT user_id, name, last_watch_date, days_since_last_watch, total_sessions,
               CAST(minutes AS DOUBLE) AS total_watch_minutes, churn_risk FROM risk JOIN users USING (user_id)""",
-    dates="last_watch_date",
+    text="last_watch_date",
 )
 def _(s: SampleStar) -> DataFrame:
     return kpi.kpi_churn_users(_viewer_events(s), s.users(), AS_OF)
@@ -569,7 +573,7 @@ _CHURN = """SELECT r.user_id, r.last_watch_date, r.total_sessions, CAST(r.minute
        FROM risk r LEFT JOIN {subs} s ON s.user_id = r.user_id"""
 
 
-@_query("kpi_user_engagement_churn", _CHURN.format(subs="(SELECT * FROM subs WHERE is_active)"), dates="last_watch_date start_date")
+@_query("kpi_user_engagement_churn", _CHURN.format(subs="(SELECT * FROM subs WHERE is_active)"), text="last_watch_date start_date plan_id")
 def _(s: SampleStar) -> DataFrame:
     return kpi.kpi_user_engagement_churn(_viewer_events(s), _clean_subs(s), AS_OF)
 
@@ -580,13 +584,13 @@ def _(s: SampleStar) -> DataFrame:
         subs="""(SELECT * FROM subs WHERE is_active
                  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY start_date DESC, plan_id) = 1)"""
     ),
-    dates="last_watch_date start_date",
+    text="last_watch_date start_date plan_id",
 )
 def _(s: SampleStar) -> DataFrame:
     return kpi.kpi_user_engagement_churn(_viewer_events(s), _clean_subs(s), AS_OF, one_row_per_user=True)
 
 
-@_query("kpi_churn_active_subscribers", "SELECT * FROM churn_active", dates="last_watch_date")
+@_query("kpi_churn_active_subscribers", "SELECT * FROM churn_active", text="last_watch_date")
 def _(s: SampleStar) -> DataFrame:
     return kpi.kpi_churn_active_subscribers(_viewer_events(s), _clean_subs(s), AS_OF)
 
@@ -652,7 +656,7 @@ def _(s: SampleStar) -> DataFrame:
 @_query(
     "vw_user_engagement",
     """SELECT user_id, total_sessions, CAST(minutes AS DOUBLE) AS total_watch_minutes, last_watch_date FROM engagement""",
-    dates="last_watch_date",
+    text="last_watch_date",
 )
 def _(s: SampleStar) -> DataFrame:
     return kpi.vw_user_engagement(_viewer_events(s))
@@ -720,7 +724,7 @@ def _(s: SampleStar) -> DataFrame:
     return readers.read_csv(s.spark, path, schema, multi_line=True)
 
 
-@_query("write_curated", _WATCH_ENRICHED.format(more=", CAST(year(w.watch_date) AS BIGINT) AS watch_year"), dates="watch_date")
+@_query("write_curated", _WATCH_ENRICHED.format(more=", CAST(year(w.watch_date) AS BIGINT) AS watch_year"), text="watch_date")
 def _(s: SampleStar) -> DataFrame:
     enriched = clean.add_watch_year(enrich.watch_enriched(_viewer_events(s), s.movies(), _grouped_users(s)))
     path = scratch_dir(s.spark, "watch-by-year")
@@ -731,7 +735,7 @@ def _(s: SampleStar) -> DataFrame:
 @_query(
     "load_table",
     "SELECT * EXCLUDE (is_active, tenure_days) REPLACE (CAST(plan_id AS BIGINT) AS plan_id, CAST(monthly_revenue AS DOUBLE) AS monthly_revenue) FROM subs",
-    dates="start_date end_date",
+    text="start_date end_date",
 )
 def _(s: SampleStar) -> DataFrame:
     prefix = _loaded_star(s, ["subscriptions"])
@@ -832,10 +836,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def bind(build: Callable[[SampleStar], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: _plain(build(SampleStar(spark, sf_dir)))
-
-    return {name: bind(build) for name, build in _QUERIES.items()}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
