@@ -836,8 +836,21 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _text_queries()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | _text_queries()[1]
+
+
+def _text_queries() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the text operators and their pipeline, where these are installed."""
+    try:
+        import corpus_pipeline
+        from reelmetrics.llm import queries as text
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "reelmetrics.llm"):
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return text.QUERIES | {"pipeline": corpus_pipeline.run}, text.ORACLE_SQL | sql
