@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType, ShortType
 
-from reelmetrics.functions import age_bucket
+from reelmetrics.functions import age_bucket, exact_mean
 from reelmetrics.functions.columns import AGE_GROUPS, CHURN_RISKS
 from reelmetrics.operators import clean, enrich, quality, shares
 from reelmetrics.plans import kpi, star_etl
@@ -350,6 +350,18 @@ def _(s: SampleStar) -> DataFrame:
     return quality.dq_decimal_fit(s.parquet("lineitem"), {"l_extendedprice": "decimal(6,2)", "l_discount": "decimal(5,1)"})
 
 
+@_query(
+    "dq_decimal_fit_text",
+    """WITH texts AS (SELECT CAST(l_partkey AS VARCHAR) AS whole, repeat('0', 3 * l_linenumber) || CAST(l_suppkey % 3 AS VARCHAR) || '00' AS part FROM lineitem)
+       SELECT 'v' AS column_name, count(*) FILTER (CAST(whole AS BIGINT) > 999) AS out_of_range,
+              count(*) FILTER (CAST(whole AS BIGINT) <= 999 AND length(rtrim(part, '0')) > 2) AS rounded FROM texts""",
+)
+def _(s: SampleStar) -> DataFrame:
+    zeros, last = F.expr("repeat('0', 3 * l_linenumber)"), (F.col("l_suppkey") % 3).cast("string")
+    text = F.concat(F.col("l_partkey").cast("string"), F.lit("."), zeros, last, F.lit("00"))
+    return quality.dq_decimal_fit(s.parquet("lineitem").select(text.alias("v")), {"v": "decimal(5,2)"})
+
+
 @_query(
     "dq_row_count",
     """SELECT e.table_name, CAST(e.expected AS BIGINT) AS expected, c.rows,
@@ -365,31 +377,66 @@ def _(s: SampleStar) -> DataFrame:
     return quality.dq_row_count(counts, {"users": 6000, "plans": 5, "subscriptions": 15400, "absent": 1}, tolerance=0.05)
 
 
-@_query(
-    "constraint_report",
-    """SELECT 'primary key' AS rule, 'movies' AS table_name, 'show_id' AS column_name,
-              coalesce((SELECT sum(n) FROM (SELECT count(*) AS n FROM movies GROUP BY show_id HAVING n > 1 OR show_id IS NULL)), 0)::BIGINT AS violations
-       UNION ALL SELECT 'primary key', 'users', 'user_id', coalesce((SELECT sum(n) FROM (SELECT count(*) AS n FROM users GROUP BY user_id HAVING n > 1 OR user_id IS NULL)), 0)::BIGINT
-       UNION ALL SELECT 'primary key', 'plans', 'plan_id', coalesce((SELECT sum(n) FROM (SELECT count(*) AS n FROM plans GROUP BY plan_id HAVING n > 1 OR plan_id IS NULL)), 0)::BIGINT
-       UNION ALL SELECT 'primary key', 'subscriptions', 'subscription_id', coalesce((SELECT sum(n) FROM (SELECT count(*) AS n FROM raw_subs GROUP BY subscription_id HAVING n > 1 OR subscription_id IS NULL)), 0)::BIGINT
-       UNION ALL SELECT 'foreign key', 'subscriptions', 'user_id', count(*) FROM raw_subs ANTI JOIN users USING (user_id) WHERE user_id IS NOT NULL
-       UNION ALL SELECT 'foreign key', 'subscriptions', 'plan_id', count(*) FROM raw_subs ANTI JOIN plans USING (plan_id) WHERE plan_id IS NOT NULL
-       UNION ALL SELECT 'foreign key', 'watch', 'user_id', count(*) FROM watch ANTI JOIN users USING (user_id) WHERE user_id IS NOT NULL
-       UNION ALL SELECT 'foreign key', 'watch', 'show_id', count(*) FROM watch ANTI JOIN movies USING (show_id) WHERE show_id IS NOT NULL
-       UNION ALL SELECT 'foreign key', 'ratings', 'user_id', count(*) FROM all_ratings ANTI JOIN users USING (user_id) WHERE user_id IS NOT NULL
-       UNION ALL SELECT 'foreign key', 'ratings', 'show_id', count(*) FROM all_ratings ANTI JOIN movies USING (show_id) WHERE show_id IS NOT NULL
-       UNION ALL SELECT 'check', 'ratings', 'rating BETWEEN 1 AND 5', count(*) FROM all_ratings WHERE NOT (rating BETWEEN 1 AND 5)
-       UNION ALL SELECT 'not null', 'movies', 'director', count(*) FROM movies WHERE director IS NULL
-       UNION ALL SELECT 'not null', 'movies', 'title', count(*) FROM movies WHERE title IS NULL
-       UNION ALL SELECT 'not null', 'subscriptions', 'end_date', count(*) FROM raw_subs WHERE end_date IS NULL""",
-)
+_KEY_RULE = """SELECT 'primary key' AS rule, '{t}' AS table_name, '{k}' AS column_name,
+    coalesce((SELECT sum(n) FROM (SELECT count(*) AS n FROM {v} GROUP BY {k} HAVING n > 1 OR {k} IS NULL)), 0)::BIGINT AS violations"""
+
+
+def _constraint_sql() -> str:
+    """SQL for every declared rule; a rule on a column that the sample tables lack is not checked."""
+    views = {"movies": "movies", "users": "users", "plans": "plans", "subscriptions": "raw_subs", "watch": "watch", "ratings": "all_ratings"}
+    present = {
+        "movies": "show_id type title director primary_country release_year primary_genre",
+        "users": "user_id name age city country",
+        "plans": "plan_id plan_name",
+        "subscriptions": "subscription_id user_id plan_id start_date end_date status monthly_revenue",
+        "watch": "user_id show_id device watch_date watch_duration_minutes completion_pct",
+        "ratings": "user_id show_id rating",
+    }
+    rules = []
+
+    def count(rule: str, table: str, column: str | None, condition: str, known: bool = True) -> None:
+        violations = f"(SELECT count(*) FROM {views[table]} WHERE {condition})" if known else "NULL::BIGINT"
+        rules.append(f"SELECT '{rule}' AS rule, '{table}' AS table_name, '{column}' AS column_name, {violations} AS violations")
+
+    for t, k in schemas.PRIMARY_KEYS.items():
+        if k in present[t].split():
+            rules.append(_KEY_RULE.format(t=t, k=k, v=views[t]))
+        else:
+            count("primary key", t, k, "", False)
+    for t, k, parent in schemas.FOREIGN_KEYS:
+        count("foreign key", t, k, f"{k} IS NOT NULL AND {k} NOT IN (SELECT {k} FROM {views[parent]})")
+    for t, expr in schemas.CHECKS.items():
+        count("check", t, expr, f"NOT ({expr})")
+    for t, cols in schemas.REQUIRED.items():
+        for c in cols:
+            count("not null", t, c, f"{c} IS NULL", c in present[t].split())
+    for t, limits in schemas.MAX_LENGTHS.items():
+        for c, n in limits.items():
+            count("max length", t, c, f"length(CAST({c} AS VARCHAR)) > {n}", c in present[t].split())
+    for t, types in schemas.DECIMALS.items():
+        for c, decimal in types.items():
+            cast = f"TRY_CAST({c} AS {decimal})"
+            count("decimal", t, c, f"{c} IS NOT NULL AND ({cast} IS NULL OR {cast} <> {c})", c in present[t].split())
+    for t, n in schemas.EXPECTED_ROWS.items():
+        rules.append(
+            f"SELECT 'row count', '{t}', NULL, CASE WHEN abs(n - {n}) > {n} * 0.05 THEN abs(n - {n}) ELSE 0 END::BIGINT FROM (SELECT count(*) AS n FROM {views[t]})"
+        )
+    return f"""SELECT *, CASE WHEN violations IS NULL THEN 'not checked' WHEN violations > 0 THEN 'violated' ELSE 'ok' END AS status
+        FROM ({" UNION ALL ".join(rules)})"""
+
+
+@_query("constraint_report", _constraint_sql(), text="violations")
 def _(s: SampleStar) -> DataFrame:
     return quality.constraint_report(
         s.tables(),
         schemas.PRIMARY_KEYS,
         schemas.FOREIGN_KEYS,
         schemas.CHECKS,
-        {"movies": ["director", "title"], "subscriptions": ["end_date"]},
+        schemas.REQUIRED,
+        schemas.MAX_LENGTHS,
+        schemas.DECIMALS,
+        schemas.EXPECTED_ROWS,
+        tolerance=0.05,
     )
 
 
@@ -606,7 +653,7 @@ def _(s: SampleStar) -> DataFrame:
        FROM risk r LEFT JOIN (SELECT user_id FROM subs WHERE is_active) s ON s.user_id = r.user_id GROUP BY churn_risk""",
 )
 def _(s: SampleStar) -> DataFrame:
-    return kpi.kpi_churn_distribution(kpi.kpi_user_engagement_churn(_viewer_events(s), _clean_subs(s), AS_OF))
+    return kpi.kpi_churn_distribution_of_rows(_viewer_events(s), _clean_subs(s), AS_OF)
 
 
 _TOP_GENRES = """SELECT user_id, primary_genre, count(*) AS genre_view_count,
@@ -684,6 +731,29 @@ def _(s: SampleStar) -> DataFrame:
     return shares.share_of_total(kpi.watch_events_by_type(_events(s), s.movies()), "type", "watch_events")
 
 
+_FINE = """SELECT l_returnflag, CAST(l_discount AS DECIMAL(4,2)) * CAST(l_tax AS DECIMAL(4,2)) AS x FROM lineitem"""
+
+
+def _fine(s: SampleStar) -> DataFrame:
+    x = F.col("l_discount").cast("decimal(4,2)") * F.col("l_tax").cast("decimal(4,2)")
+    return s.parquet("lineitem").select("l_returnflag", x.cast("decimal(8,4)").alias("x"))
+
+
+@_query(
+    "share_of_total_4dp",
+    f"""SELECT l_returnflag, CAST(total AS DOUBLE) AS x, {_percent('total', 'sum(total) OVER ()', 4)} AS share_pct
+        FROM (SELECT l_returnflag, sum(x) AS total FROM ({_FINE}) GROUP BY l_returnflag)""",
+)
+def _(s: SampleStar) -> DataFrame:
+    return shares.share_of_total(_fine(s), "l_returnflag", "x")
+
+
+@_query("mean_4dp", f"SELECT l_returnflag, {_half_up('sum(x)', 'count(*)', 4, 4)} AS mean FROM ({_FINE}) GROUP BY l_returnflag")
+def _(s: SampleStar) -> DataFrame:
+    mean = exact_mean(F.sum("x"), F.count("x"), 4).alias("mean")
+    return _fine(s).groupBy("l_returnflag").agg(mean)
+
+
 @_query(
     "users_by_age_group",
     """SELECT CAST(position AS BIGINT) AS position, age_group, count(u.age) AS users
@@ -724,6 +794,21 @@ def _(s: SampleStar) -> DataFrame:
     return readers.read_csv(s.spark, path, schema, multi_line=True)
 
 
+@_query(
+    "read_csv_rejects",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS o_orderdate,
+              CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS o_totalprice, o_orderkey % 10 = 0 AS rejected FROM orders""",
+    text="o_orderdate",
+)
+def _(s: SampleStar) -> DataFrame:
+    day = F.when(F.col("o_orderkey") % 10 == 0, "2020-13-45").otherwise(F.to_date("o_orderdate").cast("string"))
+    path = scratch_dir(s.spark, "orders-csv")
+    lines = s.parquet("orders").select("o_orderkey", day.alias("o_orderdate"), F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"))
+    lines.write.options(header=True).csv(path)
+    read = readers.read_csv(s.spark, path, "o_orderkey bigint, o_orderdate date, o_totalprice decimal(12,2)", keep_rejects=True)
+    return read.withColumn("rejected", F.col(readers.REJECT).isNotNull()).drop(readers.REJECT)
+
+
 @_query("write_curated", _WATCH_ENRICHED.format(more=", CAST(year(w.watch_date) AS BIGINT) AS watch_year"), text="watch_date")
 def _(s: SampleStar) -> DataFrame:
     enriched = clean.add_watch_year(enrich.watch_enriched(_viewer_events(s), s.movies(), _grouped_users(s)))
@@ -744,6 +829,23 @@ def _(s: SampleStar) -> DataFrame:
     return loaded
 
 
+@_query(
+    "load_table_bucketed",
+    """SELECT s.user_id, s.subscription_id, u.name FROM subs s JOIN users u USING (user_id)""",
+)
+def _(s: SampleStar) -> DataFrame:
+    prefix = f"reel_{scratch_dir(s.spark, 'bucketed')[-12:]}_"
+    for name, df in (("subscriptions", s.subscriptions()), ("users", s.users())):
+        tables.load_table(
+            df, prefix + name, bucket_cols=["user_id"], buckets=8, location=scratch_dir(s.spark, name), files_per_bucket=2
+        )
+    subs, users = (s.spark.table(prefix + name) for name in ("subscriptions", "users"))
+    joined = subs.select("user_id", "subscription_id").join(users.select("user_id", "name"), "user_id")
+    for name in ("subscriptions", "users"):
+        s.spark.sql(f"DROP TABLE {prefix}{name}")
+    return joined
+
+
 @_query(
     "stored_views",
     """SELECT 'vw_TopWatchedTitles' AS view_name, count(DISTINCT show_id) AS rows,

@@ -11,7 +11,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from reelmetrics.plans.star_etl import run_pipeline
+from reelmetrics.plans.star_etl import run_from_csv
 
 
 def main() -> None:
@@ -20,10 +20,12 @@ def main() -> None:
     parser.add_argument("dst")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="the day that counts as today")
     parser.add_argument("--genres-per-user", type=int, default=5)
-    parser.add_argument("--no-persist", action="store_true", help="do not cache the shared rollups")
+    parser.add_argument("--persist", action="store_true", help="cache the shared rollups")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("reelmetrics-etl").getOrCreate()
-    rows = run_pipeline(spark, args.src, args.dst, args.as_of, args.genres_per_user, not args.no_persist)
+    rows, accounts = run_from_csv(spark, args.src, args.dst, args.as_of, args.genres_per_user, args.persist)
+    for table, lines in accounts.items():
+        print(f"{table}: {', '.join(f'{name} {n}' for name, n in lines._asdict().items() if n is not None)} lines")
     for name, n in rows.items():
         print(f"{name}: {n} rows")
     spark.stop()

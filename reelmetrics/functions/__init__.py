@@ -5,8 +5,10 @@ from .columns import (
     clip_percent,
     days_between,
     exact_mean,
+    free_names,
     month_key,
     percent_of,
+    require_exact,
 )
 
 __all__ = [
@@ -16,6 +18,8 @@ __all__ = [
     "clip_percent",
     "days_between",
     "exact_mean",
+    "free_names",
     "month_key",
     "percent_of",
+    "require_exact",
 ]

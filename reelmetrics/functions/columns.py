@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 # Bucket names and edges.
 AGE_GROUPS = ("Teen", "Young Adult", "Adult", "Senior")
@@ -15,6 +17,10 @@ CHURN_RISKS = ("Low", "Medium", "High")
 CHURN_EDGES = (30, 60)
 CHURN_RANGE = (-1, 100000)
 
+# Factors that turn integers into decimals and leave the digits of decimals as they are.
+ONE = Decimal(1)
+HUNDRED = Decimal(100)
+
 
 def as_of_date(as_of: dt.date | None) -> Column:
     """The day that counts as today."""
@@ -79,16 +85,34 @@ def clip_percent(pct: Column, clip: str = "upper") -> Column:
     return clipped.otherwise(pct)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that no column of a table has, in any spelling."""
+    taken = {c.lower() for c in df.columns}
+    names = []
+    for name in wanted:
+        while f"_{name}" in taken:
+            name = f"_{name}"
+        names.append(f"_{name}")
+    return names
+
+
+def require_exact(df: DataFrame, col: str) -> None:
+    """Refuse a column of floating numbers, whose sums depend on the order of the rows."""
+    dtype = df.schema[col].dataType
+    if not isinstance(dtype, (DecimalType, IntegralType)):
+        raise TypeError(f"{col} must be an integer or a decimal, not {dtype.simpleString()}")
+
+
 def exact_mean(total: Column, rows: Column, digits: int) -> Column:
     """Mean from an exact (decimal or integer) sum and a row count, rounded half up.
 
-    The quotient is taken in decimals, so that a mean that lies exactly between two
-    rounded values goes the same way on every run and every partitioning.
+    The quotient is taken in decimals and keeps all digits of the sum, so that a mean that
+    lies exactly between two rounded values goes the same way on every run and every
+    partitioning. No rows have no mean.
     """
-    return F.round(total.cast("decimal(24,2)") / rows.cast("decimal(20,0)"), digits)
+    return F.round(total * F.lit(ONE) / F.nullif(rows, F.lit(0)).cast("decimal(19,0)"), digits)
 
 
 def percent_of(part: Column, whole: Column, digits: int) -> Column:
-    """Share in percent, rounded half up, from exact numbers."""
-    hundredfold = part.cast("decimal(20,2)") * F.lit(100)
-    return F.round(hundredfold / whole.cast("decimal(20,2)"), digits)
+    """Share in percent, rounded half up, from exact numbers; NULL if the whole is 0."""
+    return F.round(part * F.lit(HUNDRED) / F.nullif(whole * F.lit(ONE), F.lit(Decimal(0))), digits)

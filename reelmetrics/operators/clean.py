@@ -13,6 +13,7 @@ from reelmetrics.functions import (
     as_of_date,
     clip_percent,
     days_between,
+    free_names,
     month_key,
 )
 
@@ -39,8 +40,9 @@ def dedup(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str | Colu
     if order_by is None:
         order_by = [c for c in df.columns if c not in keys] or keys
     ordering = [F.asc_nulls_last(c) if isinstance(c, str) else c for c in order_by]
-    nth = F.row_number().over(Window.partitionBy("_hash", *keys).orderBy(*ordering))
-    return df.withColumn("_hash", F.xxhash64(*keys)).withColumn("_nth", nth).where("_nth = 1").drop("_nth", "_hash")
+    hashed, nth = free_names(df, "hash", "nth")
+    numbered = F.row_number().over(Window.partitionBy(hashed, *keys).orderBy(*ordering))
+    return df.withColumn(hashed, F.xxhash64(*keys)).withColumn(nth, numbered).where(F.col(nth) == 1).drop(nth, hashed)
 
 
 def fill_unknown(df: DataFrame, cols: Sequence[str] = ("director", "primary_country"), value: str = "Unknown") -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelmetrics.functions import free_names
+
 # The attributes that each enriched table carries.
 TITLE_ATTRIBUTES = ("title", "type", "primary_genre", "release_year")
 USER_ATTRIBUTES = ("city", "country", "age_group")
@@ -27,15 +29,17 @@ def lookup(fact: DataFrame, dim: DataFrame, on: str, how: str = "left", slots: i
     that were read, filtered, or deduplicated by ``dedup``. It does not act on a dimension
     that was grouped by the key in the same plan, nor with adaptive execution turned off.
     For these cases ``slots`` > 1 spreads the rows of each key over that many slots, by a
-    hash of the whole row, and repeats the dimension once per slot.
+    hash of the whole row, and repeats the dimension once per slot. Equal rows share a slot, so
+    count them before (as ``kpi_user_top_genres`` does) where they may be many.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     if slots == 1:
         return fact.join(dim, on, how)
+    (name,) = free_names(fact.select(*fact.columns, *[F.lit(None).alias(c) for c in dim.columns if c not in fact.columns]), "slot")
     slot = F.pmod(F.xxhash64(*fact.columns), F.lit(slots)).cast("int")
-    repeated = dim.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    return fact.withColumn("_slot", slot).join(repeated, [on, "_slot"], how).drop("_slot")
+    repeated = dim.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    return fact.withColumn(name, slot).join(repeated, [on, name], how).drop(name)
 
 
 def watch_enriched(

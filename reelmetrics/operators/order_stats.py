@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegralType
+from pyspark.sql.types import DecimalType
+
+from reelmetrics.functions import require_exact
 
 # The 64-bit value is read in three steps of 21 or 22 bits, so no step puts more than
 # 2**22 buckets into its window, whatever the number of rows or of distinct values.
@@ -20,9 +22,8 @@ def mean_and_median(values: DataFrame, col: str, digits: int = 1) -> DataFrame:
     and so on. Each histogram is formed in the map tasks; a value that very many rows
     share is one bucket. The sides that are broadcast hold two rows, one per middle rank.
     """
+    require_exact(values, col)
     dtype = values.schema[col].dataType
-    if not isinstance(dtype, (DecimalType, IntegralType)):
-        raise TypeError(f"{col} must be an integer or a decimal, not {dtype.simpleString()}")
     scale = dtype.scale if isinstance(dtype, DecimalType) else 0
     unit = (F.col(col) * F.lit(10**scale)).cast("long")
     units = values.where(F.col(col).isNotNull()).select(unit.alias("unit"))

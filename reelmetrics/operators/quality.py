@@ -1,7 +1,8 @@
-"""Data-quality rules and profiles. Each returns a DataFrame and runs in one pass per table.
+"""Data-quality rules and profiles. Each returns a DataFrame.
 
-Rules on keys group by the key before anything else, so a key with very many rows leaves
-each map task as one row.
+Rules on rows are counted in one aggregation per table. Rules on keys group by the key before
+anything else, so a key with very many rows leaves each map task as one row; each of them
+reads its table, but only the key.
 """
 
 from __future__ import annotations
@@ -9,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType, StringType
 
 
 def dq_primary_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -68,17 +71,41 @@ def dq_max_length(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     )
 
 
+def _decimal_misfits(df: DataFrame, col: str, decimal: str) -> tuple[Column, Column]:
+    """Whether a decimal type cannot hold a value of a column, and whether it would round it.
+
+    Decimals are compared as decimals and texts by their digits, so no digit is too far
+    behind the point to count. Only floating numbers are compared as such.
+    """
+    value, fitted = F.col(f"`{col}`"), F.col(f"`{col}`").try_cast(decimal)
+    scale, dtype = int(decimal.rstrip(")").split(",")[1]), df.schema[col].dataType
+    if isinstance(dtype, DecimalType):
+        loses = F.round(value, scale) != value
+    elif isinstance(dtype, IntegralType):
+        loses = F.lit(False)
+    elif isinstance(dtype, StringType):
+        plain = F.regexp_extract(F.trim(value), r"^[+-]?[0-9]*\.?([0-9]*?)0*$", 1)
+        other = fitted.cast("double") != value.try_cast("double")
+        loses = F.when(F.lower(value).contains("e"), other).otherwise(F.length(plain) > scale)
+    else:
+        loses = fitted.cast("double") != value.try_cast("double")
+    return value.isNotNull() & fitted.isNull(), fitted.isNotNull() & loses
+
+
 def dq_decimal_fit(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Values that a decimal type cannot hold, and values it would round, per column.
 
     ``types`` maps columns (of numbers or of text) to types such as ``decimal(8,2)``.
     """
-    out_of_range, rounded = {}, {}
-    for c, decimal in types.items():
-        value, fitted = F.col(c), F.col(c).try_cast(decimal)
-        out_of_range[c] = F.count_if(value.isNotNull() & fitted.isNull())
-        rounded[c] = F.count_if(fitted.cast("double") != value.try_cast("double"))
-    return _per_column(df, list(types), {"out_of_range": out_of_range, "rounded": rounded})
+    misfits = {c: _decimal_misfits(df, c, decimal) for c, decimal in types.items()}
+    return _per_column(
+        df,
+        list(types),
+        {
+            "out_of_range": {c: F.count_if(out) for c, (out, _) in misfits.items()},
+            "rounded": {c: F.count_if(rounds) for c, (_, rounds) in misfits.items()},
+        },
+    )
 
 
 def table_row_counts(tables: Mapping[str, DataFrame], with_columns: bool = False) -> DataFrame:
@@ -146,39 +173,92 @@ def constraint_report(
     foreign_keys: Sequence[tuple[str, str, str]],
     checks: Mapping[str, str],
     required: Mapping[str, Sequence[str]],
+    max_lengths: Mapping[str, Mapping[str, int]] | None = None,
+    decimals: Mapping[str, Mapping[str, str]] | None = None,
+    expected_rows: Mapping[str, int] | None = None,
+    tolerance: float = 0.0,
 ) -> DataFrame:
-    """Number of violating rows for each declared rule of a set of tables.
+    """``rule, table_name, column_name, violations, status`` of each declared rule of a set of tables.
 
-    Rules on tables or columns that are not present are left out.
+    ``violations`` counts rows that break the rule; for an expected number of rows it is the
+    number of rows beyond the tolerance. ``status`` is ``ok`` or ``violated``. A rule on a table or
+    column that is not present is listed with NULL violations and status ``not checked``. All
+    rules on rows of a table are counted in one pass.
     """
-    reports = []
+    reports, unchecked = [], []
 
-    def add(rule: str, table: str, column: str, violations: DataFrame, rows: Column) -> None:
-        counted = violations.agg(F.coalesce(rows, F.lit(0)).alias("violations"))
-        reports.append(
-            counted.select(
-                F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "violations"
-            )
+    def listed(counted: DataFrame, rule: str, table: str, column: str | None) -> DataFrame:
+        return counted.select(
+            F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), F.lit(column).cast("string").alias("column_name"), "violations"
         )
 
+    def known(table: str, *cols: str) -> bool:
+        return table in tables and set(cols) <= set(tables[table].columns)
+
+    def by_key(rule: str, table: str, key: str, found: DataFrame | None) -> None:
+        if found is None:
+            unchecked.append((rule, table, key))
+        else:
+            counted = found.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations"))
+            reports.append(listed(counted, rule, table, key))
+
     for table, key in primary_keys.items():
-        if table in tables and key in tables[table].columns:
-            add("primary key", table, key, dq_primary_key(tables[table], key), F.sum("rows"))
+        by_key("primary key", table, key, dq_primary_key(tables[table], key) if known(table, key) else None)
     for table, key, parent in foreign_keys:
-        if table in tables and parent in tables and key in tables[table].columns:
-            add("foreign key", table, key, dq_foreign_key(tables[table], tables[parent], key), F.sum("rows"))
+        present = known(table, key) and known(parent, key)
+        by_key("foreign key", table, key, dq_foreign_key(tables[table], tables[parent], key) if present else None)
+
+    # Rules on rows, by table: (rule, column, rows that break it, or None if that can't be told).
+    on_rows: dict[str, list[tuple[str, str, Column | None]]] = {}
+
+    def on_row(rule: str, table: str, column: str, broken: Column | None) -> None:
+        on_rows.setdefault(table, []).append((rule, column, broken))
+
     for table, expr in checks.items():
-        if table in tables:
-            add("check", table, expr, dq_check(tables[table], expr), F.count(F.lit(1)))
+        on_row("check", table, expr, ~F.expr(expr) if table in tables and _resolves(tables[table], expr) else None)
     for table, cols in required.items():
-        present = [c for c in cols if table in tables and c in tables[table].columns]
-        if present:
+        for c in cols:
+            on_row("not null", table, c, F.col(f"`{c}`").isNull() if known(table, c) else None)
+    for table, limits in (max_lengths or {}).items():
+        for c, limit in limits.items():
+            on_row("max length", table, c, F.length(F.col(f"`{c}`").cast("string")) > limit if known(table, c) else None)
+    for table, types in (decimals or {}).items():
+        for c, decimal in types.items():
+            out, rounds = _decimal_misfits(tables[table], c, decimal) if known(table, c) else (None, None)
+            on_row("decimal", table, c, None if out is None else out | rounds)
+    for table in expected_rows or {}:
+        on_rows.setdefault(table, [])
+
+    for table, rules in on_rows.items():
+        counts = [(rule, c, F.count_if(broken)) for rule, c, broken in rules if broken is not None]
+        unchecked += [(rule, table, c) for rule, c, broken in rules if broken is None]
+        if table in (expected_rows or {}):
+            if table in tables:
+                off = F.abs(F.count(F.lit(1)) - F.lit(expected_rows[table]))
+                beyond = F.when(off > F.lit(float(expected_rows[table] * tolerance)), off).otherwise(F.lit(0))
+                counts.append(("row count", None, beyond))
+            else:
+                unchecked.append(("row count", table, None))
+        if counts:
+            aggregated = tables[table].agg(*[n.cast("long").alias(f"_{i}") for i, (_, _, n) in enumerate(counts)])
+            entries = [
+                F.struct(F.lit(rule).alias("rule"), F.lit(c).cast("string").alias("column_name"), F.col(f"_{i}").alias("violations"))
+                for i, (rule, c, _) in enumerate(counts)
+            ]
             reports.append(
-                dq_not_null(tables[table], present).select(
-                    F.lit("not null").alias("rule"),
-                    F.lit(table).alias("table_name"),
-                    "column_name",
-                    F.col("null_count").alias("violations"),
-                )
+                aggregated.select(F.inline(F.array(*entries))).select("rule", F.lit(table).alias("table_name"), "column_name", "violations")
             )
-    return reduce(DataFrame.unionByName, reports)
+    if unchecked:
+        spark = next(iter(tables.values())).sparkSession
+        schema = "rule string, table_name string, column_name string, violations bigint"
+        reports.append(spark.createDataFrame([(*rule, None) for rule in unchecked], schema))
+    status = F.when(F.col("violations").isNull(), "not checked").when(F.col("violations") > 0, "violated").otherwise("ok")
+    return reduce(DataFrame.unionByName, reports).withColumn("status", status)
+
+
+def _resolves(df: DataFrame, expr: str) -> bool:
+    """Whether a condition uses only columns that a table has."""
+    try:
+        return bool(df.select(F.expr(expr)).columns)
+    except AnalysisException:
+        return False

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmetrics.functions import percent_of
+from reelmetrics.functions import percent_of, require_exact
 
 
 def share_of_total(df: DataFrame, key: str, measure: str, digits: int = 1) -> DataFrame:
@@ -15,8 +15,9 @@ def share_of_total(df: DataFrame, key: str, measure: str, digits: int = 1) -> Da
 
     A row without a key takes no part. The total is a scalar subquery over the sums by key:
     no window gathers the keys in one task, and the sums are computed once, as Spark reuses
-    their shuffle.
+    their shuffle. The measure is an integer or a decimal; if its sum is 0 the shares are NULL.
     """
+    require_exact(df, measure)
     per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(measure).alias(measure))
     whole = per_key.agg(F.sum(measure)).scalar()
     return per_key.withColumn("share_pct", percent_of(F.col(measure), whole, digits))

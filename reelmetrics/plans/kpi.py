@@ -19,7 +19,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmetrics.functions import as_of_date, churn_bucket, days_between, exact_mean, month_key
+from reelmetrics.functions import as_of_date, churn_bucket, days_between, exact_mean, month_key, require_exact
 from reelmetrics.operators.clean import dedup
 from reelmetrics.operators.enrich import lookup
 from reelmetrics.operators.order_stats import mean_and_median
@@ -67,7 +67,7 @@ def kpi_top_watched_titles(
     """The ``k`` most viewed titles, by name, type and genre."""
     keys = ["title", "type", "primary_genre"]
     totals = (
-        _with_titles(rollup or views_by_show(watch), movies, keys, how)
+        _with_titles(views_by_show(watch) if rollup is None else rollup, movies, keys, how)
         .groupBy(*keys)
         .agg(F.sum("views").alias("total_views"), F.round(F.sum("minutes"), 1).alias("total_watch_minutes"))
     )
@@ -96,7 +96,7 @@ def kpi_popular_genres(
 ) -> DataFrame:
     """Views and minutes per genre, or the ``k`` genres with the most minutes."""
     totals = (
-        _with_titles(rollup or views_by_show(watch), movies, ["primary_genre"], how)
+        _with_titles(views_by_show(watch) if rollup is None else rollup, movies, ["primary_genre"], how)
         .groupBy("primary_genre")
         .agg(F.sum("views").alias("view_count"), F.round(F.sum("minutes"), 1).alias("total_minutes"))
     )
@@ -135,19 +135,25 @@ def kpi_active_cities(
     drop_null: bool = False,
     ordered: bool = False,
     rollup: DataFrame | None = None,
+    approx: float | None = None,
 ) -> DataFrame:
-    """Watch events and distinct viewers per city, or the ``k`` cities with most events."""
-    per_user = rollup or vw_user_engagement(watch)
+    """Watch events and distinct viewers per city, or the ``k`` cities with most events.
+
+    ``approx`` counts viewers by a sketch with that relative standard deviation.
+    """
+    per_user = vw_user_engagement(watch) if rollup is None else rollup
+    viewers = F.count_distinct("user_id") if approx is None else F.approx_count_distinct("user_id", approx)
     totals = (
         per_user.join(users.select("user_id", "city", "country"), "user_id", how)
         .groupBy("city", "country")
-        .agg(F.sum("total_sessions").alias("watch_events"), F.count_distinct("user_id").alias("active_users"))
+        .agg(F.sum("total_sessions").alias("watch_events"), viewers.alias("active_users"))
     )
     totals = totals.where(F.col("city").isNotNull() & F.col("country").isNotNull()) if drop_null else totals
     return _report(totals, [_desc("watch_events"), _asc("city"), _asc("country")], k, ordered)
 
 
 def _plan_totals(subs: DataFrame, plans: DataFrame, how: str) -> DataFrame:
+    require_exact(subs, "monthly_revenue")
     per_plan = subs.groupBy("plan_id").agg(
         _rows().alias("rows"), F.sum("monthly_revenue").alias("revenue"), F.count("monthly_revenue").alias("priced")
     )
@@ -183,6 +189,7 @@ def vw_revenue_by_plan(subs: DataFrame, plans: DataFrame) -> DataFrame:
 
 def kpi_device_usage(watch: DataFrame, ordered: bool = False) -> DataFrame:
     """Sessions and minutes per kind of device. Reads no dimension."""
+    require_exact(watch, MINUTES)
     totals = (
         watch.groupBy("device")
         .agg(_rows().alias("sessions"), F.sum(MINUTES).alias("minutes"), F.count(MINUTES).alias("timed"))
@@ -196,18 +203,25 @@ def kpi_device_usage(watch: DataFrame, ordered: bool = False) -> DataFrame:
     return _report(totals, [_desc("sessions"), _asc("device")], None, ordered)
 
 
-def kpi_monthly_trend(watch: DataFrame, last: int | None = None, ordered: bool = False) -> DataFrame:
+def kpi_monthly_trend(
+    watch: DataFrame, last: int | None = None, ordered: bool = False, approx: float | None = None
+) -> DataFrame:
     """Views, minutes and distinct viewers per month, or of the ``last`` months with a date.
 
-    Groups by the first day of the month and formats the text afterwards, once per month.
+    Groups by the first day of the month and formats the text afterwards, once per month. The
+    last months are found from the dates alone; only their events are then shuffled by viewer.
+
+    ``approx`` counts viewers by a sketch with that relative standard deviation, for example
+    0.02: one small row per month and task is shuffled in place of all viewers.
     """
-    per_month = watch.groupBy(F.trunc("watch_date", "MM").alias("month")).agg(
-        _rows().alias("total_views"),
-        F.round(F.sum(MINUTES), 1).alias("total_minutes"),
-        F.count_distinct("user_id").alias("unique_viewers"),
-    )
+    month = F.trunc("watch_date", "MM")
     if last is not None:
-        per_month = per_month.where(F.col("month").isNotNull()).orderBy(F.desc("month")).limit(last)
+        newest = watch.select(month.alias("month")).where(F.col("month").isNotNull()).distinct().orderBy(F.desc("month")).limit(last)
+        watch = watch.where(F.col("watch_date") >= newest.agg(F.min("month")).scalar())
+    viewers = F.count_distinct("user_id") if approx is None else F.approx_count_distinct("user_id", approx)
+    per_month = watch.groupBy(month.alias("month")).agg(
+        _rows().alias("total_views"), F.round(F.sum(MINUTES), 1).alias("total_minutes"), viewers.alias("unique_viewers")
+    )
     trend = per_month.select(
         month_key(F.col("month")).alias("watch_month"), "total_views", "total_minutes", "unique_viewers"
     )
@@ -313,11 +327,11 @@ def kpi_user_engagement_churn(
     Equal subscriptions of a user are counted in the map tasks, travel as one row and are
     repeated after the join. A user with more than ``rows_per_slot`` active subscriptions
     is spread over several slots, and so are the copies of one subscription, in portions
-    of that size. Only such users are broadcast, so their list has at most (active rows /
-    ``rows_per_slot``) entries. A slot of such a user may stay empty; it is then removed
-    again, as this user has other slots that are not.
+    of that size. The list of such users has at most (active rows / ``rows_per_slot``)
+    entries and is joined by its key; Spark broadcasts it if it is small. A slot of such a
+    user may stay empty; it is then removed again, as this user has other slots that are not.
     """
-    engagement = _with_recency(rollup or vw_user_engagement(watch), as_of).withColumn(
+    engagement = _with_recency(vw_user_engagement(watch) if rollup is None else rollup, as_of).withColumn(
         "total_watch_minutes", F.round("total_watch_minutes", 1)
     )
     active = subs.where("is_active").where(F.col("user_id").isNotNull())
@@ -326,9 +340,7 @@ def kpi_user_engagement_churn(
         newest = dedup(active.select("user_id", "plan_id", "start_date"), "user_id", newest_first)
         joined = engagement.join(newest, "user_id", "left")
     else:
-        held = active.groupBy("user_id", "plan_id", "start_date").agg(_rows().alias("_copies"))
-        heavy = held.groupBy("user_id").agg(F.sum("_copies").alias("_held")).where(F.col("_held") > rows_per_slot)
-        heavy = F.broadcast(heavy.select("user_id", F.ceil(F.col("_held") / rows_per_slot).cast("int").alias("_slots")))
+        held, heavy = _held(active, rows_per_slot)
         slots = F.coalesce("_slots", F.lit(1))
         portion = F.explode(F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {rows_per_slot}")))
         placed = (
@@ -361,12 +373,34 @@ def kpi_user_engagement_churn(
     )
 
 
+def _held(active: DataFrame, rows_per_slot: int) -> tuple[DataFrame, DataFrame]:
+    """Equal active subscriptions with their number, and the slots of users with very many."""
+    held = active.groupBy("user_id", "plan_id", "start_date").agg(_rows().alias("_copies"))
+    total = active.groupBy("user_id").agg(_rows().alias("_held")).where(F.col("_held") > rows_per_slot)
+    return held, total.select("user_id", F.ceil(F.col("_held") / rows_per_slot).cast("int").alias("_slots"))
+
+
+def kpi_churn_distribution_of_rows(watch: DataFrame, subs: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    """Rows of ``kpi_user_engagement_churn`` per risk, without making these rows.
+
+    A viewer counts as often as it has active subscriptions, and at least once.
+    """
+    copies = subs.where("is_active").where(F.col("user_id").isNotNull()).groupBy("user_id").agg(_rows().alias("copies"))
+    engaged = _with_recency(vw_user_engagement(watch), as_of).select("user_id", "churn_risk")
+    return (
+        engaged.join(copies, "user_id", "left")
+        .groupBy("churn_risk")
+        .agg(F.sum(F.coalesce("copies", F.lit(1))).alias("users"))
+    )
+
+
 def kpi_churn_active_subscribers(watch: DataFrame, subs: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Recency and churn risk of active subscribers, one row each.
 
-    A subscriber that never watched has no risk. ``subs`` must be cleaned.
+    A subscriber that never watched has no risk; a subscription without a user is no subscriber.
+    ``subs`` must be cleaned.
     """
-    subscribers = subs.where("is_active").select("user_id").distinct()
+    subscribers = subs.where("is_active").where(F.col("user_id").isNotNull()).select("user_id").distinct()
     last_watch = watch.groupBy("user_id").agg(F.max("watch_date").alias("last_watch_date"))
     return _with_recency(subscribers.join(last_watch, "user_id", "left"), as_of, strict=True)
 
@@ -381,14 +415,16 @@ def kpi_user_top_genres(
 ) -> DataFrame:
     """The ``k`` genres that each viewer watched most often.
 
-    Spark keeps the best ``k`` rows per viewer before the last shuffle
-    (``WindowGroupLimit`` in the plan), and a viewer has at most one row per genre. For
-    ``slots`` see ``lookup``.
+    Views of one title by one viewer are counted before the join, which so sees each pair once,
+    however often a title was watched by viewers that nobody knows. The last shuffle carries
+    at most one row per viewer and genre; a viewer has few genres, so none is heavy. The NULL
+    viewer is one viewer with as many rows as there are genres. For ``slots`` see ``lookup``.
     """
+    pairs = watch.groupBy("user_id", "show_id").agg(_rows().alias("views"))
     counts = (
-        lookup(watch.select("user_id", "show_id"), movies.select("show_id", "primary_genre"), "show_id", how, slots)
+        lookup(pairs, movies.select("show_id", "primary_genre"), "show_id", how, slots)
         .groupBy("user_id", "primary_genre")
-        .agg(_rows().alias("genre_view_count"))
+        .agg(F.sum("views").alias("genre_view_count"))
     )
     favourites = Window.partitionBy("user_id").orderBy(_desc("genre_view_count"), _asc("primary_genre"))
     top = counts.withColumn("genre_rank", F.row_number().over(favourites)).where(F.col("genre_rank") <= k)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from reelmetrics.operators import clean, enrich
 from reelmetrics.plans import kpi
@@ -26,7 +28,7 @@ def run_pipeline(
     dst: str,
     as_of: dt.date | None = None,
     genres_per_user: int = 5,
-    persist: bool = True,
+    persist: bool = False,
 ) -> dict[str, int]:
     """Clean, join and summarise; write 14 datasets below ``dst`` and return their rows.
 
@@ -36,9 +38,12 @@ def run_pipeline(
     The cleaned tables are written first and read back. So the raw input is parsed once,
     each report reads only the columns it needs, and no plan reaches back over the
     cleaning if an executor is lost. Reports on titles, and reports on viewers, share one
-    rollup of the events each; with ``persist`` it is cached until they are written.
+    rollup of the events each; with ``persist`` it is cached until they are written. A line of
+    a CSV file that does not fit its table is left out; ``run_from_csv`` keeps and counts them.
     """
-    raw = readers.read_star(spark, src) if isinstance(src, str) else src
+    if isinstance(src, str):
+        return run_from_csv(spark, src, dst, as_of, genres_per_user, persist)[0]
+    raw = src
     rows: dict[str, int] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
@@ -77,6 +82,51 @@ def run_pipeline(
     return rows
 
 
+class Account(NamedTuple):
+    """What became of the lines of a file: ``read = rejected + filtered + written``.
+
+    For a table that is not written itself (ratings, plans) all but the rejected lines are
+    left to the reports, and ``filtered`` and ``written`` are None.
+    """
+
+    read: int
+    rejected: int
+    filtered: int | None
+    written: int | None
+
+
+# The dataset that a raw table is written to.
+WRITTEN_AS = {"movies": "dim_movies", "users": "dim_users", "subscriptions": "fact_subscriptions", "watch": "fact_watch_history"}
+
+
+def run_from_csv(
+    spark: SparkSession,
+    folder: str,
+    dst: str,
+    as_of: dt.date | None = None,
+    genres_per_user: int = 5,
+    persist: bool = False,
+) -> tuple[dict[str, int], dict[str, Account]]:
+    """``run_pipeline`` over CSV files; lines that do not fit their table go to ``dst/rejected/<table>``.
+
+    Returns the rows of the datasets and an account of the lines of each file. The write of
+    the rejected lines counts both them and all lines read, which costs one more pass over a file.
+    """
+    accepted, lines = {}, {}
+    for table, df in readers.read_star(spark, folder, keep_rejects=True).items():
+        every = Observation()
+        _, rejected = readers.split_rejects(df.observe(every, F.count(F.lit(1)).alias("rows")))
+        dropped = write_curated(rejected, f"{dst}/rejected/{table}")
+        lines[table] = (every.get["rows"], dropped)
+        accepted[table] = readers.split_rejects(df)[0]
+    rows = run_pipeline(spark, accepted, dst, as_of, genres_per_user, persist)
+    accounts = {}
+    for table, (read, dropped) in lines.items():
+        written = rows[WRITTEN_AS[table]] if table in WRITTEN_AS else None
+        accounts[table] = Account(read, dropped, None if written is None else read - dropped - written, written)
+    return rows, accounts
+
+
 def star_views(tables: Mapping[str, DataFrame], how: str = "left") -> dict[str, DataFrame]:
     """The named views for SQL in a session, from cleaned tables; see ``register_views``."""
     return {

@@ -63,8 +63,10 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col(REJECT).isNull()).drop(REJECT), df.where(F.col(REJECT).isNotNull())
 
 
-def read_star(spark: SparkSession, folder: str, mode: str = "PERMISSIVE", with_position: bool = False) -> dict[str, DataFrame]:
-    """Read the six CSV files of a folder."""
+def read_star(
+    spark: SparkSession, folder: str, mode: str = "PERMISSIVE", with_position: bool = False, keep_rejects: bool = False
+) -> dict[str, DataFrame]:
+    """Read the six CSV files of a folder; with ``keep_rejects``, each table for ``split_rejects``."""
     tables = {}
     for table, file in schemas.FILES.items():
         df = read_csv(
@@ -73,6 +75,7 @@ def read_star(spark: SparkSession, folder: str, mode: str = "PERMISSIVE", with_p
             schemas.read_schema(table),
             multi_line=table in schemas.MULTI_LINE,
             mode=mode,
+            keep_rejects=keep_rejects,
             with_position=with_position,
         )
         renamed = {header: name for name, header in schemas.HEADER_NAMES.get(table, {}).items()}

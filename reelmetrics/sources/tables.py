@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelmetrics.sources import schemas
 
@@ -34,18 +35,26 @@ def load_table(
     bucket_cols: Sequence[str] = (),
     buckets: int = 0,
     location: str | None = None,
+    files_per_bucket: int = 1,
 ) -> None:
     """Load a table, which is created if it does not exist.
 
     An existing table keeps its declared columns: values are matched by name and must fit
     them, including the length of its VARCHARs. A new one can be bucketed and sorted by
     the key that it is mostly joined by; tables with the same buckets join without a
-    shuffle.
+    shuffle. Rows are brought together by bucket before, so that a bucket has at most
+    ``files_per_bucket`` files: raise it where the rows of a bucket, or of one hot key,
+    are too many for one task. Rows that are equal in all columns share a file.
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
         df.select(*spark.table(name).columns).write.mode(mode).insertInto(name, overwrite=mode == "overwrite")
         return
+    if bucket_cols:
+        # Spark deals buckets by this hash, too.
+        part = F.pmod(F.hash(*bucket_cols), F.lit(buckets)) * files_per_bucket
+        part = part + F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))
+        df = df.repartitionById(buckets * files_per_bucket, part.cast("int"))
     writer = df.write.mode(mode).format("parquet")
     if location:
         writer = writer.option("path", location)

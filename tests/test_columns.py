@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelmetrics.functions import age_bucket, churn_bucket, clip_percent, exact_mean, month_key, percent_of
-from reelmetrics.operators import clean
+from reelmetrics.operators import clean, enrich
 
 D = dt.date
 
@@ -131,3 +131,13 @@ def test_today_is_the_default(spark):
 def test_fill_unknown(spark):
     df = spark.createDataFrame([(None, "x", None), ("d", None, "t")], "director string, primary_country string, title string")
     assert sorted(map(tuple, clean.fill_unknown(df).collect()), key=str) == [("Unknown", "x", None), ("d", "Unknown", "t")]
+
+
+def test_helper_columns_leave_those_of_the_caller_alone(spark):
+    df = spark.createDataFrame([(1, "a", 5), (1, "b", 6), (2, "c", 7)], "k int, _hash string, _Nth int")
+    kept = clean.dedup(df, "k")
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect())) == [(1, "a", 5), (2, "c", 7)]
+    dim = spark.createDataFrame([(1, "x")], "k int, __slot string")
+    joined = enrich.lookup(df.withColumnRenamed("_hash", "_slot"), dim, "k", slots=3)
+    assert sorted(map(tuple, joined.collect()), key=repr) == [(1, "a", 5, "x"), (1, "b", 6, "x"), (2, "c", 7, None)]

@@ -58,14 +58,61 @@ def test_cleaning_report(spark):
     assert rows(report) == [("positive", 5, 2), ("unique", 5, 3)]
 
 
-def test_constraint_report_skips_absent_columns(spark):
-    tables = {"c": spark.createDataFrame([(1,), (3,)], "p_id int"), "p": spark.createDataFrame([(1,)], "p_id int")}
+def test_constraint_report_lists_every_rule(spark):
+    tables = {
+        "c": spark.createDataFrame([(1, "ab", Decimal("1.25")), (3, None, Decimal("99.50"))], "p_id int, t string, d decimal(6,2)"),
+        "p": spark.createDataFrame([(1,)], "p_id int"),
+    }
     report = quality.constraint_report(
-        tables, {"p": "p_id", "q": "id"}, [("c", "p_id", "p"), ("c", "x", "p")], {"c": "p_id > 1"}, {"c": ["p_id", "x"]}
+        tables,
+        {"p": "p_id", "q": "id"},
+        [("c", "p_id", "p"), ("c", "x", "p"), ("c", "p_id", "q")],
+        {"c": "p_id > 1", "p": "x > 1"},
+        {"c": ["p_id", "t", "x"]},
+        {"c": {"t": 1, "x": 1}},
+        {"c": {"d": "decimal(3,1)", "x": "decimal(3,1)"}, "q": {"d": "decimal(3,1)"}},
+        {"c": 2, "p": 3, "q": 1},
     )
-    assert rows(report) == [
-        ("check", "c", "p_id > 1", 1), ("foreign key", "c", "p_id", 1), ("not null", "c", "p_id", 0), ("primary key", "p", "p_id", 0)
-    ]
+    none = (None, "not checked")
+    assert rows(report) == sorted(
+        [
+            ("primary key", "p", "p_id", 0, "ok"),
+            ("primary key", "q", "id", *none),
+            ("foreign key", "c", "p_id", 1, "violated"),
+            ("foreign key", "c", "x", *none),
+            ("foreign key", "c", "p_id", *none),
+            ("check", "c", "p_id > 1", 1, "violated"),
+            ("check", "p", "x > 1", *none),
+            ("not null", "c", "p_id", 0, "ok"),
+            ("not null", "c", "t", 1, "violated"),
+            ("not null", "c", "x", *none),
+            ("max length", "c", "t", 1, "violated"),
+            ("max length", "c", "x", *none),
+            ("decimal", "c", "d", 1, "violated"),
+            ("decimal", "c", "x", *none),
+            ("decimal", "q", "d", *none),
+            ("row count", "c", None, 0, "ok"),
+            ("row count", "p", None, 2, "violated"),
+            ("row count", "q", None, *none),
+        ],
+        key=repr,
+    )
+
+
+def test_decimal_fit_sees_every_digit(spark):
+    long = [("0.1000000000000000055",), ("12345678901234567.891",), ("1.25",), ("1.50000",), ("2",), ("1e-1",), ("1.25e0",)]
+    assert rows(quality.dq_decimal_fit(spark.createDataFrame(long, "v string"), {"v": "decimal(20,1)"})) == [("v", 0, 4)]
+
+
+def test_shares_of_fine_and_empty_measures(spark):
+    fine = spark.createDataFrame([("a", Decimal("0.0149")), ("b", Decimal("0.0051"))], "k string, n decimal(8,4)")
+    assert [str(r[2]) for r in rows(shares.share_of_total(fine, "k", "n"))] == ["74.5", "25.5"]
+    zero = spark.createDataFrame([("a", 1), ("b", -1)], "k string, n int")
+    assert [r[2] for r in rows(shares.share_of_total(zero, "k", "n"))] == [None, None]
+    large = spark.createDataFrame([("a", Decimal(3 * 10**18)), ("b", Decimal(10**18))], "k string, n decimal(24,2)")
+    assert [str(r[2]) for r in rows(shares.share_of_total(large, "k", "n"))] == ["75.0", "25.0"]
+    with pytest.raises(TypeError):
+        shares.share_of_total(spark.createDataFrame([("a", 1.5)], "k string, n double"), "k", "n")
 
 
 def test_shares_add_up(spark):

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import shutil
 from decimal import Decimal
 
 import pytest
@@ -134,6 +135,36 @@ def test_whole_run(spark, csv_star, tmp_path):
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
+def test_every_line_is_accounted_for(spark, csv_star, tmp_path):
+    folder, out = tmp_path / "broken", str(tmp_path / "out")
+    shutil.copytree(csv_star, folder)
+    with open(folder / "watch_history.csv", "a") as f:
+        f.write("9,1,s1,Laptop,2001-11-01,many,50.0\n10,1,s1,Laptop,2020-13-45,5.0,50.0\n11,1,s1,Laptop,2001-11-01,-5.0,50.0\n")
+    before, _ = star_etl.run_from_csv(spark, str(csv_star), str(tmp_path / "first"), AS_OF)
+    rows, accounts = star_etl.run_from_csv(spark, str(folder), out, AS_OF)
+    watch = accounts["watch"]
+    assert (watch.rejected, watch.written) == (2, before["fact_watch_history"])
+    for name, a in accounts.items():
+        assert spark.read.parquet(f"{out}/rejected/{name}").count() == a.rejected
+        if a.written is not None:
+            assert a.read == a.rejected + a.filtered + a.written and min(a) >= 0
+    assert rows == before
+
+
+def test_bucketed_load_writes_few_files(spark, tmp_path):
+    hot = F.expr("CASE WHEN id % 3 = 0 THEN 7 ELSE id % 1000 END AS k")
+    df = spark.range(0, 60_000, 1, 12).select("id", hot)
+    for per_bucket in (1, 4):
+        place = str(tmp_path / f"b{per_bucket}")
+        tables.load_table(df, "bucketed", bucket_cols=["k"], buckets=16, location=place, files_per_bucket=per_bucket)
+        files = [f for f in os.listdir(place) if f.endswith(".parquet")]
+        assert 16 <= len(files) <= 16 * per_bucket
+        stored = spark.read.parquet(place).where("k = 7").groupBy(F.input_file_name()).count().collect()
+        assert len(stored) == per_bucket
+        assert spark.table("bucketed").count() == 60_000
+        spark.sql("DROP TABLE bucketed")
+
+
 def test_session_views(spark, csv_star):
     star = readers.read_star(spark, csv_star)
     cleaned = star | {"users": clean.clean_users(star["users"]), "movies": clean.clean_movies(star["movies"], AS_OF)}
