@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import pathlib
 import string
+import tempfile
+import zipfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import reelmetrics
 from reelmetrics.sources.scratch import scratch_dir
 
 # The word patterns of the contracts.
@@ -50,6 +54,23 @@ def not_in_fold(name: str, parts: int, which: int) -> Column:
     return F.coalesce(fold(name, parts) != which, F.lit(False))
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the application was started.
+
+    Once per application the sources go to the executors, as ``--py-files`` would send them.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_ships_reelmetrics", False):
+        return
+    folder = pathlib.Path(reelmetrics.__file__).parent
+    archive = f"{tempfile.mkdtemp(prefix='reelmetrics-')}/reelmetrics.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(folder.rglob("*.py")):
+            out.write(source, source.relative_to(folder.parent))
+    context.addPyFile(archive)
+    context._ships_reelmetrics = True
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written below the shared folder and read again.
 

@@ -16,7 +16,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmetrics.llm.common import NOT_WORD, WORD_BYTES, lower_ascii, stored, whole_bytes, whole_text
+from reelmetrics.llm.common import NOT_WORD, WORD_BYTES, lower_ascii, ship_package, stored, whole_bytes, whole_text
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
@@ -170,6 +170,7 @@ def contamination(
     an id are searched each on their own; items that repeat an id count once; a null item id is
     left out of ``items``, but its windows count. Empty tables are allowed on either side.
     """
+    ship_package(docs.sparkSession)
     windows = stored(
         item_windows(items, item_col, item_text_col, window).withColumn("number", F.monotonically_increasing_id()), "windows"
     )

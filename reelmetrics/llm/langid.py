@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmetrics.llm.common import in_fold, not_in_fold, whole_bytes, whole_text
+from reelmetrics.llm.common import in_fold, not_in_fold, ship_package, whole_bytes, whole_text
 
 ORDER = 2
 #: Bytes of text that are looked up at a time.
@@ -98,6 +98,7 @@ def learn(
     ``max_docs`` of each language, chosen by a hash of the id. The ``alphabet`` most frequent
     bytes have numbers of their own; rarer ones share one. None if there is nothing to learn from.
     """
+    ship_package(docs.sparkSession)
     labelled = docs.filter(F.col(f"`{lang_col}`").isNotNull() & not_in_fold(id_col, parts, held)).select(
         F.col(f"`{lang_col}`").cast("string").alias("lang"),
         whole_bytes(text_col).alias("text"),
@@ -132,6 +133,7 @@ def learn(
 def language(docs: DataFrame, model: Model | None, text_col: str = "text") -> Column:
     """A struct ``lang, score`` for each text: the language with the shortest code, and its share
     among all languages if each were as likely before. ``und`` and 0 without a letter or a model."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang: string, score: double>")

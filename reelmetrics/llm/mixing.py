@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmetrics.llm.common import lower_ascii, stored, whole_bytes, whole_text
+from reelmetrics.llm.common import lower_ascii, ship_package, stored, whole_bytes, whole_text
 from reelmetrics.llm.quality import N_STATISTICS, bounded_labels, statistics
 
 #: The domains of the labelled table, and the share of tokens that each should have.
@@ -114,6 +114,7 @@ def learn_domains(
     One half of them, by a hash of the id, finds the telling words, the other fits the weights. Ids
     with contradicting labels, and null ids, are left out.
     """
+    ship_package(docs.sparkSession)
     # The bound on the labels bounds what is broadcast and what is collected.
     chosen = bounded_labels(labels, domain, max_labels, id_col).filter("label = floor(label)")
     sample = stored(
@@ -147,6 +148,7 @@ def membership(
 
     Without a classifier all domains are equally likely.
     """
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
 
     @F.arrow_udf("struct<p: array<double>, n_tokens: bigint, rate: double>")
@@ -203,6 +205,7 @@ def fit_rates(rows: DataFrame, weights: np.ndarray, max_steps: int = 40, toleran
     grows. All documents add to the sums in the tasks; one number per domain reaches the driver. The
     target total leaves the first domain with the tokens that it has.
     """
+    ship_package(rows.sparkSession)
     k = len(weights)
     gram = _summed(rows, k, lambda p, n: ((p * n[:, None]).T @ p).reshape(-1))
     if not gram.any():

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmetrics.llm.common import whole_text
+from reelmetrics.llm.common import ship_package, whole_text
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account", "key")
@@ -178,6 +178,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     gives an empty list. Rows that repeat an id give a row each; a null id stays null; an empty
     table gives an empty result. Other columns are not read.
     """
+    ship_package(docs.sparkSession)
 
     @F.arrow_udf(RESULT)
     def scan(texts: pa.Array) -> pa.Array:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmetrics.llm.common import fold, in_fold, not_in_fold, stored, whole_bytes
+from reelmetrics.llm.common import fold, in_fold, not_in_fold, ship_package, stored, whole_bytes
 
 #: Raw scores are counted in steps of this width for the calibration.
 STEP = 1 / 256
@@ -146,6 +146,7 @@ def isotonic(x: np.ndarray, n: np.ndarray, total: np.ndarray) -> tuple[np.ndarra
 
 def fit(rows: DataFrame, features: int = 256, width: float = 4.0, ridge: float = 1e-3, seed: int = 7) -> Model | None:
     """Fit on rows ``statistics, label, calibrates``; rows that calibrate are not fitted on. None without rows."""
+    ship_package(rows.sparkSession)
     fitted, others = rows.filter("NOT calibrates"), rows.filter("calibrates")
     moments = _summed(fitted, lambda x, y: [x.sum(axis=0), (x * x).sum(axis=0), np.array([float(len(x))])])
     if not moments:
@@ -209,6 +210,7 @@ def quality_scores(
     each; a null id or label teaches nothing. Without any label the score is 0.5. An empty
     table gives an empty result. Other columns are not read.
     """
+    ship_package(docs.sparkSession)
     rows = stored(
         docs.select(
             F.col(f"`{id_col}`").alias("doc_id"),

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmetrics.llm.common import stored, whole_bytes, whole_text
+from reelmetrics.llm.common import ship_package, stored, whole_bytes, whole_text
 from reelmetrics.llm.components import components
 
 # The generator x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 of the Golay code, 23 bits long;
@@ -159,6 +159,7 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """
     if max_bits > MAX_BITS:
         raise ValueError(f"the keys find links of at most {MAX_BITS} bits")
+    ship_package(prints.sparkSession)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = _error_patterns()
@@ -219,6 +220,7 @@ def near_components(
     id is never a component id unless no id in the component is known. Repeated rows give a row
     each. An empty table gives an empty result. Other columns are not read.
     """
+    ship_package(docs.sparkSession)
     rows = stored(
         docs.select(
             F.col(f"`{id_col}`").alias("doc_id"),
