@@ -352,9 +352,10 @@ def _(s: SampleStar) -> DataFrame:
 
 @_query(
     "dq_decimal_fit_text",
-    """WITH texts AS (SELECT CAST(l_partkey AS VARCHAR) AS whole, repeat('0', 3 * l_linenumber) || CAST(l_suppkey % 3 AS VARCHAR) || '00' AS part FROM lineitem)
-       SELECT 'v' AS column_name, count(*) FILTER (CAST(whole AS BIGINT) > 999) AS out_of_range,
-              count(*) FILTER (CAST(whole AS BIGINT) <= 999 AND length(rtrim(part, '0')) > 2) AS rounded FROM texts""",
+    """SELECT 'v' AS column_name, count(*) FILTER (CAST(whole AS BIGINT) > 999) AS out_of_range,
+              count(*) FILTER (CAST(whole AS BIGINT) <= 999 AND length(rtrim(part, '0')) > 2) AS rounded
+       FROM (SELECT CAST(l_partkey AS VARCHAR) AS whole, repeat('0', 3 * l_linenumber) || CAST(l_suppkey % 3 AS VARCHAR) || '00' AS part
+             FROM lineitem)""",
 )
 def _(s: SampleStar) -> DataFrame:
     zeros, last = F.expr("repeat('0', 3 * l_linenumber)"), (F.col("l_suppkey") % 3).cast("string")
