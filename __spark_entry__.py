@@ -710,6 +710,94 @@ def _(s: SampleStar) -> DataFrame:
     return kpi.vw_user_engagement(_viewer_events(s))
 
 
+# -- left joins with orphans, groups without a key, display order --------------------------
+
+# A dimension that lacks every seventh row.
+_SOME_MOVIES = "(SELECT * FROM movies WHERE show_id % 7 <> 0)"
+_SOME_USERS = "(SELECT * FROM users WHERE user_id % 7 <> 0)"
+
+
+def _some(df: DataFrame, key: str) -> DataFrame:
+    return df.where(F.col(key) % 7 != 0)
+
+
+_GENRES_LEFT = f"""SELECT primary_genre, count(*) AS view_count, CAST(sum(watch_duration_minutes) AS DOUBLE) AS total_minutes
+    FROM fact_watch LEFT JOIN {_SOME_MOVIES} USING (show_id) GROUP BY primary_genre"""
+
+
+@_query("kpi_popular_genres_left", _GENRES_LEFT)
+def _(s: SampleStar) -> DataFrame:
+    return kpi.kpi_popular_genres(_events(s), _some(s.movies(), "show_id"), how="left")
+
+
+@_query("kpi_popular_genres_drop_null", f"SELECT * FROM ({_GENRES_LEFT}) WHERE primary_genre IS NOT NULL")
+def _(s: SampleStar) -> DataFrame:
+    return kpi.kpi_popular_genres(_events(s), _some(s.movies(), "show_id"), how="left", drop_null=True)
+
+
+@_query(
+    "kpi_active_cities_left",
+    f"""SELECT city, country, count(*) AS watch_events, count(DISTINCT user_id) AS active_users
+        FROM fact_watch LEFT JOIN {_SOME_USERS} USING (user_id) GROUP BY city, country""",
+)
+def _(s: SampleStar) -> DataFrame:
+    return kpi.kpi_active_cities(_viewer_events(s), _some(s.users(), "user_id"), how="left")
+
+
+@_query(
+    "watch_enriched_orphans",
+    _WATCH_ENRICHED.format(more="").replace("LEFT JOIN movies m", f"LEFT JOIN {_SOME_MOVIES} m").replace(
+        "LEFT JOIN grouped_users u", "LEFT JOIN (SELECT * FROM grouped_users WHERE user_id % 7 <> 0) u"
+    ),
+    text="watch_date release_year",
+)
+def _(s: SampleStar) -> DataFrame:
+    return enrich.watch_enriched(
+        clean.clean_watch(s.watch()), _some(s.movies(), "show_id"), _some(_grouped_users(s), "user_id")
+    )
+
+
+@_query(
+    "watch_enriched_raw_attributes",
+    """SELECT w.user_id, w.show_id, w.device, w.watch_date, CAST(w.watch_duration_minutes AS DOUBLE) AS watch_duration_minutes,
+              CAST(w.completion_pct AS DOUBLE) AS completion_pct, w.watch_month, m.title, m.type, m.primary_genre,
+              CAST(m.release_year AS BIGINT) AS release_year, u.city, u.country, CAST(u.age AS BIGINT) AS age,
+              DATE '2000-01-01' + CAST(u.user_id % 1000 AS INT) AS signup_date
+       FROM fact_watch w LEFT JOIN movies m USING (show_id) LEFT JOIN users u USING (user_id)""",
+    text="watch_date signup_date",
+)
+def _(s: SampleStar) -> DataFrame:
+    signup = F.date_add(F.lit(dt.date(2000, 1, 1)), (F.col("user_id") % 1000).cast("int"))
+    users = s.users().withColumn("signup_date", signup)
+    return enrich.watch_enriched(clean.clean_watch(s.watch()), s.movies(), users, user_attributes=enrich.USER_ATTRIBUTES_RAW)
+
+
+@_query(
+    "clean_users_null_as_senior",
+    """SELECT user_id, name, CAST(nullif(age, 50) AS BIGINT) AS age, city, country,
+              CASE WHEN age = 50 THEN 'Senior' ELSE age_group END AS age_group FROM grouped_users""",
+    text="age",
+)
+def _(s: SampleStar) -> DataFrame:
+    users = s.users().withColumn("age", F.nullif("age", F.lit(50)))
+    return clean.clean_users(users, null_as_senior=True)
+
+
+def _positions(ordered: DataFrame) -> DataFrame:
+    """A report in display order with the place of each row; the rows are few."""
+    return ordered.coalesce(1).withColumn("position", F.monotonically_increasing_id())
+
+
+@_query("kpi_device_usage_ordered", f"SELECT *, row_number() OVER (ORDER BY sessions DESC, device) - 1 AS position FROM ({_SQL['kpi_device_usage']})")
+def _(s: SampleStar) -> DataFrame:
+    return _positions(kpi.kpi_device_usage(_events(s), ordered=True))
+
+
+@_query("kpi_monthly_trend_ordered", f"SELECT *, row_number() OVER (ORDER BY watch_month) - 1 AS position FROM ({_SQL['kpi_monthly_trend']})")
+def _(s: SampleStar) -> DataFrame:
+    return _positions(kpi.kpi_monthly_trend(_viewer_events(s), ordered=True))
+
+
 # -- shares and fixed category orders ------------------------------------------------
 
 
@@ -931,6 +1019,50 @@ def _(s: SampleStar) -> DataFrame:
     return s.spark.range(1).select(F.inline(F.array(*entries)))
 
 
+# The stored KPI datasets: the query with the same rows, what names a row, and a value of it.
+_STORED_KPIS = {
+    "kpi_top_watched_titles": ("kpi_top_watched_titles", "title type primary_genre", "total_views"),
+    "kpi_popular_genres": ("kpi_popular_genres", "primary_genre", "total_minutes"),
+    "kpi_active_cities": ("kpi_active_cities", "city country", "active_users"),
+    "kpi_revenue_by_plan": ("kpi_revenue_by_plan", "plan_name", "avg_revenue_per_sub"),
+    "kpi_device_usage": ("kpi_device_usage", "device", "avg_minutes_per_session"),
+    "kpi_top_rated_movies": ("kpi_top_rated", "show_id title rank", "avg_rating"),
+    "kpi_monthly_trend": ("kpi_monthly_trend", "watch_month", "unique_viewers"),
+    "kpi_user_engagement_churn": ("kpi_user_engagement_churn", "user_id plan_id start_date churn_risk", "total_watch_minutes"),
+    "kpi_user_recommendation_genres": ("kpi_user_top_genres_5", "user_id primary_genre genre_rank", "genre_view_count"),
+}
+
+
+def _stored_sql() -> str:
+    parts = []
+    for dataset, (query, keys, value) in _STORED_KPIS.items():
+        named = " || ':' || ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys.split())
+        parts.append(f"SELECT '{dataset}' AS dataset, {named} AS row_key, CAST({value} AS DOUBLE) AS value FROM ({_SQL[query]})")
+    parts.append(
+        """SELECT 'fact_watch_history', device || ':' || CAST(watch_date AS VARCHAR), CAST(sum(completion_pct) AS DOUBLE)
+           FROM fact_watch GROUP BY device, watch_date"""
+    )
+    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ")"
+
+
+@_query("curated_contents", _stored_sql())
+def _(s: SampleStar) -> DataFrame:
+    path = scratch_dir(s.spark, "curated")
+    star_etl.run_pipeline(s.spark, s.tables(), path, AS_OF)
+    stored = []
+    for dataset, (_, keys, value) in _STORED_KPIS.items():
+        named = F.concat_ws(":", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys.split()])
+        rows = s.spark.read.parquet(f"{path}/{dataset}")
+        stored.append(rows.select(F.lit(dataset).alias("dataset"), named.alias("row_key"), F.col(value).cast("double").alias("value")))
+    watch = s.spark.read.parquet(f"{path}/fact_watch_history").groupBy("device", "watch_date").agg(F.sum("completion_pct").alias("value"))
+    day = F.concat_ws(":", "device", F.col("watch_date").cast("string"))
+    stored.append(watch.select(F.lit("fact_watch_history").alias("dataset"), day.alias("row_key"), F.col("value").cast("double")))
+    every = stored[0]
+    for one in stored[1:]:
+        every = every.unionByName(one)
+    return every
+
+
 # -- driver contract -----------------------------------------------------------------
 
 

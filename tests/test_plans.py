@@ -126,7 +126,7 @@ def test_top_rated_sorts_no_more_than_k_rows_in_one_task(star):
 def test_no_python_and_no_cartesian_product_in_any_query(spark):
     import __spark_entry__ as contract
 
-    writes = {"read_csv", "read_csv_rejects", "write_curated", "load_table", "load_table_bucketed", "stored_views", "curated_outputs"}
+    writes = {"read_csv", "read_csv_rejects", "write_curated", "load_table", "load_table_bucketed", "stored_views", "curated_outputs", "curated_contents"}
     for name, query in contract.queries().items():
         if name in writes or re.match(r"op\d+_|pipeline$", name):
             continue
