@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmetrics.llm.common import in_fold, lower_ascii, not_in_fold, stored, whole_bytes, whole_text
+from reelmetrics.llm.common import in_fold, lower_ascii, not_in_fold, ship_package, stored, whole_bytes, whole_text
 
 # Word numbers in the list of the automaton: 0 is any other word, 1 the end, 2 the start of a text.
 OTHER, END, START, FIRST_WORD = 0, 1, 2, 3
@@ -27,7 +27,11 @@ BLANKS = r"[\x20\x09-\x0D]+"
 
 @dataclass(frozen=True)
 class Size:
-    """Bounds of the automaton; they do not bound the text that is counted or scored."""
+    """Bounds of the automaton; they do not bound the text that is counted or scored.
+
+    At most ``words`` words have numbers and at most ``arcs`` bigrams, and as many trigrams, are
+    kept, the most frequent ones; all that are as frequent as the first left out are left out too.
+    """
 
     words: int = 200_000
     arcs: int = 300_000
@@ -92,24 +96,39 @@ def _framed(lists: pa.ListArray) -> np.ndarray:
     return out
 
 
+def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """Rows with the largest ``n``, at most ``limit``: those from some level of ``n`` on.
+
+    Levels are numbers up to 1024, then steps of one percent. A small table of rows per level
+    tells where to cut, so no task has to sort or gather the rows.
+    """
+    level = F.when(F.col("n") < 1024, F.col("n")).otherwise(F.floor(F.log2("n") * 64) + 384)
+    left, cut = limit, None
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        left -= r["count"]
+        if left < 0:
+            break
+        cut = r["level"]
+    return counts.filter(F.lit(False) if cut is None else level >= cut)
+
+
 def _counted(rows: DataFrame, grams, size: Size) -> DataFrame:
-    """``gram, n`` for codes that ``grams`` makes of framed texts, the most frequent ``size.arcs`` of them."""
+    """``gram, n`` for codes that ``grams`` makes of framed texts, the most frequent of them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes, n = np.unique(grams(_framed(batch.column(0))), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
 
-    return (
+    counts = (
         rows.filter("learn")
         .select("ids")
         .mapInArrow(count, "gram bigint, n bigint")
         .groupBy("gram")
         .agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= size.least_count)
-        .orderBy(F.desc("n"), "gram")
-        .limit(size.arcs)
     )
+    return most_frequent(stored(counts, "lm-grams"), size.arcs)
 
 
 def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -247,12 +266,13 @@ def lm_scores(
     one. An empty table gives an empty result. Other columns are not read.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     learnt = docs.filter(not_in_fold(id_col, parts, held)).select(whole_text(text_col).alias("text"))
     counts = stored(token_counts(learnt), "lm-counts")
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     scale = total + kinds + 1
 
-    top = counts.filter("token != ''").orderBy(F.desc("n"), "token").limit(size.words).toArrow()
+    top = most_frequent(counts.filter("token != ''"), size.words).toArrow().sort_by("token")
     ends = sum(r["n"] for r in counts.filter("token = ''").collect())
     words = {t.encode(): FIRST_WORD + i for i, t in enumerate(top.column("token").to_pylist())}
     word_n = np.concatenate([[0, ends, 0], top.column("n").to_numpy()]).astype(np.float64)

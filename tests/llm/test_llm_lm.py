@@ -22,21 +22,21 @@ class Backoff:
     def __init__(self, texts, size):
         self.one = Counter(t for x in texts for t in [*_tokens(x), b""])
         self.scale = sum(self.one.values()) + len(self.one) + 1
-        top = sorted((w for w in self.one if w), key=lambda w: (-self.one[w], w))[: size.words]
-        self.number = {w: i + 3 for i, w in enumerate(top)} | {b"": 1, "start": 2}
+        self.number = set(self._most({w: n for w, n in self.one.items() if w}, size.words)) | {b"", "start"}
         two, three = Counter(), Counter()
         framed = [["start", *_tokens(x), b""] for x in texts]
         for f in framed:
             two.update((a, b) for a, b in zip(f, f[1:]) if a in self.number and b in self.number)
-        self.two = self._top(two, size, lambda g: self.number[g[0]] * len(self.number) * 9 + self.number[g[1]])
+        self.two = self._most({g: n for g, n in two.items() if n >= size.least_count}, size.arcs)
         for f in framed:
             three.update(g for g in zip(f, f[1:], f[2:]) if g[:2] in self.two and g[1:] in self.two)
-        self.three = self._top(three, size, lambda g: (self.number[g[0]], self.number[g[1]], self.number[g[2]]))
+        self.three = self._most({g: n for g, n in three.items() if n >= size.least_count}, size.arcs)
         self.starts, self.d = len(texts), size.discount
 
-    def _top(self, counts, size, place):
-        kept = sorted((g for g in counts if counts[g] >= size.least_count), key=lambda g: (-counts[g], place(g)))
-        return {g: counts[g] for g in kept[: size.arcs]}
+    def _most(self, counts, limit):
+        """All from the least count on that leaves no more than the limit."""
+        cut = min((c for c in counts.values() if sum(n >= c for n in counts.values()) <= limit), default=math.inf)
+        return {g: n for g, n in counts.items() if n >= cut}
 
     def p(self, word, history):
         if not history:
