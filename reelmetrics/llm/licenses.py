@@ -115,8 +115,9 @@ def template_matches(
     size, held = F.size("ranks"), F.size("held")
     reach = F.least("at", "held_at") + 1 + F.least(size - 1 - F.col("at"), held - 1 - F.col("held_at"))
     overlap = F.size(F.array_intersect("held", "ranks"))
+    # The templates bound the prefix table: one row per word of a template at most.
     return (
-        ranked.join(prefix, "rank")
+        ranked.join(F.broadcast(prefix), "rank")
         .filter((held >= F.col("least")) & (reach >= F.col("least")))
         .withColumn("overlap", overlap)
         .filter("overlap >= least")
