@@ -151,7 +151,6 @@ def membership(
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
 
-    @F.arrow_udf("struct<p: array<double>, n_tokens: bigint, rate: double>")
     def judged(texts: pa.Array) -> pa.Array:
         values, fitted = [t.as_py() for t in texts], shared.value
         p = np.full((len(values), domains), 1 / domains)
@@ -164,7 +163,9 @@ def membership(
         ]
         return pa.StructArray.from_arrays(columns, ["p", "n_tokens", "rate"])
 
-    return judged(whole_bytes(text_col))
+    # A filter on the result must not make Spark judge every text twice.
+    once = F.arrow_udf(judged, "struct<p: array<double>, n_tokens: bigint, rate: double>").asNondeterministic()
+    return once(whole_bytes(text_col))
 
 
 # -- the rates -----------------------------------------------------------------------------
@@ -192,7 +193,7 @@ def _summed(rows: DataFrame, domains: int, part) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([places, pa.array(total)], ["i", "x"])
 
     sums = rows.select("p", "n_tokens").mapInArrow(add, "i int, x double").groupBy("i").agg(F.sum("x").alias("x"))
-    return np.array([r["x"] for r in sums.orderBy("i").collect()])
+    return np.array([x for _, x in sorted(map(tuple, sums.collect()))])
 
 
 def fit_rates(rows: DataFrame, weights: np.ndarray, max_steps: int = 40, tolerance: float = 1e-5) -> Steps:
@@ -230,7 +231,16 @@ def fit_rates(rows: DataFrame, weights: np.ndarray, max_steps: int = 40, toleran
     return steps
 
 
-def mix(
+@dataclass
+class Fit:
+    classifier: Classifier | None
+    weights: np.ndarray
+    steps: Steps
+    #: ``doc_id, p, n_tokens`` of all documents, stored.
+    rows: DataFrame
+
+
+def fit_mixture(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
@@ -238,17 +248,11 @@ def mix(
     targets: Mapping[str, float] | None = None,
     domain: Column | None = None,
     **bounds,
-) -> DataFrame:
-    """The documents with a column ``mix``: struct of ``p``, ``n_tokens`` and ``rate``.
+) -> Fit:
+    """Learn the domains, judge all documents and fit their rates.
 
     ``targets`` gives the wanted share of tokens by domain; ``domain`` is the number of a row's
-    domain in that order, from the labelled table. A rate is how often a document is expected to
-    be used; 0 leaves it out. All columns of the documents stay; one named ``mix`` is replaced.
-
-    Null text counts as empty: it has no tokens, but a rate. Rows that repeat an id are judged by
-    their texts; equal texts have equal rates. Null ids and labels teach nothing; without labels all
-    domains are equally likely. If targets can't be met by any rates, the closest are found. An
-    empty table gives an empty result.
+    domain in that order, from the labelled table.
     """
     targets = TARGETS if targets is None else targets
     weights = np.array(list(targets.values())) / sum(targets.values())
@@ -257,20 +261,40 @@ def mix(
     classifier = learn_domains(
         docs, labels, len(weights), domain_of_labels() if domain is None else domain, id_col, text_col, **bounds
     )
-    rows = stored(docs.select(membership(docs, classifier, len(weights), text_col).alias("mix")).select("mix.p", "mix.n_tokens"), "membership")
-    steps = fit_rates(rows, weights)
-    return docs.withColumn("mix", membership(docs, classifier, len(weights), text_col, steps))
+    judged = docs.select(F.col(f"`{id_col}`").alias("doc_id"), membership(docs, classifier, len(weights), text_col).alias("mix"))
+    rows = stored(judged.select("doc_id", "mix.p", "mix.n_tokens"), "membership")
+    return Fit(classifier, weights, fit_rates(rows, weights), rows)
+
+
+def mix(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """One row per document: ``doc_id, p, n_tokens, rate``; for the options see ``fit_mixture``.
+
+    ``p`` has the posterior of each domain. A rate is how often a document is expected to be used;
+    0 leaves it out.
+
+    Null text counts as empty: it has no tokens, but a rate. Rows that repeat an id are judged by
+    their texts; equal texts have equal rates. Null ids and labels teach nothing; without labels all
+    domains are equally likely. If targets can't be met by any rates, the closest are found. An
+    empty table gives an empty result. Other columns are not read.
+    """
+    fit = fit_mixture(docs, labels, **options)
+    domains, steps = len(fit.weights), fit.steps
+
+    @F.arrow_udf("double")
+    def rate(p: pa.Array) -> pa.Array:
+        return pa.array(rates(p.flatten().to_numpy(zero_copy_only=False).reshape(-1, domains), steps), pa.float64())
+
+    return fit.rows.select("doc_id", "p", "n_tokens", rate("p").alias("rate"))
 
 
 def mixture(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents with a rate above 0, with all their columns, ``mix_rate`` and ``mix_domains``.
 
-    Columns of these two names are replaced; a column ``mix`` stays as it is.
+    Columns of these two names are replaced. Odd rows are treated as in ``mix``.
     """
+    fit = fit_mixture(docs, labels, **options)
     names = [c for c in docs.columns if c not in ("mix_rate", "mix_domains")]
-    id_col, text_col = options.pop("id_col", "doc_id"), options.pop("text_col", "text")
-    inner = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")
-    )
-    mixed = mix(inner, labels, **options).filter("mix.rate > 0")
-    return mixed.select("row.*", F.col("mix.rate").alias("mix_rate"), F.col("mix.p").alias("mix_domains"))
+    text = F.col(f"`{options.get('text_col', 'text')}`")
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), text.alias("text"))
+    mixed = inner.select("row", membership(inner, fit.classifier, len(fit.weights), "text", fit.steps).alias("mix"))
+    return mixed.filter("mix.rate > 0").select("row.*", F.col("mix.rate").alias("mix_rate"), F.col("mix.p").alias("mix_domains"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +65,7 @@ def statistics(text: bytes) -> list[float]:
         sum(top) / m,
         len(line_count) / k,
         float(-(probabilities * np.log(np.maximum(probabilities, 1e-12))).sum()),
-        sum(a == b for a, b in zip(words, words[1:])) / m,
+        sum(map(eq, words, words[1:])) / m,
         float(share[_LETTERS].sum()),
     ]
 

@@ -29,8 +29,8 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    shares = [F.col("mix.p")[k].alias(f"p_{name}") for k, name in enumerate(mixing.TARGETS)]
-    return mixed.select("doc_id", "mix.n_tokens", *shares, "mix.rate")
+    shares = [F.col("p")[k].alias(f"p_{name}") for k, name in enumerate(mixing.TARGETS)]
+    return mixed.select("doc_id", "n_tokens", *shares, "rate")
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,18 +13,21 @@ def _words(text):
 
 
 def _expected(docs, items, window=10):
-    windows = set()
+    windows = {}
     for item, text in items:
         words = _words(text)
-        windows |= {(item, tuple(words[i : i + window])) for i in range(max(1, len(words) - window + 1)) if words}
+        for i in range(max(1, len(words) - window + 1)) if words else ():
+            windows.setdefault(tuple(words[i : i + window]), set()).add(item)
+    sizes = {len(w) for w in windows}
     out = []
     for doc, text in docs:
         words, hit, found = _words(text), set(), set()
-        for item, w in windows:
-            for i in range(len(words) - len(w) + 1):
-                if tuple(words[i : i + len(w)]) == w:
-                    hit |= set(range(i, i + len(w)))
-                    found.add(item)
+        for n in sizes:
+            for i in range(len(words) - n + 1):
+                owners = windows.get(tuple(words[i : i + n]))
+                if owners:
+                    hit |= set(range(i, i + n))
+                    found |= owners
         ids = sorted(str(i) for i in found if i is not None)
         out.append((doc, len(words), len(hit), len(ids), ",".join(ids), bool(hit)))
     return sorted(out, key=repr)
