@@ -1,107 +1,199 @@
-"""Language-model scores by a weighted backoff automaton.
+"""Language-model scores by a weighted backoff automaton that is kept as distributed tables.
 
 Counts come from all training texts. The root of the automaton is the add-one unigram model over
-every token seen; frequent words have states with arcs for the bigrams and trigrams that are
-kept, discounted, and a failure arc to the state of the shorter history, whose weight returns
-the discounted mass. One walk from left to right carries the state of a text. Words outside the
-list of the automaton lead back to the root, where their exact counts are joined.
+every token seen; a word or a bigram that some longer n-gram begins with is a state, with arcs
+for its discounted bigrams or trigrams, and a failure arc to the state of the shorter history,
+whose weight returns the discounted mass. The state after a word depends on the last two words
+alone, so the weights of a walk are a sum over the n-grams of the text: each n-gram has a gain,
+which is the weight of its arc less the weights of the way that it replaces. Gains are tables as
+large as the input makes them; those of the most frequent n-grams are broadcast as well, and only
+the others are joined.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelmetrics.llm.common import in_fold, lower_ascii, not_in_fold, ship_package, stored, whole_bytes, whole_text
 
-# Word numbers in the list of the automaton: 0 is any other word, 1 the end, 2 the start of a text.
-OTHER, END, START, FIRST_WORD = 0, 1, 2, 3
 #: What separates tokens.
 BLANKS = r"[\x20\x09-\x0D]+"
+#: What stands for the end and the start of a text among the tokens; no token has a blank.
+END, START = "", " "
+#: Bits of a filter, and of one of its rows.
+FILTER_BITS, ROW_BITS = 1 << 26, 1 << 15
+#: Bytes of text that are scored at a time.
+BLOCK = 1 << 22
 
 
 @dataclass(frozen=True)
 class Size:
-    """Bounds of the automaton; they do not bound the text that is counted or scored.
+    """What belongs to the automaton, and how much of it is broadcast.
 
-    At most ``words`` words have numbers and at most ``arcs`` bigrams, and as many trigrams, are
-    kept, the most frequent ones; all that are as frequent as the first left out are left out too.
+    All n-grams seen ``least_count`` times or more have arcs, unless ``words`` or ``arcs`` bound the
+    words that n-grams are made of, or the bigrams, and as many trigrams: then the most frequent
+    ones are kept, and all that are as frequent as the first left out are left out too.
+    ``near_words`` and ``near_arcs`` only bound what is broadcast; the result is the same.
     """
 
-    words: int = 200_000
-    arcs: int = 300_000
+    words: float = math.inf
+    arcs: float = math.inf
     least_count: int = 3
     discount: float = 0.75
+    near_words: int = 200_000
+    near_arcs: int = 300_000
 
 
-# -- counting --------------------------------------------------------------------------
+# -- words as numbers --------------------------------------------------------------------
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
-    """``token, n`` over a column ``text``; the empty token stands for the ends of texts."""
+    """``token, n, uses`` over columns ``text, learn``: the uses in texts to learn from, and in all.
+
+    The empty token stands for the ends of texts.
+    """
     tokens = F.filter(F.split(lower_ascii(F.col("text")), BLANKS), lambda w: w != "")
     return (
-        texts.select(F.explode(F.concat(tokens, F.array(F.lit("")))).alias("token"))
+        texts.select("learn", F.explode(F.concat(tokens, F.array(F.lit(END)))).alias("token"))
         .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.when(F.col("learn"), 1)).alias("n"), F.count(F.lit(1)).alias("uses"))
     )
 
 
-def _numbered(texts: DataFrame, words: dict[bytes, int]) -> DataFrame:
-    """Texts as numbers of the listed words; other words are kept as they are."""
-    shared = texts.sparkSession.sparkContext.broadcast(words)
+def _key(token: bytes) -> int:
+    """The number of a word: the same as ``xxhash64`` of Spark."""
+    return xxhash.xxh64_intdigest(token, 42)
+
+
+def _signed(number: int) -> int:
+    return number - (1 << 64) if number >> 63 else number
+
+
+def _padding(counts: DataFrame) -> str:
+    """What to append to every word so that no two of the table have the same 64-bit number."""
+    for k in range(16):
+        pad = "\t" * k
+        words = counts.select("token").union(counts.sparkSession.createDataFrame([(START,)], "token string"))
+        same = words.groupBy(F.xxhash64(F.concat("token", F.lit(pad))).alias("word")).count().filter("count > 1")
+        if same.isEmpty():
+            return pad
+    raise RuntimeError("words can't be told apart by 64 bits")
 
-    @F.arrow_udf("struct<ids: array<int>, others: array<string>>")
-    def number(batch: pa.Array) -> pa.Array:
-        known = shared.value
-        ids, ends, others, other_ends = [], [0], [], [0]
-        for text in batch:
+
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, token: bytes) -> int:
+        self[token] = n = len(self)
+        return n
+
+
+@dataclass
+class _Batch:
+    """Texts in a row, each between a start and an end, as places in ``keys``."""
+
+    keys: np.ndarray
+    framed: np.ndarray
+    #: The text of each place.
+    doc: np.ndarray
+    sizes: np.ndarray
+
+    @staticmethod
+    def of(texts: pa.Array, pad: str) -> _Batch:
+        numbers, pad = _Numbers({START.encode(): 0, END.encode(): 1}), pad.encode()
+        parts, sizes = [], []
+        for text in texts:
             tokens = text.as_py().lower().split()
-            found = [known.get(t, OTHER) for t in tokens]
-            others += [t for t, i in zip(tokens, found) if not i]
-            ids.append(np.array(found, np.int32))
-            ends.append(ends[-1] + len(found))
-            other_ends.append(len(others))
-        flat = pa.array(np.concatenate(ids)) if ids else pa.array([], pa.int32())
-        columns = [
-            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
-            pa.ListArray.from_arrays(pa.array(other_ends, pa.int32()), pa.array(others, pa.binary()).cast(pa.string())),
-        ]
-        return pa.StructArray.from_arrays(columns, ["ids", "others"])
-
-    return texts.withColumn("numbers", number("text"))
-
-
-def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """The values of all lists, and where each list begins and the last one ends."""
-    offsets = lists.offsets.to_numpy()
-    return lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].astype(np.int64), offsets - offsets[0]
-
-
-def _framed(lists: pa.ListArray) -> np.ndarray:
-    """All texts in a row, each between a start and an end."""
-    values, offsets = _flat(lists)
-    n = len(offsets) - 1
-    out = np.empty(len(values) + 2 * n, np.int64)
-    starts = offsets[:-1] + 2 * np.arange(n)
-    mask = np.ones(len(out), bool)
-    mask[starts] = mask[offsets[1:] + 2 * np.arange(n) + 1] = False
-    out[mask] = values
-    out[starts], out[offsets[1:] + 2 * np.arange(n) + 1] = START, END
-    return out
-
-
-def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
-    """Rows with the largest ``n``, at most ``limit``: those from some level of ``n`` on.
+            parts.append(np.array([0, *map(numbers.__getitem__, tokens), 1], np.int64))
+            sizes.append(len(tokens))
+        keys = np.array([_key(t + pad) for t in numbers], np.uint64).view(np.int64)
+        sizes = np.array(sizes, np.int64)
+        framed = np.concatenate(parts) if parts else np.empty(0, np.int64)
+        return _Batch(keys, framed, np.repeat(np.arange(len(sizes)), sizes + 2), sizes)
+
+    def grams(self, words: _Filter | None, pairs: _Filter | None) -> tuple[np.ndarray, ...]:
+        """Where bigrams begin whose words pass a filter, which bigram each one is, and the bigrams.
+
+        A bigram that does not pass ``pairs`` is none.
+        """
+        a, b = self.framed[:-1], self.framed[1:]
+        fit = a != 1
+        if words is not None:
+            listed = words.has(self.keys)
+            listed[:2] = True
+            fit &= listed[a] & listed[b]
+        at = np.flatnonzero(fit)
+        codes, which = np.unique(a[at] * len(self.keys) + b[at], return_inverse=True)
+        first, second = codes // len(self.keys), codes % len(self.keys)
+        if pairs is not None and len(codes):
+            good = pairs.has(self.keys[first], self.keys[second])
+            chosen = good[which]
+            place = np.cumsum(good) - 1
+            at, which, first, second = at[chosen], place[which[chosen]], first[good], second[good]
+        return at, which, first, second
+
+    def triples(self, at: np.ndarray, which: np.ndarray, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Where two bigrams follow each other, which trigram it is, and the trigrams."""
+        follows = np.flatnonzero(at[1:] == at[:-1] + 1)
+        third = self.framed[at[follows] + 2]
+        codes, which3 = np.unique(which[follows] * len(self.keys) + third, return_inverse=True)
+        pair = codes // len(self.keys)
+        return at[follows], which3, first[pair], second[pair], codes % len(self.keys)
+
+
+# -- filters -----------------------------------------------------------------------------
+
+
+@dataclass
+class _Filter:
+    """A set of bits that tells which n-grams can't be in a table; those in the table always pass."""
+
+    bits: np.ndarray
+
+    def has(self, *keys: np.ndarray) -> np.ndarray:
+        slot = keys[0].copy()
+        for k, more in enumerate(keys[1:], 1):
+            slot ^= (more.view(np.uint64) >> np.uint64(15 * k)).view(np.int64)
+        slot &= FILTER_BITS - 1
+        return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _filter(table: DataFrame, *names: str) -> _Filter:
+    """The filter of a table's n-grams; its size does not depend on the table."""
+    slot = F.col(names[0])
+    for k, name in enumerate(names[1:], 1):
+        slot = slot.bitwiseXOR(F.shiftrightunsigned(name, 15 * k))
+    slot = slot.bitwiseAND(F.lit(FILTER_BITS - 1))
+    rows = (
+        table.select(F.shiftright(slot, 15).alias("row"), slot.bitwiseAND(F.lit(ROW_BITS - 1)).alias("bit"))
+        .groupBy("row")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in rows.toLocalIterator():
+        bits[r["row"] * ROW_BITS // 8 : (r["row"] + 1) * ROW_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
+    return _Filter(bits)
+
+
+# -- counting ----------------------------------------------------------------------------
+
+
+def most_frequent(counts: DataFrame, limit: float) -> DataFrame:
+    """Rows with the largest ``n``, at most ``limit``: those from some level of ``n`` on; all without a limit.
 
     Levels are numbers up to 1024, then steps of one percent. A small table of rows per level
     tells where to cut, so no task has to sort or gather the rows.
     """
+    if limit == math.inf:
+        return counts
     level = F.when(F.col("n") < 1024, F.col("n")).otherwise(F.floor(F.log2("n") * 64) + 384)
     left, cut = limit, None
     for r in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
@@ -112,142 +204,155 @@ def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
     return counts.filter(F.lit(False) if cut is None else level >= cut)
 
 
-def _counted(rows: DataFrame, grams, size: Size) -> DataFrame:
-    """``gram, n`` for codes that ``grams`` makes of framed texts, the most frequent of them."""
+def _counted(texts: DataFrame, grams, names: list[str], least: int, name: str) -> DataFrame:
+    """N-grams of the texts, and ``n``: how often each occurs, if ``least`` times or more.
+
+    ``grams`` makes the numbers of their words and their counts of a batch of texts.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, n = np.unique(grams(_framed(batch.column(0))), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
-
-    counts = (
-        rows.filter("learn")
-        .select("ids")
-        .mapInArrow(count, "gram bigint, n bigint")
-        .groupBy("gram")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= size.least_count)
-    )
-    return most_frequent(stored(counts, "lm-grams"), size.arcs)
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in grams(batch.column(0))], [*names, "n"])
 
+    kinds = ", ".join(f"{k} bigint" for k in [*names, "n"])
+    counts = texts.mapInArrow(count, kinds).groupBy(*names).agg(F.sum("n").alias("n"))
+    return stored(counts.filter(F.col("n") >= least), name)
 
-def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A bounded list of counts by gram."""
-    table = counts.toArrow()
-    grams, n = (table.column(k).to_numpy().astype(np.int64) for k in ("gram", "n"))
-    order = np.argsort(grams)
-    return grams[order], n[order]
 
+# -- the automaton -----------------------------------------------------------------------
 
-def _bigrams(framed: np.ndarray, words: int) -> np.ndarray:
-    a, b = framed[:-1], framed[1:]
-    return (a * words + b)[(a != OTHER) & (b != OTHER) & (a != END)]
 
+def _left(kept: Column, lower: Column) -> Column:
+    """log10 of a failure weight: what the arcs leave, over the lower model's mass of the words without an arc."""
+    return F.log10((1 - kept) / F.greatest(1 - lower, F.lit(1e-12)))
 
-def _places(known: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """The place of each code in a sorted list, -1 if it is not there."""
-    if not len(known):
-        return np.full(len(codes), -1)
-    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
-    return np.where(known[at] == codes, at, -1)
 
+def _arcs(bigrams: DataFrame, listed: DataFrame, size: Size) -> DataFrame:
+    """``a, b, n, before, p, root`` of the bigrams that are kept: their weights in the state of a word, and at the root.
 
-def _trigrams(framed: np.ndarray, words: int, pairs: np.ndarray) -> np.ndarray:
-    """A trigram is coded by the place of its first bigram and its last word; both its bigrams are kept ones."""
-    at = _places(pairs, framed[:-1] * words + framed[1:])
-    first, second = at[:-1], at[1:]
-    return (first * words + framed[2:])[(first >= 0) & (second >= 0)]
+    ``listed`` has ``word, n, root``, with ``n`` as the times that the word precedes a token. An arc of count n weighs
+    (n - discount) / before.
+    """
+    joined = bigrams.join(listed.select(F.col("word").alias("a"), F.col("n").alias("before")), "a").join(
+        listed.select(F.col("word").alias("b"), "root"), "b"
+    )
+    joined = joined.select("a", "b", "n", "before", ((F.col("n") - size.discount) / F.col("before")).alias("p"), "root")
+    kept = joined if size.arcs == math.inf else most_frequent(stored(joined, "lm-pairs"), size.arcs)
+    return stored(kept, "lm-bigrams")
 
 
-# -- the automaton -----------------------------------------------------------------------
+def _long_arcs(trigrams: DataFrame, pairs: DataFrame, size: Size) -> DataFrame:
+    """``a, b, c, n, p, lower`` of the trigrams that are kept: their weights in the state of a bigram, and one below."""
+    joined = trigrams.join(pairs.select("a", "b", F.col("n").alias("before")), ["a", "b"]).join(
+        pairs.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("p").alias("lower")), ["b", "c"]
+    )
+    joined = joined.select("a", "b", "c", "n", ((F.col("n") - size.discount) / F.col("before")).alias("p"), "lower")
+    kept = joined if size.arcs == math.inf else most_frequent(stored(joined, "lm-triples"), size.arcs)
+    return stored(kept, "lm-trigrams")
 
 
-@dataclass
-class Automaton:
-    """Arcs by state and word, and the failure arc of each state; state 0 is the root.
+def _gains(counts: DataFrame, pairs: DataFrame, triples: DataFrame, heads: DataFrame) -> DataFrame:
+    """``kind, a, b, c, n, known, base, gain``: what each n-gram of ``kind`` words adds to a text's score.
 
-    ``unigram`` has the root's log10 weights by word number, 0 for other words.
+    A word adds its weight at the root and, as a state that is left, its failure weight. A bigram's
+    arc replaces both that of its first word and the root's, and adds the failure weight of its
+    own state; a trigram's arc replaces that and the bigram's.
     """
+    none = F.lit(0).cast("bigint")
+    tails = triples.groupBy("a", "b").agg(_left(F.sum("p"), F.sum("lower")).alias("fail2"))
+    fail, fail2 = F.coalesce("fail", F.lit(0.0)), F.coalesce("fail2", F.lit(0.0))
+    one = counts.join(heads.select(F.col("a").alias("word"), "fail"), "word", "left").select(
+        F.lit(1).alias("kind"), F.col("word").alias("a"), none.alias("b"), none.alias("c"), F.col("uses").alias("n"),
+        (F.col("n") > 0).alias("known"), F.col("base"), (F.col("base") + fail).alias("gain"),
+    )
+    two = pairs.join(heads, "a", "left").join(tails, ["a", "b"], "left").select(
+        F.lit(2).alias("kind"), "a", "b", none.alias("c"), "n",
+        F.lit(False).alias("known"), F.lit(0.0).alias("base"), (F.log10("p") - fail - F.log10("root") + fail2).alias("gain"),
+    )
+    three = triples.join(tails, ["a", "b"]).select(
+        F.lit(3).alias("kind"), "a", "b", "c", "n",
+        F.lit(False).alias("known"), F.lit(0.0).alias("base"), (F.log10("p") - F.col("fail2") - F.log10("lower")).alias("gain"),
+    )
+    return stored(one.unionByName(two).unionByName(three), "lm-gains")
+
+
+@dataclass
+class _Near:
+    """The gains that are broadcast, by a mix of the numbers of the words."""
+
+    mixed: np.ndarray
+    grams: np.ndarray
+    known: np.ndarray
+    base: np.ndarray
+    gain: np.ndarray
+
+    @staticmethod
+    def mix(grams: np.ndarray) -> np.ndarray:
+        return (grams * np.array([[1], [-7046029254386353131], [7146057691288625177]])[: len(grams)]).sum(axis=0)
+
+    @staticmethod
+    def of(gains: DataFrame, kind: int, limit: int) -> _Near:
+        table = most_frequent(gains.filter(F.col("kind") == kind), limit).toArrow()
+        grams = np.array([table.column(k).to_numpy() for k in "abc"[:kind]], np.int64).reshape(kind, -1)
+        mixed = _Near.mix(grams)
+        order = np.argsort(mixed)
+        known, base, gain = (table.column(k).to_numpy()[order] for k in ("known", "base", "gain"))
+        return _Near(mixed[order], grams[:, order], known, base, gain)
+
+    def places(self, grams: np.ndarray) -> np.ndarray:
+        """Where each n-gram stands here, -1 if it does not."""
+        if not len(self.mixed) or not grams.shape[1]:
+            return np.full(grams.shape[1], -1)
+        at = np.minimum(np.searchsorted(self.mixed, _Near.mix(grams)), len(self.mixed) - 1)
+        return np.where((self.grams[:, at] == grams).all(axis=0), at, -1)
 
-    words: int
-    arcs: dict[int, int]
-    weight: list[float]
-    target: list[int]
-    failure: list[int]
-    failure_weight: list[float]
-    unigram: list[float]
-    word_state: list[int]
-    start: int
-
-    def score(self, ids: list[int]) -> float:
-        """log10 of the probability of numbered words and the end, without the root's weights of other words."""
-        arcs, words, total, state = self.arcs, self.words, 0.0, self.start
-        weight, target, failure, failure_weight = self.weight, self.target, self.failure, self.failure_weight
-        for word in (*ids, END):
-            while state:
-                arc = arcs.get(state * words + word)
-                if arc is not None:
-                    total += weight[arc]
-                    state = target[arc]
-                    break
-                total += failure_weight[state]
-                state = failure[state]
-            else:
-                total += self.unigram[word]
-                state = self.word_state[word]
-        return total
-
-
-def build_automaton(
-    unigram: np.ndarray, word_counts: np.ndarray, pairs: np.ndarray, pair_n: np.ndarray, triples: np.ndarray, triple_n: np.ndarray, discount: float
-) -> Automaton:
-    """The automaton of kept bigrams and trigrams over a proper unigram model.
-
-    ``unigram`` are probabilities by word number, ``word_counts`` how often each word, or the start,
-    precedes a token. In a state with total count c, an arc of count n weighs (n - discount) / c;
-    the failure arc weighs what is left, divided by the lower model's mass of the words without
-    an arc. So the weights of all tokens sum to one in every state.
-    """
-    words = len(unigram)
-    first, second = pairs // words, pairs % words
-    pair_p = (pair_n - discount) / word_counts[first]
-    # Failure weights of the states of one word.
-    kept = np.bincount(first, pair_p, words)
-    lower = np.bincount(first, unigram[second], words)
-    alpha = (1 - kept) / np.maximum(1 - lower, 1e-12)
-
-    def lower_p(history: np.ndarray, word: np.ndarray) -> np.ndarray:
-        at = _places(pairs, history * words + word)
-        return np.where(at >= 0, pair_p[at], alpha[history] * unigram[word])
-
-    pair_at, third = triples // words, triples % words
-    triple_p = (triple_n - discount) / pair_n[pair_at]
-    kept3 = np.bincount(pair_at, triple_p, len(pairs))
-    lower3 = np.bincount(pair_at, lower_p(second[pair_at], third) if len(pairs) else None, len(pairs))
-    alpha3 = (1 - kept3) / np.maximum(1 - lower3, 1e-12)
-
-    # States: the root, one per word with arcs, one per pair with arcs.
-    heads, tails = np.unique(first), np.unique(pair_at)
-    word_state = np.zeros(words, np.int64)
-    word_state[heads] = 1 + np.arange(len(heads))
-    pair_state = np.zeros(len(pairs), np.int64)
-    pair_state[tails] = 1 + len(heads) + np.arange(len(tails))
-
-    after_pair = np.where(pair_state > 0, pair_state, word_state[second])
-    shorter = _places(pairs, second[pair_at] * words + third)
-    after_triple = np.where(pair_state[shorter] > 0, pair_state[shorter], word_state[third]) if len(triples) else triples
-    codes = np.concatenate([word_state[first] * words + second, pair_state[pair_at] * words + third])
-    return Automaton(
-        words=words,
-        arcs=dict(zip(codes.tolist(), range(len(codes)))),
-        weight=np.log10(np.concatenate([pair_p, triple_p])).tolist(),
-        target=np.concatenate([after_pair, after_triple]).tolist(),
-        failure=[0, *[0] * len(heads), *word_state[second[tails]].tolist()],
-        failure_weight=[0.0, *np.log10(np.concatenate([alpha[heads], alpha3[tails]])).tolist()],
-        unigram=[0.0, *np.log10(unigram[1:]).tolist()],
-        word_state=word_state.tolist(),
-        start=int(word_state[START]),
-    )
+
+@dataclass
+class _Model:
+    """What tasks need to score: filters, broadcast gains, and the words' padding."""
+
+    pad: str
+    words: _Filter
+    pairs: _Filter
+    triples: _Filter
+    near: list[_Near]
+    #: Root weight of the end, and the failure weight of the start.
+    end: float
+    start: float
+
+    def scored(self, texts: pa.Array) -> pa.StructArray:
+        """Sums over the n-grams that are here, and those to be joined, by text."""
+        batch = _Batch.of(texts, self.pad)
+        n, keys = len(batch.sizes), batch.keys
+        two = batch.grams(self.words, self.pairs)
+        three = batch.triples(*two)
+        if len(three[0]):
+            good = self.triples.has(*(keys[w] for w in three[2:]))[three[1]]
+            three = (three[0][good], three[1][good], *three[2:])
+        inner = np.flatnonzero(batch.framed > 1)
+        one = (inner, batch.framed[inner], np.arange(len(keys)))
+
+        known = np.zeros(n, np.int64)
+        base, score = np.full(n, self.end), np.full(n, self.end + self.start)
+        asked = []
+        for kind, (at, which, *words) in enumerate((one, two, three), 1):
+            near, doc = self.near[kind - 1], batch.doc[at]
+            place = near.places(np.array([keys[w] for w in words], np.int64).reshape(kind, -1))[which]
+            here, d = place[place >= 0], doc[place >= 0]
+            score += np.bincount(d, near.gain[here], n)
+            base += np.bincount(d, near.base[here], n)
+            known += np.bincount(d, near.known[here], n).astype(np.int64)
+            codes, times = np.unique(doc[place < 0] * max(1, len(words[0])) + which[place < 0], return_counts=True)
+            gram = codes % max(1, len(words[0]))
+            columns = [keys[w[gram]] for w in words] + [np.zeros(len(codes), np.int64)] * (3 - kind)
+            asked.append((codes // max(1, len(words[0])), np.full(len(codes), kind), *columns, times))
+        doc, kind, *rest = (np.concatenate(c) for c in zip(*asked))
+        order = np.argsort(doc, kind="stable")
+        fields = [pa.array(kind[order].astype(np.int32))] + [pa.array(c[order].astype(np.int64)) for c in rest]
+        ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=n))]) if n else np.zeros(1)
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.StructArray.from_arrays(fields, ["kind", "a", "b", "c", "times"]))
+        columns = [pa.array(batch.sizes), pa.array(known), pa.array(base), pa.array(score), lists]
+        return pa.StructArray.from_arrays(columns, ["size", "known", "base", "score", "asked"])
 
 
 # -- scoring -----------------------------------------------------------------------------
@@ -267,75 +372,82 @@ def lm_scores(
     """
     spark = docs.sparkSession
     ship_package(spark)
-    learnt = docs.filter(not_in_fold(id_col, parts, held)).select(whole_text(text_col).alias("text"))
-    counts = stored(token_counts(learnt), "lm-counts")
-    total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    scale = total + kinds + 1
+    learn = not_in_fold(id_col, parts, held)
+    raw = stored(token_counts(docs.select(whole_text(text_col).alias("text"), learn.alias("learn"))), "lm-counts")
+    total, kinds = raw.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
+    scale, pad = float(total + kinds + 1), _padding(raw)
+    ends = sum(r["n"] for r in raw.filter(F.col("token") == END).collect())
+    end, start = (_signed(_key(t.encode() + pad.encode())) for t in (END, START))
+
+    root = (F.col("n") + 1) / F.lit(scale)
+    counts = raw.filter(F.col("token") != END).select(
+        F.xxhash64(F.concat("token", F.lit(pad))).alias("word"), "n", "uses", F.log10(root).alias("base")
+    )
+    # A bigram is no more frequent than its words.
+    often = counts.filter(F.col("n") >= size.least_count) if size.words == math.inf else most_frequent(counts, size.words)
+    marks = spark.createDataFrame([(end, ends), (start, ends)], "word bigint, n bigint")
+    listed = often.select("word", "n").union(marks).withColumn("root", root)
+    words = spark.sparkContext.broadcast(_filter(listed, "word"))
+    texts = docs.filter(learn).select(whole_bytes(text_col).alias("text"))
+
+    def bigrams(batch: pa.Array) -> list[np.ndarray]:
+        b = _Batch.of(batch, pad)
+        _, which, *two = b.grams(words.value, None)
+        return [*(b.keys[w] for w in two), np.bincount(which, minlength=len(two[0]))]
+
+    pairs = _arcs(_counted(texts, bigrams, ["a", "b"], size.least_count, "lm-counted-2"), listed, size)
+    kept = spark.sparkContext.broadcast(_filter(pairs, "a", "b"))
+
+    def trigrams(batch: pa.Array) -> list[np.ndarray]:
+        b = _Batch.of(batch, pad)
+        _, which, *three = b.triples(*b.grams(words.value, kept.value))
+        return [*(b.keys[w] for w in three), np.bincount(which, minlength=len(three[0]))]
+
+    triples = _long_arcs(_counted(texts, trigrams, ["a", "b", "c"], size.least_count, "lm-counted-3"), pairs, size)
+    heads = stored(pairs.groupBy("a").agg(_left(F.sum("p"), F.sum("root")).alias("fail")), "lm-heads")
+    gains = _gains(counts, pairs, triples, heads)
+    near = [_Near.of(gains, k, limit) for k, limit in ((1, size.near_words), (2, size.near_arcs), (3, size.near_arcs))]
+    at_start = sum(r["fail"] for r in heads.filter(F.col("a") == start).collect())
+    model = spark.sparkContext.broadcast(
+        _Model(pad, words.value, kept.value, _filter(triples, "a", "b", "c"), near, float(np.log10((ends + 1) / scale)), at_start)
+    )
 
-    top = most_frequent(counts.filter("token != ''"), size.words).toArrow().sort_by("token")
-    ends = sum(r["n"] for r in counts.filter("token = ''").collect())
-    words = {t.encode(): FIRST_WORD + i for i, t in enumerate(top.column("token").to_pylist())}
-    word_n = np.concatenate([[0, ends, 0], top.column("n").to_numpy()]).astype(np.float64)
+    @F.arrow_udf(
+        "struct<size: bigint, known: bigint, base: double, score: double, "
+        "asked: array<struct<kind: int, a: bigint, b: bigint, c: bigint, times: bigint>>>"
+    )
+    def walk(batch: pa.Array) -> pa.Array:
+        # A block holds a few megabytes of text, or one document; blocks bound the memory only.
+        ends = np.cumsum([len(t.as_py()) for t in batch]) // BLOCK
+        cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(batch)]
+        return pa.concat_arrays([model.value.scored(batch[i:j]) for i, j in zip(cuts[:-1], cuts[1:])])
 
     rows = stored(
-        _numbered(
-            docs.select(
-                F.col(f"`{id_col}`").alias("doc_id"),
-                in_fold(id_col, parts, held).alias("held_out"),
-                not_in_fold(id_col, parts, held).alias("learn"),
-                whole_bytes(text_col).alias("text"),
-            ),
-            words,
-        ).select("doc_id", "held_out", "learn", "numbers.ids", "numbers.others", F.monotonically_increasing_id().alias("row")),
+        docs.select(
+            F.col(f"`{id_col}`").alias("doc_id"),
+            in_fold(id_col, parts, held).alias("held_out"),
+            F.monotonically_increasing_id().alias("row"),
+            walk(whole_bytes(text_col)).alias("walk"),
+        ).select("doc_id", "held_out", "row", "walk.*"),
         "lm-rows",
     )
-    n_words = len(word_n)
-    pairs, pair_n = _collected(_counted(rows, lambda framed: _bigrams(framed, n_words), size))
-    kept = spark.sparkContext.broadcast(pairs)
-    triples, triple_n = _collected(_counted(rows, lambda framed: _trigrams(framed, n_words, kept.value), size))
-
-    unigram = (word_n + 1) / scale
-    before = word_n.copy()
-    before[START] = ends
-    model = spark.sparkContext.broadcast(
-        build_automaton(unigram, before, pairs, pair_n.astype(float), triples, triple_n.astype(float), size.discount)
-    )
-
-    @F.arrow_udf("struct<known: bigint, base: double, score: double>")
-    def walk(lists: pa.Array) -> pa.Array:
-        automaton = model.value
-        root = np.array(automaton.unigram)
-        values, offsets = _flat(lists)
-        known, base, score = [], [], []
-        for a, b in zip(offsets[:-1], offsets[1:]):
-            ids = values[a:b]
-            known.append(int(np.count_nonzero(ids)))
-            base.append(float(root[ids].sum() + root[END]))
-            score.append(automaton.score(ids.tolist()))
-        columns = [pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())]
-        return pa.StructArray.from_arrays(columns, ["known", "base", "score"])
-
-    unseen = float(np.log10(1 / scale))
-    others = (
-        rows.select("row", F.explode("others").alias("token"))
-        .join(counts, "token", "left")
+    asked = rows.select("row", F.explode("asked").alias("gram")).select("row", "gram.*")
+    rest = (
+        asked.join(gains.drop("n"), ["kind", "a", "b", "c"])
         .groupBy("row")
         .agg(
-            F.count("n").alias("other_known"),
-            F.sum(F.when(F.col("n").isNull(), unseen).otherwise(F.log10((F.col("n") + 1) / F.lit(float(scale))))).alias("other_score"),
+            F.sum(F.col("times") * F.col("known").cast("int")).alias("more_known"),
+            F.sum(F.col("times") * F.col("base")).alias("more_base"),
+            F.sum(F.col("times") * F.col("gain")).alias("more_score"),
         )
     )
-    rest = F.coalesce("other_score", F.lit(0.0))
-    return (
-        rows.select("row", "doc_id", "held_out", F.size("ids").alias("size"), walk("ids").alias("walk"))
-        .join(others, "row", "left")
-        .select(
-            "doc_id",
-            "held_out",
-            (F.col("size") + 1).cast("bigint").alias("n_tokens"),
-            (F.col("walk.known") + F.coalesce("other_known", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
-            F.lit(int(total)).cast("bigint").alias("train_tokens"),
-            (F.col("walk.base") + rest).alias("base_score"),
-            (F.col("walk.score") + rest).alias("score"),
-        )
+    nothing = F.lit(0.0)
+    return rows.join(rest, "row", "left").select(
+        "doc_id",
+        "held_out",
+        (F.col("size") + 1).alias("n_tokens"),
+        (F.col("known") + F.coalesce("more_known", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
+        F.lit(int(total)).cast("bigint").alias("train_tokens"),
+        (F.col("base") + F.coalesce("more_base", nothing)).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", nothing)).alias("score"),
     )

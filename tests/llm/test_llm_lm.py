@@ -111,3 +111,15 @@ def test_better_than_unigrams(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [r for r in lm.lm_scores(docs).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+@pytest.mark.parametrize("near", [(0, 0), (3, 2)])
+def test_ngrams_that_are_not_broadcast_are_joined(small, near):
+    size = lm.Size(least_count=1, near_words=near[0], near_arcs=near[1])
+    model = _check(small, size)
+    assert len(model.two) > 10 and len(model.three) > 10
+
+
+def test_no_ngram_is_cut():
+    """Before, 200,000 words and 300,000 bigrams and trigrams were all."""
+    assert lm.Size().words == lm.Size().arcs == math.inf
