@@ -3,11 +3,12 @@
 A classifier that is learnt from the labelled table gives every document a posterior over the
 domains; its tokens count towards each domain by that share. Projected gradient steps then
 fit one rate per document, never negative, so that the expected tokens of every domain meet
-their targets.
+their targets; what they leave open a projection closes.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -28,6 +29,9 @@ def domain_of_labels() -> Column:
     return F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 0)
 
 
+#: Parts of a Newton step that one pass tries, and the weight of the term that keeps multipliers finite.
+SHORTER = 0.5 ** np.arange(10)
+SOFT = 1e-9
 #: Gradient steps: a momentum and a gradient by domain each.
 Steps = tuple[tuple[float, np.ndarray], ...]
 
@@ -196,21 +200,71 @@ def _summed(rows: DataFrame, domains: int, part) -> np.ndarray:
     return np.array([x for _, x in sorted(map(tuple, sums.collect()))])
 
 
-def fit_rates(rows: DataFrame, weights: np.ndarray, max_steps: int = 40, tolerance: float = 1e-5) -> Steps:
-    """Gradient steps that lead rows ``p, n_tokens`` to the target weights.
+def _last_step(
+    rows: DataFrame, steps: Steps, gram: np.ndarray, target: np.ndarray, tolerance: float, most: int = 200
+) -> tuple[np.ndarray, np.ndarray]:
+    """The step m after which rates meet the targets exactly, and the totals that it leads to.
+
+    Among all rates r >= 0 that meet the targets, those nearest to the rates q so far, by the sum of
+    n (r - q)^2, are r = max(0, q - p m), where m minimises a convex function of one number per domain,
+    whose gradient is target - S(r). Newton steps find it: one pass over the documents gives value,
+    gradient and curvature after a whole step and shorter ones, and the best of them is taken. A
+    term of weight ``SOFT`` keeps m finite where no rates meet the targets, and leads to the closest totals
+    then. The search ends where the gradient vanishes, which proves the minimum, and fails if
+    it can't get there.
+    """
+    k, scale = len(target), max(target.sum(), np.trace(gram))
+
+    def at(points: np.ndarray) -> np.ndarray:
+        """Per point the value without its linear and soft terms, the totals and the curvature."""
+
+        def part(p: np.ndarray, n: np.ndarray) -> np.ndarray:
+            q, out = rates(p, steps), []
+            for m in points:
+                r = np.maximum(0, q - p @ m)
+                out += [(n * r * r).sum() / 2, *(n * r) @ p, *((p * (n * (r > 0))[:, None]).T @ p).reshape(-1)]
+            return np.array(out)
+
+        return _summed(rows, k, part).reshape(-1, 1 + k + k * k) / scale
+
+    metric = gram / scale
+    # Only what the posteriors span can be reached.
+    reach = metric @ np.linalg.pinv(metric, rcond=1e-12, hermitian=True) @ target / scale
+    m, now = np.zeros(k), at(np.zeros((1, k)))[0]
+    value = now[0]
+    for _ in range(most):
+        gradient = reach - now[1 : 1 + k] + SOFT * metric @ m
+        if np.abs(gradient).max() <= tolerance * target.sum() / scale:
+            return m, now[1 : 1 + k] * scale
+        curvature = now[1 + k :].reshape(k, k) + SOFT * metric
+        points = m - SHORTER[:, None] * (np.linalg.pinv(curvature, rcond=1e-14, hermitian=True) @ gradient)
+        found = at(points)
+        values = found[:, 0] + points @ reach + SOFT / 2 * ((points @ metric) * points).sum(axis=1)
+        best = int(np.argmin(values))
+        if not values[best] < value:
+            break
+        m, value, now = points[best], values[best], found[best]
+    raise RuntimeError(f"the mixing rates did not converge; the gradient is {np.abs(gradient).max() * scale / target.sum():.3g} of the target")
+
+
+def solve_rates(
+    rows: DataFrame, weights: np.ndarray, max_steps: int = 40, tolerance: float = 1e-5
+) -> tuple[Steps, np.ndarray]:
+    """Steps that lead rows ``p, n_tokens`` to the target weights, and the gap that stays by domain.
 
     Minimises the squared distance of the expected domain totals S(r) = sum of r n p from the targets
     over rates r >= 0, in the metric of G, the inverse of the sum of n p p'. In that metric and with
     tokens as the weight of a document, the gradient of a rate is p G (S - target), and 1 is the
     step that never overshoots. Momentum speeds the steps up; it begins anew when the distance
     grows. All documents add to the sums in the tasks; one number per domain reaches the driver. The
-    target total leaves the first domain with the tokens that it has.
+    target total leaves the first domain with the tokens that it has. Where ``max_steps`` gradient steps do
+    not meet the targets, ``_last_step`` goes the rest of the way. The gap is in shares of the target total.
     """
     ship_package(rows.sparkSession)
     k = len(weights)
     gram = _summed(rows, k, lambda p, n: ((p * n[:, None]).T @ p).reshape(-1))
     if not gram.any():
-        return ()
+        return (), np.zeros(k)
     metric = np.linalg.pinv(gram.reshape(k, k), rcond=1e-12, hermitian=True)
 
     def totals_after(steps: Steps) -> np.ndarray:
@@ -228,7 +282,15 @@ def fit_rates(rows: DataFrame, weights: np.ndarray, max_steps: int = 40, toleran
         ahead = now + momentum * (now - before)
         steps = (*steps, (momentum, metric @ (ahead - target)))
         now, before = totals_after(steps), now
-    return steps
+    if np.abs(now - target).max() > tolerance * target.sum():
+        last, now = _last_step(rows, steps, gram.reshape(k, k), target, tolerance / 10)
+        steps = (*steps, (0.0, last))
+    return steps, (now - target) / max(target.sum(), 1.0)
+
+
+def fit_rates(rows: DataFrame, weights: np.ndarray, max_steps: int = 40, tolerance: float = 1e-5) -> Steps:
+    """The steps of ``solve_rates``."""
+    return solve_rates(rows, weights, max_steps, tolerance)[0]
 
 
 @dataclass
@@ -236,6 +298,8 @@ class Fit:
     classifier: Classifier | None
     weights: np.ndarray
     steps: Steps
+    #: Shares of the target total by domain, by which the totals miss their targets.
+    gap: np.ndarray
     #: ``doc_id, p, n_tokens`` of all documents, stored.
     rows: DataFrame
 
@@ -263,7 +327,10 @@ def fit_mixture(
     )
     judged = docs.select(F.col(f"`{id_col}`").alias("doc_id"), membership(docs, classifier, len(weights), text_col).alias("mix"))
     rows = stored(judged.select("doc_id", "mix.p", "mix.n_tokens"), "membership")
-    return Fit(classifier, weights, fit_rates(rows, weights), rows)
+    steps, gap = solve_rates(rows, weights)
+    if np.abs(gap).max() > 1e-5:
+        warnings.warn(f"no rates meet the targets; the closest miss them by {dict(zip(targets, gap.tolist()))}", stacklevel=2)
+    return Fit(classifier, weights, steps, gap, rows)
 
 
 def mix(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -274,7 +341,7 @@ def mix(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
     Null text counts as empty: it has no tokens, but a rate. Rows that repeat an id are judged by
     their texts; equal texts have equal rates. Null ids and labels teach nothing; without labels all
-    domains are equally likely. If targets can't be met by any rates, the closest are found. An
+    domains are equally likely. If targets can't be met by any rates, the closest are found, with a warning. An
     empty table gives an empty result. Other columns are not read.
     """
     fit = fit_mixture(docs, labels, **options)

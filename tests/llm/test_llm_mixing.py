@@ -1,5 +1,7 @@
 """Mixing: rates against a solver on the driver, and membership against labels."""
 
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 
@@ -61,3 +63,33 @@ def test_odd_rows_and_no_rows(spark, odd, nothing, labels):
     assert all(np.allclose(r.p, 1 / 3) for r in rows)
     with pytest.raises(ValueError):
         mixing.mix(odd, labels, targets={"clean": 0.0, "poor": 1.0, "toxic": 0.0})
+
+
+@pytest.mark.parametrize("sizes", [(0.3, 0.35, 0.35), (0.05, 0.9, 0.05)])
+@pytest.mark.parametrize("soft", [2])
+def test_soft_and_skewed_posteriors_meet_targets(monkeypatch, sizes, soft):
+    """With the parameters of production; 40 gradient steps alone do not."""
+    rng = np.random.default_rng(0)
+    y = rng.choice(3, 4000, p=sizes)
+    z = rng.normal(size=(4000, 3))
+    z[np.arange(4000), y] += 6 / soft
+    p = np.exp(1.5 * z / soft**0.3)
+    p /= p.sum(axis=1, keepdims=True)
+    n = rng.integers(1, 800, 4000)
+    # Sums on the driver: some fifty passes.
+    monkeypatch.setattr(mixing, "ship_package", lambda _: None)
+    monkeypatch.setattr(mixing, "_summed", lambda rows, domains, part: part(p, n.astype(float)))
+    rows = SimpleNamespace(sparkSession=None)
+    weights = np.array(list(mixing.TARGETS.values()))
+    r = mixing.rates(p, mixing.fit_rates(rows, weights))
+    target = weights * ((n @ p)[0] / weights[0])
+    assert np.abs((n * r) @ p - target).max() <= 1e-5 * target.sum()
+    assert (r >= 0).all()
+
+
+def test_clean_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    clean = {x.doc_id for x in labels.collect() if not x.toxic and x.quality == 1}
+    rates = [x.rate for x in mixing.mix(docs, labels).collect() if x.doc_id in clean]
+    assert len(rates) > 100 and min(rates) > 0
