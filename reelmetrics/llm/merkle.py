@@ -45,27 +45,28 @@ def leaf_digest(fields: Sequence[str] = FIELDS, instead: Mapping[str, Column] |
     return _sha256(F.concat(*parts))
 
 
-def _up(nodes: DataFrame, name: str) -> tuple[list[DataFrame], DataFrame]:
+def _up(nodes: DataFrame, widest: int, name: str) -> tuple[list[DataFrame], DataFrame]:
     """Deliver digests to parents until each group has one node.
 
-    ``nodes`` are the lowest: ``grp, place, digest, n`` with the nodes of the group. Returns the
-    runs of each height, ``grp, place, run, digest, n`` (``run``: the children's digests in order), and
-    the last nodes, ``grp, digest, height``.
+    ``nodes`` are the lowest: ``grp, place, digest, n, item`` with the nodes of the group, ``widest`` at most, and
+    what a node stands for. Returns the runs of each height, ``grp, place, run, digest, n`` (``run``: the
+    children's digests in order; those of the first height have their ``items``, too), and the last nodes,
+    ``grp, digest, height, item``.
     """
     runs: list[DataFrame] = []
-    tops = [nodes.filter("n = 1").select("grp", "digest", F.lit(0).alias("height"))]
-    widest = nodes.agg(F.max("n")).first()[0] or 0
+    tops = [nodes.filter("n = 1").select("grp", "digest", F.lit(0).alias("height"), "item")]
+    none = F.lit(None).cast(nodes.schema["item"].dataType)
     while widest > 1:
-        child = F.struct("place", "digest")
+        child = ["place", "digest"] if runs else ["place", "digest", "item"]
         parents = (
             nodes.filter("n > 1")
             .groupBy("grp", F.expr(f"place div {FANOUT}").alias("parent"), F.expr(f"(n + {FANOUT - 1}) div {FANOUT}").alias("n"))
-            .agg(F.array_sort(F.collect_list(child)).alias("children"))
-            .select("grp", F.col("parent").alias("place"), "n", F.col("children.digest").alias("run"))
+            .agg(F.array_sort(F.collect_list(F.struct(*child))).alias("children"))
+            .select("grp", F.col("parent").alias("place"), "n", F.col("children.digest").alias("run"), *([] if runs else [F.col("children.item").alias("items")]))
         )
         nodes = stored(parents.withColumn("digest", _sha256(F.array_join("run", ""))), f"{name}-runs")
         runs.append(nodes)
-        tops.append(nodes.filter("n = 1").select("grp", "digest", F.lit(len(runs)).alias("height")))
+        tops.append(nodes.filter("n = 1").select("grp", "digest", F.lit(len(runs)).alias("height"), none.alias("item")))
         widest = -(-widest // FANOUT)
     return runs, reduce(DataFrame.unionByName, tops)
 
@@ -73,29 +74,34 @@ def _up(nodes: DataFrame, name: str) -> tuple[list[DataFrame], DataFrame]:
 def _down(runs: list[DataFrame], known: DataFrame, carried: Sequence[str]) -> DataFrame:
     """Send proofs from the last nodes of the groups down to the lowest ones.
 
-    ``known`` has ``grp, height, path`` for the last nodes and the columns that are ``carried`` along. A
+    ``known`` has ``grp, height, item, path`` for the last nodes and the columns that are ``carried`` along. A
     ``path`` lists for each height, from the node up, what stands to its left and to its right.
-    Returns ``grp, place, path`` and the carried columns for every lowest node.
+    Returns ``item, path`` and the carried columns for every lowest node. A run is met by the proof of
+    its node and hands it on to its children, so the proofs of the lowest nodes are never shuffled.
     """
-    last = {h: known.filter(F.col("height") == h).select("grp", F.lit(0).cast("bigint").alias("place"), "path", *carried) for h in range(len(runs) + 1)}
+    columns = ["grp", F.lit(0).cast("bigint").alias("place"), "item", "path", *carried]
+    last = [known.filter(F.col("height") == h).select(*columns) for h in range(len(runs) + 1)]
     proofs = last[len(runs)]
     for height in range(len(runs), 0, -1):
-        sent = runs[height - 1].select("grp", "place", "run").join(proofs, ["grp", "place"])
+        items = ["items"] if height == 1 else []
+        sent = runs[height - 1].select("grp", "place", "run", *items).join(proofs.drop("item"), ["grp", "place"])
         step = F.struct(
             F.array_join(F.slice("run", 1, F.col("i")), "").alias("left"),
             F.array_join(F.slice("run", F.col("i") + 2, FANOUT), "").alias("right"),
         )
+        item = F.get("items", F.col("i")) if items else F.lit(None).cast(known.schema["item"].dataType)
         proofs = (
             sent.select("*", F.posexplode("run").alias("i", "own"))
             .select(
                 "grp",
                 (F.col("place") * FANOUT + F.col("i")).alias("place"),
+                item.alias("item"),
                 F.concat(F.array(step), "path").alias("path"),
                 *carried,
             )
             .unionByName(last[height - 1])
         )
-    return proofs
+    return proofs.drop("grp", "place")
 
 
 def merkle_manifest(
@@ -130,28 +136,19 @@ def merkle_manifest(
         "merkle-leaves",
     )
     order = [F.asc_nulls_first("doc_id"), F.col("digest")]
-    placed = numbered(leaves, "grp", order, "merkle-placed")
-    sizes = placed.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    lowest = placed.select("grp", "place", "digest").join(sizes, "grp")
-    runs, subroots = _up(lowest, "merkle")
-    subroots = stored(subroots, "merkle-subroots")
+    lowest = numbered(leaves, "grp", order, "merkle-placed").withColumn("item", F.struct("doc_id", "digest", "claim"))
+    runs, subroots = _up(lowest, lowest.agg(F.max("n")).first()[0] or 0, "merkle")
+    subroots = stored(subroots.withColumnRenamed("grp", "own"), "merkle-subroots")
 
     every = F.lit("").alias("grp")
-    heads = numbered(subroots.select(every, F.col("grp").alias("own"), "digest"), "grp", [F.col("own")], "merkle-heads")
-    upper = heads.select("grp", "place", "digest", F.lit(heads.count()).alias("n"))
-    upper_runs, root = _up(upper, "merkle-upper")
-    root = root.select("grp", "height", F.col("digest").alias("root"), F.array().cast(_STEPS).alias("path"))
-    upper_proofs = _down(upper_runs, stored(root, "merkle-root"), ["root"])
-    proven = (
-        heads.select("place", "own")
-        .join(upper_proofs.drop("grp"), "place")
-        .join(subroots.withColumnRenamed("grp", "own"), "own")
-        .select(F.col("own").alias("grp"), "height", "path", "root", F.col("digest").alias("subroot"))
-    )
+    heads = numbered(subroots.select(every, "own", "digest"), "grp", [F.col("own")], "merkle-heads")
+    upper_runs, root = _up(heads.withColumn("item", F.col("own")), heads.count(), "merkle-upper")
+    root = root.select("grp", "height", "item", F.col("digest").alias("root"), F.array().cast(_STEPS).alias("path"))
+    proven = _down(upper_runs, stored(root, "merkle-root"), ["root"])
+    proven = subroots.join(proven.withColumnRenamed("item", "own"), "own")
+    proven = proven.select(F.col("own").alias("grp"), "height", "item", "path", "root", F.col("digest").alias("subroot"))
     proofs = _down(runs, stored(proven, "merkle-proven"), ["root", "subroot"])
-    return placed.join(proofs, ["grp", "place"]).select(
-        "doc_id", F.col("digest").alias("leaf"), "claim", "subroot", "root", "path"
-    )
+    return proofs.select("item.doc_id", F.col("item.digest").alias("leaf"), "item.claim", "subroot", "root", "path")
 
 
 def folded(digest: str = "claim", path: str = "path") -> Column:

@@ -27,7 +27,7 @@ from reelmetrics.llm.common import ship_package, stored, whole_text
 from reelmetrics.llm.ranking import numbered
 
 #: A container of more conversations bursts.
-BURST = 1000
+BURST = 256
 #: Turns of a conversation whose prefixes one task forms.
 CHUNK = 4096
 # Conversations start like the first of their hundred, with fewer than six turns of it.
@@ -37,7 +37,7 @@ NODE = ["depth", "x1", "x2"]
 
 
 def turn_ids(conversations: DataFrame) -> DataFrame:
-    """``conv_id, place, id1, id2, chars``: the turns, numbered from 0 by conversation. Stored.
+    """``conv_id, place, n, id1, id2, chars``: the turns, numbered from 0 of n by conversation. Stored.
 
     Turns are ordered by ``turn``, null first; turns with one number by role, then by a hash of
     role and text. A null role or text is empty. Rows without a conversation take no part.
@@ -64,7 +64,7 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     absent, and goes on with its own turns after its first h.
     """
     h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % MOST_GIVEN
-    lengths = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    lengths = turns.filter("place = 0").select("conv_id", "n")
     firsts = lengths.select(F.col("conv_id").alias("first"), F.col("n").alias("n_first"))
     convs = stored(
         lengths.withColumns({"h": h, "first": F.col("conv_id") - F.col("conv_id") % HUNDRED})

@@ -9,13 +9,13 @@ from reelmetrics.llm.common import stored
 
 
 def numbered(df: DataFrame, group: str, order: list[Column], name: str) -> DataFrame:
-    """The rows with ``place``: 0, 1, 2 ... within each group, in the given order. Stored.
+    """The rows with ``place``, 0, 1, 2 ... within each group in the given order, and ``n``, the rows of the group. Stored.
 
     Rows are dealt by ranges of group and order, so a group with most of all rows lies in many
     partitions. A place is the place within the partition plus the rows of the group in
     earlier partitions, which are summed over one row per group and partition. ``group``
     names a column without nulls. Rows that are equal in group and order may swap places. The
-    columns ``part`` and ``at`` must be free.
+    columns ``part``, ``at``, ``first`` and ``before`` must be free.
     """
     dealt = stored(
         df.repartitionByRange(F.col(group), *order)
@@ -27,7 +27,13 @@ def numbered(df: DataFrame, group: str, order: list[Column], name: str) -> DataF
     spans = (
         dealt.groupBy(group, "part")
         .agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("rows"))
-        .select(group, "part", "first", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
+        .select(
+            group,
+            "part",
+            "first",
+            F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"),
+            F.sum("rows").over(Window.partitionBy(group)).alias("n"),
+        )
     )
     placed = dealt.join(spans, [group, "part"]).withColumn("place", F.col("at") - F.col("first") + F.col("before"))
     return stored(placed.drop("part", "at", "first", "before"), name)

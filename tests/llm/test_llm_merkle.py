@@ -1,0 +1,122 @@
+"""The Merkle manifest against a tree that is built in plain Python."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from reelmetrics.llm import merkle
+from reelmetrics.llm.ranking import numbered
+
+
+def _h(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _leaf(values):
+    return _h("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def _raise(digests, paths):
+    """The last digest of a level of nodes; adds to the path of each the runs on the way."""
+    members = [[i] for i in range(len(digests))]
+    while len(digests) > 1:
+        up, above = [], []
+        for at in range(0, len(digests), 8):
+            run = digests[at : at + 8]
+            for k in range(len(run)):
+                for i in members[at + k]:
+                    paths[i].append(("".join(run[:k]), "".join(run[k + 1 :])))
+            up.append(_h("".join(run)))
+            above.append([i for k in range(len(run)) for i in members[at + k]])
+        digests, members = up, above
+    return digests[0]
+
+
+def _plain(rows):
+    """``doc_id, leaf, subroot, root, path`` of rows ``doc_id, text, lang, source, n_chars``."""
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append((r[0], _leaf((r[0], r[3], r[2], r[4], r[1]))))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    subroots, paths = [], {}
+    for g in names:
+        groups[g].sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        paths[g] = [[] for _ in groups[g]]
+        subroots.append(_raise([leaf for _, leaf in groups[g]], paths[g]))
+    upper = [[] for _ in names]
+    root = _raise(subroots, upper) if names else None
+    return [
+        (doc, leaf, subroots[n], root, path + upper[n])
+        for n, g in enumerate(names)
+        for (doc, leaf), path in zip(groups[g], paths[g])
+    ]
+
+
+def _got(df):
+    return [(r.doc_id, r.leaf, r.subroot, r.root, [tuple(s) for s in r.path]) for r in df.collect()]
+
+
+def _rows(df):
+    return [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in df.collect()]
+
+
+def test_documents(spark, docs):
+    assert sorted(_got(merkle.merkle_manifest(docs))) == sorted(_plain(_rows(docs)))
+
+
+def test_odd_rows(odd):
+    assert sorted(_got(merkle.merkle_manifest(odd)), key=repr) == sorted(_plain(_rows(odd)), key=repr)
+
+
+def test_nothing(nothing):
+    assert merkle.merkle_manifest(nothing).collect() == []
+
+
+@pytest.mark.parametrize("n", [1, 9, 600])
+def test_sizes(spark, n):
+    """One language holds most rows; many others hold one each, so that the upper tree has levels, too."""
+    rows = [(i, f"text {i}", "en" if i % 10 else f"l{i}", None, i) for i in range(n)]
+    random.Random(n).shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert sorted(_got(merkle.merkle_manifest(df.repartition(7)))) == sorted(_plain(rows))
+
+
+def test_a_changed_text_does_not_lead_to_the_root(spark):
+    rows = [(i, t, "en", "s", 3) for i, t in enumerate(["Abc", "abc", None, "", "ÄB", "x"] * 20)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    proven = merkle.merkle_manifest(df, claim=merkle.lower_case_some())
+    got = {r.doc_id: r.root == r.folded for r in proven.withColumn("folded", merkle.folded()).collect()}
+
+    def harmless(i, text):
+        tampered = zlib.crc32(str(i).encode()) % 3 == 0 and text is not None
+        return not tampered or text == "".join(c.lower() if c.isascii() else c for c in text)
+
+    assert got == {r[0]: harmless(r[0], r[1]) for r in rows}
+    assert set(got.values()) == {True, False}
+
+
+def test_folding_and_proof_text(spark):
+    df = spark.sql("SELECT 'd' AS claim, array(named_struct('left', 'a', 'right', ''), named_struct('left', 'b', 'right', 'c')) AS path")
+    r = df.select(merkle.folded().alias("f"), merkle.proof_text().alias("p")).first()
+    assert (r.f, r.p) == (_h("b" + _h("ad") + "c"), "abc")
+
+
+def test_groups_are_small_and_texts_stay(spark, docs):
+    text = merkle.merkle_manifest(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert "text#" not in text  # digests are read from the stored leaves
+
+
+def test_places_of_a_hot_group(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("g"), F.col("id").alias("v"))
+    got = {}
+    for r in numbered(df, "g", [F.desc("v")], "places").collect():
+        got.setdefault(r.g, {})[r.place] = r.v
+    for g, places in got.items():
+        assert sorted(places) == list(range(len(places)))
+        values = [places[k] for k in sorted(places)]
+        assert values == sorted(values, reverse=True)
+    assert len(got[-1]) == 3333

@@ -24,6 +24,9 @@ COLUMNS = {
     "op7_decontamination": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
     "op8_lm": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
     "op9_exact_dedup": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
+    "op11_ngram_join": "doc_id bigint, n_shingles bigint, component_id bigint",
+    "op12_merkle": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+    "op13_conversation_trie": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ends_sha256 string",
     "op10_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
 }
 
@@ -42,7 +45,8 @@ def test_query(spark, name):
         assert dict(df.dtypes)[field] == kind
     table = "pages" if name == "op1_warc" else "documents"
     rows = df.collect()
-    assert len(rows) == spark.read.parquet(f"{DIR}/{table}.parquet").count()
+    if name != "op13_conversation_trie":
+        assert len(rows) == spark.read.parquet(f"{DIR}/{table}.parquet").count()
     if name not in queries.ORACLE_SQL:
         return
     con = duckdb.connect()
