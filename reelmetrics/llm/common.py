@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import pathlib
 import string
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,12 +73,28 @@ def ship_package(spark: SparkSession) -> None:
     context._ships_reelmetrics = True
 
 
+@contextlib.contextmanager
+def _shuffle_files_go(spark: SparkSession) -> Iterator[None]:
+    """Let Spark delete the shuffle files of each query that ends inside."""
+    option = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(option, None)
+    spark.conf.set(option, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(option)
+        else:
+            spark.conf.set(option, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written below the shared folder and read again.
 
     This cuts the lineage: what follows never computes the rows anew, and a lost executor
-    takes nothing along.
+    takes nothing along. So the shuffle files behind the rows can go as soon as they are written.
     """
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with _shuffle_files_go(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,7 +1,9 @@
 """License scan: exact phrases, and an exact set-similarity join with license templates.
 
-Native: only DataFrame functions. Blocks are lines; a template is contained in a block as far
-as its distinct words occur there.
+Native: only DataFrame functions. A block is any run of as many words as the template has, and a quarter
+more, wherever it begins and whatever lines it spans; a template is contained in a block as far as its
+distinct words occur there. So a notice is found however it is wrapped, and words that are
+scattered over a long text make none.
 """
 
 from __future__ import annotations
@@ -62,67 +64,81 @@ def _min_overlap(size: int, threshold: float) -> int:
     return max(1, math.ceil(threshold * size - 1e-9))
 
 
-def _template_blocks(docs: DataFrame, text_col: str, vocabulary: list[str]) -> DataFrame:
-    """Per line: the text's key, the line's number and its distinct words that any template has."""
-    text = lower_ascii(whole_text(text_col))
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    return (
-        docs.select(text.alias("text"))
-        .select(F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("key"), F.posexplode(F.split("text", "\n")).alias("block", "line"))
-        .select("key", "block", F.array_intersect(F.split(F.regexp_replace("line", NOT_WORD, " "), " "), known).alias("tokens"))
-        .filter(F.size("tokens") > 0)
-    )
+def block_words(template: str) -> int:
+    """The words of a block for a template: its own, and a quarter more."""
+    return math.ceil(len(template.split()) * 1.25)
+
+
+def _distinct_words(docs: DataFrame, text_col: str, vocabulary: list[str]) -> DataFrame:
+    """Per text its distinct words that any template has."""
+    known = F.array(*[F.lit(w) for w in vocabulary]).cast("array<string>")
+    return docs.select(F.array_intersect(_words(lower_ascii(whole_text(text_col))), known).alias("tokens"))
 
 
 def template_matches(
     docs: DataFrame, text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = 0.8
 ) -> DataFrame:
-    """Every (text, line, template) with containment of at least ``threshold``.
-
-    ``key`` is the SHA-256 of the lower-cased text, ``block`` the line from 0, ``label`` the
-    template, ``containment`` the share of its distinct words that the line has. The join is
-    exact. Words are ordered by their frequency over all lines, the rarest first; a line that
-    holds o of a template's m words has one of its m - o + 1 rarest, so only these are joined.
-    The length filter drops lines with fewer than o template words, the positional one pairs
-    that can't reach o words at the places where they meet. Words outside all templates can't
-    add to an overlap and are left out before. Repeated texts give repeated rows; null is the
-    empty text, which has no match. Templates without words never match.
+    """``key, label, start, containment`` for each text and template with a block of at least ``threshold``.
+
+    ``key`` is the SHA-256 of the lower-cased text; ``containment`` is the largest share of the template's distinct
+    words that a block holds, and ``start`` where the first such block begins that begins with one of them (words
+    from 0). The join is exact. Words are ordered by the number of texts that have them, the rarest
+    first; a block that holds o of a template's m words has one of its m - o + 1 rarest, so blocks
+    around these alone are looked at. The length filter drops surroundings with fewer than o of the
+    template's words, the positional one those that can't reach o words beside the one that is
+    met: it has a place in the template's order, and what is rarer must be there as well to count.
+    Repeated texts give one row; null is the empty text, which has no match. Templates without words
+    never match.
     """
-    words = {label: sorted(set(t.split())) for label, t in (TEMPLATES if templates is None else templates).items()}
-    words = {label: tokens for label, tokens in words.items() if tokens}
+    texts = {label: t.split() for label, t in (TEMPLATES if templates is None else templates).items() if t.split()}
     spark = docs.sparkSession
+    none = "key binary, label string, start int, containment double"
+    if not texts:
+        return spark.createDataFrame([], none)
+    words = {label: sorted(set(t)) for label, t in texts.items()}
     vocabulary = sorted({w for tokens in words.values() for w in tokens})
-    blocks = _template_blocks(docs, text_col, vocabulary)
     # At most one row per word of the templates.
-    counts = {r[0]: r[1] for r in blocks.select(F.explode("tokens")).groupBy("col").count().collect()}
-    order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
-    rank = {w: i for i, w in enumerate(order)}
+    counts = {r[0]: r[1] for r in _distinct_words(docs, text_col, vocabulary).select(F.explode("tokens")).groupBy("col").count().collect()}
+    order = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
 
     prefixes = []
     for label, tokens in words.items():
-        ranks, least = sorted(rank[w] for w in tokens), _min_overlap(len(tokens), threshold)
-        prefixes += [(r, i, least, ranks, label) for i, r in enumerate(ranks[: len(ranks) - least + 1])]
-    schema = "rank int, at int, least int, ranks array<int>, label string"
-    prefix = spark.createDataFrame(prefixes, schema)
-    fewest = min((p[2] for p in prefixes), default=1)
-
-    ranks_of = F.create_map(*[F.lit(x) for w, i in rank.items() for x in (w, i)]) if rank else F.create_map().cast("map<string,int>")
-    ranked = (
-        blocks.filter(F.size("tokens") >= fewest)
-        .select("key", "block", F.array_sort(F.transform("tokens", lambda w: ranks_of[w])).alias("held"))
-        .select("key", "block", "held", F.posexplode("held").alias("held_at", "rank"))
+        ranked, least = sorted(tokens, key=order.__getitem__), _min_overlap(len(tokens), threshold)
+        size = block_words(" ".join(texts[label]))
+        prefixes += [(w, i, least, size, ranked, label) for i, w in enumerate(ranked[: len(ranked) - least + 1])]
+    prefix = spark.createDataFrame(prefixes, "word string, at int, least int, size int, ranked array<string>, label string")
+    rare = F.array(*[F.lit(w) for w in sorted({p[0] for p in prefixes})])
+    widest = max(p[3] for p in prefixes)
+
+    # Each place of a rare word with the words around it, so far as any block that holds it can reach.
+    text = lower_ascii(whole_text(text_col))
+    numbered = F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("place")))
+    around = F.slice("words", F.greatest(F.col("found.place") - widest + 2, F.lit(1)), F.least(F.col("found.place"), F.lit(widest - 1)) + widest)
+    met = (
+        docs.select(text.alias("text"))
+        .select(F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("key"), _words(F.col("text")).alias("words"))
+        .filter(F.arrays_overlap("words", rare))
+        .select("key", "words", F.explode(F.filter(numbered, lambda x: F.array_contains(rare, x["word"]))).alias("found"))
+        .select("key", "found.word", "found.place", around.alias("around"))
     )
-    size, held = F.size("ranks"), F.size("held")
-    reach = F.least("at", "held_at") + 1 + F.least(size - 1 - F.col("at"), held - 1 - F.col("held_at"))
-    overlap = F.size(F.array_intersect("held", "ranks"))
     # The templates bound the prefix table: one row per word of a template at most.
+    first = F.greatest(F.col("place") - widest + 1, F.lit(0))
+    near = F.slice("around", F.greatest(F.col("place") - first - F.col("size") + 2, F.lit(1)), F.least(F.col("place") - first, F.col("size") - 1) + F.col("size"))
+    joined = met.join(F.broadcast(prefix), "word").select(
+        "key", "label", "at", "least", "size", "ranked", "place", near.alias("near"), F.greatest(F.col("place") - F.col("size") + 1, F.lit(0)).alias("first")
+    )
+    rarer = F.size(F.array_intersect("near", F.slice("ranked", F.lit(1), F.col("at"))))
+    reach = rarer + F.size("ranked") - F.col("at")
+    fitting = joined.filter((F.size(F.array_intersect("near", "ranked")) >= F.col("least")) & (reach >= F.col("least")))
+    # Blocks that hold the place and begin with a word of the template.
+    begins = F.filter(F.sequence(F.lit(0), F.col("place") - F.col("first")), lambda i: F.array_contains("ranked", F.get("near", i)))
+    shares = F.transform(begins, lambda i: F.struct(F.size(F.array_intersect(F.slice("near", i + 1, F.col("size")), "ranked")).alias("n"), (-i).alias("i")))
+    best = fitting.select("key", "label", "least", "first", F.size("ranked").alias("m"), F.array_max(shares).alias("best"))
     return (
-        ranked.join(F.broadcast(prefix), "rank")
-        .filter((held >= F.col("least")) & (reach >= F.col("least")))
-        .withColumn("overlap", overlap)
-        .filter("overlap >= least")
-        .select("key", "block", "label", (F.col("overlap") / size).alias("containment"))
-        .distinct()
+        best.filter(F.col("best.n") >= F.col("least"))
+        .groupBy("key", "label")
+        .agg(F.max(F.struct(F.col("best.n").alias("n"), (F.col("best.i") - F.col("first")).alias("i"), "m")).alias("top"))
+        .select("key", "label", (-F.col("top.i")).alias("start"), (F.col("top.n") / F.col("top.m")).alias("containment"))
     )
 
 

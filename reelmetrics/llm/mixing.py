@@ -29,6 +29,9 @@ def domain_of_labels() -> Column:
     return F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 0)
 
 
+#: The bounds of a rate: a document that is as likely as any to be of the first domain keeps ``FLOOR`` at least,
+#: and none is used more than ``CAP`` times.
+FLOOR, CAP = 0.05, 20.0
 #: Parts of a Newton step that one pass tries, and the weight of the term that keeps multipliers finite.
 SHORTER = 0.5 ** np.arange(10)
 SOFT = 1e-9
@@ -144,11 +147,8 @@ def learn_domains(
     return Classifier(domains, evidence, mean, scale, _softmax_fit(z, table.column("domain").to_numpy(), domains))
 
 
-def membership(
-    docs: DataFrame, classifier: Classifier | None, domains: int, text_col: str = "text", steps: Steps = ()
-) -> Column:
-    """A struct ``p, n_tokens, rate``: the posterior over the domains, the number of words between
-    blanks, and the rate after some gradient steps.
+def membership(docs: DataFrame, classifier: Classifier | None, domains: int, text_col: str = "text") -> Column:
+    """A struct ``p, n_tokens``: the posterior over the domains and the number of words between blanks.
 
     Without a classifier all domains are equally likely.
     """
@@ -160,29 +160,45 @@ def membership(
         p = np.full((len(values), domains), 1 / domains)
         if fitted and values:
             p = fitted.posterior(np.array([fitted.inputs(t) for t in values]))
-        columns = [
-            pa.array(list(p), pa.list_(pa.float64())),
-            pa.array([len(t.split()) for t in values], pa.int64()),
-            pa.array(rates(p, steps), pa.float64()),
-        ]
-        return pa.StructArray.from_arrays(columns, ["p", "n_tokens", "rate"])
+        columns = [pa.array(list(p), pa.list_(pa.float64())), pa.array([len(t.split()) for t in values], pa.int64())]
+        return pa.StructArray.from_arrays(columns, ["p", "n_tokens"])
 
     # A filter on the result must not make Spark judge every text twice.
-    once = F.arrow_udf(judged, "struct<p: array<double>, n_tokens: bigint, rate: double>").asNondeterministic()
+    once = F.arrow_udf(judged, "struct<p: array<double>, n_tokens: bigint>").asNondeterministic()
     return once(whole_bytes(text_col))
 
 
 # -- the rates -----------------------------------------------------------------------------
 
 
-def rates(p: np.ndarray, steps: Steps) -> np.ndarray:
-    """Rates after some gradient steps: they begin at 1 and never fall below 0.
+@dataclass(frozen=True)
+class Bounds:
+    """Rates lie between 0 and ``cap``, those of documents that may well be of the first domain above ``floor``.
+
+    That is where the first domain has an even share of the posterior or more.
+    """
+
+    floor: float = 0.0
+    cap: float = np.inf
+
+    def lowest(self, p: np.ndarray) -> np.ndarray:
+        return np.where(p[:, 0] * p.shape[1] >= 1 - 1e-9, self.floor, 0.0)
+
+    def apply(self, r: np.ndarray, p: np.ndarray) -> np.ndarray:
+        return np.minimum(np.maximum(r, self.lowest(p)), self.cap)
+
+
+FREE = Bounds()
+
+
+def rates(p: np.ndarray, steps: Steps, bounds: Bounds = FREE) -> np.ndarray:
+    """Rates after some gradient steps: they begin at 1 and stay within their bounds.
 
     A step is the momentum, which carries on the last change, and the gradient by domain.
     """
     now = before = np.ones(len(p))
     for momentum, gradient in steps:
-        now, before = np.maximum(0, now + momentum * (now - before) - p @ gradient), now
+        now, before = bounds.apply(now + momentum * (now - before) - p @ gradient, p), now
     return now
 
 
@@ -201,17 +217,23 @@ def _summed(rows: DataFrame, domains: int, part) -> np.ndarray:
 
 
 def _last_step(
-    rows: DataFrame, steps: Steps, gram: np.ndarray, target: np.ndarray, tolerance: float, most: int = 200
+    rows: DataFrame,
+    steps: Steps,
+    gram: np.ndarray,
+    target: np.ndarray,
+    tolerance: float,
+    bounds: Bounds = FREE,
+    most: int = 60,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """The step m after which rates meet the targets exactly, and the totals that it leads to.
+    """The step m after which rates meet the targets, and the totals that it leads to.
 
-    Among all rates r >= 0 that meet the targets, those nearest to the rates q so far, by the sum of
-    n (r - q)^2, are r = max(0, q - p m), where m minimises a convex function of one number per domain,
-    whose gradient is target - S(r). Newton steps find it: one pass over the documents gives value,
+    Among all rates r within their bounds that meet the targets, those nearest to the rates q so far, by the
+    sum of n (r - q)^2, are q - p m, cut at the bounds, where m minimises a convex function of one number
+    per domain, whose gradient is target - S(r). Newton steps find it: one pass over the documents gives value,
     gradient and curvature after a whole step and shorter ones, and the best of them is taken. A
     term of weight ``SOFT`` keeps m finite where no rates meet the targets, and leads to the closest totals
-    then. The search ends where the gradient vanishes, which proves the minimum, and fails if
-    it can't get there.
+    then. The search ends where the gradient vanishes, which proves the minimum, or where no
+    step makes the value smaller, and gives the best point that it has seen.
     """
     k, scale = len(target), max(target.sum(), np.trace(gram))
 
@@ -219,10 +241,13 @@ def _last_step(
         """Per point the value without its linear and soft terms, the totals and the curvature."""
 
         def part(p: np.ndarray, n: np.ndarray) -> np.ndarray:
-            q, out = rates(p, steps), []
+            q, low, out = rates(p, steps, bounds), bounds.lowest(p), []
             for m in points:
-                r = np.maximum(0, q - p @ m)
-                out += [(n * r * r).sum() / 2, *(n * r) @ p, *((p * (n * (r > 0))[:, None]).T @ p).reshape(-1)]
+                force = p @ m
+                r = bounds.apply(q - force, p)
+                inner = n * ((r > low) & (r < bounds.cap))
+                value = -(n * ((r - q) ** 2 / 2 + r * force)).sum()
+                out += [value, *(n * r) @ p, *((p * inner[:, None]).T @ p).reshape(-1)]
             return np.array(out)
 
         return _summed(rows, k, part).reshape(-1, 1 + k + k * k) / scale
@@ -235,7 +260,7 @@ def _last_step(
     for _ in range(most):
         gradient = reach - now[1 : 1 + k] + SOFT * metric @ m
         if np.abs(gradient).max() <= tolerance * target.sum() / scale:
-            return m, now[1 : 1 + k] * scale
+            break
         curvature = now[1 + k :].reshape(k, k) + SOFT * metric
         points = m - SHORTER[:, None] * (np.linalg.pinv(curvature, rcond=1e-14, hermitian=True) @ gradient)
         found = at(points)
@@ -244,21 +269,22 @@ def _last_step(
         if not values[best] < value:
             break
         m, value, now = points[best], values[best], found[best]
-    raise RuntimeError(f"the mixing rates did not converge; the gradient is {np.abs(gradient).max() * scale / target.sum():.3g} of the target")
+    return m, now[1 : 1 + k] * scale
 
 
 def solve_rates(
-    rows: DataFrame, weights: np.ndarray, max_steps: int = 40, tolerance: float = 1e-5
+    rows: DataFrame, weights: np.ndarray, max_steps: int = 40, tolerance: float = 1e-5, bounds: Bounds = FREE
 ) -> tuple[Steps, np.ndarray]:
     """Steps that lead rows ``p, n_tokens`` to the target weights, and the gap that stays by domain.
 
     Minimises the squared distance of the expected domain totals S(r) = sum of r n p from the targets
-    over rates r >= 0, in the metric of G, the inverse of the sum of n p p'. In that metric and with
+    over rates r within ``bounds``, in the metric of G, the inverse of the sum of n p p'. In that metric and with
     tokens as the weight of a document, the gradient of a rate is p G (S - target), and 1 is the
     step that never overshoots. Momentum speeds the steps up; it begins anew when the distance
     grows. All documents add to the sums in the tasks; one number per domain reaches the driver. The
     target total leaves the first domain with the tokens that it has. Where ``max_steps`` gradient steps do
-    not meet the targets, ``_last_step`` goes the rest of the way. The gap is in shares of the target total.
+    not meet the targets, ``_last_step`` goes on, and the better of both ends is taken. The gap is in shares
+    of the target total; it stays where no rates within the bounds meet the targets, and is never an error.
     """
     ship_package(rows.sparkSession)
     k = len(weights)
@@ -268,7 +294,7 @@ def solve_rates(
     metric = np.linalg.pinv(gram.reshape(k, k), rcond=1e-12, hermitian=True)
 
     def totals_after(steps: Steps) -> np.ndarray:
-        return _summed(rows, k, lambda p, n: (p * (n * rates(p, steps))[:, None]).sum(axis=0))
+        return _summed(rows, k, lambda p, n: (p * (n * rates(p, steps, bounds))[:, None]).sum(axis=0))
 
     steps: Steps = ()
     now = before = totals_after(steps)
@@ -278,19 +304,22 @@ def solve_rates(
         last, distance = distance, float((now - target) @ metric @ (now - target))
         run = 0 if distance > last else run + 1
         momentum = max(0.0, (run - 2) / (run + 1))
-        # Totals are linear in the rates, so those at the point ahead need no pass.
+        # Totals of rates that no bound cuts are linear in the rates, so those at the point ahead need no pass.
         ahead = now + momentum * (now - before)
         steps = (*steps, (momentum, metric @ (ahead - target)))
         now, before = totals_after(steps), now
     if np.abs(now - target).max() > tolerance * target.sum():
-        last, now = _last_step(rows, steps, gram.reshape(k, k), target, tolerance / 10)
-        steps = (*steps, (0.0, last))
+        last, after = _last_step(rows, steps, gram.reshape(k, k), target, tolerance / 10, bounds)
+        if np.abs(after - target).max() < np.abs(now - target).max():
+            steps, now = (*steps, (0.0, last)), after
     return steps, (now - target) / max(target.sum(), 1.0)
 
 
-def fit_rates(rows: DataFrame, weights: np.ndarray, max_steps: int = 40, tolerance: float = 1e-5) -> Steps:
+def fit_rates(
+    rows: DataFrame, weights: np.ndarray, max_steps: int = 40, tolerance: float = 1e-5, bounds: Bounds = FREE
+) -> Steps:
     """The steps of ``solve_rates``."""
-    return solve_rates(rows, weights, max_steps, tolerance)[0]
+    return solve_rates(rows, weights, max_steps, tolerance, bounds)[0]
 
 
 @dataclass
@@ -300,8 +329,19 @@ class Fit:
     steps: Steps
     #: Shares of the target total by domain, by which the totals miss their targets.
     gap: np.ndarray
-    #: ``doc_id, p, n_tokens`` of all documents, stored.
+    #: The rows of the documents with ``p`` and ``n_tokens``, stored.
     rows: DataFrame
+    bounds: Bounds
+
+    def rate(self) -> Column:
+        """The rate of a row of ``rows``."""
+        domains, steps, bounds = len(self.weights), self.steps, self.bounds
+
+        @F.arrow_udf("double")
+        def fitted(p: pa.Array) -> pa.Array:
+            return pa.array(rates(p.flatten().to_numpy(zero_copy_only=False).reshape(-1, domains), steps, bounds), pa.float64())
+
+        return fitted("p")
 
 
 def fit_mixture(
@@ -311,57 +351,58 @@ def fit_mixture(
     text_col: str = "text",
     targets: Mapping[str, float] | None = None,
     domain: Column | None = None,
-    **bounds,
+    kept: Mapping[str, Column] | None = None,
+    bounds: Bounds = Bounds(FLOOR, CAP),
+    **limits,
 ) -> Fit:
-    """Learn the domains, judge all documents and fit their rates.
+    """Learn the domains, judge each document once and fit their rates.
 
     ``targets`` gives the wanted share of tokens by domain; ``domain`` is the number of a row's
-    domain in that order, from the labelled table.
+    domain in that order, from the labelled table. ``kept`` names what is stored of a document beside
+    ``p`` and ``n_tokens``.
     """
     targets = TARGETS if targets is None else targets
     weights = np.array(list(targets.values())) / sum(targets.values())
     if (weights < 0).any() or weights[0] <= 0:
         raise ValueError("weights are not negative, and the first is positive")
     classifier = learn_domains(
-        docs, labels, len(weights), domain_of_labels() if domain is None else domain, id_col, text_col, **bounds
+        docs, labels, len(weights), domain_of_labels() if domain is None else domain, id_col, text_col, **limits
     )
-    judged = docs.select(F.col(f"`{id_col}`").alias("doc_id"), membership(docs, classifier, len(weights), text_col).alias("mix"))
-    rows = stored(judged.select("doc_id", "mix.p", "mix.n_tokens"), "membership")
-    steps, gap = solve_rates(rows, weights)
+    kept = {"doc_id": F.col(f"`{id_col}`")} if kept is None else kept
+    judged = docs.select(
+        F.struct(*[c.alias(n) for n, c in kept.items()]).alias("kept"), membership(docs, classifier, len(weights), text_col).alias("mix")
+    )
+    rows = stored(judged.select("kept", "mix.p", "mix.n_tokens"), "membership")
+    steps, gap = solve_rates(rows, weights, bounds=bounds)
     if np.abs(gap).max() > 1e-5:
-        warnings.warn(f"no rates meet the targets; the closest miss them by {dict(zip(targets, gap.tolist()))}", stacklevel=2)
-    return Fit(classifier, weights, steps, gap, rows)
+        missed = dict(zip(targets, gap.tolist()))
+        warnings.warn(f"no rates from {bounds.floor} to {bounds.cap} meet the targets; those found miss them by {missed}", stacklevel=2)
+    return Fit(classifier, weights, steps, gap, rows, bounds)
 
 
 def mix(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """One row per document: ``doc_id, p, n_tokens, rate``; for the options see ``fit_mixture``.
 
     ``p`` has the posterior of each domain. A rate is how often a document is expected to be used;
-    0 leaves it out.
+    0 leaves it out. Rates are ``CAP`` at most, and ``FLOOR`` at least for documents that may well be of
+    the first domain, so no fit empties that domain.
 
     Null text counts as empty: it has no tokens, but a rate. Rows that repeat an id are judged by
     their texts; equal texts have equal rates. Null ids and labels teach nothing; without labels all
-    domains are equally likely. If targets can't be met by any rates, the closest are found, with a warning. An
-    empty table gives an empty result. Other columns are not read.
+    domains are equally likely. If targets can't be met within the bounds, rates that come close are found,
+    with a warning. An empty table gives an empty result. Other columns are not read.
     """
     fit = fit_mixture(docs, labels, **options)
-    domains, steps = len(fit.weights), fit.steps
-
-    @F.arrow_udf("double")
-    def rate(p: pa.Array) -> pa.Array:
-        return pa.array(rates(p.flatten().to_numpy(zero_copy_only=False).reshape(-1, domains), steps), pa.float64())
-
-    return fit.rows.select("doc_id", "p", "n_tokens", rate("p").alias("rate"))
+    return fit.rows.select("kept.doc_id", "p", "n_tokens", fit.rate().alias("rate"))
 
 
 def mixture(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents with a rate above 0, with all their columns, ``mix_rate`` and ``mix_domains``.
 
-    Columns of these two names are replaced. Odd rows are treated as in ``mix``.
+    Columns of these two names are replaced. Odd rows are treated as in ``mix``. The documents are stored
+    once more on the way, with their posteriors.
     """
-    fit = fit_mixture(docs, labels, **options)
     names = [c for c in docs.columns if c not in ("mix_rate", "mix_domains")]
-    text = F.col(f"`{options.get('text_col', 'text')}`")
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), text.alias("text"))
-    mixed = inner.select("row", membership(inner, fit.classifier, len(fit.weights), "text", fit.steps).alias("mix"))
-    return mixed.filter("mix.rate > 0").select("row.*", F.col("mix.rate").alias("mix_rate"), F.col("mix.p").alias("mix_domains"))
+    fit = fit_mixture(docs, labels, kept={c: F.col(f"`{c}`") for c in names}, **options)
+    mixed = fit.rows.select("kept", "p", fit.rate().alias("mix_rate"))
+    return mixed.filter("mix_rate > 0").select("kept.*", "mix_rate", F.col("p").alias("mix_domains"))

@@ -1,10 +1,10 @@
 """Documents whose sets of word n-grams are similar, found by filters under several global orders.
 
 For a Jaccard similarity of ``percent`` or more, the sets of two documents must share a token among
-their first few under *any* order of all tokens. Three orders are used: by rarity, and by two
-hashes. Pairs that meet in the prefix by rarity are candidates; they must fit in length and
-position and share a token in each of the two hash prefixes as well. Only what passes all
-filters is compared token by token.
+their first few under *any* order of all tokens, and more of them in longer prefixes. Three orders are
+used: by rarity, and by two hashes. Pairs that meet in the prefix by rarity are candidates; they must
+fit in length and position and share enough tokens in each of the two hash prefixes as well, which
+texts with a common passage do not. Only what passes all filters is compared token by token.
 
 Rarity is read from a table of counts of a fixed width, so it is a bounded broadcast. Tokens that
 fall on one count are ordered by their hash: any order gives the same links, a good one fewer
@@ -19,7 +19,7 @@ between components is found, and a group of near copies costs a few comparisons
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,87 +28,49 @@ from pyspark.sql import functions as F
 
 from reelmetrics.llm.common import ship_package, stored, whole_bytes, whole_text
 from reelmetrics.llm.components import components
+from reelmetrics.llm.wordhash import blocks, hash_places, mixed, words_of_texts
 
 SHINGLE_WORDS, PERCENT = 3, 90
-#: Counters of the table of token counts: 16 bits each, sent in slices.
-WIDTH, SLICE = 1 << 22, 1 << 16
-#: Bytes of a text that are hashed at a time, and letters of a word that are hashed as columns.
-BLOCK, LONG_WORD = 1 << 20, 64
+#: Counters of the table of token counts, a byte each, and how many are sent at a time.
+WIDTH, SLICE, MOST = 1 << 25, 1 << 18, 255
 #: A list of candidate documents up to this length (16 bytes each) is broadcast.
 BROADCAST_KEYS = 1_000_000
+#: Bytes of texts that are hashed at a time.
+BLOCK = 1 << 20
 #: Members of a bucket that lead in a round, and rounds at most.
 LEADERS, ROUNDS = 4, 12
 
 KEY = ["k1", "k2"]
 
-_RANDOM = np.random.default_rng(2026)
-_BYTE_HASH = _RANDOM.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-_PLACE_HASH = _RANDOM.integers(1, 1 << 63, LONG_WORD, np.uint64) * np.uint64(2) + np.uint64(1)
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, *range(0x09, 0x0E)]] = True
-
-
 # -- tokens ----------------------------------------------------------------------------
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers in which every bit depends on all others."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _block_hashes(data: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the words of some bytes; words end at blanks."""
-    blank = _BLANK[data]
-    edges = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
-    starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    lengths = ends - starts
-    letters = np.flatnonzero(~blank)
-    firsts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    place = np.arange(len(letters)) - np.repeat(firsts, lengths)
-    with np.errstate(over="ignore"):
-        terms = _BYTE_HASH[data[letters]] * _PLACE_HASH[np.minimum(place, LONG_WORD - 1)]
-        hashes = _mixed(np.add.reduceat(terms, firsts) + lengths.astype(np.uint64))
-        for i in np.flatnonzero(lengths > LONG_WORD):
-            word, value = data[starts[i] : ends[i]], np.uint64(lengths[i])
-            for at in range(0, len(word), LONG_WORD):
-                part = word[at : at + LONG_WORD]
-                value = _mixed(value + (_BYTE_HASH[part] * _PLACE_HASH[: len(part)]).sum(dtype=np.uint64))
-            hashes[i] = value
-    return hashes
-
-
-def word_hashes(text: bytes) -> np.ndarray:
-    """64-bit hashes of the words of a text, block by block; A-Z count as a-z."""
-    found, at = [], 0
-    while at < len(text):
-        end = min(at + BLOCK, len(text))
-        # A block ends at a blank, or after the word that is longer than a block.
-        while end < len(text) and text[end] not in b" \t\n\x0b\x0c\r":
-            end += 1
-        found.append(_block_hashes(np.frombuffer(text[at:end].lower(), np.uint8)))
-        at = end
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
-
-
-def shingle_set(text: bytes, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
-    """The distinct word n-grams of a text as ascending 64-bit hashes.
+def shingle_sets(texts: Iterable[bytes], shingle_words: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
+    """For each text its distinct word n-grams as ascending 64-bit hashes.
 
     A text with fewer words is one n-gram, a text without words has none.
     """
-    words = word_hashes(text)
-    n = min(shingle_words, len(words))
-    if not n:
-        return words
+    for run in blocks(texts, BLOCK):
+        data, starts, lengths, bounds = words_of_texts(run)
+        words = hash_places(data, starts, lengths)
+        grams = _joined(words, shingle_words)
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            n = b - a
+            found = grams[a : b - shingle_words + 1] if n >= shingle_words else _joined(words[a:b], n) if n else words[:0]
+            yield np.unique(found)
+
+
+def _joined(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of ``n`` words in a row."""
+    total = np.full(max(0, len(words) - n + 1), np.uint64(n))
     with np.errstate(over="ignore"):
-        total = np.full(len(words) - n + 1, np.uint64(n))
         for k in range(n):
-            total = _mixed(total + words[k : len(words) - n + 1 + k])
-    return np.unique(total)
+            total = mixed(total + words[k : len(words) - n + 1 + k]) if len(total) else total
+    return total
+
+
+def shingle_set(text: bytes, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
+    return next(shingle_sets([text], shingle_words))
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
@@ -116,9 +78,17 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
+def shared_prefix(n: int, percent: int = PERCENT) -> int:
+    """How many first tokens of a set of ``n`` must hold ``prefix_size(n)`` common ones with a similar set of that size or more.
+
+    Each token by which a prefix is longer than ``prefix_size`` is one more that must be shared.
+    """
+    return max(0, 2 * prefix_size(n, percent) - 1)
+
+
 def _second(tokens: np.ndarray) -> np.ndarray:
     """The value that the second hash order sorts by."""
-    return _mixed(tokens ^ np.uint64(0x9E3779B97F4A7C15))
+    return mixed(tokens ^ np.uint64(0x9E3779B97F4A7C15))
 
 
 # -- counts ----------------------------------------------------------------------------
@@ -133,19 +103,19 @@ def _counted(shingle_words: int):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The number of tokens of each text, and then the slices of the task's table of counts."""
-        counts, codec = np.zeros(WIDTH, np.uint32), pa.Codec("zstd")
+        counts, codec = np.zeros(WIDTH, np.uint8), pa.Codec("zstd")
         for batch in batches:
             rows, sizes = batch.column(0), []
-            for text in batch.column(1):
-                tokens = shingle_set(text.as_py(), shingle_words)
+            for tokens in shingle_sets((t.as_py() for t in batch.column(1)), shingle_words):
                 sizes.append(len(tokens))
-                np.add.at(counts, _counters(tokens), 1)
+                at = _counters(tokens)
+                counts[at] += counts[at] < MOST
             none = pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())
             yield pa.RecordBatch.from_arrays([rows, pa.array(sizes, pa.int64()), *none], names)
         for k in range(0, WIDTH, SLICE):
             part = counts[k : k + SLICE]
             if part.any():
-                packed = codec.compress(part.astype("<u4").tobytes(), asbytes=True)
+                packed = codec.compress(part.tobytes(), asbytes=True)
                 none = pa.nulls(1, rows.type), pa.nulls(1, pa.int64())
                 yield pa.RecordBatch.from_arrays([*none, pa.array([k // SLICE], pa.int32()), pa.array([packed], pa.binary())], names)
 
@@ -153,17 +123,14 @@ def _counted(shingle_words: int):
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add up slices of counts as they come."""
+    """Add up slices of counts as they come, up to the largest count."""
     codec, totals = pa.Codec("zstd"), {}
     for batch in batches:
         for k, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            part = np.frombuffer(codec.decompress(packed, 4 * SLICE, asbytes=True), "<u4")
-            if k in totals:
-                totals[k] = np.minimum(totals[k].astype(np.uint64) + part, 0xFFFFFFFF).astype(np.uint32)
-            else:
-                totals[k] = part
+            part = np.frombuffer(codec.decompress(packed, SLICE, asbytes=True), np.uint8).astype(np.uint16)
+            totals[k] = np.minimum(totals[k] + part, MOST) if k in totals else part
     for k, part in totals.items():
-        packed = codec.compress(part.astype("<u4").tobytes(), asbytes=True)
+        packed = codec.compress(part.astype(np.uint8).tobytes(), asbytes=True)
         yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([packed], pa.binary())], ["slice", "counts"])
 
 
@@ -176,10 +143,10 @@ def rarity_table(slices: DataFrame) -> np.ndarray:
     lane = F.pmod(F.xxhash64("counts"), F.lit(32)).alias("lane")
     lanes = slices.repartition("slice", lane).mapInArrow(_summed, kind)
     sums = lanes.repartition("slice").mapInArrow(_summed, kind)
-    codec, table = pa.Codec("zstd"), np.zeros(WIDTH, np.uint32)
+    codec, table = pa.Codec("zstd"), np.zeros(WIDTH, np.uint8)
     for r in sums.toLocalIterator():
-        table[r.slice * SLICE : (r.slice + 1) * SLICE] = np.frombuffer(codec.decompress(bytes(r.counts), 4 * SLICE, asbytes=True), "<u4")
-    return np.minimum(table, 0xFFFF).astype(np.uint16)
+        table[r.slice * SLICE : (r.slice + 1) * SLICE] = np.frombuffer(codec.decompress(bytes(r.counts), SLICE, asbytes=True), np.uint8)
+    return table
 
 
 # -- prefixes --------------------------------------------------------------------------
@@ -195,11 +162,11 @@ def _rare_prefixes(table, shingle_words: int, percent: int):
             for at in range(0, len(batch), 1000):
                 found: list[list] = [[] for _ in names]
                 part = batch.slice(at, 1000)
-                for k1, k2, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2)):
-                    if (k1, k2) in seen:
-                        continue
-                    seen.add((k1, k2))
-                    tokens = shingle_set(text.as_py(), shingle_words)
+                keys = list(zip(part.column(0).to_pylist(), part.column(1).to_pylist()))
+                fresh = {key: i for i, key in reversed(list(enumerate(keys))) if key not in seen}
+                seen.update(fresh)
+                texts = (part.column(2)[i].as_py() for i in fresh.values())
+                for (k1, k2), tokens in zip(fresh, shingle_sets(texts, shingle_words)):
                     n, p = len(tokens), prefix_size(len(tokens), percent)
                     first = tokens[np.argsort(counts[_counters(tokens)], kind="stable")[:p]].view(np.int64)
                     for column, values in zip(found, (first, np.full(p, k1), np.full(p, k2), np.full(p, n), np.arange(p))):
@@ -214,20 +181,15 @@ def _sets(shingle_words: int, percent: int):
     names = [*KEY, "tokens", "a", "b"]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Whole sets, and 32 bits of each token of the prefixes under the two hash orders."""
+        """Whole sets, and their prefixes under the two hash orders, long enough to hold many common tokens."""
         for batch in batches:
-            k1, k2, texts = batch.columns
-            for at in range(0, len(texts), 200):
-                found = [shingle_set(t.as_py(), shingle_words) for t in texts.slice(at, 200)]
-                a, b = [], []
-                for tokens in found:
-                    p = prefix_size(len(tokens), percent)
-                    a.append((tokens[:p] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
-                    b.append((np.sort(_second(tokens))[:p] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
-                columns = [k1.slice(at, 200), k2.slice(at, 200)]
-                columns.append(pa.array([t.view(np.int64) for t in found], pa.list_(pa.int64())))
-                columns += [pa.array(x, pa.list_(pa.int32())) for x in (a, b)]
-                yield pa.RecordBatch.from_arrays(columns, names)
+            for at in range(0, len(batch), 200):
+                k1, k2, texts = batch.slice(at, 200).columns
+                found = list(shingle_sets((t.as_py() for t in texts), shingle_words))
+                first = [t[: shared_prefix(len(t), percent)] for t in found]
+                second = [np.sort(_second(t))[: shared_prefix(len(t), percent)] for t in found]
+                lists = [pa.array([t.view(np.int64) for t in part], pa.list_(pa.int64())) for part in (found, first, second)]
+                yield pa.RecordBatch.from_arrays([k1, k2, *lists], names)
 
     return sets
 
@@ -260,17 +222,21 @@ def _pairs(joined: DataFrame) -> DataFrame:
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of some pairs that share a token under both hash orders and are similar indeed."""
+    """Those of some pairs that share enough tokens under both hash orders and are similar indeed.
+
+    The prefixes of both hash orders have 2 p - 1 tokens for the p that must meet; so similar
+    sets share the smaller p of theirs, under each order.
+    """
     own = {side: [F.col("k1").alias(f"{side}1"), F.col("k2").alias(f"{side}2")] for side in "xy"}
-    hashed = {
-        side: sets.select(*own[side], F.col("a").alias(f"a{side}"), F.col("b").alias(f"b{side}")) for side in "xy"
-    }
+    hashed = {side: sets.select(*own[side], F.col("a").alias(f"a{side}"), F.col("b").alias(f"b{side}")) for side in "xy"}
     whole = {side: sets.select(*own[side], F.col("tokens").alias(f"t{side}")) for side in "xy"}
+
+    def meet(order: str) -> Column:
+        x, y = f"{order}x", f"{order}y"
+        return F.size(F.array_intersect(x, y)) * 2 > F.least(F.size(x), F.size(y))
+
     left = (
-        pairs.join(hashed["x"], ["x1", "x2"])
-        .join(hashed["y"], ["y1", "y2"])
-        .filter(F.arrays_overlap("ax", "ay") & F.arrays_overlap("bx", "by"))
-        .select(*_PAIR)
+        pairs.join(hashed["x"], ["x1", "x2"]).join(hashed["y"], ["y1", "y2"]).filter(meet("a") & meet("b")).select(*_PAIR)
     )
     compared = left.join(whole["x"], ["x1", "x2"]).join(whole["y"], ["y1", "y2"])
     shared = F.size(F.array_intersect("tx", "ty"))
@@ -398,22 +364,26 @@ def similar_components(
     mates = stored(prefixes.join(met, "token", "left_semi").distinct(), "similar-met")
     mates = _labelled(mates, None, "similar-mates").drop("c1", "c2")
 
-    wanted = stored(mates.select(*KEY).distinct(), "similar-wanted")
-    if wanted.count() <= BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)
-    parts = "k1 bigint, k2 bigint, tokens array<bigint>, a array<int>, b array<int>"
-    sets = texts.join(wanted, KEY, "left_semi").mapInArrow(_sets(shingle_words, percent), parts)
-    sets = stored(sets.groupBy(*KEY).agg(*[F.first(c).alias(c) for c in ("tokens", "a", "b")]), "similar-sets")
+    least = stored(rows.groupBy(*KEY).agg(F.min("doc_id").alias("least")), "similar-keys")
+    # Of equal texts, that with the smallest id gives the set.
+    wanted = stored(mates.select(*KEY).distinct().join(least, KEY).withColumnsRenamed({"k1": "w1", "k2": "w2"}), "similar-wanted")
+    n_wanted = wanted.count()
+    wanted = F.broadcast(wanted) if n_wanted <= BROADCAST_KEYS else wanted
+    named = docs.select(F.col(f"`{id_col}`").alias("id"), *keys, whole_bytes(text_col).alias("text"))
+    own = (named["k1"] == wanted["w1"]) & (named["k2"] == wanted["w2"]) & named["id"].eqNullSafe(wanted["least"])
+    sets = named.join(wanted, own, "left_semi").select(*KEY, "text")
+    sets = stored(sets.mapInArrow(_sets(shingle_words, percent), "k1 bigint, k2 bigint, tokens array<bigint>, a array<bigint>, b array<bigint>"), "similar-sets")
+    if sets.count() > n_wanted:  # rows that repeat id and text
+        sets = stored(sets.dropDuplicates(KEY), "similar-sets")
     linked = similar_links(mates, sets, percent)
 
-    least = rows.groupBy(*KEY).agg(F.min("doc_id").alias("least"))
     if linked is None:
-        named = least.withColumnRenamed("least", "component_id")
+        labelled = least.withColumnRenamed("least", "component_id")
     else:
         label = {"c1": F.coalesce("c1", "k1"), "c2": F.coalesce("c2", "k2")}
         held = stored(least.join(linked, KEY, "left").withColumns(label), "similar-held")
         firsts = held.groupBy("c1", "c2").agg(F.min("least").alias("component_id"))
-        named = held.join(firsts, ["c1", "c2"]).select(*KEY, "component_id")
-    return rows.join(named, KEY).select(
+        labelled = held.join(firsts, ["c1", "c2"]).select(*KEY, "component_id")
+    return rows.join(labelled, KEY).select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )

@@ -1,7 +1,7 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick automaton finds the anchors of all kinds in one pass: at-signs, schemes, digits
-beside digits, dots or plus signs, and cues of identifiers. A small parser per kind expands an anchor
+beside digits, dots or plus signs, and cues of identifiers and secrets. A small parser per kind expands an anchor
 to both sides, up to the end of the match before, and validates what it found.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from reelmetrics.llm.common import ship_package, whole_text
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "url", "account", "key")
+KINDS = (*BASE_KINDS, "url", "account", "key", "secret")
 
 # The characters and shapes of the kinds.
 LOCAL_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -34,6 +34,18 @@ AUTHORITY = re.compile(r"[^\s<>\"'`{}|\\^]+")
 IBAN = re.compile(r"[\x20:#=]{0,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){10,30})(?![A-Za-z0-9])")
 ACCOUNT = re.compile(r"(?:\x20(?:no\.?|number|nr\.?))?[\x20:#=]{1,3}([0-9](?:[\x20-]?[0-9]){5,16})(?![A-Za-z0-9])")
 ACCESS_KEY = re.compile(r"[A-Z0-9]{16}(?![A-Za-z0-9])")
+# The name of a secret up to its value, the shapes of values, and how tokens of known issuers begin.
+ASSIGNED = re.compile(
+    r"(?:(?:[Aa][Pp][Ii]|[Aa][Cc][Cc][Ee][Ss][Ss])\x20)?[A-Za-z0-9_-]{1,40}[\"'\])]{0,2}[\x20\t]{0,3}(?::=|=>|[:=])[\x20\t]{0,3}[\"'`]?"
+)
+CARRIED = re.compile(r"[A-Za-z]{6}[\x20\t]{1,3}")
+SECRET = re.compile(r"[A-Za-z0-9_+/.~-]{12,}={0,2}")
+PASSWORD = re.compile(r"[^\s\"'`,;<>]{6,}")
+ISSUED = re.compile(r"[A-Za-z]{2,6}[_-]?[A-Za-z0-9_.-]{16,}")
+PRIVATE_KEY = re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END (?:[A-Z]+ )?PRIVATE KEY-----)?")
+SECRET_CUES = ("token", "secret", "api_key", "api-key", "api key", "apikey", "access_key", "access key", "credential", "private_key")
+PASSWORD_CUES = ("password", "passwd", "passphrase")
+ISSUERS = ("ghp_", "gho_", "ghs_", "ghu_", "github_pat_", "glpat-", "xoxa-", "xoxb-", "xoxp-", "sk_live_", "sk-", "AIza", "eyJ")
 CUES = {"iban": ("iban", "IBAN", "Iban"), "account": ("account", "Account", "ACCOUNT", "acct", "Acct", "ssn", "SSN")}
 
 Span = tuple[int, int]
@@ -48,6 +60,9 @@ def _automaton() -> ahocorasick.Automaton:
     anchors |= {f"{a}{sep}{b}": "card" for a, sep, b in product(digits, ("", " ", "-"), digits)}
     anchors |= {f"+{a}": "phone" for a in digits}
     anchors |= {cue: kind for kind, cues in CUES.items() for cue in cues}
+    for kind, cues in (("secret", SECRET_CUES), ("password", PASSWORD_CUES), ("bearer", ("bearer",))):
+        anchors |= {spelled: kind for cue in cues for spelled in (cue, cue.upper(), cue.capitalize(), cue.title())}
+    anchors |= dict.fromkeys(ISSUERS, "issued") | {"-----BEGIN ": "private"}
     automaton = ahocorasick.Automaton()
     for anchor, kind in anchors.items():
         automaton.add_word(anchor, (kind, len(anchor) - 1))
@@ -127,6 +142,42 @@ def _key(text: str, at: int, floor: int) -> tuple[Span, bool] | None:
     return ((at, found.end()), not (at and text[at - 1].isalnum())) if found else None
 
 
+def _random_looking(body: str) -> bool:
+    """Whether a value can be a secret: many different characters, digits among letters or both cases mixed."""
+    digits, letters = any(c in DIGITS for c in body), any(c.isalpha() for c in body)
+    mixed = body.lower() != body != body.upper()
+    return len(set(body)) >= 6 and (digits and (letters or len(body) >= 20) or mixed and len(body) >= 20)
+
+
+def _behind(cue: re.Pattern, shape: re.Pattern):
+    """A parser of the value that follows the name of a secret."""
+
+    def parse(text: str, at: int, floor: int) -> tuple[Span, bool] | None:
+        name = cue.match(text, at)
+        found = shape.match(text, name.end()) if name else None
+        if not found:
+            return None
+        body = found[0].rstrip(".")
+        valid = _random_looking(body) if shape is SECRET else len(set(body)) >= 4 and not body.isalpha()
+        return (found.start(), found.start() + len(body)), valid
+
+    return parse
+
+
+def _issued(text: str, at: int, floor: int) -> tuple[Span, bool] | None:
+    """A token whose beginning tells who issued it."""
+    found = ISSUED.match(text, at)
+    if not found or at and (text[at - 1].isalnum() or text[at - 1] == "_"):
+        return None
+    body = found[0].rstrip(".-")
+    return (at, at + len(body)), _random_looking(body)
+
+
+def _private(text: str, at: int, floor: int) -> tuple[Span, bool] | None:
+    found = PRIVATE_KEY.match(text, at)
+    return (found.span(), True) if found else None
+
+
 # The parser of an anchor, and the kind under which its spans are listed.
 PARSERS = {
     "email": (_email, "email"),
@@ -137,6 +188,11 @@ PARSERS = {
     "iban": (_iban, "account"),
     "account": (_account, "account"),
     "key": (_key, "key"),
+    "secret": (_behind(ASSIGNED, SECRET), "secret"),
+    "password": (_behind(ASSIGNED, PASSWORD), "secret"),
+    "bearer": (_behind(CARRIED, SECRET), "secret"),
+    "issued": (_issued, "secret"),
+    "private": (_private, "secret"),
 }
 
 
@@ -167,13 +223,13 @@ def _listed(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{start}:{stop}" for start, stop, kind in spans)
 
 
-RESULT = "struct<spans: string, base: string, n_email: bigint, n_ip: bigint, n_card: bigint, n_phone: bigint>"
+RESULT = "struct<spans: string, n_spans: bigint, base: string, n_email: bigint, n_ip: bigint, n_card: bigint, n_phone: bigint>"
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans``.
+    """One row per document: ``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans``.
 
-    ``spans`` lists ``kind:start:end`` of all kinds, ``base_sha256`` is the digest of such a list
+    ``spans`` lists the ``n_spans`` places ``kind:start:end`` of all kinds, ``base_sha256`` is the digest of such a list
     of the four base kinds, which are counted. Null text counts as empty; a text without spans
     gives an empty list. Rows that repeat an id give a row each; a null id stays null; an empty
     table gives an empty result. Other columns are not read.
@@ -182,19 +238,20 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     @F.arrow_udf(RESULT)
     def scan(texts: pa.Array) -> pa.Array:
-        found: list[list] = [[] for _ in range(2 + len(BASE_KINDS))]
+        found: list[list] = [[] for _ in range(3 + len(BASE_KINDS))]
         for text in texts:
             spans = personal_spans(text.as_py())
             base = [s for s in spans if s[2] in BASE_KINDS]
             found[0].append(_listed(spans))
-            found[1].append(hashlib.sha256(_listed(base).encode()).hexdigest())
-            for column, kind in zip(found[2:], BASE_KINDS):
+            found[1].append(len(spans))
+            found[2].append(hashlib.sha256(_listed(base).encode()).hexdigest())
+            for column, kind in zip(found[3:], BASE_KINDS):
                 column.append(sum(s[2] == kind for s in base))
-        types = [pa.string(), pa.string()] + [pa.int64()] * len(BASE_KINDS)
-        names = ["spans", "base", *(f"n_{k}" for k in BASE_KINDS)]
+        types = [pa.string(), pa.int64(), pa.string()] + [pa.int64()] * len(BASE_KINDS)
+        names = ["spans", "n_spans", "base", *(f"n_{k}" for k in BASE_KINDS)]
         return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(found, types)], names)
 
     counts = [F.col(f"found.n_{k}").alias(f"n_{k}") for k in BASE_KINDS]
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), scan(whole_text(text_col)).alias("found")).select(
-        "doc_id", *counts, F.col("found.base").alias("base_sha256"), F.col("found.spans").alias("spans")
+        "doc_id", *counts, F.col("found.base").alias("base_sha256"), F.col("found.spans").alias("spans"), "found.n_spans"
     )

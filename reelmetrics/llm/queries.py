@@ -33,8 +33,9 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "warc")
     warc.write_archive(_table(spark, sf_dir, "pages"), path)
     return warc.read_archive(spark, path).select(
-        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
-    )
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "intact", "complete",
+        F.octet_length("record").cast("bigint").alias("record_bytes"), F.sha2("record", 256).alias("record_sha256"),
+    )
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,34 +141,53 @@ def _base32(digest: str) -> str:
     return " || ".join(digits)
 
 
+_EOL = "chr(13) || chr(10)"
+_URL = "replace(replace(url, chr(13), '%0D'), chr(10), '%0A')"
 _OP1 = f"""
 WITH hashed AS (
-  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS h,
-         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS holder
-  FROM pages)
-SELECT page_id, payload_bytes, {_base32('h')} AS payload_digest,
-       CASE WHEN page_id IS NOT DISTINCT FROM holder THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id IS DISTINCT FROM holder THEN holder END AS refers_to, true AS intact
-FROM hashed"""
+  SELECT page_id, url, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+         sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS holder
+  FROM pages),
+digested AS (
+  SELECT *, {_base32('h')} AS payload_digest, page_id IS NOT DISTINCT FROM holder AS own,
+         'HTTP/1.1 200 OK' || {_EOL} || 'Content-Type: text/html; charset=utf-8' || {_EOL} || 'Content-Length: ' || payload_bytes || {_EOL} || {_EOL} AS http
+  FROM hashed),
+restored AS (
+  SELECT *, 'WARC/1.1' || {_EOL} || 'WARC-Type: ' || CASE WHEN own THEN 'response' ELSE 'revisit' END || {_EOL}
+         || 'WARC-Record-ID: <urn:page:' || coalesce(CAST(page_id AS VARCHAR), 'null') || '>' || {_EOL}
+         || coalesce('WARC-Target-URI: ' || {_URL} || {_EOL}, '') || 'WARC-Date: 1970-01-01T00:00:00Z' || {_EOL}
+         || 'WARC-Payload-Digest: sha1:' || payload_digest || {_EOL}
+         || CASE WHEN own THEN '' ELSE 'WARC-Refers-To: <urn:page:' || holder || '>' || {_EOL} || 'WARC-Profile: {warc.REVISIT_PROFILE}' || {_EOL} END
+         || 'Content-Type: application/http; msgtype=response' || {_EOL}
+         || 'Content-Length: ' || (octet_length(encode(http)) + CASE WHEN own THEN payload_bytes ELSE 0 END) || {_EOL} || {_EOL}
+         || http || CASE WHEN own THEN html ELSE '' END || {_EOL} || {_EOL} AS record
+  FROM digested)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN own THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN NOT own THEN holder END AS refers_to, true AS intact, true AS complete,
+       CAST(octet_length(encode(record)) AS BIGINT) AS record_bytes, sha256(record) AS record_sha256
+FROM restored"""
 
 
 def _op2() -> str:
     phrases = ", ".join(f"('{label}', string_split('{p}', ' '))" for p, label in licenses.PHRASES.items())
     templates = ", ".join(
-        f"('{label}', string_split('{' '.join(sorted(set(t.split())))}', ' '))" for label, t in licenses.TEMPLATES.items()
+        f"('{label}', string_split('{' '.join(sorted(set(t.split())))}', ' '), {licenses.block_words(t)})"
+        for label, t in licenses.TEMPLATES.items()
     )
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, {_WORDS.format('text')} AS words FROM documents),
 phrases(label, parts) AS (VALUES {phrases}),
-templates(label, parts) AS (VALUES {templates}),
+templates(label, parts, size) AS (VALUES {templates}),
 places AS (
   SELECT row, label, unnest(list_filter(range(len(words)), lambda i: words[i + 1 : i + len(parts)] = parts)) AS place
   FROM docs JOIN phrases ON list_contains(words, parts[1])),
 base AS (
   SELECT row, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels FROM places GROUP BY row),
-lines AS (SELECT row, unnest(string_split(text, chr(10))) AS line FROM docs),
+blocks AS (
+  SELECT row, label, parts, size, words, unnest(range(len(words))) AS i
+  FROM docs JOIN templates ON len(list_intersect(words, parts)) >= 0.8 * len(parts) - 1e-9),
 contained AS (
-  SELECT row, label, len(list_intersect({_WORDS.format('line')}, parts)) / len(parts) AS share FROM lines, templates),
+  SELECT row, label, len(list_intersect(words[i + 1 : i + size], parts)) / len(parts) AS share FROM blocks WHERE list_contains(parts, words[i + 1])),
 found AS (SELECT row, list(DISTINCT label) AS labels, max(share) AS share FROM contained WHERE share >= 0.8 - 1e-9 GROUP BY row)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,

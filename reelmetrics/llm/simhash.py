@@ -38,6 +38,8 @@ SHINGLE_WORDS = 4
 #: Shingles, and pairs of fingerprints, that are worked on at a time.
 BLOCK = 1 << 16
 PAIRS = 1 << 22
+#: Fingerprints under one key that one task compares.
+BUCKET = 20_000
 
 
 # -- fingerprints ----------------------------------------------------------------------
@@ -151,11 +153,100 @@ def spanning_links(prints: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     return links
 
 
-def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def _linked(held: list[tuple[np.ndarray, ...]], max_bits: int) -> pa.RecordBatch:
+    """Links within each run of equal keys."""
+    keys, fps = map(np.concatenate, zip(*held))
+    cuts = np.flatnonzero(np.diff(keys)) + 1
+    starts, stops = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
+    several = stops - starts > 1
+    found = [x for a, b in zip(starts[several], stops[several]) for x in spanning_links(fps[a:b], max_bits)]
+    pairs = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
+    none = pa.nulls(len(pairs), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, none], _LINKED)
+
+
+_LINKED = ["a", "b", "key", "fp"]
+
+
+def _bucket_links(keyed: DataFrame, max_bits: int, bucket: int) -> DataFrame:
+    """Links ``a, b`` within the buckets of sorted rows ``key, fp``, and the rows ``key, fp`` of larger buckets.
+
+    A bucket of more than ``bucket`` fingerprints passes through as it came, so that a task
+    never holds more.
+    """
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last key of a batch may go on in the next one; of a key that is too large nothing is held.
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        large: int | None = None
+
+        def passed(keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+            none = pa.nulls(len(keys), pa.int64())
+            return pa.RecordBatch.from_arrays([none, none, pa.array(keys), pa.array(fps.view(np.int64))], _LINKED)
+
+        for batch in batches:
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            fps = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            while len(keys):
+                end = int(np.searchsorted(keys, keys[0], "right"))
+                if large == keys[0]:
+                    yield passed(keys[:end], fps[:end])
+                    keys, fps = keys[end:], fps[end:]
+                    continue
+                if held and held[0][0][0] == keys[0]:
+                    held.append((keys[:end], fps[:end]))
+                    keys, fps = keys[end:], fps[end:]
+                    if sum(len(k) for k, _ in held) > bucket:
+                        large = int(held[0][0][0])
+                        for k, f in held:
+                            yield passed(k, f)
+                        held = []
+                    continue
+                if held:
+                    yield _linked(held, max_bits)
+                    held = []
+                # Whole runs that are small enough are linked at once; the last one is held.
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
+                sizes = np.diff(cuts)
+                for i in np.flatnonzero(sizes[:-1] > bucket):
+                    yield passed(keys[cuts[i] : cuts[i + 1]], fps[cuts[i] : cuts[i + 1]])
+                small = np.repeat(sizes <= bucket, sizes)
+                small[cuts[-2] :] = False
+                if small.any():
+                    yield _linked([(keys[small], fps[small])], max_bits)
+                held = [(keys[cuts[-2] :], fps[cuts[-2] :])]
+                keys = keys[:0]
+                if len(held[0][0]) > bucket:
+                    large = int(held[0][0][0])
+                    yield passed(*held[0])
+                    held = []
+        if held:
+            yield _linked(held, max_bits)
+
+    return keyed.mapInArrow(link, "a bigint, b bigint, key bigint, fp bigint")
+
+
+def _split(large: DataFrame, bucket: int) -> DataFrame:
+    """Rows ``key, fp`` of large buckets, dealt to new buckets so that any two fingerprints of a key meet in one.
+
+    The fingerprints of a key are dealt to blocks of about half a bucket by a hash; there is a new bucket
+    for each pair of blocks, so the work on one key is spread over many tasks.
+    """
+    sizes = large.groupBy("key").agg(F.ceil(F.count(F.lit(1)) * 3 / bucket).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("fp", F.lit(3)), F.col("blocks")).cast("int")
+    dealt = large.join(sizes, "key").withColumn("block", block)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pairs = dealt.select("key", "fp", "block", other)
+    meeting = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+    return pairs.select(meeting.alias("key"), "fp")
+
+
+def near_links(prints: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> DataFrame:
     """Links ``a, b`` that connect distinct fingerprints (column ``fp``) exactly as all links would.
 
     Keys are dealt over the cluster and sorted there; fingerprints with one key are compared
-    where they meet. A component is linked as a tree per key, never as all its pairs.
+    where they meet. A component is linked as a tree per key, never as all its pairs. Where more than
+    ``bucket`` fingerprints have one key, they are dealt again, as pairs of blocks. Stored.
     """
     if max_bits > MAX_BITS:
         raise ValueError(f"the keys find links of at most {MAX_BITS} bits")
@@ -169,40 +260,16 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 keys, owners = segment_keys(fps[k : k + 2000], patterns)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(owners.view(np.int64))], ["key", "fp"])
 
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def link(keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
-            cuts = np.flatnonzero(np.diff(keys)) + 1
-            starts, stops = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
-            several = stops - starts > 1
-            found = [x for a, b in zip(starts[several], stops[several]) for x in spanning_links(fps[a:b], max_bits)]
-            pairs = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+    def met(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key").sortWithinPartitions("key", "fp")
 
-        # The last key of a batch may go on in the next one.
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            fps = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            if not len(keys):
-                continue
-            cut = int(np.searchsorted(keys, keys[-1]))
-            if held and keys[-1] == held[0][0][0]:
-                held.append((keys, fps))
-                continue
-            held.append((keys[:cut], fps[:cut]))
-            yield link(*map(np.concatenate, zip(*held)))
-            held = [(keys[cut:], fps[cut:])]
-        if held:
-            yield link(*map(np.concatenate, zip(*held)))
-
-    return (
-        prints.select("fp")
-        .mapInArrow(keyed, "key bigint, fp bigint")
-        .repartition("key")
-        .sortWithinPartitions("key", "fp")
-        .mapInArrow(linked, "a bigint, b bigint")
-        .distinct()
-    )
+    found = stored(_bucket_links(met(prints.select("fp").mapInArrow(keyed, "key bigint, fp bigint")), max_bits, bucket), "near-links")
+    links = found.filter("a IS NOT NULL").select("a", "b")
+    large = found.filter("a IS NULL").select("key", "fp")
+    if not large.isEmpty():
+        # A block pair holds more than a bucket only by chance; it is compared whole.
+        links = links.union(_bucket_links(met(_split(large, bucket)), max_bits, 1 << 62).select("a", "b"))
+    return links.distinct()
 
 
 def near_components(

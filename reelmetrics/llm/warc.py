@@ -15,11 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmetrics.llm.common import whole_bytes
+from reelmetrics.llm.common import stored, whole_bytes
 
 # The alphabets of base 32 by value and by RFC 4648.
 BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32_RFC4648 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: A list of copies up to this length (their digests and ids) is broadcast.
+BROADCAST_COPIES = 1_000_000
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -37,7 +39,7 @@ def _line(name: str, value: Column) -> Column:
 
 
 def _urn(record_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(record_id.cast("string"), F.lit("null")), F.lit(">"))
+    return F.concat(F.lit("<urn:page:"), F.coalesce(F.url_encode(record_id.cast("string")), F.lit("null")), F.lit(">"))
 
 
 def write_archive(
@@ -55,7 +57,7 @@ def write_archive(
     is the response and the others revisit it; smaller payloads are stored once too, but all
     their records are responses. A null payload is empty. Rows that repeat the smallest id are
     all responses; a null id is larger than any other, and if all ids of a payload are null, all
-    its records are responses. A null url leaves out its header line. Copies of a payload that
+    its records are responses. Ids may be of any type that casts to text and back. A null url leaves out its header line. Copies of a payload that
     agree in SHA-256 must agree in length and SHA-1, else the write fails. An empty table gives
     an empty archive. Other columns are not read.
     """
@@ -66,23 +68,34 @@ def write_archive(
         whole_bytes(payload_col).alias("payload"),
     ).withColumn("digest", F.unhex(F.sha2("payload", 256)))
 
-    check = F.struct(F.octet_length("payload").alias("bytes"), base32_sha1(F.col("payload")).alias("sha1"))
-    stored = source.groupBy("digest").agg(
-        F.min("record_id").alias("holder"),
-        F.any_value("payload").alias("payload"),
-        F.min(check).alias("check"),
-        F.max(check).alias("other"),
+    # Digests first: payloads themselves are never shuffled here.
+    index = stored(
+        source.select(
+            "record_id", "url", "digest", F.octet_length("payload").cast("bigint").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("sha1")
+        ),
+        "warc-index",
     )
+    check = F.struct("payload_bytes", "sha1")
     differ = F.raise_error(F.concat(F.lit("payloads differ under one digest: "), F.hex("digest")))
-    stored.select(
-        "digest",
-        "holder",
-        F.when(F.col("check") == F.col("other"), F.col("payload")).otherwise(differ.cast("binary")).alias("payload"),
-        F.col("check.bytes").cast("bigint").alias("payload_bytes"),
-        F.col("check.sha1").alias("sha1"),
-    ).write.parquet(f"{path}/payloads")
+    groups = stored(
+        index.groupBy("digest")
+        .agg(F.min("record_id").alias("holder"), F.count(F.lit(1)).alias("n"), F.min(check).alias("check"), F.max(check).alias("other"))
+        .select("digest", "n", F.when(F.col("check") == F.col("other"), F.col("holder")).otherwise(differ.cast(index.schema["record_id"].dataType)).alias("holder")),
+        "warc-groups",
+    )
+    own = F.col("record_id").eqNullSafe(F.col("holder"))
+    members = index.select("digest", "record_id").join(groups.filter("n > 1"), "digest")
+    copies = stored(members.filter(~own).select("digest", "record_id").distinct(), "warc-copies")
+    again = members.filter(own).groupBy("digest").count().filter("count > 1")
+    if copies.count() <= BROADCAST_COPIES:
+        copies = F.broadcast(copies)
+    same = source["digest"].eqNullSafe(copies["digest"]) & source["record_id"].eqNullSafe(copies["record_id"])
+    held = source.join(copies, same, "left_anti").select("digest", F.col("record_id").alias("holder"), "payload")
+    held = held if again.isEmpty() else held.dropDuplicates(["digest"])
+    held.withColumns({"payload_bytes": F.octet_length("payload").cast("bigint"), "sha1": base32_sha1(F.col("payload"))}).write.parquet(
+        f"{path}/payloads"
+    )
 
-    index = spark.read.parquet(f"{path}/payloads").drop("payload")
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
         F.col("payload_bytes").cast("string"),
@@ -104,8 +117,7 @@ def write_archive(
         F.lit("\r\n"),
     )
     (
-        source.drop("payload")
-        .join(index, "digest")
+        index.join(groups.select("digest", "holder"), "digest")
         .withColumns({"http_header": http, "revisits": revisits})
         .select("record_id", "digest", header.cast("binary").alias("warc_header"), F.col("http_header").cast("binary"))
         .write.parquet(f"{path}/records")
@@ -123,8 +135,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
     ``record_type``, ``declared_digest`` and ``refers_to`` come from the stored headers;
     ``payload_bytes`` and ``payload_digest`` are taken anew from the stored payload, and ``intact``
-    tells whether it has the digests under which it was filed and declared. ``record`` holds the
-    bytes of the WARC record; ``payload`` the full payload, of revisits too. Columns that are
+    tells whether it has the digests under which it was filed and declared; ``complete``, whether the
+    restored block is as long as its header declares. ``record`` holds the bytes of the WARC record; ``payload`` the full payload, of revisits too. Columns that are
     not asked for are not read, so a query on digests moves no payload.
     """
     payloads = spark.read.parquet(f"{path}/payloads").select(
@@ -135,19 +147,21 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         (F.unhex(F.sha2("payload", 256)) == F.col("digest")).alias("filed_well"),
     )
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
+    records = spark.read.parquet(f"{path}/records")
     return (
-        spark.read.parquet(f"{path}/records")
-        .join(payloads, "digest", "left")
+        records.join(payloads, "digest", "left")
         .select(
             "record_id",
             _field("WARC-Type", r"(\w+)").alias("record_type"),
-            _field("WARC-Refers-To", r"<urn:page:(-?\d+)>").cast("bigint").alias("refers_to"),
+            F.url_decode(_field("WARC-Refers-To", r"<urn:page:(.*?)>")).cast(records.schema["record_id"].dataType).alias("refers_to"),
+            _field("Content-Length", r"(\d+)").cast("bigint").alias("declared_bytes"),
             _field("WARC-Payload-Digest", r"sha1:(\w+)").alias("declared_digest"),
             *("payload_digest", "payload_bytes", "payload", "warc_header", "http_header", "filed_well"),
         )
         .withColumn("intact", F.coalesce(F.col("filed_well") & (F.col("declared_digest") == F.col("payload_digest")), F.lit(False)))
+        .withColumn("complete", F.col("declared_bytes") == F.octet_length("http_header") + F.octet_length(body))
         .withColumn("record", F.concat("warc_header", "http_header", body, F.lit(b"\r\n\r\n")))
-        .drop("filed_well")
+        .drop("filed_well", "declared_bytes")
     )
 
 

@@ -93,3 +93,39 @@ def test_clean_documents_stay(spark):
     clean = {x.doc_id for x in labels.collect() if not x.toxic and x.quality == 1}
     rates = [x.rate for x in mixing.mix(docs, labels).collect() if x.doc_id in clean]
     assert len(rates) > 100 and min(rates) > 0
+
+
+def _posteriors(rng, kind, size):
+    """Posteriors of many shapes: soft, sharp, skewed, with one domain alone, all alike."""
+    if kind == "soft":
+        return rng.dirichlet(rng.uniform(0.5, 5, 3), size)
+    if kind == "sharp":
+        return rng.dirichlet(rng.uniform(0.01, 0.2, 3), size)
+    if kind == "skewed":
+        return rng.dirichlet((0.02, 5, 0.3), size)
+    if kind == "alike":
+        return np.tile(rng.dirichlet((1, 1, 1)), (size, 1))
+    p = np.full((size, 3), 1e-9)
+    p[:, rng.integers(3)] = 1 - 2e-9
+    return p
+
+
+def test_any_posteriors_end_within_bounds(monkeypatch):
+    """200 random sets with the parameters of production: no error, the gap is told, no clean document goes."""
+    monkeypatch.setattr(mixing, "ship_package", lambda _: None)
+    rows, weights = SimpleNamespace(sparkSession=None), np.array(list(mixing.TARGETS.values()))
+    bounds, met = mixing.Bounds(mixing.FLOOR, mixing.CAP), 0
+    for seed in range(200):
+        rng = np.random.default_rng(seed)
+        kind = ("soft", "sharp", "skewed", "alike", "alone")[seed % 5]
+        p = _posteriors(rng, kind, int(rng.choice([1, 2, 7, 50, 500, 2000])))
+        n = rng.integers(0, rng.choice([2, 800, 10**6]), len(p)).astype(float)
+        monkeypatch.setattr(mixing, "_summed", lambda rows, domains, part: part(p, n))
+        steps, gap = mixing.solve_rates(rows, weights, bounds=bounds)
+        r = mixing.rates(p, steps, bounds)
+        assert (r >= 0).all() and (r <= mixing.CAP).all() and np.isfinite(r).all()
+        assert (r[p[:, 0] >= 1 / 3] >= mixing.FLOOR).all()
+        target = weights * ((n @ p)[0] / weights[0])
+        assert np.allclose(gap, ((n * r) @ p - target) / max(target.sum(), 1.0), atol=1e-9)
+        met += np.abs(gap).max() <= 1e-4
+    assert met >= 60

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from reelmetrics.llm import ngram_join
+from reelmetrics.llm import ngram_join, wordhash
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -62,19 +62,22 @@ def _edited(rng, words, edits):
     return words
 
 
-def test_tokens(monkeypatch):
+def test_tokens():
     rng = random.Random(1)
-    texts = ["", "  \n", "one", "One  two", "a b c a b c", "é É é", "x" * 1000 + " y z", "\x00 \x0b\x0c b \x1c c"]
-    texts += [" ".join(_prose(rng, n, 9)) for n in range(3, 60)] + ["w " * 5 + "v" * n for n in (63, 64, 65, 128, 129)]
-    for block in (1 << 20, 7):
-        monkeypatch.setattr(ngram_join, "BLOCK", block)
-        seen = {}
-        for t in texts:
-            tokens = ngram_join.shingle_set(t.encode())
-            assert len(tokens) == len(_set(t)) and (np.diff(tokens.astype(object)) > 0).all()
-            for name in map(frozenset, [_set(t)]):
-                assert seen.setdefault(name, tokens.tolist()) == tokens.tolist()
-        assert len({tuple(v) for v in seen.values()}) == len(seen)
+    texts = ["", "  \n", "one", "One  two", "a b c a b c", "é É é", "x" * 1000 + " y z", "\x00 \x0b\x0c b \x1c c", "\x00", "\x00\x00"]
+    texts += [" ".join(_prose(rng, n, 9)) for n in range(3, 60)] + ["w " * 5 + "v" * n for n in (7, 8, 9, 15, 16, 17, 255, 256, 257, 3000)]
+    texts += [f"{'a' * n}b {'a' * n}c {'a' * n}" for n in range(20)]
+    seen = {}
+    for t in texts:
+        tokens = ngram_join.shingle_set(t.encode())
+        assert len(tokens) == len(_set(t)) and (np.diff(tokens.astype(object)) > 0).all()
+        assert seen.setdefault(frozenset(_set(t)), tokens.tolist()) == tokens.tolist()
+    assert len({tuple(v) for v in seen.values()}) == len(seen)
+    words = {w for t in texts for w in t.lower().encode().split()}
+    hashes = {w: wordhash.word_hashes(w).tolist() for w in words}
+    assert len({tuple(h) for h in hashes.values()}) == len(words)
+    joined = sorted(words)
+    assert wordhash.word_hashes(b" ".join(joined)).tolist() == [hashes[w][0] for w in joined]
 
 
 def test_prefix_is_enough():

@@ -126,3 +126,41 @@ def test_chain_of_components(spark):
     links = spark.createDataFrame(list(zip(order, order[1:])) + [(500, 501), (7, 7)], "a bigint, b bigint")
     got = dict(map(tuple, components.components(links).collect()))
     assert got == {**{i: 0 for i in range(200)}, 500: 500, 501: 500}
+
+
+def test_a_hot_key_is_split(spark):
+    """100,000 fingerprints that share a key are compared in many tasks, with equal components."""
+    rng = np.random.default_rng(8)
+    # The first segment and the low half of the second one are the same for all.
+    free = rng.integers(0, 1 << 31, 100_000).astype(np.uint64)
+    prints = np.unique((free << np.uint64(33)) | np.uint64(0x1_5A5A_5A5A))
+    near = np.unique(np.concatenate([prints, prints[:500] ^ np.uint64(1 << 40), prints[:500] ^ np.uint64(7 << 40)]))
+    df = spark.createDataFrame([(int(x),) for x in near.view(np.int64)], "fp bigint")
+    whole = spark.createDataFrame([(1, int(x)) for x in near.view(np.int64)], "key bigint, fp bigint")
+    tasks = simhash._split(whole, 5000).groupBy("key").count().collect()
+    assert len(tasks) > 1000 and max(r["count"] for r in tasks) < 10_000
+
+    def roots(bucket):
+        found = components.components(simhash.near_links(df, bucket=bucket))
+        return sorted((r.node, r.root) for r in found.collect())
+
+    assert roots(5000) == roots(1 << 40) != []
+
+
+def test_large_buckets_pass_through(spark):
+    """Buckets below, at and above the limit, over batches of any size."""
+    rng = np.random.default_rng(9)
+    rows = sorted((key, int(x)) for key, n in enumerate([1, 3, 10, 11, 25, 2, 40, 1]) for x in rng.integers(0, 64, n).tolist() for x in [x + 1000 * key])
+    rows = sorted(set(rows))
+    df = spark.createDataFrame(rows, "key bigint, fp bigint").coalesce(1).sortWithinPartitions("key", "fp")
+    for size in ("3", "7", "100"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            found = simhash._bucket_links(df, 4, 10).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        sizes = {k: sum(r[0] == k for r in rows) for k in range(8)}
+        passed = [(r.key, r.fp) for r in found if r.a is None]
+        assert sorted(passed) == [r for r in rows if sizes[r[0]] > 10]
+        links = {(r.a // 1000, r.b // 1000) for r in found if r.a is not None}
+        assert links <= {(k, k) for k in range(8) if sizes[k] <= 10}
