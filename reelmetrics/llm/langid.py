@@ -287,14 +287,14 @@ def keep_identified(
     text_col: str = "text",
     lang_col: str = "lang",
     languages: Collection[str] | None = None,
-    most_bits: float = MOST_BITS,
+    most_bits: float | None = None,
     order: int = DEEP_ORDER,
     **options,
 ) -> DataFrame:
     """The documents in one of ``languages`` (default: any learnt one), with all columns.
 
-    A document goes if it has no letter, if the model predicts another language, or if no language
-    codes it in ``most_bits`` a byte, which is what bytes without any language take. A missing
+    A document goes if it has no letter, if the model predicts another language, or, with ``most_bits``, if no
+    language codes it in fewer bits a byte; ``MOST_BITS`` is what bytes without any language take. A missing
     language is filled with the prediction; languages that are given stay as they are. Without
     a model all texts with a letter stay.
     """
@@ -303,7 +303,8 @@ def keep_identified(
     if model is None:
         marked = marked.filter(F.col(f"row.`{text_col}`").rlike(r"\p{L}"))
     else:
-        marked = marked.filter((F.col("found.lang") != UNKNOWN) & (F.col("found.bits") < most_bits))
+        marked = marked.filter(F.col("found.lang") != UNKNOWN)
+        marked = marked if most_bits is None else marked.filter(F.col("found.bits") < most_bits)
     if languages is not None:
         marked = marked.filter(F.col("found.lang").isin(*languages))
     known = F.nullif(F.col("found.lang"), F.lit(UNKNOWN)).cast(docs.schema[lang_col].dataType)

@@ -6,13 +6,13 @@ used: by rarity, and by two hashes. Pairs that meet in the prefix by rarity are
 fit in length and position and share enough tokens in each of the two hash prefixes as well, which
 texts with a common passage do not. Only what passes all filters is compared token by token.
 
-Rarity is read from a table of counts of a fixed width, so it is a bounded broadcast. Tokens that
-fall on one count are ordered by their hash: any order gives the same links, a good one fewer
-candidates.
+Rarity is the number of different texts that have a token. All tokens are counted; what is broadcast is a
+table of a fixed width with the counts of the most frequent ones, as many as it has room for. Others are
+ordered by their hash: any order gives the same links, a good one fewer candidates.
 
 Many documents may share a prefix token, so the pairs of a bucket are never listed as they are.
-Each round takes a few leaders per bucket and compares the other members with them; members that are
-connected by then need no comparison any more. When few pairs of different components are
+Each round takes a few leaders per bucket, out of the largest component that it holds by then, and compares
+the other members with them; members that are connected need no comparison any more. When few pairs of different components are
 left, or a round has found no new link, all pairs that are left are compared. So every link
 between components is found, and a group of near copies costs a few comparisons for each of its members.
 """
@@ -20,6 +20,7 @@ between components is found, and a group of near copies costs a few comparisons
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ from reelmetrics.llm.components import components
 from reelmetrics.llm.wordhash import blocks, hash_places, mixed, words_of_texts
 
 SHINGLE_WORDS, PERCENT = 3, 90
-#: Counters of the table of token counts, a byte each, and how many are sent at a time.
-WIDTH, SLICE, MOST = 1 << 25, 1 << 18, 255
+#: Counters of the table of token counts, a byte each, and the most tokens that are entered.
+WIDTH, MOST_COUNTED = 1 << 25, 1 << 22
 #: A list of candidate documents up to this length (16 bytes each) is broadcast.
 BROADCAST_KEYS = 1_000_000
 #: Bytes of texts that are hashed at a time.
@@ -98,54 +99,51 @@ def _counters(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(32)).astype(np.int64) & (WIDTH - 1)
 
 
-def _counted(shingle_words: int):
-    names = ["row", "n", "slice", "counts"]
+def _fresh(keys: pa.Array, more: pa.Array, seen: set) -> list[int]:
+    """The places of texts that a task has not seen."""
+    places = []
+    for i, key in enumerate(zip(keys.to_pylist(), more.to_pylist())):
+        if key not in seen:
+            seen.add(key)
+            places.append(i)
+    return places
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The number of tokens of each text, and then the slices of the task's table of counts."""
-        counts, codec = np.zeros(WIDTH, np.uint8), pa.Codec("zstd")
+
+def _all_tokens(shingle_words: int):
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The tokens of different texts, with the number of texts of a part of a batch that have them."""
+        seen: set = set()
         for batch in batches:
-            rows, sizes = batch.column(0), []
-            for tokens in shingle_sets((t.as_py() for t in batch.column(1)), shingle_words):
-                sizes.append(len(tokens))
-                at = _counters(tokens)
-                counts[at] += counts[at] < MOST
-            none = pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())
-            yield pa.RecordBatch.from_arrays([rows, pa.array(sizes, pa.int64()), *none], names)
-        for k in range(0, WIDTH, SLICE):
-            part = counts[k : k + SLICE]
-            if part.any():
-                packed = codec.compress(part.tobytes(), asbytes=True)
-                none = pa.nulls(1, rows.type), pa.nulls(1, pa.int64())
-                yield pa.RecordBatch.from_arrays([*none, pa.array([k // SLICE], pa.int32()), pa.array([packed], pa.binary())], names)
-
-    return count
-
-
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add up slices of counts as they come, up to the largest count."""
-    codec, totals = pa.Codec("zstd"), {}
-    for batch in batches:
-        for k, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            part = np.frombuffer(codec.decompress(packed, SLICE, asbytes=True), np.uint8).astype(np.uint16)
-            totals[k] = np.minimum(totals[k] + part, MOST) if k in totals else part
-    for k, part in totals.items():
-        packed = codec.compress(part.astype(np.uint8).tobytes(), asbytes=True)
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([packed], pa.binary())], ["slice", "counts"])
-
-
-def rarity_table(slices: DataFrame) -> np.ndarray:
-    """The sums of all slices: ``WIDTH`` counts, whatever the number of tokens.
-
-    Each slice is added up in several tasks first, then their sums.
+            for at in range(0, len(batch), 2000):
+                k1, k2, texts = batch.slice(at, 2000).columns
+                found = list(shingle_sets((texts[i].as_py() for i in _fresh(k1, k2, seen)), shingle_words))
+                distinct, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(n.astype(np.int64))], ["token", "n"])
+
+    return tokens
+
+
+def rarity_table(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, most: int = MOST_COUNTED) -> np.ndarray:
+    """Of ``k1, k2, text``, how frequent tokens are: ``WIDTH`` numbers, which grow with the logarithm of the texts that have a token.
+
+    Tokens of one text have 0. So have the rarer ones of the others, if there are more than ``most``:
+    where to cut is told by the number of tokens of each level.
     """
-    kind = "slice int, counts binary"
-    lane = F.pmod(F.xxhash64("counts"), F.lit(32)).alias("lane")
-    lanes = slices.repartition("slice", lane).mapInArrow(_summed, kind)
-    sums = lanes.repartition("slice").mapInArrow(_summed, kind)
-    codec, table = pa.Codec("zstd"), np.zeros(WIDTH, np.uint8)
-    for r in sums.toLocalIterator():
-        table[r.slice * SLICE : (r.slice + 1) * SLICE] = np.frombuffer(codec.decompress(bytes(r.counts), SLICE, asbytes=True), np.uint8)
+    level = F.least(F.floor(F.log2("n") * 8), F.lit(255)).cast("int")
+    counts = texts.mapInArrow(_all_tokens(shingle_words), "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = stored(counts.filter("n > 1").select("token", level.alias("level")), "similar-counts")
+    left, cut = most, 256
+    for r in sorted(counts.groupBy("level").count().collect(), reverse=True):
+        left -= r["count"]
+        if left < 0:
+            break
+        cut = r["level"]
+    table = np.zeros(WIDTH, np.uint8)
+    slot = F.shiftrightunsigned("token", 32).bitwiseAND(F.lit(WIDTH - 1))
+    entered = counts.filter(F.col("level") >= cut).groupBy(slot.alias("slot")).agg(F.max("level").alias("level"))
+    # A few bytes per token, of a number that is bounded.
+    for batch in entered.select(F.col("slot").cast("int"), F.col("level").cast("short")).toArrow().to_batches():
+        table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
     return table
 
 
@@ -156,23 +154,24 @@ def _rare_prefixes(table, shingle_words: int, percent: int):
     names = ["token", *KEY, "n", "at"]
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rarest tokens of each text, once for the copies that a task has."""
+        """The rarest tokens of each text, and a row at -1 with the number of all; once for the copies that a task has."""
         counts, seen = table.value, set()
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                found: list[list] = [[] for _ in names]
-                part = batch.slice(at, 1000)
-                keys = list(zip(part.column(0).to_pylist(), part.column(1).to_pylist()))
-                fresh = {key: i for i, key in reversed(list(enumerate(keys))) if key not in seen}
-                seen.update(fresh)
-                texts = (part.column(2)[i].as_py() for i in fresh.values())
-                for (k1, k2), tokens in zip(fresh, shingle_sets(texts, shingle_words)):
-                    n, p = len(tokens), prefix_size(len(tokens), percent)
-                    first = tokens[np.argsort(counts[_counters(tokens)], kind="stable")[:p]].view(np.int64)
-                    for column, values in zip(found, (first, np.full(p, k1), np.full(p, k2), np.full(p, n), np.arange(p))):
-                        column.append(values)
-                columns = [pa.array(np.concatenate(c) if c else [], pa.int64()) for c in found]
-                yield pa.RecordBatch.from_arrays(columns, names)
+            for start in range(0, len(batch), 1000):
+                k1, k2, texts = batch.slice(start, 1000).columns
+                places = _fresh(k1, k2, seen)
+                first, at, sizes = [], [], []
+                for tokens in shingle_sets((texts[i].as_py() for i in places), shingle_words):
+                    p = prefix_size(len(tokens), percent)
+                    rare = np.argsort(counts[_counters(tokens)], kind="stable")[:p]
+                    first += [np.zeros(1, np.uint64), tokens[rare]]
+                    at.append(np.arange(-1, p))
+                    sizes.append((p + 1, len(tokens)))
+                repeats, n = np.array(sizes, np.int64).reshape(-1, 2).T
+                keys = [np.repeat(k.to_numpy()[places], repeats) for k in (k1, k2)]
+                token = np.concatenate(first).view(np.int64) if first else np.zeros(0, np.int64)
+                columns = [token, *keys, np.repeat(n, repeats), np.concatenate(at) if at else np.zeros(0, np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
     return prefixes
 
@@ -252,44 +251,62 @@ def _connected(links: DataFrame) -> DataFrame:
     return components(ends).select("node.*", F.col("root.k1").alias("c1"), F.col("root.k2").alias("c2"))
 
 
-def _labelled(mates: DataFrame, linked: DataFrame | None, name: str) -> DataFrame:
-    """The members of buckets that hold two components or more, each with its component."""
-    if linked is None:
-        found = mates.withColumns({"c1": F.col("k1"), "c2": F.col("k2")})
-    else:
-        found = mates.join(linked, KEY, "left").withColumns({"c1": F.coalesce("c1", "k1"), "c2": F.coalesce("c2", "k2")})
-    mixed = found.groupBy("token").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("c1", "c2")])
-    mixed = mixed.filter("min_c1 != max_c1 OR min_c2 != max_c2").select("token")
-    return stored(found.join(mixed, "token", "left_semi"), name)
-
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels ``k1, k2, c1, c2`` of keys after some links: of two labels that are linked the larger becomes the smaller.
 
-def _open_pairs(members: DataFrame) -> int:
-    """Pairs of members of one bucket that are in different components, summed over the buckets."""
-    size = members.groupBy("token", "c1", "c2").agg(F.count(F.lit(1)).cast("double").alias("s"))
-    left = size.groupBy("token").agg(((F.sum("s") * F.sum("s") - F.sum(F.col("s") * F.col("s"))) / 2).alias("open"))
-    return int(left.agg(F.sum("open")).first()[0] or 0)
+    What is merged is connected. Not all that is connected has one label afterwards; that is left to
+    later rounds, and to the components at the end.
+    """
+    of = {side: labels.select(F.col("k1").alias(f"{side}1"), F.col("k2").alias(f"{side}2"), F.struct("c1", "c2").alias(side)) for side in "xy"}
+    joined = links.join(of["x"], ["x1", "x2"]).join(of["y"], ["y1", "y2"]).filter("x != y")
+    hooked = stored(joined.groupBy(F.greatest("x", "y").alias("old")).agg(F.min(F.least("x", "y")).alias("new")), "similar-hooked")
+    # Two steps along the chains of hooks.
+    for _ in range(2):
+        ahead = hooked.select(F.col("old").alias("new"), F.col("new").alias("next"))
+        hooked = hooked.join(ahead, "new", "left").select("old", F.coalesce("next", "new").alias("new"))
+    moved = labels.select("k1", "k2", F.struct("c1", "c2").alias("old")).join(hooked, "old", "left")
+    return stored(moved.select("k1", "k2", F.coalesce("new", "old").alias("c")).select("k1", "k2", "c.*"), "similar-labels")
+
+
+def _mixed(mates: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold two labels or more, each with its label."""
+    found = mates.join(labels, KEY)
+    apart = found.groupBy("token").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("c1", "c2")])
+    apart = apart.filter("min_c1 != max_c1 OR min_c2 != max_c2").select("token")
+    return stored(found.join(apart, "token", "left_semi"), "similar-members")
+
+
+def _label_sizes(members: DataFrame) -> DataFrame:
+    """Per bucket the pairs of members with different labels, and the label that most members have."""
+    size = members.groupBy("token", "c1", "c2").agg(F.count(F.lit(1)).alias("s"))
+    total, squares = F.sum(F.col("s").cast("double")), F.sum(F.col("s").cast("double") * F.col("s"))
+    return stored(
+        size.groupBy("token").agg(((total * total - squares) / 2).alias("open"), F.max_by(F.struct("c1", "c2"), F.struct("s", "c1", "c2")).alias("top")),
+        "similar-buckets",
+    )
 
 
 def _different() -> Column:
     return (F.col("x.c1") != F.col("y.c1")) | (F.col("x.c2") != F.col("y.c2"))
 
 
-def _led_pairs(members: DataFrame, turn: int, leaders: int, percent: int) -> DataFrame:
-    """Pairs of members of other components with leaders of their bucket; each turn has other leaders.
+def _led_pairs(members: DataFrame, buckets: DataFrame, turn: int, leaders: int, percent: int) -> DataFrame:
+    """Pairs of members of other labels with leaders of the bucket's most frequent label; each turn has other leaders.
 
     A leader has the smallest hash of its key in one of ``leaders`` orders, so one document leads in
     most buckets that it shares with others, and a bucket sends one row per task and order.
     """
     fields = F.struct(*[F.col(c) for c in ("k1", "k2", "n", "at", "c1", "c2")])
-    chosen = [F.min_by(fields, F.xxhash64(F.lit(turn * leaders + k), "k1", "k2")).alias(f"l{k}") for k in range(leaders)]
-    led = members.groupBy("token").agg(*chosen)
+    chosen = [F.min_by(fields, F.xxhash64(F.lit(turn), F.lit(k), "k1", "k2")).alias(f"l{k}") for k in range(leaders)]
+    own = members.join(buckets.select("token", "top.*"), ["token", "c1", "c2"], "left_semi")
+    led = own.groupBy("token").agg(*chosen)
     led = led.select("token", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(leaders)]))).alias("x"))
     joined = members.select("token", fields.alias("y")).join(led, "token").filter(_different() & _fits(percent))
     return _pairs(joined)
 
 
 def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of members of one bucket that are in different components."""
+    """All pairs of members of one bucket that have different labels."""
     fields = F.struct(*[F.col(c) for c in ("k1", "k2", "n", "at", "c1", "c2")])
     one, other = members.select("token", fields.alias("x")), members.select("token", fields.alias("y"))
     ordered = (F.col("x.k1") < F.col("y.k1")) | ((F.col("x.k1") == F.col("y.k1")) & (F.col("x.k2") < F.col("y.k2")))
@@ -297,30 +314,31 @@ def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 
 def similar_links(mates: DataFrame, sets: DataFrame, percent: int = PERCENT, leaders: int = LEADERS, rounds: int = ROUNDS) -> DataFrame | None:
-    """Links ``x1, x2, y1, y2`` that connect documents exactly as all links would; None for no link.
+    """``k1, k2, c1, c2``, the components of the documents that link with others; None for no link.
 
     ``mates`` are the members of buckets, ``token, k1, k2, n, at``; ``sets`` has the keys with their tokens and
     hash prefixes. The number of rounds bounds only the rounds with leaders: what is left
     after them is compared pair by pair.
     """
-    size = mates.count()
-    links = linked = None
-    for turn in range(rounds + 1):
-        members = _labelled(mates, linked, "similar-members")
-        left = _open_pairs(members)
+    size, found, last = mates.count(), [], False
+    labels = mates.select(*KEY).distinct().select(*KEY, F.col("k1").alias("c1"), F.col("k2").alias("c2"))
+    turn = 0
+    while not last:
+        members = _mixed(mates, labels)
+        buckets = _label_sizes(members)
+        left = buckets.agg(F.sum("open")).first()[0] or 0
         if not left:
             break
-        last = left <= 4 * size or turn == rounds
-        pairs = _all_pairs(members, percent) if last else _led_pairs(members, turn, 1 if turn == 0 else leaders, percent)
-        found = stored(_links(stored(pairs, "similar-pairs"), sets, percent), "similar-links")
-        if not found.isEmpty():
-            links = found if links is None else stored(links.unionByName(found), "similar-links")
-            linked = stored(_connected(links), "similar-components")
-        elif not last:
-            rounds = turn + 1  # leaders find nothing more
-        if last:
-            break
-    return linked
+        last = left <= 4 * size or turn >= rounds
+        pairs = _all_pairs(members, percent) if last else _led_pairs(members, buckets, turn, 1 if turn == 0 else leaders, percent)
+        links = stored(_links(stored(pairs, "similar-pairs"), sets, percent), "similar-links")
+        if links.isEmpty():
+            turn = rounds  # leaders find nothing more
+            continue
+        found.append(links)
+        labels = labels if last else _merged(labels, links)
+        turn += 1
+    return _connected(reduce(DataFrame.unionByName, found)) if found else None
 
 
 def similar_components(
@@ -343,30 +361,25 @@ def similar_components(
     ship_package(spark)
     text = whole_text(text_col)
     keys = [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
-    id_type = docs.schema[id_col].dataType.simpleString()
-    counted = stored(
-        docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), *keys).alias("row"), whole_bytes(text_col).alias("text")).mapInArrow(
-            _counted(shingle_words), f"row struct<id:{id_type},k1:bigint,k2:bigint>, n bigint, slice int, counts binary"
-        ),
-        "similar-counts",
-    )
-    rows = counted.filter("slice IS NULL").select(F.col("row.id").alias("doc_id"), "row.k1", "row.k2", "n")
-    table = spark.sparkContext.broadcast(rarity_table(counted.filter("slice IS NOT NULL").select("slice", "counts")))
-
     texts = docs.select(*keys, whole_bytes(text_col).alias("text"))
+    table = spark.sparkContext.broadcast(rarity_table(texts, shingle_words))
     prefixes = stored(
         texts.mapInArrow(
             _rare_prefixes(table, shingle_words, percent), "token bigint, k1 bigint, k2 bigint, n bigint, at bigint"
         ),
         "similar-prefixes",
     )
-    met = prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("token")
-    mates = stored(prefixes.join(met, "token", "left_semi").distinct(), "similar-met")
-    mates = _labelled(mates, None, "similar-mates").drop("c1", "c2")
-
-    least = stored(rows.groupBy(*KEY).agg(F.min("doc_id").alias("least")), "similar-keys")
+    tokens = prefixes.filter("at >= 0")
+    met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("token")
+    mates = stored(tokens.join(met, "token", "left_semi").distinct(), "similar-met")
+    apart = mates.groupBy("token").count().filter("count > 1").select("token")
+    mates = stored(mates.join(apart, "token", "left_semi"), "similar-mates")
+
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), *keys)
+    sizes = prefixes.filter("at < 0").groupBy(*KEY).agg(F.max("n").alias("n"))
+    least = stored(rows.groupBy(*KEY).agg(F.min("doc_id").alias("least")).join(sizes, KEY), "similar-keys")
     # Of equal texts, that with the smallest id gives the set.
-    wanted = stored(mates.select(*KEY).distinct().join(least, KEY).withColumnsRenamed({"k1": "w1", "k2": "w2"}), "similar-wanted")
+    wanted = stored(mates.select(*KEY).distinct().join(least.drop("n"), KEY).withColumnsRenamed({"k1": "w1", "k2": "w2"}), "similar-wanted")
     n_wanted = wanted.count()
     wanted = F.broadcast(wanted) if n_wanted <= BROADCAST_KEYS else wanted
     named = docs.select(F.col(f"`{id_col}`").alias("id"), *keys, whole_bytes(text_col).alias("text"))
@@ -383,7 +396,7 @@ def similar_components(
         label = {"c1": F.coalesce("c1", "k1"), "c2": F.coalesce("c2", "k2")}
         held = stored(least.join(linked, KEY, "left").withColumns(label), "similar-held")
         firsts = held.groupBy("c1", "c2").agg(F.min("least").alias("component_id"))
-        labelled = held.join(firsts, ["c1", "c2"]).select(*KEY, "component_id")
+        labelled = held.join(firsts, ["c1", "c2"]).select(*KEY, "n", "component_id")
     return rows.join(labelled, KEY).select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )

@@ -157,7 +157,7 @@ def test_the_prediction_decides(spark):
     rows = [(i, f"{t} number {i}" if lang == "en" else f"{t} num\u00e9ro {i}", lang) for i, (lang, t) in enumerate(TRAIN * 30)]
     rows += [(1000, "the cat sat on that thing", None), (1001, "le chat est l\u00e0 o\u00f9", None), (1002, "the mat", "fr"), (1003, "\u00b5\U0001f600" * 9 + "q", None), (1004, "--", "en")]
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, lang string, found string")
-    kept = {r.doc_id: r.lang for r in langid.keep_identified(docs).collect()}
+    kept = {r.doc_id: r.lang for r in langid.keep_identified(docs, most_bits=langid.MOST_BITS).collect()}
     assert (kept[1000], kept[1001], kept[1002]) == ("en", "fr", "fr")
     assert 1003 not in kept and 1004 not in kept and len(kept) == len(TRAIN) * 30 + 3
     english = langid.keep_identified(docs, languages=["en"])

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reelmetrics.llm import ngram_join, wordhash
 
@@ -121,18 +122,27 @@ def test_near_copies_and_common_passages(spark):
     assert _check(spark, rows) > 1000
 
 
-def test_leaders_give_the_same_links_as_all_pairs(spark, monkeypatch):
+@pytest.mark.parametrize("open_pairs", [10**9, 1])
+def test_leaders_give_the_same_links_as_all_pairs(spark, monkeypatch, open_pairs):
+    """Rounds with leaders as long as they find links, or all pairs at once."""
     rng = random.Random(6)
     base = _prose(rng, 100, 10**6)
     rows = [(i, " ".join(_edited(rng, base, rng.choice([2, 3, 4])))) for i in range(80)]
-    df = spark.createDataFrame(rows, SCHEMA)
-    want = _plain(rows)[0]
-    counted = []
-    monkeypatch.setattr(ngram_join, "_open_pairs", lambda members: counted.append(1) or 10**9)
-    assert _got(ngram_join.similar_components(df)) == want
-    assert len(counted) > 1
-    monkeypatch.setattr(ngram_join, "_open_pairs", lambda members: 1)
-    assert _got(ngram_join.similar_components(df)) == want
+    sizes, called = ngram_join._label_sizes, []
+    monkeypatch.setattr(ngram_join, "_label_sizes", lambda m: called.append(1) or sizes(m).withColumn("open", F.col("open") * 0 + open_pairs))
+    assert _got(ngram_join.similar_components(spark.createDataFrame(rows, SCHEMA))) == _plain(rows)[0]
+    assert len(called) == 1 if open_pairs == 1 else len(called) > 1
+
+
+def test_rarity(spark, monkeypatch):
+    """Counts are those of different texts; only the most frequent are entered."""
+    rows = [(k, -k, ("common words here " + " ".join(f"{k}a {k}b {k}c" for _ in range(2))).encode()) for k in range(50)]
+    rows += [(1000, 0, b"second common passage"), (1001, 0, b"second common passage x")] + rows[:10]
+    texts = spark.createDataFrame(rows, "k1 bigint, k2 bigint, text binary").coalesce(1)
+    table = ngram_join.rarity_table(texts)
+    token = {t: ngram_join._counters(ngram_join.shingle_set(t))[0] for t in (b"common words here", b"second common passage", b"0a 0b 0c")}
+    assert [table[token[t]] for t in token] == [int(np.log2(50) * 8), 8, 0]
+    assert (ngram_join.rarity_table(texts, most=1) > 0).sum() == 1
 
 
 def test_odd_rows(odd):
