@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType, ShortType
 
 from reelmetrics.functions import age_bucket, exact_mean
 from reelmetrics.functions.columns import AGE_GROUPS, CHURN_RISKS
-from reelmetrics.operators import clean, enrich, quality, shares
-from reelmetrics.plans import kpi, star_etl
-from reelmetrics.sources import readers, schemas, tables
+from reelmetrics.operators import clean, enrich, key_checks, order_stats, quality, quarantine, shares
+from reelmetrics.plans import kpi, star_etl, viewer_bitmaps
+from reelmetrics.plans.rollups import RollupStore
+from reelmetrics.sources import readers, releases, schemas, tables
+from reelmetrics.sources.layout import write_clustered
 from reelmetrics.sources.sample_star import SampleStar
 from reelmetrics.sources.scratch import scratch_dir
 from reelmetrics.sources.writers import write_curated
@@ -336,6 +339,30 @@ def _(s: SampleStar) -> DataFrame:
     return quality.dq_max_length(s.parquet("documents"), {"text": 1000, "lang": 10, "source": 5})
 
 
+def _length_sql(text: str, unit: str) -> str:
+    """SQL for the length of a text in bytes of UTF-8, or in units of UTF-16."""
+    if unit == "bytes":
+        return f"octet_length(encode({text}))"
+    return f"(length({text}) + len(regexp_extract_all({text}, '[\\x{{10000}}-\\x{{10FFFF}}]')))"
+
+
+_SPELLED = "source || chr(128250) || ': ' || text"
+
+
+@_query(
+    "dq_max_length_units",
+    f"""SELECT column_name, CAST(1000 AS BIGINT) AS max_length, max(n) AS longest, count(*) FILTER (n > 1000) AS too_long
+        FROM (SELECT 'as_bytes' AS column_name, {_length_sql(_SPELLED, 'bytes')} AS n FROM documents
+              UNION ALL SELECT 'as_units', {_length_sql(_SPELLED, 'utf16')} FROM documents
+              UNION ALL SELECT 'as_characters', length({_SPELLED}) FROM documents) GROUP BY column_name""",
+)
+def _(s: SampleStar) -> DataFrame:
+    spelled = F.concat("source", F.lit("\U0001f4fa: "), "text")
+    docs = s.parquet("documents").select(*[spelled.alias(f"as_{unit}") for unit in ("bytes", "units", "characters")])
+    limits = {"as_bytes": "bytes", "as_units": "utf16", "as_characters": "characters"}
+    return quality.dq_max_length(docs, {c: quality.TextLimit(1000, unit) for c, unit in limits.items()})
+
+
 @_query(
     "dq_decimal_fit",
     """SELECT 'l_extendedprice' AS column_name,
@@ -412,8 +439,8 @@ def _constraint_sql() -> str:
         for c in cols:
             count("not null", t, c, f"{c} IS NULL", c in present[t].split())
     for t, limits in schemas.MAX_LENGTHS.items():
-        for c, n in limits.items():
-            count("max length", t, c, f"length(CAST({c} AS VARCHAR)) > {n}", c in present[t].split())
+        for c, limit in limits.items():
+            count("max length", t, c, f"{_length_sql(f'CAST({c} AS VARCHAR)', limit.unit)} > {limit.most}", c in present[t].split())
     for t, types in schemas.DECIMALS.items():
         for c, decimal in types.items():
             cast = f"TRY_CAST({c} AS {decimal})"
@@ -712,49 +739,45 @@ def _(s: SampleStar) -> DataFrame:
 
 # -- left joins with orphans, groups without a key, display order --------------------------
 
-# A dimension that lacks every seventh row.
-_SOME_MOVIES = "(SELECT * FROM movies WHERE show_id % 7 <> 0)"
-_SOME_USERS = "(SELECT * FROM users WHERE user_id % 7 <> 0)"
+# Events whose numbers of titles and viewers are moved up, so that the last ones have no row in the dimension.
+_MOVED = 20
+_MOVED_WATCH = f"(SELECT * REPLACE (user_id + {_MOVED} AS user_id, show_id + {_MOVED} AS show_id) FROM fact_watch)"
 
 
-def _some(df: DataFrame, key: str) -> DataFrame:
-    return df.where(F.col(key) % 7 != 0)
+def _moved(watch: DataFrame) -> DataFrame:
+    return watch.withColumns({"user_id": F.col("user_id") + _MOVED, "show_id": F.col("show_id") + _MOVED})
 
 
 _GENRES_LEFT = f"""SELECT primary_genre, count(*) AS view_count, CAST(sum(watch_duration_minutes) AS DOUBLE) AS total_minutes
-    FROM fact_watch LEFT JOIN {_SOME_MOVIES} USING (show_id) GROUP BY primary_genre"""
+    FROM {_MOVED_WATCH} LEFT JOIN movies USING (show_id) GROUP BY primary_genre"""
 
 
 @_query("kpi_popular_genres_left", _GENRES_LEFT)
 def _(s: SampleStar) -> DataFrame:
-    return kpi.kpi_popular_genres(_events(s), _some(s.movies(), "show_id"), how="left")
+    return kpi.kpi_popular_genres(_moved(_events(s)), s.movies(), how="left")
 
 
 @_query("kpi_popular_genres_drop_null", f"SELECT * FROM ({_GENRES_LEFT}) WHERE primary_genre IS NOT NULL")
 def _(s: SampleStar) -> DataFrame:
-    return kpi.kpi_popular_genres(_events(s), _some(s.movies(), "show_id"), how="left", drop_null=True)
+    return kpi.kpi_popular_genres(_moved(_events(s)), s.movies(), how="left", drop_null=True)
 
 
 @_query(
     "kpi_active_cities_left",
     f"""SELECT city, country, count(*) AS watch_events, count(DISTINCT user_id) AS active_users
-        FROM fact_watch LEFT JOIN {_SOME_USERS} USING (user_id) GROUP BY city, country""",
+        FROM {_MOVED_WATCH} LEFT JOIN users USING (user_id) GROUP BY city, country""",
 )
 def _(s: SampleStar) -> DataFrame:
-    return kpi.kpi_active_cities(_viewer_events(s), _some(s.users(), "user_id"), how="left")
+    return kpi.kpi_active_cities(_moved(_viewer_events(s)), s.users(), how="left")
 
 
 @_query(
     "watch_enriched_orphans",
-    _WATCH_ENRICHED.format(more="").replace("LEFT JOIN movies m", f"LEFT JOIN {_SOME_MOVIES} m").replace(
-        "LEFT JOIN grouped_users u", "LEFT JOIN (SELECT * FROM grouped_users WHERE user_id % 7 <> 0) u"
-    ),
+    _WATCH_ENRICHED.format(more="").replace("FROM fact_watch w", f"FROM {_MOVED_WATCH} w"),
     text="watch_date release_year",
 )
 def _(s: SampleStar) -> DataFrame:
-    return enrich.watch_enriched(
-        clean.clean_watch(s.watch()), _some(s.movies(), "show_id"), _some(_grouped_users(s), "user_id")
-    )
+    return enrich.watch_enriched(_moved(clean.clean_watch(s.watch())), s.movies(), _grouped_users(s))
 
 
 @_query(
@@ -783,19 +806,19 @@ def _(s: SampleStar) -> DataFrame:
     return clean.clean_users(users, null_as_senior=True)
 
 
-def _positions(ordered: DataFrame) -> DataFrame:
-    """A report in display order with the place of each row; the rows are few."""
-    return ordered.coalesce(1).withColumn("position", F.monotonically_increasing_id())
+def _positions(ordered: DataFrame, *keys: Column) -> DataFrame:
+    """A report in display order with the place of each row."""
+    return ordered.withColumn("position", F.row_number().over(Window.orderBy(*keys)) - 1)
 
 
 @_query("kpi_device_usage_ordered", f"SELECT *, row_number() OVER (ORDER BY sessions DESC, device) - 1 AS position FROM ({_SQL['kpi_device_usage']})")
 def _(s: SampleStar) -> DataFrame:
-    return _positions(kpi.kpi_device_usage(_events(s), ordered=True))
+    return _positions(kpi.kpi_device_usage(_events(s), ordered=True), F.desc("sessions"), F.asc("device"))
 
 
 @_query("kpi_monthly_trend_ordered", f"SELECT *, row_number() OVER (ORDER BY watch_month) - 1 AS position FROM ({_SQL['kpi_monthly_trend']})")
 def _(s: SampleStar) -> DataFrame:
-    return _positions(kpi.kpi_monthly_trend(_viewer_events(s), ordered=True))
+    return _positions(kpi.kpi_monthly_trend(_viewer_events(s), ordered=True), F.asc("watch_month"))
 
 
 # -- shares and fixed category orders ------------------------------------------------
@@ -1014,9 +1037,13 @@ def _loaded_star(s: SampleStar, names: list[str]) -> str:
        UNION ALL SELECT 'kpi_user_recommendation_genres', CAST(sum(least(5, genres)) AS BIGINT) FROM (SELECT user_id, count(DISTINCT primary_genre) AS genres FROM titled GROUP BY user_id)""",
 )
 def _(s: SampleStar) -> DataFrame:
-    rows = star_etl.run_pipeline(s.spark, s.tables(), scratch_dir(s.spark, "curated"), AS_OF)
-    entries = [F.struct(F.lit(name).alias("dataset"), F.lit(n).cast("bigint").alias("rows")) for name, n in rows.items()]
-    return s.spark.range(1).select(F.inline(F.array(*entries)))
+    path = scratch_dir(s.spark, "curated")
+    rows = star_etl.run_pipeline(s.spark, s.tables(), path, AS_OF)
+    return _stored_rows({name: s.spark.read.parquet(f"{path}/{name}") for name in rows})
+
+
+def _stored_rows(datasets: dict[str, DataFrame]) -> DataFrame:
+    return quality.table_row_counts(datasets).withColumnRenamed("table_name", "dataset")
 
 
 # The stored KPI datasets: the query with the same rows, what names a row, and a value of it.
@@ -1033,34 +1060,310 @@ _STORED_KPIS = {
 }
 
 
-def _stored_sql() -> str:
+# The other datasets: all columns of a row name it, and equal rows are counted.
+_STORED_TABLES = {
+    "dim_movies": (
+        """SELECT *, CAST(2001 - release_year AS INT) AS content_age_years, 2001 - release_year <= 3 AS is_recent_release
+           FROM (SELECT * REPLACE (trim(title) AS title, trim(primary_genre) AS primary_genre) FROM movies)""",
+        "show_id type title director primary_country release_year primary_genre content_age_years is_recent_release",
+    ),
+    "dim_users": ("SELECT * FROM grouped_users", "user_id name age city country age_group"),
+    "fact_subscriptions": (
+        "SELECT * FROM subs",
+        "subscription_id user_id plan_id start_date end_date status monthly_revenue is_active tenure_days",
+    ),
+    "fact_watch_history": (
+        "SELECT * FROM fact_watch",
+        "user_id show_id device watch_date watch_duration_minutes completion_pct",
+    ),
+    "watch_enriched": (
+        """SELECT w.*, m.title, m.type, m.primary_genre, m.release_year, u.city, u.country, u.age_group, year(watch_date) AS watch_year
+           FROM fact_watch w LEFT JOIN movies m USING (show_id) LEFT JOIN grouped_users u USING (user_id)""",
+        """user_id show_id device watch_date watch_duration_minutes completion_pct watch_month title type primary_genre
+           release_year city country age_group watch_year""",
+    ),
+}
+
+
+def _stored_sql(kpis: dict[str, tuple[str, str, str]], tables_too: bool) -> str:
     parts = []
-    for dataset, (query, keys, value) in _STORED_KPIS.items():
+    for dataset, (query, keys, value) in kpis.items():
         named = " || ':' || ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys.split())
         parts.append(f"SELECT '{dataset}' AS dataset, {named} AS row_key, CAST({value} AS DOUBLE) AS value FROM ({_SQL[query]})")
-    parts.append(
-        """SELECT 'fact_watch_history', device || ':' || CAST(watch_date AS VARCHAR), CAST(sum(completion_pct) AS DOUBLE)
-           FROM fact_watch GROUP BY device, watch_date"""
-    )
+    for dataset, (query, keys) in _STORED_TABLES.items() if tables_too else ():
+        named = " || ':' || ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys.split())
+        parts.append(f"SELECT '{dataset}', {named} AS row_key, CAST(count(*) AS DOUBLE) FROM ({query}) GROUP BY row_key")
     return "SELECT * FROM (" + " UNION ALL ".join(parts) + ")"
 
 
-@_query("curated_contents", _stored_sql())
+def _stored_contents(datasets: dict[str, DataFrame]) -> DataFrame:
+    def named(keys: str) -> Column:
+        return F.concat_ws(":", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys.split()]).alias("row_key")
+
+    stored = []
+    for dataset, rows in datasets.items():
+        name = F.lit(dataset).alias("dataset")
+        if dataset in _STORED_KPIS:
+            _, keys, value = _STORED_KPIS[dataset]
+            stored.append(rows.select(name, named(keys), F.col(value).cast("double").alias("value")))
+        else:
+            counted = rows.groupBy(named(_STORED_TABLES[dataset][1])).agg(F.count(F.lit(1)).cast("double").alias("value"))
+            stored.append(counted.select(name, "row_key", "value"))
+    return reduce(DataFrame.unionByName, stored)
+
+
+@_query("curated_contents", _stored_sql(_STORED_KPIS, True))
 def _(s: SampleStar) -> DataFrame:
     path = scratch_dir(s.spark, "curated")
-    star_etl.run_pipeline(s.spark, s.tables(), path, AS_OF)
-    stored = []
-    for dataset, (_, keys, value) in _STORED_KPIS.items():
-        named = F.concat_ws(":", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys.split()])
-        rows = s.spark.read.parquet(f"{path}/{dataset}")
-        stored.append(rows.select(F.lit(dataset).alias("dataset"), named.alias("row_key"), F.col(value).cast("double").alias("value")))
-    watch = s.spark.read.parquet(f"{path}/fact_watch_history").groupBy("device", "watch_date").agg(F.sum("completion_pct").alias("value"))
-    day = F.concat_ws(":", "device", F.col("watch_date").cast("string"))
-    stored.append(watch.select(F.lit("fact_watch_history").alias("dataset"), day.alias("row_key"), F.col("value").cast("double")))
-    every = stored[0]
-    for one in stored[1:]:
-        every = every.unionByName(one)
-    return every
+    rows = star_etl.run_pipeline(s.spark, s.tables(), path, AS_OF)
+    return _stored_contents({name: s.spark.read.parquet(f"{path}/{name}") for name in rows})
+
+
+_ROLLED = {k: v for k, v in _STORED_KPIS.items() if k in ("kpi_top_watched_titles", "kpi_popular_genres", "kpi_active_cities", "kpi_user_engagement_churn")}
+
+
+@_query("curated_with_kept_rollups", _stored_sql(_ROLLED, False))
+def _(s: SampleStar) -> DataFrame:
+    path = scratch_dir(s.spark, "curated")
+    star_etl.run_pipeline(s.spark, s.tables(), path, AS_OF, persist=True)
+    return _stored_contents({name: s.spark.read.parquet(f"{path}/{name}") for name in _ROLLED})
+
+
+@_query(
+    "curated_release",
+    f"""SELECT CAST(2 AS BIGINT) AS number, dataset, row_key, value FROM ({_stored_sql(_STORED_KPIS, True)})""",
+)
+def _(s: SampleStar) -> DataFrame:
+    """Two runs are published; the second, with other dates, is what readers get."""
+    base = scratch_dir(s.spark, "releases")
+    star_etl.publish_run(s.spark, s.tables(), base, AS_OF - dt.timedelta(days=400))
+    number = star_etl.publish_run(s.spark, s.tables(), base, AS_OF)
+    contents = _stored_contents(releases.open_release(s.spark, base))
+    return contents.select(F.lit(number).cast("bigint").alias("number"), "*")
+
+
+# -- viewers from stored bitmaps -------------------------------------------------------
+
+
+def _bitmaps(s: SampleStar, of_cities: bool = False) -> DataFrame:
+    path = scratch_dir(s.spark, "bitmaps")
+    events = _viewer_events(s)
+    viewer_bitmaps.store_bitmaps(viewer_bitmaps.city_bitmaps(events, s.users()) if of_cities else viewer_bitmaps.viewer_bitmaps(events), path)
+    return s.spark.read.parquet(path)
+
+
+@_query("bitmap_monthly_trend", _TREND)
+def _(s: SampleStar) -> DataFrame:
+    return viewer_bitmaps.monthly_trend(_bitmaps(s))
+
+
+@_query("bitmap_monthly_trend_of_range", f"SELECT * FROM ({_TREND}) WHERE watch_month BETWEEN '1996-03' AND '1997-02'")
+def _(s: SampleStar) -> DataFrame:
+    return viewer_bitmaps.monthly_trend(_bitmaps(s), "1996-03", "1997-02")
+
+
+@_query(
+    "bitmap_viewers_by_quarter",
+    """SELECT year(watch_date) || '-Q' || quarter(watch_date) AS quarter, count(*) AS total_views,
+              CAST(sum(watch_duration_minutes) AS DOUBLE) AS total_minutes, count(DISTINCT user_id) AS unique_viewers
+       FROM fact_watch GROUP BY quarter""",
+)
+def _(s: SampleStar) -> DataFrame:
+    first = F.to_date(F.concat("watch_month", F.lit("-01")))
+    quarter = F.concat(F.year(first).cast("string"), F.lit("-Q"), F.quarter(first).cast("string"))
+    return viewer_bitmaps.distinct_viewers(_bitmaps(s), [quarter.alias("quarter")])
+
+
+@_query("bitmap_viewers_in_all", "SELECT count(*) AS total_views, CAST(sum(watch_duration_minutes) AS DOUBLE) AS total_minutes, count(DISTINCT user_id) AS unique_viewers FROM fact_watch")
+def _(s: SampleStar) -> DataFrame:
+    return viewer_bitmaps.distinct_viewers(_bitmaps(s))
+
+
+@_query("bitmap_active_cities", _CITIES)
+def _(s: SampleStar) -> DataFrame:
+    return viewer_bitmaps.active_cities(_bitmaps(s, of_cities=True))
+
+
+@_query(
+    "bitmap_active_cities_of_range",
+    """SELECT city, country, count(*) AS watch_events, count(DISTINCT user_id) AS active_users
+       FROM fact_watch LEFT JOIN users USING (user_id) WHERE watch_month >= '1999-01' GROUP BY city, country""",
+)
+def _(s: SampleStar) -> DataFrame:
+    return viewer_bitmaps.active_cities(_bitmaps(s, of_cities=True), first="1999-01", how="left")
+
+
+# -- views that are kept up to date ----------------------------------------------------
+
+
+def _rollups(s: SampleStar, fact: str, rows: DataFrame, late: Column) -> RollupStore:
+    """A store that got most rows first and the late ones of one month afterwards."""
+    store = RollupStore(s.spark, scratch_dir(s.spark, "rollups"))
+    store.add(fact, rows.where(~late))
+    store.add(fact, rows.where(late))
+    return store
+
+
+def _watch_rollups(s: SampleStar, events: DataFrame) -> RollupStore:
+    return _rollups(s, "watch", events, (F.col("watch_month") == "1998-06") & F.col("device").startswith("R"))
+
+
+@_query("refreshed_top_watched_titles", f"SELECT * FROM ({_SQL['vw_top_watched_titles']})")
+def _(s: SampleStar) -> DataFrame:
+    return _watch_rollups(s, _events(s)).vw_top_watched_titles(s.movies())
+
+
+@_query("refreshed_user_engagement", f"SELECT * FROM ({_SQL['vw_user_engagement']})", text="last_watch_date")
+def _(s: SampleStar) -> DataFrame:
+    return _watch_rollups(s, _viewer_events(s)).vw_user_engagement()
+
+
+@_query("refreshed_revenue_by_plan", f"SELECT * FROM ({_SQL['vw_revenue_by_plan']})")
+def _(s: SampleStar) -> DataFrame:
+    late = (F.date_format("start_date", "yyyy-MM") == "1996-01") & (F.col("status") == "Active")
+    return _rollups(s, "subscriptions", _clean_subs(s), late).vw_revenue_by_plan(s.plans())
+
+
+@_query(
+    "refreshed_engagement_of_a_year",
+    """SELECT user_id, count(*) AS total_sessions, CAST(sum(watch_duration_minutes) AS DOUBLE) AS total_watch_minutes,
+              max(watch_date) AS last_watch_date FROM fact_watch WHERE year(watch_date) = 1998 GROUP BY user_id""",
+    text="last_watch_date",
+)
+def _(s: SampleStar) -> DataFrame:
+    return _watch_rollups(s, _viewer_events(s)).vw_user_engagement(since="1998-01", until="1998-12")
+
+
+@_query(
+    "refreshed_stored_views",
+    """SELECT 'vw_TopWatchedTitles' AS view_name, count(DISTINCT show_id) AS rows,
+              CAST(sum(watch_duration_minutes) AS DOUBLE) AS total FROM fact_watch
+       UNION ALL SELECT 'vw_RevenueByPlan', count(DISTINCT plan_id), CAST(sum(monthly_revenue) AS DOUBLE) FROM subs
+       UNION ALL SELECT 'vw_UserEngagement', count(DISTINCT coalesce(user_id, -1)), CAST(sum(watch_duration_minutes) AS DOUBLE) FROM fact_watch""",
+)
+def _(s: SampleStar) -> DataFrame:
+    """The catalog's views over the sums. A batch that comes after their creation is seen, too."""
+    prefix = _loaded_star(s, ["movies", "plans"])
+    events, subs = _viewer_events(s), _clean_subs(s)
+    store = _watch_rollups(s, events.where("watch_month <> '2000-02' OR watch_month IS NULL"))
+    store.add("subscriptions", subs)
+    store.create_views(prefix)
+    store.add("watch", events.where("watch_month = '2000-02'"))
+    totals = {"vw_TopWatchedTitles": "total_watch_minutes", "vw_RevenueByPlan": "total_revenue", "vw_UserEngagement": "total_watch_minutes"}
+    reports = [
+        s.spark.table(view).agg(F.count(F.lit(1)).alias("rows"), F.sum(totals[view.removeprefix(prefix)]).cast("double").alias("total")).select(
+            F.lit(view.removeprefix(prefix)).alias("view_name"), "rows", "total"
+        )
+        for view in store.create_views(prefix)
+    ]
+    # The tables of the sums are partitioned in the catalog, so they must be there while they are read.
+    path = scratch_dir(s.spark, "view-totals")
+    reduce(DataFrame.unionByName, reports).write.parquet(path)
+    store.drop_views(prefix)
+    tables.drop_star_tables(s.spark, prefix)
+    return s.spark.read.parquet(path)
+
+
+# -- layout, keys, quarantine, quantiles -----------------------------------------------
+
+
+@_query("clustered_watch", _WATCH_ENRICHED.format(more=", CAST(year(w.watch_date) AS BIGINT) AS watch_year"), text="watch_date")
+def _(s: SampleStar) -> DataFrame:
+    enriched = clean.add_watch_year(enrich.watch_enriched(_viewer_events(s), s.movies(), _grouped_users(s)))
+    path = scratch_dir(s.spark, "watch-clustered")
+    write_clustered(enriched, path, ["user_id", "show_id", "watch_date"], ["watch_year"], files=24)
+    return s.spark.read.parquet(path)
+
+
+@_query("duplicate_keys_of_two", f"SELECT * FROM ({_SQL['dq_primary_key']})")
+def _(s: SampleStar) -> DataFrame:
+    return key_checks.duplicate_keys(s.parquet("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@_query("duplicate_ids", "SELECT o_custkey, count(*) AS rows FROM orders GROUP BY o_custkey HAVING count(*) > 1 OR o_custkey IS NULL")
+def _(s: SampleStar) -> DataFrame:
+    return key_checks.duplicate_keys(s.parquet("orders"), "o_custkey")
+
+
+def _orphan_sql() -> str:
+    views = {"movies": "movies", "users": "users", "plans": "plans", "subscriptions": "raw_subs", "watch": _MOVED_WATCH, "ratings": "all_ratings"}
+    return " UNION ALL ".join(
+        f"""SELECT '{child}' AS child, '{key}' AS key, '{parent}' AS parent, CAST({key} AS VARCHAR) AS value, count(*) AS rows
+            FROM {views[child]} WHERE {key} IS NOT NULL AND {key} NOT IN (SELECT {key} FROM {views[parent]}) GROUP BY {key}"""
+        for child, key, parent in schemas.FOREIGN_KEYS
+    )
+
+
+@_query("orphan_keys", _orphan_sql())
+def _(s: SampleStar) -> DataFrame:
+    return key_checks.orphan_keys(s.tables() | {"watch": _moved(_viewer_events(s))}, schemas.FOREIGN_KEYS)
+
+
+_RULES = {
+    "not null: director": "director IS NULL",
+    "not null: title": "title IS NULL",
+    "max length: title": "octet_length(encode(title)) > 30",
+    "max length: primary_genre": "length(primary_genre) > 20",
+    "check: release_year < 1990": "NOT release_year < 1990",
+}
+
+
+def _ruled_movies(s: SampleStar) -> DataFrame:
+    movies = s.movies()
+    rules = quarantine.row_rules(
+        movies,
+        required=["director", "title", "absent"],
+        max_lengths={"title": quality.TextLimit(30, "bytes"), "primary_genre": quality.TextLimit(20, "utf16")},
+        checks=["release_year < 1990", "absent > 3"],
+    )
+    path = scratch_dir(s.spark, "quarantine")
+    quarantine.write_with_quarantine(movies, rules, path)
+    return s.spark.read.parquet(path)
+
+
+@_query(
+    "quarantined_rows",
+    f"""SELECT show_id, title, concat_ws('; ', {", ".join(f"CASE WHEN {broken} THEN '{name}' END" for name, broken in _RULES.items())}) AS broken
+        FROM movies WHERE {" OR ".join(_RULES.values())}""",
+)
+def _(s: SampleStar) -> DataFrame:
+    written = _ruled_movies(s)
+    return quarantine.read_quarantine(written).select("show_id", "title", F.concat_ws("; ", quarantine.BROKEN).alias("broken"))
+
+
+@_query(
+    "quarantine_counts",
+    " UNION ALL ".join(f"SELECT '{name}' AS rule, count(*) AS rows FROM movies WHERE {broken} HAVING count(*) > 0" for name, broken in _RULES.items())
+    + f" UNION ALL SELECT 'accepted', count(*) FROM movies WHERE NOT ({' OR '.join(f'coalesce({b}, false)' for b in _RULES.values())})",
+)
+def _(s: SampleStar) -> DataFrame:
+    written = _ruled_movies(s)
+    accepted = quarantine.read_accepted(written).agg(F.lit("accepted").alias("rule"), F.count(F.lit(1)).alias("rows"))
+    return quarantine.broken_rule_counts(quarantine.read_quarantine(written)).unionByName(accepted)
+
+
+@_query(
+    "avg_watch_per_user_in_two_scans",
+    f"SELECT * FROM ({_SQL['kpi_avg_watch_per_user']})",
+)
+def _(s: SampleStar) -> DataFrame:
+    totals = kpi.vw_user_engagement(_viewer_events(s)).where("user_id IS NOT NULL")
+    found = order_stats.exact_quantiles(totals, "total_watch_minutes", [0.5], digits=1)
+    return found.select(F.col("n").alias("viewers"), F.col("mean").alias("mean_watch_minutes"), F.col("quantile").alias("median_watch_minutes"))
+
+
+@_query(
+    "watch_duration_quantiles",
+    """SELECT CAST(share AS DOUBLE) AS share, max(n) AS n,
+              floor(sum(CASE WHEN k = low AND k = high THEN u WHEN k = low THEN u * (1 - part) WHEN k = high THEN u * part END) * 10 + 0.5) / 100 AS quantile
+       FROM (SELECT *, floor(share * (n - 1)) AS low, ceil(share * (n - 1)) AS high, share * (n - 1) - floor(share * (n - 1)) AS part
+             FROM (SELECT CAST(watch_duration_minutes * 10 AS BIGINT) AS u, row_number() OVER (ORDER BY watch_duration_minutes) - 1 AS k, count(*) OVER () AS n
+                   FROM fact_watch), (VALUES (0.0::DECIMAL(3,2)), (0.1), (0.25), (0.5), (0.75), (0.99), (1)) q(share))
+       GROUP BY share""",
+)
+def _(s: SampleStar) -> DataFrame:
+    shares_ = [0, 0.1, 0.25, 0.5, 0.75, 0.99, 1]
+    return order_stats.exact_quantiles(_events(s), "watch_duration_minutes", shares_, digits=2).drop("mean")
 
 
 # -- driver contract -----------------------------------------------------------------

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
@@ -57,21 +58,49 @@ def dq_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return _per_column(df, cols, {"null_count": {c: F.count_if(F.col(c).isNull()) for c in cols}})
 
 
-def dq_max_length(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
-    """Longest text and number of texts that are too long, per limited column."""
-    cols = list(limits)
+class TextLimit(NamedTuple):
+    """The longest text that a column may hold, and what its length is counted in.
+
+    ``bytes`` (of UTF-8) is the unit of VARCHAR(n) and ``utf16`` (16-bit units, of which a character
+    beyond U+FFFF takes two) that of NVARCHAR(n); ``characters`` are code points.
+    """
+
+    most: int
+    unit: str = "characters"
+
+
+def text_length(text: Column, unit: str = "characters") -> Column:
+    """The length of a text in the units of ``TextLimit``."""
+    if unit == "characters":
+        return F.length(text)
+    if unit == "bytes":
+        return F.octet_length(text)
+    if unit == "utf16":
+        return (F.octet_length(F.encode(text, "UTF-16BE")) / 2).cast("int")
+    raise ValueError(f"a length is counted in characters, bytes or utf16, not in {unit}")
+
+
+def too_long(col: str, limit: int | TextLimit) -> Column:
+    """Whether a text exceeds its limit; a number is one of characters."""
+    most, unit = limit if isinstance(limit, TextLimit) else TextLimit(limit)
+    return text_length(F.col(f"`{col}`").cast("string"), unit) > most
+
+
+def dq_max_length(df: DataFrame, limits: Mapping[str, int | TextLimit]) -> DataFrame:
+    """Longest text and number of texts that are too long, per limited column, in the units of its limit."""
+    given = {c: limit if isinstance(limit, TextLimit) else TextLimit(limit) for c, limit in limits.items()}
     return _per_column(
         df,
-        cols,
+        list(given),
         {
-            "max_length": {c: F.max(F.lit(limits[c]).cast("long")) for c in cols},
-            "longest": {c: F.max(F.length(c)).cast("long") for c in cols},
-            "too_long": {c: F.count_if(F.length(c) > limits[c]) for c in cols},
+            "max_length": {c: F.max(F.lit(limit.most).cast("long")) for c, limit in given.items()},
+            "longest": {c: F.max(text_length(F.col(f"`{c}`").cast("string"), limit.unit)).cast("long") for c, limit in given.items()},
+            "too_long": {c: F.count_if(too_long(c, limit)) for c, limit in given.items()},
         },
     )
 
 
-def _decimal_misfits(df: DataFrame, col: str, decimal: str) -> tuple[Column, Column]:
+def decimal_misfits(df: DataFrame, col: str, decimal: str) -> tuple[Column, Column]:
     """Whether a decimal type cannot hold a value of a column, and whether it would round it.
 
     Decimals are compared as decimals and texts by their digits, so no digit is too far
@@ -97,7 +126,7 @@ def dq_decimal_fit(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
     ``types`` maps columns (of numbers or of text) to types such as ``decimal(8,2)``.
     """
-    misfits = {c: _decimal_misfits(df, c, decimal) for c, decimal in types.items()}
+    misfits = {c: decimal_misfits(df, c, decimal) for c, decimal in types.items()}
     return _per_column(
         df,
         list(types),
@@ -173,7 +202,7 @@ def constraint_report(
     foreign_keys: Sequence[tuple[str, str, str]],
     checks: Mapping[str, str],
     required: Mapping[str, Sequence[str]],
-    max_lengths: Mapping[str, Mapping[str, int]] | None = None,
+    max_lengths: Mapping[str, Mapping[str, int | TextLimit]] | None = None,
     decimals: Mapping[str, Mapping[str, str]] | None = None,
     expected_rows: Mapping[str, int] | None = None,
     tolerance: float = 0.0,
@@ -221,10 +250,10 @@ def constraint_report(
             on_row("not null", table, c, F.col(f"`{c}`").isNull() if known(table, c) else None)
     for table, limits in (max_lengths or {}).items():
         for c, limit in limits.items():
-            on_row("max length", table, c, F.length(F.col(f"`{c}`").cast("string")) > limit if known(table, c) else None)
+            on_row("max length", table, c, too_long(c, limit) if known(table, c) else None)
     for table, types in (decimals or {}).items():
         for c, decimal in types.items():
-            out, rounds = _decimal_misfits(tables[table], c, decimal) if known(table, c) else (None, None)
+            out, rounds = decimal_misfits(tables[table], c, decimal) if known(table, c) else (None, None)
             on_row("decimal", table, c, None if out is None else out | rounds)
     for table in expected_rows or {}:
         on_rows.setdefault(table, [])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reelmetrics.operators import clean, enrich
 from reelmetrics.plans import kpi
-from reelmetrics.sources import readers
+from reelmetrics.sources import readers, releases
 from reelmetrics.sources.writers import write_curated
 
 # The datasets that are partitioned, and by what.
@@ -82,6 +82,25 @@ def run_pipeline(
     return rows
 
 
+def publish_run(
+    spark: SparkSession,
+    src: str | Mapping[str, DataFrame],
+    base: str,
+    as_of: dt.date | None = None,
+    genres_per_user: int = 5,
+    persist: bool = False,
+) -> int:
+    """``run_pipeline`` into a folder of its own below ``base``, then one switch to it.
+
+    Returns the number of the release; ``sources.releases.open_release`` reads it. Until the switch, and if
+    the run fails, readers see all datasets of the release before.
+    """
+    notes = {"as_of": as_of or dt.date.today(), "genres_per_user": genres_per_user}
+    return releases.publish(
+        spark, base, lambda folder: run_pipeline(spark, src, folder, as_of, genres_per_user, persist), notes
+    )
+
+
 class Account(NamedTuple):
     """What became of the lines of a file: ``read = rejected + filtered + written``.
 

@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from reelmetrics.operators.quality import TextLimit
+
 
 class Col(NamedTuple):
     name: str
     type: str
     required: bool = False
     max_length: int | None = None
+    #: What the length is counted in: bytes for VARCHAR(n), 16-bit units for NVARCHAR(n).
+    unit: str = "bytes"
 
 
 # The declared columns of each table, in file order.
@@ -21,28 +25,28 @@ TABLES: dict[str, tuple[Col, ...]] = {
     "movies": (
         Col("show_id", "string", True, 10),
         Col("type", "string", True, 10),
-        Col("title", "string", True, 200),
-        Col("director", "string", max_length=300),
-        Col("cast_members", "string", max_length=1000),
-        Col("primary_country", "string", max_length=50),
-        Col("all_countries", "string", max_length=300),
+        Col("title", "string", True, 200, unit="utf16"),
+        Col("director", "string", max_length=300, unit="utf16"),
+        Col("cast_members", "string", max_length=1000, unit="utf16"),
+        Col("primary_country", "string", max_length=50, unit="utf16"),
+        Col("all_countries", "string", max_length=300, unit="utf16"),
         Col("date_added", "date"),
         Col("release_year", "int", True),
         Col("rating", "string", max_length=10),
         Col("duration_value", "int"),
         Col("duration_unit", "string", max_length=10),
-        Col("primary_genre", "string", max_length=50),
-        Col("all_genres", "string", max_length=200),
-        Col("description", "string", max_length=500),
+        Col("primary_genre", "string", max_length=50, unit="utf16"),
+        Col("all_genres", "string", max_length=200, unit="utf16"),
+        Col("description", "string", max_length=500, unit="utf16"),
     ),
     "users": (
         Col("user_id", "bigint", True),
-        Col("name", "string", True, 100),
+        Col("name", "string", True, 100, unit="utf16"),
         Col("email", "string", True, 150),
         Col("gender", "string", max_length=10),
         Col("age", "int"),
-        Col("city", "string", max_length=50),
-        Col("country", "string", max_length=50),
+        Col("city", "string", max_length=50, unit="utf16"),
+        Col("country", "string", max_length=50, unit="utf16"),
         Col("signup_date", "date", True),
     ),
     "plans": (
@@ -122,7 +126,7 @@ EXPECTED_ROWS = {
 LOAD_ORDER = ("movies", "plans", "users", "subscriptions", "watch", "ratings")
 
 REQUIRED = {t: [c.name for c in cols if c.required] for t, cols in TABLES.items()}
-MAX_LENGTHS = {t: {c.name: c.max_length for c in cols if c.max_length} for t, cols in TABLES.items()}
+MAX_LENGTHS = {t: {c.name: TextLimit(c.max_length, c.unit) for c in cols if c.max_length} for t, cols in TABLES.items()}
 DECIMALS = {t: {c.name: c.type for c in cols if c.type.startswith("decimal")} for t, cols in TABLES.items()}
 
 
