@@ -15,8 +15,8 @@ from reelmetrics.sources.scratch import scratch_dir
 
 
 def _language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language."""
-    return langid.keep_identified(docs)
+    """Drop documents without a language; those that have none noted get the one that is predicted."""
+    return langid.keep_identified(docs, most_bits=langid.MOST_BITS)
 
 
 def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
