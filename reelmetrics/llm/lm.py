@@ -1,13 +1,17 @@
-"""Language-model scores by a weighted backoff automaton that is kept as distributed tables.
+"""Language-model scores by a weighted backoff automaton.
 
 Counts come from all training texts. The root of the automaton is the add-one unigram model over
-every token seen; a word or a bigram that some longer n-gram begins with is a state, with arcs
-for its discounted bigrams or trigrams, and a failure arc to the state of the shorter history,
-whose weight returns the discounted mass. The state after a word depends on the last two words
-alone, so the weights of a walk are a sum over the n-grams of the text: each n-gram has a gain,
-which is the weight of its arc less the weights of the way that it replaces. Gains are tables as
-large as the input makes them; those of the most frequent n-grams are broadcast as well, and only
-the others are joined.
+every token seen; words and bigrams that some longer n-gram begins with are states, with arcs
+for their discounted bigrams or trigrams, and a failure arc to the state of the shorter history,
+whose weight returns the discounted mass. A text is read from left to right, once: a state is carried
+along, a word takes the arc of the state or, while there is none, its failure arcs, and the weights add up.
+
+The tables of states and arcs are as large as the input makes them. The most frequent part of the
+automaton, which is one itself, is broadcast and walked. An arc outside that part adds a gain: its weight
+less those of the way that the walk takes without it. These n-grams are looked up by a join, and
+the sum is that of a walk over the whole automaton.
+
+Words are known by 64-bit hashes; a second hash of every word proves that no two of a corpus share one.
 """
 
 from __future__ import annotations
@@ -18,20 +22,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmetrics.llm.common import in_fold, lower_ascii, not_in_fold, ship_package, stored, whole_bytes, whole_text
+from reelmetrics.llm.common import in_fold, not_in_fold, ship_package, stored, whole_bytes
+from reelmetrics.llm.index import Index
+from reelmetrics.llm.wordhash import blocks, hash_places, words_of_texts
 
-#: What separates tokens.
-BLANKS = r"[\x20\x09-\x0D]+"
-#: What stands for the end and the start of a text among the tokens; no token has a blank.
-END, START = "", " "
-#: Bits of a filter, and of one of its rows.
-FILTER_BITS, ROW_BITS = 1 << 26, 1 << 15
-#: Bytes of text that are scored at a time.
-BLOCK = 1 << 22
+#: The ids of the end and of the start of a text among those of its words.
+END, START = -1, -2
+#: Bits of a filter for each of its entries, of a whole filter at most, and of one of its rows.
+BITS_EACH, MOST_BITS, ROW_BITS = 16, 1 << 28, 1 << 15
+#: Bytes of text that are counted or scored at a time, and words that are walked in one go.
+BLOCK, PIECE = 1 << 23, 512
 
 
 @dataclass(frozen=True)
@@ -48,105 +51,56 @@ class Size:
     arcs: float = math.inf
     least_count: int = 3
     discount: float = 0.75
-    near_words: int = 200_000
-    near_arcs: int = 300_000
-
-
-# -- words as numbers --------------------------------------------------------------------
-
-
-def token_counts(texts: DataFrame) -> DataFrame:
-    """``token, n, uses`` over columns ``text, learn``: the uses in texts to learn from, and in all.
-
-    The empty token stands for the ends of texts.
-    """
-    tokens = F.filter(F.split(lower_ascii(F.col("text")), BLANKS), lambda w: w != "")
-    return (
-        texts.select("learn", F.explode(F.concat(tokens, F.array(F.lit(END)))).alias("token"))
-        .groupBy("token")
-        .agg(F.count(F.when(F.col("learn"), 1)).alias("n"), F.count(F.lit(1)).alias("uses"))
-    )
-
-
-def _key(token: bytes) -> int:
-    """The number of a word: the same as ``xxhash64`` of Spark."""
-    return xxhash.xxh64_intdigest(token, 42)
-
-
-def _signed(number: int) -> int:
-    return number - (1 << 64) if number >> 63 else number
-
-
-def _padding(counts: DataFrame) -> str:
-    """What to append to every word so that no two of the table have the same 64-bit number."""
-    for k in range(16):
-        pad = "\t" * k
-        words = counts.select("token").union(counts.sparkSession.createDataFrame([(START,)], "token string"))
-        same = words.groupBy(F.xxhash64(F.concat("token", F.lit(pad))).alias("word")).count().filter("count > 1")
-        if same.isEmpty():
-            return pad
-    raise RuntimeError("words can't be told apart by 64 bits")
+    near_words: int = 1_000_000
+    near_arcs: int = 1_000_000
 
 
-class _Numbers(dict):
-    """Numbers words as they come."""
-
-    def __missing__(self, token: bytes) -> int:
-        self[token] = n = len(self)
-        return n
+# -- texts as numbers --------------------------------------------------------------------
 
 
 @dataclass
-class _Batch:
-    """Texts in a row, each between a start and an end, as places in ``keys``."""
+class _Block:
+    """Texts in a row, each between a start and an end."""
 
-    keys: np.ndarray
-    framed: np.ndarray
-    #: The text of each place.
+    #: Distinct ids, and which of them stands at each place.
+    ids: np.ndarray
+    which: np.ndarray
+    #: The text of each place, and the words of each text.
     doc: np.ndarray
     sizes: np.ndarray
+    #: A second hash of the distinct ids, 0 for marks.
+    second: np.ndarray
 
     @staticmethod
-    def of(texts: pa.Array, pad: str) -> _Batch:
-        numbers, pad = _Numbers({START.encode(): 0, END.encode(): 1}), pad.encode()
-        parts, sizes = [], []
-        for text in texts:
-            tokens = text.as_py().lower().split()
-            parts.append(np.array([0, *map(numbers.__getitem__, tokens), 1], np.int64))
-            sizes.append(len(tokens))
-        keys = np.array([_key(t + pad) for t in numbers], np.uint64).view(np.int64)
-        sizes = np.array(sizes, np.int64)
-        framed = np.concatenate(parts) if parts else np.empty(0, np.int64)
-        return _Batch(keys, framed, np.repeat(np.arange(len(sizes)), sizes + 2), sizes)
-
-    def grams(self, words: _Filter | None, pairs: _Filter | None) -> tuple[np.ndarray, ...]:
-        """Where bigrams begin whose words pass a filter, which bigram each one is, and the bigrams.
-
-        A bigram that does not pass ``pairs`` is none.
-        """
-        a, b = self.framed[:-1], self.framed[1:]
-        fit = a != 1
-        if words is not None:
-            listed = words.has(self.keys)
-            listed[:2] = True
-            fit &= listed[a] & listed[b]
-        at = np.flatnonzero(fit)
-        codes, which = np.unique(a[at] * len(self.keys) + b[at], return_inverse=True)
-        first, second = codes // len(self.keys), codes % len(self.keys)
-        if pairs is not None and len(codes):
-            good = pairs.has(self.keys[first], self.keys[second])
-            chosen = good[which]
-            place = np.cumsum(good) - 1
-            at, which, first, second = at[chosen], place[which[chosen]], first[good], second[good]
-        return at, which, first, second
-
-    def triples(self, at: np.ndarray, which: np.ndarray, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Where two bigrams follow each other, which trigram it is, and the trigrams."""
-        follows = np.flatnonzero(at[1:] == at[:-1] + 1)
-        third = self.framed[at[follows] + 2]
-        codes, which3 = np.unique(which[follows] * len(self.keys) + third, return_inverse=True)
-        pair = codes // len(self.keys)
-        return at[follows], which3, first[pair], second[pair], codes % len(self.keys)
+    def of(texts: list[bytes], seed: int) -> _Block:
+        data, starts, lengths, bounds = words_of_texts(texts)
+        sizes = np.diff(bounds)
+        doc = np.repeat(np.arange(len(texts)), sizes + 2)
+        firsts = np.concatenate([[0], np.cumsum(sizes + 2)[:-1]])
+        framed = np.empty(len(doc), np.int64)
+        inner = np.ones(len(doc), bool)
+        inner[firsts] = inner[firsts + sizes + 1] = False
+        framed[inner] = hash_places(data, starts, lengths, 2 * seed).view(np.int64)
+        framed[firsts], framed[firsts + sizes + 1] = START, END
+        ids, at, which = np.unique(framed, return_index=True, return_inverse=True)
+        word = np.cumsum(inner)[at] - 1
+        real = inner[at]
+        second = np.zeros(len(ids), np.int64)
+        second[real] = hash_places(data, starts[word[real]], lengths[word[real]], 2 * seed + 1).view(np.int64)
+        return _Block(ids, which, doc, sizes, second)
+
+    def pairs(self) -> np.ndarray:
+        """Where bigrams begin: at every place but the ends."""
+        return np.flatnonzero(self.ids[self.which[:-1]] != END)
+
+
+def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first place of each distinct row of small numbers, which one each row is, and how often it occurs."""
+    code = columns[0].astype(np.int64)
+    for c in columns[1:]:
+        code = code * (int(c.max()) + 1 if len(c) else 1) + c
+    _, first, which, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+    return first, which, n
 
 
 # -- filters -----------------------------------------------------------------------------
@@ -158,26 +112,35 @@ class _Filter:
 
     bits: np.ndarray
 
-    def has(self, *keys: np.ndarray) -> np.ndarray:
-        slot = keys[0].copy()
-        for k, more in enumerate(keys[1:], 1):
-            slot ^= (more.view(np.uint64) >> np.uint64(15 * k)).view(np.int64)
-        slot &= FILTER_BITS - 1
+    def has(self, *ids: np.ndarray) -> np.ndarray:
+        slot = _slot(*ids).view(np.int64) & (8 * len(self.bits) - 1)
         return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
 
 
+def _slot(*ids: np.ndarray) -> np.ndarray:
+    """A mix of the ids of an n-gram; ``_filter`` forms the same in Spark."""
+    slot = ids[0].view(np.uint64).copy()
+    for k, more in enumerate(ids[1:], 1):
+        more = more.view(np.uint64)
+        slot ^= more << np.uint64(21 * k) | more >> np.uint64(64 - 21 * k)
+    return slot ^ slot >> np.uint64(32)
+
+
 def _filter(table: DataFrame, *names: str) -> _Filter:
-    """The filter of a table's n-grams; its size does not depend on the table."""
+    """The filter of a table's n-grams; it grows with the table up to ``MOST_BITS``."""
+    size = ROW_BITS
+    while size < MOST_BITS and size < BITS_EACH * table.count():
+        size *= 2
     slot = F.col(names[0])
     for k, name in enumerate(names[1:], 1):
-        slot = slot.bitwiseXOR(F.shiftrightunsigned(name, 15 * k))
-    slot = slot.bitwiseAND(F.lit(FILTER_BITS - 1))
+        slot = slot.bitwiseXOR(F.shiftleft(name, 21 * k).bitwiseOR(F.shiftrightunsigned(name, 64 - 21 * k)))
+    slot = slot.bitwiseXOR(F.shiftrightunsigned(slot, 32)).bitwiseAND(F.lit(size - 1))
     rows = (
         table.select(F.shiftright(slot, 15).alias("row"), slot.bitwiseAND(F.lit(ROW_BITS - 1)).alias("bit"))
         .groupBy("row")
         .agg(F.bitmap_construct_agg("bit").alias("bits"))
     )
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    bits = np.zeros(size // 8, np.uint8)
     for r in rows.toLocalIterator():
         bits[r["row"] * ROW_BITS // 8 : (r["row"] + 1) * ROW_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
     return _Filter(bits)
@@ -204,19 +167,59 @@ def most_frequent(counts: DataFrame, limit: float) -> DataFrame:
     return counts.filter(F.lit(False) if cut is None else level >= cut)
 
 
-def _counted(texts: DataFrame, grams, names: list[str], least: int, name: str) -> DataFrame:
-    """N-grams of the texts, and ``n``: how often each occurs, if ``least`` times or more.
-
-    ``grams`` makes the numbers of their words and their counts of a batch of texts.
-    """
+def _counts(texts: DataFrame, grams, names: list[str]) -> DataFrame:
+    """The rows that ``grams`` makes of blocks of texts, with the sum of their counts ``n``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in grams(batch.column(0))], [*names, "n"])
+            for run in blocks((t.as_py() for t in batch.column(0)), BLOCK):
+                for columns in grams(run):
+                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], [*names, "n"])
 
     kinds = ", ".join(f"{k} bigint" for k in [*names, "n"])
-    counts = texts.mapInArrow(count, kinds).groupBy(*names).agg(F.sum("n").alias("n"))
-    return stored(counts.filter(F.col("n") >= least), name)
+    return texts.mapInArrow(count, kinds).groupBy(*names).agg(F.sum("n").alias("n"))
+
+
+def _words_and_pairs(texts: DataFrame, size: Size) -> tuple[DataFrame, DataFrame, int]:
+    """``word, n`` of all words and ends, ``a, b, n`` of the bigrams that are frequent enough, and the seed of the hashes.
+
+    Words come with their second hash; should two words share an id, all is counted anew with other hashes.
+    """
+    for seed in range(8):
+
+        def grams(run: list[bytes], seed: int = seed) -> Iterator[list[np.ndarray]]:
+            block = _Block.of(run, seed)
+            n = np.bincount(block.which, minlength=len(block.ids))
+            real = block.ids != START
+            yield [np.ones(real.sum()), block.ids[real], block.second[real], n[real]]
+            at = block.pairs()
+            a, b = block.which[at], block.which[at + 1]
+            first, _, n = _distinct(a, b)
+            yield [np.full(len(first), 2), block.ids[a[first]], block.ids[b[first]], n]
+
+        counts = _counts(texts, grams, ["kind", "a", "b"])
+        counts = stored(counts.filter((F.col("kind") == 1) | (F.col("n") >= size.least_count)), "lm-counted")
+        words = counts.filter("kind = 1").select(F.col("a").alias("word"), "n")
+        if words.groupBy("word").count().filter("count > 1").isEmpty():
+            return words, counts.filter("kind = 2").select("a", "b", "n"), seed
+    raise RuntimeError("words can't be told apart by 64 bits")
+
+
+def _triples(texts: DataFrame, kept, seed: int, least: int) -> DataFrame:
+    """``a, b, c, n`` of the trigrams that occur ``least`` times or more and whose bigrams may have arcs."""
+
+    def grams(run: list[bytes]) -> Iterator[list[np.ndarray]]:
+        block = _Block.of(run, seed)
+        at = block.pairs()
+        passed = np.zeros(len(block.which), bool)
+        passed[at] = kept.value.has(block.ids[block.which[at]], block.ids[block.which[at + 1]])
+        at = np.flatnonzero(passed[:-1] & passed[1:])
+        words = [block.which[at + k] for k in range(3)]
+        pair = _distinct(words[0], words[1])[1]
+        first, _, n = _distinct(pair, words[2])
+        yield [*(block.ids[w[first]] for w in words), n]
+
+    return stored(_counts(texts, grams, ["a", "b", "c"]).filter(F.col("n") >= least), "lm-counted-3")
 
 
 # -- the automaton -----------------------------------------------------------------------
@@ -251,112 +254,251 @@ def _long_arcs(trigrams: DataFrame, pairs: DataFrame, size: Size) -> DataFrame:
     return stored(kept, "lm-trigrams")
 
 
-def _gains(counts: DataFrame, pairs: DataFrame, triples: DataFrame, heads: DataFrame) -> DataFrame:
-    """``kind, a, b, c, n, known, base, gain``: what each n-gram of ``kind`` words adds to a text's score.
+def _near_level(words: DataFrame, pairs: DataFrame, triples: DataFrame, size: Size) -> list[int]:
+    """The least counts of words, bigrams and trigrams that are broadcast.
 
-    A word adds its weight at the root and, as a state that is left, its failure weight. A bigram's
-    arc replaces both that of its first word and the root's, and adds the failure weight of its
-    own state; a trigram's arc replaces that and the bigram's.
+    No n-gram is broadcast without those that it is made of: these are as frequent at least, and the counts asked
+    of longer ones are no smaller.
     """
-    none = F.lit(0).cast("bigint")
-    tails = triples.groupBy("a", "b").agg(_left(F.sum("p"), F.sum("lower")).alias("fail2"))
-    fail, fail2 = F.coalesce("fail", F.lit(0.0)), F.coalesce("fail2", F.lit(0.0))
-    one = counts.join(heads.select(F.col("a").alias("word"), "fail"), "word", "left").select(
-        F.lit(1).alias("kind"), F.col("word").alias("a"), none.alias("b"), none.alias("c"), F.col("uses").alias("n"),
-        (F.col("n") > 0).alias("known"), F.col("base"), (F.col("base") + fail).alias("gain"),
-    )
-    two = pairs.join(heads, "a", "left").join(tails, ["a", "b"], "left").select(
-        F.lit(2).alias("kind"), "a", "b", none.alias("c"), "n",
-        F.lit(False).alias("known"), F.lit(0.0).alias("base"), (F.log10("p") - fail - F.log10("root") + fail2).alias("gain"),
-    )
-    three = triples.join(tails, ["a", "b"]).select(
-        F.lit(3).alias("kind"), "a", "b", "c", "n",
-        F.lit(False).alias("known"), F.lit(0.0).alias("base"), (F.log10("p") - F.col("fail2") - F.log10("lower")).alias("gain"),
-    )
-    return stored(one.unionByName(two).unionByName(three), "lm-gains")
+    levels, least = [], 1
+    for table, limit in ((words, size.near_words), (pairs, size.near_arcs), (triples, size.near_arcs)):
+        left = most_frequent(table, limit).agg(F.min("n")).first()[0]
+        least = max(least, (1 << 62) if left is None else left)
+        levels.append(least)
+    return levels
 
 
 @dataclass
-class _Near:
-    """The gains that are broadcast, by a mix of the numbers of the words."""
+class _Automaton:
+    """States and arcs as arrays. State 0 is the root, then come the words, then the bigrams that have arcs.
 
-    mixed: np.ndarray
-    grams: np.ndarray
-    known: np.ndarray
-    base: np.ndarray
-    gain: np.ndarray
+    ``failing`` leads from a state to that of the shorter history, at ``failure``. An arc is found by its
+    state and the place of its word; at the root every word has one.
+    """
 
-    @staticmethod
-    def mix(grams: np.ndarray) -> np.ndarray:
-        return (grams * np.array([[1], [-7046029254386353131], [7146057691288625177]])[: len(grams)]).sum(axis=0)
+    words: np.ndarray
+    root: np.ndarray
+    unknown: float
+    failing: np.ndarray
+    failure: np.ndarray
+    arcs: np.ndarray
+    weights: np.ndarray
+    targets: np.ndarray
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """The place of each id among the words, -1 for others."""
+        if "_of_words" not in self.__dict__:
+            self._of_words, self._of_arcs = Index(self.words.view(np.uint64)), Index(self.arcs.view(np.uint64))
+        return self._of_words.places(ids.view(np.uint64))
+
+    def arc(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The place of the arc of a state for a word, -1 if there is none."""
+        return self._of_arcs.places((state * (len(self.words) + 1) + word).astype(np.uint64))
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after a word each, and the weights of the way there."""
+        state, weight = state.copy(), np.zeros(len(state))
+        after = np.zeros(len(state), np.int64)
+        known = word >= 0
+        going = np.flatnonzero(known & (state > 0))
+        while len(going):
+            arc = self.arc(state[going], word[going])
+            found = arc >= 0
+            there, arc = going[found], arc[found]
+            weight[there] += self.weights[arc]
+            after[there], state[there] = self.targets[arc], -1
+            lost = going[~found]
+            weight[lost] += self.failure[state[lost]]
+            state[lost] = self.failing[state[lost]]
+            going = lost[state[lost] > 0]
+        # A word that is not here has no arc anywhere: all failures down to the root.
+        going = np.flatnonzero(~known & (state > 0))
+        while len(going):
+            weight[going] += self.failure[state[going]]
+            state[going] = self.failing[state[going]]
+            going = going[state[going] > 0]
+        at_root = np.flatnonzero(known & (state == 0))
+        weight[at_root] += self.root[word[at_root]]
+        after[at_root] = word[at_root] + 1
+        weight[~known] += self.unknown
+        return after, weight
+
+    def walk(self, block: _Block) -> np.ndarray:
+        """The weights of each text, read from left to right with the state that the start leads to.
+
+        Long texts are walked in pieces, all at once: the state depends on the last two words, so a piece
+        begins two words earlier, from the root, and counts nothing there.
+        """
+        words = self.places(block.ids)[block.which]
+        score = np.zeros(len(block.sizes))
+        firsts = np.concatenate([[0], np.cumsum(block.sizes + 2)[:-1]])
+        # Pieces: where the counting begins and ends; the start of a text itself is never counted.
+        n_pieces = -(-(block.sizes + 1) // PIECE)
+        doc = np.repeat(np.arange(len(block.sizes)), n_pieces)
+        number = np.arange(len(doc)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+        begin = firsts[doc] + 1 + number * PIECE
+        end = np.minimum(begin + PIECE, firsts[doc] + block.sizes[doc] + 2)
+        at = np.maximum(begin - 2, firsts[doc])
+        order = np.argsort(at - end, kind="stable")  # the longest first
+        doc, begin, end, at = doc[order], begin[order], end[order], at[order]
+        state = np.zeros(len(doc), np.int64)
+        while len(at):
+            state, weight = self.step(state, words[at])
+            counted = at >= begin
+            score += np.bincount(doc[counted], weight[counted], len(score))
+            at = at + 1
+            going = int(np.count_nonzero(at < end))  # those that end sooner come last
+            doc, begin, end, at, state = (x[:going] for x in (doc, begin, end, at, state))
+        return score
+
+
+def _automaton(words: DataFrame, pairs: DataFrame, triples: DataFrame, unknown: float) -> _Automaton:
+    """The part of the automaton that is broadcast, from ``word, root, fail``, ``a, b, p, fail2`` and ``a, b, c, p``."""
+
+    def columns(df: DataFrame, ids: str, *numbers: str) -> list[np.ndarray]:
+        table = df.toArrow()
+        found = [table.column(c).to_numpy().astype(np.int64) for c in ids.split()]
+        return found + [table.column(c).to_numpy().astype(np.float64) for c in numbers]
+
+    ids, root, fail = columns(words, "word", "root", "fail")
+    order = np.argsort(ids.view(np.uint64))
+    ids, root, fail = ids[order], root[order], fail[order]
+
+    def place(x: np.ndarray) -> np.ndarray:
+        return np.searchsorted(ids.view(np.uint64), x.view(np.uint64))
+
+    a, b, p, fail2 = columns(pairs, "a b", "p", "fail2")
+    a, b = place(a), place(b)
+    code = a * len(ids) + b
+    order = np.argsort(code)
+    a, b, p, fail2, code = a[order], b[order], p[order], fail2[order], code[order]
+    x, y, z, p3 = columns(triples, "a b c", "p")
+    x, y, z = place(x), place(y), place(z)
+    first, second = np.searchsorted(code, x * len(ids) + y), np.searchsorted(code, y * len(ids) + z)
+    # Bigrams that no trigram begins with are no states: they lead to the state of their last word.
+    is_state = fail2 != 0
+    is_state[first] = True
+    number = np.where(is_state, len(ids) + np.cumsum(is_state), b + 1)
+    wide = len(ids) + 1
+    arcs = np.concatenate([(a + 1) * wide + b, number[first] * wide + z])
+    weights, targets = np.concatenate([np.log10(p), np.log10(p3)]), np.concatenate([number, number[second]])
+    order = np.argsort(arcs)
+    none = np.zeros(1)
+    failing = np.concatenate([np.zeros(1 + len(ids), np.int64), b[is_state] + 1])
+    return _Automaton(
+        ids, root, unknown, failing, np.concatenate([none, fail, fail2[is_state]]), arcs[order], weights[order], targets[order]
+    )
 
-    @staticmethod
-    def of(gains: DataFrame, kind: int, limit: int) -> _Near:
-        table = most_frequent(gains.filter(F.col("kind") == kind), limit).toArrow()
-        grams = np.array([table.column(k).to_numpy() for k in "abc"[:kind]], np.int64).reshape(kind, -1)
-        mixed = _Near.mix(grams)
-        order = np.argsort(mixed)
-        known, base, gain = (table.column(k).to_numpy()[order] for k in ("known", "base", "gain"))
-        return _Near(mixed[order], grams[:, order], known, base, gain)
-
-    def places(self, grams: np.ndarray) -> np.ndarray:
-        """Where each n-gram stands here, -1 if it does not."""
-        if not len(self.mixed) or not grams.shape[1]:
-            return np.full(grams.shape[1], -1)
-        at = np.minimum(np.searchsorted(self.mixed, _Near.mix(grams)), len(self.mixed) - 1)
-        return np.where((self.grams[:, at] == grams).all(axis=0), at, -1)
+
+def _gains(words: DataFrame, pairs: DataFrame, triples: DataFrame, unknown: float) -> DataFrame:
+    """``kind, a, b, c, known, base, gain``: what each n-gram that is not broadcast adds to a text's score.
+
+    A word adds its weight at the root less that of an unknown one and, as a state that is left, its failure weight. A
+    bigram's arc replaces both that of its first word and the root's, and adds the failure weight of its
+    own state; a trigram's arc replaces that and the bigram's.
+    """
+    none = F.lit(0).cast("bigint")
+    more = F.col("root") - F.lit(unknown)
+    one = words.select(
+        F.lit(1).alias("kind"), F.col("word").alias("a"), none.alias("b"), none.alias("c"),
+        F.lit(1).alias("known"), more.alias("base"), (more + F.col("fail")).alias("gain"),
+    )
+    two = pairs.select(
+        F.lit(2).alias("kind"), "a", "b", none.alias("c"), F.lit(0).alias("known"), F.lit(0.0).alias("base"),
+        (F.log10("p") - F.col("fail") - F.log10("root") + F.col("fail2")).alias("gain"),
+    )
+    three = triples.select(
+        F.lit(3).alias("kind"), "a", "b", "c", F.lit(0).alias("known"), F.lit(0.0).alias("base"),
+        (F.log10("p") - F.col("fail2") - F.log10("lower")).alias("gain"),
+    )
+    return one.unionByName(two).unionByName(three)
 
 
 @dataclass
 class _Model:
-    """What tasks need to score: filters, broadcast gains, and the words' padding."""
+    """What tasks need to score: the automaton, the unigram weights and filters for all n-grams that have arcs."""
 
-    pad: str
+    automaton: _Automaton
+    seed: int
     words: _Filter
     pairs: _Filter
     triples: _Filter
-    near: list[_Near]
-    #: Root weight of the end, and the failure weight of the start.
-    end: float
-    start: float
-
-    def scored(self, texts: pa.Array) -> pa.StructArray:
-        """Sums over the n-grams that are here, and those to be joined, by text."""
-        batch = _Batch.of(texts, self.pad)
-        n, keys = len(batch.sizes), batch.keys
-        two = batch.grams(self.words, self.pairs)
-        three = batch.triples(*two)
-        if len(three[0]):
-            good = self.triples.has(*(keys[w] for w in three[2:]))[three[1]]
-            three = (three[0][good], three[1][good], *three[2:])
-        inner = np.flatnonzero(batch.framed > 1)
-        one = (inner, batch.framed[inner], np.arange(len(keys)))
-
-        known = np.zeros(n, np.int64)
-        base, score = np.full(n, self.end), np.full(n, self.end + self.start)
-        asked = []
-        for kind, (at, which, *words) in enumerate((one, two, three), 1):
-            near, doc = self.near[kind - 1], batch.doc[at]
-            place = near.places(np.array([keys[w] for w in words], np.int64).reshape(kind, -1))[which]
-            here, d = place[place >= 0], doc[place >= 0]
-            score += np.bincount(d, near.gain[here], n)
-            base += np.bincount(d, near.base[here], n)
-            known += np.bincount(d, near.known[here], n).astype(np.int64)
-            codes, times = np.unique(doc[place < 0] * max(1, len(words[0])) + which[place < 0], return_counts=True)
-            gram = codes % max(1, len(words[0]))
-            columns = [keys[w[gram]] for w in words] + [np.zeros(len(codes), np.int64)] * (3 - kind)
-            asked.append((codes // max(1, len(words[0])), np.full(len(codes), kind), *columns, times))
-        doc, kind, *rest = (np.concatenate(c) for c in zip(*asked))
-        order = np.argsort(doc, kind="stable")
-        fields = [pa.array(kind[order].astype(np.int32))] + [pa.array(c[order].astype(np.int64)) for c in rest]
-        ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=n))]) if n else np.zeros(1)
-        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.StructArray.from_arrays(fields, ["kind", "a", "b", "c", "times"]))
-        columns = [pa.array(batch.sizes), pa.array(known), pa.array(base), pa.array(score), lists]
-        return pa.StructArray.from_arrays(columns, ["size", "known", "base", "score", "asked"])
+
+    def scored(self, run: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Number of words, known words, base score and score by text; and the n-grams to look up by text."""
+        auto, block = self.automaton, _Block.of(run, self.seed)
+        n = len(block.sizes)
+        score = auto.walk(block)
+        near = auto.places(block.ids)
+        place, starts = near[block.which], block.ids[block.which] == START
+        base = np.where(place >= 0, auto.root[place], auto.unknown) if len(auto.root) else np.full(len(place), auto.unknown)
+        base = np.bincount(block.doc, np.where(starts, 0.0, base), n)
+        known = np.bincount(block.doc, (place >= 0) & ~starts, n).astype(np.int64)
+
+        asked: list[list[np.ndarray]] = []
+
+        def ask(kind: int, at: np.ndarray) -> None:
+            words = [block.which[at + k] for k in range(kind)]
+            if kind == 3:
+                words = [_distinct(*words[:2])[1], words[2]]
+            first, _, times = _distinct(block.doc[at], *words)
+            ids = [block.ids[block.which[at[first] + k]] for k in range(kind)]
+            zeros = np.zeros(len(first), np.int64)
+            asked.append([block.doc[at[first]], zeros + kind, *ids, *[zeros] * (3 - kind), times])
+
+        listed = (near < 0) & self.words.has(block.ids) & (block.ids != START)
+        ask(1, np.flatnonzero(listed[block.which]))
+        at = block.pairs()
+        passed = np.zeros(len(block.which), bool)
+        passed[at] = self.pairs.has(block.ids[block.which[at]], block.ids[block.which[at + 1]])
+        at = np.flatnonzero(passed)
+        # Which arc a bigram that passes takes, if it is here; its target is its state.
+        arc = np.full(len(block.which), -1)
+        both = at[(place[at] >= 0) & (place[at + 1] >= 0)] if len(at) else at
+        arc[both] = auto.arc(place[both] + 1, place[both + 1])
+        ask(2, at[arc[at] < 0])
+        at = np.flatnonzero(passed[:-1] & passed[1:])
+        ids = [block.ids[block.which[at + k]] for k in range(3)]
+        at = at[self.triples.has(*ids)]
+        here = np.zeros(len(at), bool)
+        state = np.where(arc[at] >= 0, auto.targets[arc[at]] if len(auto.targets) else 0, 0)
+        maybe = np.flatnonzero((state > len(auto.words)) & (place[at + 2] >= 0))
+        here[maybe] = auto.arc(state[maybe], place[at[maybe] + 2]) >= 0
+        ask(3, at[~here])
+        return [block.sizes, known, base, score], [np.concatenate(c) for c in zip(*asked)]
 
 
 # -- scoring -----------------------------------------------------------------------------
 
+_ROWS = "row bigint, own, kind int, a bigint, b bigint, c bigint, times bigint, known bigint, base double, score double"
+
+
+def _walked(model):
+    names = [f.split()[0] for f in _ROWS.split(", ")]
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row of kind 0 for each text, with its words in ``times``, and one for each n-gram to look up."""
+        for batch in batches:
+            rows, own, done = batch.column(0).to_numpy(), batch.column(1), 0
+
+            def made(row: np.ndarray, own: pa.Array, kind: np.ndarray, ids: list, *numbers: np.ndarray) -> pa.RecordBatch:
+                none = [pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.float64()), pa.nulls(len(row), pa.float64())]
+                ids = [pa.array(x.astype(np.int64)) for x in ids] or none[:1] * 3
+                columns = [pa.array(row), own, pa.array(kind.astype(np.int32)), *ids, *(pa.array(x) for x in numbers)]
+                return pa.RecordBatch.from_arrays(columns + none[len(numbers) - 1 :], names)
+
+            for run in blocks((t.as_py() for t in batch.column(2)), BLOCK):
+                texts, (doc, kind, *ids, times) = model.value.scored(run)
+                here = rows[done : done + len(run)]
+                yield made(here, own.slice(done, len(run)), np.zeros(len(run)), [], *texts)
+                yield made(here[doc], pa.nulls(len(doc), own.type), kind, ids, times.astype(np.int64))
+                done += len(run)
+
+    return walk
+
 
 def lm_scores(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int = 7, held: int = 2, size: Size = Size()
@@ -372,82 +514,65 @@ def lm_scores(
     """
     spark = docs.sparkSession
     ship_package(spark)
-    learn = not_in_fold(id_col, parts, held)
-    raw = stored(token_counts(docs.select(whole_text(text_col).alias("text"), learn.alias("learn"))), "lm-counts")
-    total, kinds = raw.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    scale, pad = float(total + kinds + 1), _padding(raw)
-    ends = sum(r["n"] for r in raw.filter(F.col("token") == END).collect())
-    end, start = (_signed(_key(t.encode() + pad.encode())) for t in (END, START))
+    texts = docs.filter(not_in_fold(id_col, parts, held)).select(whole_bytes(text_col).alias("text"))
+    words, counted, seed = _words_and_pairs(texts, size)
+    total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    scale = float(total + kinds + 1)
+    unknown = -math.log10(scale)
+    ends = sum(r["n"] for r in words.filter(F.col("word") == END).collect())
 
     root = (F.col("n") + 1) / F.lit(scale)
-    counts = raw.filter(F.col("token") != END).select(
-        F.xxhash64(F.concat("token", F.lit(pad))).alias("word"), "n", "uses", F.log10(root).alias("base")
-    )
+    real = words.filter(F.col("word") != END)
     # A bigram is no more frequent than its words.
-    often = counts.filter(F.col("n") >= size.least_count) if size.words == math.inf else most_frequent(counts, size.words)
-    marks = spark.createDataFrame([(end, ends), (start, ends)], "word bigint, n bigint")
+    often = real.filter(F.col("n") >= size.least_count) if size.words == math.inf else most_frequent(real, size.words)
+    marks = spark.createDataFrame([(END, ends), (START, ends)], "word bigint, n bigint")
     listed = often.select("word", "n").union(marks).withColumn("root", root)
-    words = spark.sparkContext.broadcast(_filter(listed, "word"))
-    texts = docs.filter(learn).select(whole_bytes(text_col).alias("text"))
-
-    def bigrams(batch: pa.Array) -> list[np.ndarray]:
-        b = _Batch.of(batch, pad)
-        _, which, *two = b.grams(words.value, None)
-        return [*(b.keys[w] for w in two), np.bincount(which, minlength=len(two[0]))]
-
-    pairs = _arcs(_counted(texts, bigrams, ["a", "b"], size.least_count, "lm-counted-2"), listed, size)
-    kept = spark.sparkContext.broadcast(_filter(pairs, "a", "b"))
-
-    def trigrams(batch: pa.Array) -> list[np.ndarray]:
-        b = _Batch.of(batch, pad)
-        _, which, *three = b.triples(*b.grams(words.value, kept.value))
-        return [*(b.keys[w] for w in three), np.bincount(which, minlength=len(three[0]))]
-
-    triples = _long_arcs(_counted(texts, trigrams, ["a", "b", "c"], size.least_count, "lm-counted-3"), pairs, size)
-    heads = stored(pairs.groupBy("a").agg(_left(F.sum("p"), F.sum("root")).alias("fail")), "lm-heads")
-    gains = _gains(counts, pairs, triples, heads)
-    near = [_Near.of(gains, k, limit) for k, limit in ((1, size.near_words), (2, size.near_arcs), (3, size.near_arcs))]
-    at_start = sum(r["fail"] for r in heads.filter(F.col("a") == start).collect())
-    model = spark.sparkContext.broadcast(
-        _Model(pad, words.value, kept.value, _filter(triples, "a", "b", "c"), near, float(np.log10((ends + 1) / scale)), at_start)
-    )
+    pairs = _arcs(counted, listed, size)
+    kept = _filter(pairs, "a", "b")
+    triples = _long_arcs(_triples(texts, spark.sparkContext.broadcast(kept), seed, size.least_count), pairs, size)
+    heads = pairs.groupBy("a").agg(_left(F.sum("p"), F.sum("root")).alias("fail"))
+    tails = triples.groupBy("a", "b").agg(_left(F.sum("p"), F.sum("lower")).alias("fail2"))
 
-    @F.arrow_udf(
-        "struct<size: bigint, known: bigint, base: double, score: double, "
-        "asked: array<struct<kind: int, a: bigint, b: bigint, c: bigint, times: bigint>>>"
+    # All parts with the failure weights that their states have.
+    nil = F.lit(0.0)
+    every = real.union(marks).filter("n > 0")
+    one = stored(
+        every.join(heads.withColumnRenamed("a", "word"), "word", "left").select("word", "n", F.log10(root).alias("root"), F.coalesce("fail", nil).alias("fail")),
+        "lm-words",
+    )
+    two = stored(
+        pairs.join(heads, "a", "left").join(tails, ["a", "b"], "left")
+        .select("a", "b", "n", "p", "root", F.coalesce("fail", nil).alias("fail"), F.coalesce("fail2", nil).alias("fail2")),
+        "lm-pairs",
+    )
+    three = stored(triples.join(tails, ["a", "b"]).select("a", "b", "c", "n", "p", "lower", "fail2"), "lm-triples")
+    levels = _near_level(one.filter(F.col("word") >= 0).unionByName(one.filter(F.col("word") < -2)), two, three, size)
+    marked = F.col("word").isin(END, START)
+    near = _automaton(
+        one.filter((F.col("n") >= levels[0]) | marked), two.filter(F.col("n") >= levels[1]), three.filter(F.col("n") >= levels[2]), unknown
     )
-    def walk(batch: pa.Array) -> pa.Array:
-        # A block holds a few megabytes of text, or one document; blocks bound the memory only.
-        ends = np.cumsum([len(t.as_py()) for t in batch]) // BLOCK
-        cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(batch)]
-        return pa.concat_arrays([model.value.scored(batch[i:j]) for i, j in zip(cuts[:-1], cuts[1:])])
-
-    rows = stored(
-        docs.select(
-            F.col(f"`{id_col}`").alias("doc_id"),
-            in_fold(id_col, parts, held).alias("held_out"),
-            F.monotonically_increasing_id().alias("row"),
-            walk(whole_bytes(text_col)).alias("walk"),
-        ).select("doc_id", "held_out", "row", "walk.*"),
-        "lm-rows",
+    far = (one.filter((F.col("n") < levels[0]) & ~marked), two.filter(F.col("n") < levels[1]), three.filter(F.col("n") < levels[2]))
+    model = spark.sparkContext.broadcast(_Model(near, seed, _filter(far[0], "word"), kept, _filter(three, "a", "b", "c")))
+
+    own = F.struct(F.col(f"`{id_col}`").alias("doc_id"), in_fold(id_col, parts, held).alias("held_out"))
+    kept_id = docs.schema[id_col].dataType.simpleString()
+    walked = stored(
+        docs.select(F.monotonically_increasing_id().alias("row"), own.alias("own"), whole_bytes(text_col).alias("text")).mapInArrow(
+            _walked(model), _ROWS.replace(", own,", f", own struct<doc_id:{kept_id},held_out:boolean>,")
+        ),
+        "lm-walked",
     )
-    asked = rows.select("row", F.explode("asked").alias("gram")).select("row", "gram.*")
+    asked = walked.filter("kind > 0").select("row", "kind", "a", "b", "c", "times")
     rest = (
-        asked.join(gains.drop("n"), ["kind", "a", "b", "c"])
+        asked.join(_gains(*far, unknown), ["kind", "a", "b", "c"])
         .groupBy("row")
-        .agg(
-            F.sum(F.col("times") * F.col("known").cast("int")).alias("more_known"),
-            F.sum(F.col("times") * F.col("base")).alias("more_base"),
-            F.sum(F.col("times") * F.col("gain")).alias("more_score"),
-        )
+        .agg(*[F.sum(F.col("times") * F.col(c)).alias(f"more_{c}") for c in ("known", "base", "gain")])
     )
-    nothing = F.lit(0.0)
-    return rows.join(rest, "row", "left").select(
-        "doc_id",
-        "held_out",
-        (F.col("size") + 1).alias("n_tokens"),
-        (F.col("known") + F.coalesce("more_known", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
+    return walked.filter("kind = 0").join(rest, "row", "left").select(
+        "own.*",
+        (F.col("times") + 1).alias("n_tokens"),
+        (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", nothing)).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", nothing)).alias("score"),
+        (F.col("base") + F.coalesce("more_base", nil)).alias("base_score"),
+        (F.col("score") + F.coalesce("more_gain", nil)).alias("score"),
     )

@@ -32,8 +32,10 @@ from reelmetrics.llm.components import components
 from reelmetrics.llm.wordhash import blocks, hash_places, mixed, words_of_texts
 
 SHINGLE_WORDS, PERCENT = 3, 90
-#: Counters of the table of token counts, a byte each, and the most tokens that are entered.
-WIDTH, MOST_COUNTED = 1 << 25, 1 << 22
+#: Counters of the table of token counts, a byte each, how many are sent at a time, and the most tokens that are entered.
+WIDTH, SLICE, MOST_COUNTED = 1 << 25, 1 << 18, 1 << 24
+#: Tokens that a task holds before it adds up equal ones.
+HELD = 1 << 23
 #: A list of candidate documents up to this length (16 bytes each) is broadcast.
 BROADCAST_KEYS = 1_000_000
 #: Bytes of texts that are hashed at a time.
@@ -111,39 +113,75 @@ def _fresh(keys: pa.Array, more: pa.Array, seen: set) -> list[int]:
 
 def _all_tokens(shingle_words: int):
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The tokens of different texts, with the number of texts of a part of a batch that have them."""
+        """The tokens of each different text of a task."""
         seen: set = set()
         for batch in batches:
             for at in range(0, len(batch), 2000):
                 k1, k2, texts = batch.slice(at, 2000).columns
                 found = list(shingle_sets((texts[i].as_py() for i in _fresh(k1, k2, seen)), shingle_words))
-                distinct, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(n.astype(np.int64))], ["token", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64))], ["token"])
 
     return tokens
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct tokens, and the sums of their counts."""
+    tokens, n = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(tokens)
+    tokens, n = tokens[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
+    return tokens[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of all tokens of a partition, those that come twice or more, with eight times the logarithm of how often."""
+    parts, held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+    for batch in batches:
+        parts.append((batch.column(0).to_numpy(), np.ones(len(batch), np.int64)))
+        held += len(batch)
+        if held > HELD:
+            parts, held = [_added(parts)], 0
+    tokens, n = _added(parts)
+    tokens, n = tokens[n > 1], n[n > 1]
+    levels = np.minimum(np.floor(np.log2(n) * 8), 255).astype(np.int32)
+    for at in range(0, len(tokens), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)]) for c in (tokens, levels)], ["token", "level"])
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of the table from rows ``slot, level``."""
+    slices: dict[int, np.ndarray] = {}
+    for batch in batches:
+        slots, levels = (c.to_numpy() for c in batch.columns)
+        for k in np.unique(slots // SLICE).tolist():
+            part = slices.setdefault(k, np.zeros(SLICE, np.uint8))
+            own = slots // SLICE == k
+            np.maximum.at(part, slots[own] % SLICE, levels[own].astype(np.uint8))
+    for k, part in slices.items():
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["slice", "levels"])
+
+
 def rarity_table(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, most: int = MOST_COUNTED) -> np.ndarray:
     """Of ``k1, k2, text``, how frequent tokens are: ``WIDTH`` numbers, which grow with the logarithm of the texts that have a token.
 
     Tokens of one text have 0. So have the rarer ones of the others, if there are more than ``most``:
-    where to cut is told by the number of tokens of each level.
+    where to cut is told by the number of tokens of each level. A task counts the tokens that are dealt to it
+    in memory, so a shuffle partition should be some hundred megabytes at most.
     """
-    level = F.least(F.floor(F.log2("n") * 8), F.lit(255)).cast("int")
-    counts = texts.mapInArrow(_all_tokens(shingle_words), "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
-    counts = stored(counts.filter("n > 1").select("token", level.alias("level")), "similar-counts")
+    tokens = texts.mapInArrow(_all_tokens(shingle_words), "token bigint").repartition("token")
+    counts = stored(tokens.mapInArrow(_shared_tokens, "token bigint, level int"), "similar-counts")
     left, cut = most, 256
     for r in sorted(counts.groupBy("level").count().collect(), reverse=True):
         left -= r["count"]
         if left < 0:
             break
         cut = r["level"]
+    slot = F.shiftrightunsigned("token", 32).bitwiseAND(F.lit(WIDTH - 1)).cast("int")
+    entered = counts.filter(F.col("level") >= cut).select(slot.alias("slot"), "level")
+    packed = entered.repartition(F.shiftright("slot", SLICE.bit_length() - 1)).mapInArrow(_packed, "slice int, levels binary")
     table = np.zeros(WIDTH, np.uint8)
-    slot = F.shiftrightunsigned("token", 32).bitwiseAND(F.lit(WIDTH - 1))
-    entered = counts.filter(F.col("level") >= cut).groupBy(slot.alias("slot")).agg(F.max("level").alias("level"))
-    # A few bytes per token, of a number that is bounded.
-    for batch in entered.select(F.col("slot").cast("int"), F.col("level").cast("short")).toArrow().to_batches():
-        table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    for r in packed.toLocalIterator():
+        table[r.slice * SLICE : (r.slice + 1) * SLICE] = np.frombuffer(bytes(r.levels), np.uint8)
     return table
 
 

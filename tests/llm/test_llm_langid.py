@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 from reelmetrics.llm import langid
+from reelmetrics.llm.index import Index
 
 
 def _bits(train, text):
@@ -147,7 +148,7 @@ def test_index():
     rng = np.random.default_rng(0)
     for n in (0, 1, 2, 1000, 50_000):
         keys = np.unique(rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(1 << 20))
-        index = langid._Index(keys)
+        index = Index(keys)
         assert (index.places(keys) == np.arange(len(keys))).all()
         assert (index.places(keys + np.uint64(1)) == -1).all()
 
