@@ -41,7 +41,7 @@ BROADCAST_KEYS = 1_000_000
 #: Bytes of texts that are hashed at a time.
 BLOCK = 1 << 20
 #: Members of a bucket that lead in a round, and rounds at most.
-LEADERS, ROUNDS = 4, 12
+LEADERS, ROUNDS = 8, 8
 
 KEY = ["k1", "k2"]
 
@@ -280,35 +280,44 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return compared.filter(shared * (100 + percent) >= (F.size("tx") + F.size("ty")) * percent).select(*_PAIR)
 
 
-def _connected(links: DataFrame) -> DataFrame:
-    """``k1, k2, c1, c2``: the component of each linked key, named by one of its keys."""
-    ends = links.select(
-        F.struct(F.col("x1").alias("k1"), F.col("x2").alias("k2")).alias("a"),
-        F.struct(F.col("y1").alias("k1"), F.col("y2").alias("k2")).alias("b"),
-    )
-    return components(ends).select("node.*", F.col("root.k1").alias("c1"), F.col("root.k2").alias("c2"))
+def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links between labels, ``x, y``, of links between keys."""
+    of = {side: labels.select(F.col("k1").alias(f"{side}1"), F.col("k2").alias(f"{side}2"), F.struct("c1", "c2").alias(side)) for side in "xy"}
+    return links.join(of["x"], ["x1", "x2"]).join(of["y"], ["y1", "y2"]).filter("x != y").select("x", "y").distinct()
+
+
+def _relabelled(labels: DataFrame, merged: DataFrame) -> DataFrame:
+    """Labels ``k1, k2, c1, c2`` of keys after some labels, ``old``, became others, ``new``."""
+    moved = labels.select("k1", "k2", F.struct("c1", "c2").alias("old")).join(merged, "old", "left")
+    return stored(moved.select("k1", "k2", F.coalesce("new", "old").alias("c")).select("k1", "k2", "c.*"), "similar-labels")
 
 
-def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels ``k1, k2, c1, c2`` of keys after some links: of two labels that are linked the larger becomes the smaller.
+def _merged(labels: DataFrame, between: DataFrame) -> DataFrame:
+    """Labels after links between them: of two that are linked the larger becomes the smaller.
 
-    What is merged is connected. Not all that is connected has one label afterwards; that is left to
-    later rounds, and to the components at the end.
+    What is merged is connected. Not all that is connected has one label afterwards.
     """
-    of = {side: labels.select(F.col("k1").alias(f"{side}1"), F.col("k2").alias(f"{side}2"), F.struct("c1", "c2").alias(side)) for side in "xy"}
-    joined = links.join(of["x"], ["x1", "x2"]).join(of["y"], ["y1", "y2"]).filter("x != y")
-    hooked = stored(joined.groupBy(F.greatest("x", "y").alias("old")).agg(F.min(F.least("x", "y")).alias("new")), "similar-hooked")
+    hooked = stored(between.groupBy(F.greatest("x", "y").alias("old")).agg(F.min(F.least("x", "y")).alias("new")), "similar-hooked")
     # Two steps along the chains of hooks.
+    steps = hooked
     for _ in range(2):
         ahead = hooked.select(F.col("old").alias("new"), F.col("new").alias("next"))
-        hooked = hooked.join(ahead, "new", "left").select("old", F.coalesce("next", "new").alias("new"))
-    moved = labels.select("k1", "k2", F.struct("c1", "c2").alias("old")).join(hooked, "old", "left")
-    return stored(moved.select("k1", "k2", F.coalesce("new", "old").alias("c")).select("k1", "k2", "c.*"), "similar-labels")
+        steps = steps.join(ahead, "new", "left").select("old", F.coalesce("next", "new").alias("new"))
+    return _relabelled(labels, steps)
+
+
+def _connected(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels so that exactly the keys that links connect have one."""
+    between = stored(_between(links, labels), "similar-between")
+    if between.isEmpty():
+        return labels
+    roots = components(between.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    return _relabelled(labels, roots.select(F.col("node").alias("old"), F.col("root").alias("new")))
 
 
 def _mixed(mates: DataFrame, labels: DataFrame) -> DataFrame:
     """The members of buckets that hold two labels or more, each with its label."""
-    found = mates.join(labels, KEY)
+    found = mates.select("token", *KEY, "n", "at").join(labels, KEY)
     apart = found.groupBy("token").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("c1", "c2")])
     apart = apart.filter("min_c1 != max_c1 OR min_c2 != max_c2").select("token")
     return stored(found.join(apart, "token", "left_semi"), "similar-members")
@@ -351,32 +360,33 @@ def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
     return _pairs(one.join(other, "token").filter(ordered & _different() & _fits(percent)))
 
 
-def similar_links(mates: DataFrame, sets: DataFrame, percent: int = PERCENT, leaders: int = LEADERS, rounds: int = ROUNDS) -> DataFrame | None:
-    """``k1, k2, c1, c2``, the components of the documents that link with others; None for no link.
+def similar_links(mates: DataFrame, sets: DataFrame, percent: int = PERCENT, leaders: int = LEADERS, rounds: int = ROUNDS) -> DataFrame:
+    """``k1, k2, c1, c2``: for each key of ``mates`` the component, which links between similar sets make.
 
     ``mates`` are the members of buckets, ``token, k1, k2, n, at``; ``sets`` has the keys with their tokens and
     hash prefixes. The number of rounds bounds only the rounds with leaders: what is left
     after them is compared pair by pair.
     """
-    size, found, last = mates.count(), [], False
+    size, found, last, turn = mates.count(), [], False, 0
     labels = mates.select(*KEY).distinct().select(*KEY, F.col("k1").alias("c1"), F.col("k2").alias("c2"))
-    turn = 0
+    members = mates
     while not last:
-        members = _mixed(mates, labels)
+        # Buckets of one label stay so, and need no look any more.
+        members = _mixed(members, labels)
         buckets = _label_sizes(members)
         left = buckets.agg(F.sum("open")).first()[0] or 0
         if not left:
             break
-        last = left <= 4 * size or turn >= rounds
+        last = left <= 2 * size or turn >= rounds
         pairs = _all_pairs(members, percent) if last else _led_pairs(members, buckets, turn, 1 if turn == 0 else leaders, percent)
-        links = stored(_links(stored(pairs, "similar-pairs"), sets, percent), "similar-links")
+        links = stored(_links(pairs, sets, percent), "similar-links")
         if links.isEmpty():
             turn = rounds  # leaders find nothing more
             continue
         found.append(links)
-        labels = labels if last else _merged(labels, links)
+        labels = _merged(labels, _between(links, labels))
         turn += 1
-    return _connected(reduce(DataFrame.unionByName, found)) if found else None
+    return _connected(labels, reduce(DataFrame.unionByName, found)) if found else labels
 
 
 def similar_components(
@@ -428,13 +438,10 @@ def similar_components(
         sets = stored(sets.dropDuplicates(KEY), "similar-sets")
     linked = similar_links(mates, sets, percent)
 
-    if linked is None:
-        labelled = least.withColumnRenamed("least", "component_id")
-    else:
-        label = {"c1": F.coalesce("c1", "k1"), "c2": F.coalesce("c2", "k2")}
-        held = stored(least.join(linked, KEY, "left").withColumns(label), "similar-held")
-        firsts = held.groupBy("c1", "c2").agg(F.min("least").alias("component_id"))
-        labelled = held.join(firsts, ["c1", "c2"]).select(*KEY, "n", "component_id")
+    label = {"c1": F.coalesce("c1", "k1"), "c2": F.coalesce("c2", "k2")}
+    held = stored(least.join(linked, KEY, "left").withColumns(label), "similar-held")
+    firsts = held.groupBy("c1", "c2").agg(F.min("least").alias("component_id"))
+    labelled = held.join(firsts, ["c1", "c2"]).select(*KEY, "n", "component_id")
     return rows.join(labelled, KEY).select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
