@@ -12,6 +12,7 @@ less those of the way that the walk takes without it. These n-grams are looked u
 the sum is that of a walk over the whole automaton.
 
 Words are known by 64-bit hashes; a second hash of every word proves that no two of a corpus share one.
+N-grams are looked up by a 64-bit hash of theirs.
 """
 
 from __future__ import annotations
@@ -51,8 +52,8 @@ class Size:
     arcs: float = math.inf
     least_count: int = 3
     discount: float = 0.75
-    near_words: int = 1_000_000
-    near_arcs: int = 1_000_000
+    near_words: int = 1_500_000
+    near_arcs: int = 1_500_000
 
 
 # -- texts as numbers --------------------------------------------------------------------
@@ -106,37 +107,52 @@ def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 # -- filters -----------------------------------------------------------------------------
 
 
+# The primes of XXH64, and the seed that Spark begins with.
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+_SEED = 42
+
+
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return x << np.uint64(bits) | x >> np.uint64(64 - bits)
+
+
+def _key(*ids: np.ndarray) -> np.ndarray:
+    """The key of an n-gram: what ``xxhash64`` of Spark makes of the ids of its words."""
+    with np.errstate(over="ignore"):
+        key = np.full(len(ids[0]), np.uint64(_SEED))
+        for x in ids:
+            key = (key + _P5 + np.uint64(8)) ^ (_turned(x.view(np.uint64) * _P2, 31) * _P1)
+            key = _turned(key, 27) * _P1 + _P4
+            key = (key ^ key >> np.uint64(33)) * _P2
+            key = (key ^ key >> np.uint64(29)) * _P3
+            key = key ^ key >> np.uint64(32)
+    return key
+
+
 @dataclass
 class _Filter:
-    """A set of bits that tells which n-grams can't be in a table; those in the table always pass."""
+    """A set of bits, two for each n-gram, that tells which can't be in a table; those in the table always pass."""
 
     bits: np.ndarray
 
     def has(self, *ids: np.ndarray) -> np.ndarray:
-        slot = _slot(*ids).view(np.int64) & (8 * len(self.bits) - 1)
-        return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
-
+        key, last = _key(*ids), np.uint64(8 * len(self.bits) - 1)
+        return self._set(key & last) & self._set(key >> np.uint64(32) & last)
 
-def _slot(*ids: np.ndarray) -> np.ndarray:
-    """A mix of the ids of an n-gram; ``_filter`` forms the same in Spark."""
-    slot = ids[0].view(np.uint64).copy()
-    for k, more in enumerate(ids[1:], 1):
-        more = more.view(np.uint64)
-        slot ^= more << np.uint64(21 * k) | more >> np.uint64(64 - 21 * k)
-    return slot ^ slot >> np.uint64(32)
+    def _set(self, slot: np.ndarray) -> np.ndarray:
+        return (self.bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
 def _filter(table: DataFrame, *names: str) -> _Filter:
     """The filter of a table's n-grams; it grows with the table up to ``MOST_BITS``."""
-    size = ROW_BITS
-    while size < MOST_BITS and size < BITS_EACH * table.count():
+    size, entries = ROW_BITS, table.count()
+    while size < MOST_BITS and size < BITS_EACH * entries:
         size *= 2
-    slot = F.col(names[0])
-    for k, name in enumerate(names[1:], 1):
-        slot = slot.bitwiseXOR(F.shiftleft(name, 21 * k).bitwiseOR(F.shiftrightunsigned(name, 64 - 21 * k)))
-    slot = slot.bitwiseXOR(F.shiftrightunsigned(slot, 32)).bitwiseAND(F.lit(size - 1))
+    key = F.xxhash64(*names)
+    slot = F.explode(F.array(key.bitwiseAND(F.lit(size - 1)), F.shiftrightunsigned(key, 32).bitwiseAND(F.lit(size - 1)))).alias("slot")
     rows = (
-        table.select(F.shiftright(slot, 15).alias("row"), slot.bitwiseAND(F.lit(ROW_BITS - 1)).alias("bit"))
+        table.select(slot)
+        .select(F.shiftright("slot", 15).alias("row"), F.col("slot").bitwiseAND(F.lit(ROW_BITS - 1)).alias("bit"))
         .groupBy("row")
         .agg(F.bitmap_construct_agg("bit").alias("bits"))
     )
@@ -292,11 +308,11 @@ class _Automaton:
         """The place of each id among the words, -1 for others."""
         if "_of_words" not in self.__dict__:
             self._of_words, self._of_arcs = Index(self.words.view(np.uint64)), Index(self.arcs.view(np.uint64))
-        return self._of_words.places(ids.view(np.uint64))
+        return self._of_words.places(ids.view(np.uint64)).astype(np.int64)
 
     def arc(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The place of the arc of a state for a word, -1 if there is none."""
-        return self._of_arcs.places((state * (len(self.words) + 1) + word).astype(np.uint64))
+        return self._of_arcs.places((state.astype(np.int64) * (len(self.words) + 1) + word).astype(np.uint64))
 
     def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The states after a word each, and the weights of the way there."""
@@ -394,24 +410,20 @@ def _automaton(words: DataFrame, pairs: DataFrame, triples: DataFrame, unknown:
 
 
 def _gains(words: DataFrame, pairs: DataFrame, triples: DataFrame, unknown: float) -> DataFrame:
-    """``kind, a, b, c, known, base, gain``: what each n-gram that is not broadcast adds to a text's score.
+    """``key, known, base, gain``: what each n-gram that is not broadcast adds to a text's score.
 
     A word adds its weight at the root less that of an unknown one and, as a state that is left, its failure weight. A
     bigram's arc replaces both that of its first word and the root's, and adds the failure weight of its
     own state; a trigram's arc replaces that and the bigram's.
     """
-    none = F.lit(0).cast("bigint")
-    more = F.col("root") - F.lit(unknown)
-    one = words.select(
-        F.lit(1).alias("kind"), F.col("word").alias("a"), none.alias("b"), none.alias("c"),
-        F.lit(1).alias("known"), more.alias("base"), (more + F.col("fail")).alias("gain"),
-    )
+    more, nil = F.col("root") - F.lit(unknown), F.lit(0.0)
+    one = words.select(F.xxhash64("word").alias("key"), F.lit(1).alias("known"), more.alias("base"), (more + F.col("fail")).alias("gain"))
     two = pairs.select(
-        F.lit(2).alias("kind"), "a", "b", none.alias("c"), F.lit(0).alias("known"), F.lit(0.0).alias("base"),
+        F.xxhash64("a", "b").alias("key"), F.lit(0).alias("known"), nil.alias("base"),
         (F.log10("p") - F.col("fail") - F.log10("root") + F.col("fail2")).alias("gain"),
     )
     three = triples.select(
-        F.lit(3).alias("kind"), "a", "b", "c", F.lit(0).alias("known"), F.lit(0.0).alias("base"),
+        F.xxhash64("a", "b", "c").alias("key"), F.lit(0).alias("known"), nil.alias("base"),
         (F.log10("p") - F.col("fail2") - F.log10("lower")).alias("gain"),
     )
     return one.unionByName(two).unionByName(three)
@@ -445,9 +457,8 @@ class _Model:
             if kind == 3:
                 words = [_distinct(*words[:2])[1], words[2]]
             first, _, times = _distinct(block.doc[at], *words)
-            ids = [block.ids[block.which[at[first] + k]] for k in range(kind)]
-            zeros = np.zeros(len(first), np.int64)
-            asked.append([block.doc[at[first]], zeros + kind, *ids, *[zeros] * (3 - kind), times])
+            keys = _key(*(block.ids[block.which[at[first] + k]] for k in range(kind)))
+            asked.append([block.doc[at[first]], keys.view(np.int64), times])
 
         listed = (near < 0) & self.words.has(block.ids) & (block.ids != START)
         ask(1, np.flatnonzero(listed[block.which]))
@@ -473,28 +484,24 @@ class _Model:
 
 # -- scoring -----------------------------------------------------------------------------
 
-_ROWS = "row bigint, own, kind int, a bigint, b bigint, c bigint, times bigint, known bigint, base double, score double"
+_ROWS = "row bigint, own, key bigint, times bigint, known bigint, base double, score double"
 
 
 def _walked(model):
     names = [f.split()[0] for f in _ROWS.split(", ")]
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row of kind 0 for each text, with its words in ``times``, and one for each n-gram to look up."""
+        """A row for each text, with its words in ``times``, and one for each n-gram to look up, with its ``key``."""
         for batch in batches:
             rows, own, done = batch.column(0).to_numpy(), batch.column(1), 0
-
-            def made(row: np.ndarray, own: pa.Array, kind: np.ndarray, ids: list, *numbers: np.ndarray) -> pa.RecordBatch:
-                none = [pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.float64()), pa.nulls(len(row), pa.float64())]
-                ids = [pa.array(x.astype(np.int64)) for x in ids] or none[:1] * 3
-                columns = [pa.array(row), own, pa.array(kind.astype(np.int32)), *ids, *(pa.array(x) for x in numbers)]
-                return pa.RecordBatch.from_arrays(columns + none[len(numbers) - 1 :], names)
-
             for run in blocks((t.as_py() for t in batch.column(2)), BLOCK):
-                texts, (doc, kind, *ids, times) = model.value.scored(run)
+                (sizes, known, base, score), (doc, key, times) = model.value.scored(run)
                 here = rows[done : done + len(run)]
-                yield made(here, own.slice(done, len(run)), np.zeros(len(run)), [], *texts)
-                yield made(here[doc], pa.nulls(len(doc), own.type), kind, ids, times.astype(np.int64))
+                numbers = [pa.array(x) for x in (sizes, known, base, score)]
+                yield pa.RecordBatch.from_arrays([pa.array(here), own.slice(done, len(run)), pa.nulls(len(run), pa.int64()), *numbers], names)
+                none = [pa.nulls(len(doc), k) for k in (pa.int64(), pa.float64(), pa.float64())]
+                asked = [pa.array(here[doc]), pa.nulls(len(doc), own.type), pa.array(key), pa.array(times.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(asked + none, names)
                 done += len(run)
 
     return walk
@@ -562,13 +569,13 @@ def lm_scores(
         ),
         "lm-walked",
     )
-    asked = walked.filter("kind > 0").select("row", "kind", "a", "b", "c", "times")
+    asked = walked.filter("key IS NOT NULL").select("row", "key", "times")
     rest = (
-        asked.join(_gains(*far, unknown), ["kind", "a", "b", "c"])
+        asked.join(_gains(*far, unknown), "key")
         .groupBy("row")
         .agg(*[F.sum(F.col("times") * F.col(c)).alias(f"more_{c}") for c in ("known", "base", "gain")])
     )
-    return walked.filter("kind = 0").join(rest, "row", "left").select(
+    return walked.filter("key IS NULL").join(rest, "row", "left").select(
         "own.*",
         (F.col("times") + 1).alias("n_tokens"),
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),

@@ -323,12 +323,18 @@ def _mixed(mates: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(found.join(apart, "token", "left_semi"), "similar-members")
 
 
-def _label_sizes(members: DataFrame) -> DataFrame:
-    """Per bucket the pairs of members with different labels, and the label that most members have."""
-    size = members.groupBy("token", "c1", "c2").agg(F.count(F.lit(1)).alias("s"))
+def _label_sizes(members: DataFrame, turn: int, leaders: int) -> DataFrame:
+    """Per bucket the pairs of members with different labels, and leaders out of the label that most members have.
+
+    A leader has the smallest hash of its key in one of ``leaders`` orders, each turn in others. So one document
+    leads in most buckets that it shares with others, and a bucket sends one row per task and label.
+    """
+    fields = F.struct(*[F.col(c) for c in ("k1", "k2", "n", "at", "c1", "c2")])
+    chosen = F.array(*[F.min_by(fields, F.xxhash64(F.lit(turn), F.lit(k), "k1", "k2")) for k in range(leaders)])
+    size = members.groupBy("token", "c1", "c2").agg(F.count(F.lit(1)).alias("s"), chosen.alias("led"))
     total, squares = F.sum(F.col("s").cast("double")), F.sum(F.col("s").cast("double") * F.col("s"))
     return stored(
-        size.groupBy("token").agg(((total * total - squares) / 2).alias("open"), F.max_by(F.struct("c1", "c2"), F.struct("s", "c1", "c2")).alias("top")),
+        size.groupBy("token").agg(((total * total - squares) / 2).alias("open"), F.array_distinct(F.max_by("led", F.struct("s", "c1", "c2"))).alias("led")),
         "similar-buckets",
     )
 
@@ -337,19 +343,11 @@ def _different() -> Column:
     return (F.col("x.c1") != F.col("y.c1")) | (F.col("x.c2") != F.col("y.c2"))
 
 
-def _led_pairs(members: DataFrame, buckets: DataFrame, turn: int, leaders: int, percent: int) -> DataFrame:
-    """Pairs of members of other labels with leaders of the bucket's most frequent label; each turn has other leaders.
-
-    A leader has the smallest hash of its key in one of ``leaders`` orders, so one document leads in
-    most buckets that it shares with others, and a bucket sends one row per task and order.
-    """
+def _led_pairs(members: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members with the leaders of their bucket that have another label."""
     fields = F.struct(*[F.col(c) for c in ("k1", "k2", "n", "at", "c1", "c2")])
-    chosen = [F.min_by(fields, F.xxhash64(F.lit(turn), F.lit(k), "k1", "k2")).alias(f"l{k}") for k in range(leaders)]
-    own = members.join(buckets.select("token", "top.*"), ["token", "c1", "c2"], "left_semi")
-    led = own.groupBy("token").agg(*chosen)
-    led = led.select("token", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(leaders)]))).alias("x"))
-    joined = members.select("token", fields.alias("y")).join(led, "token").filter(_different() & _fits(percent))
-    return _pairs(joined)
+    led = buckets.select("token", F.explode("led").alias("x"))
+    return _pairs(members.select("token", fields.alias("y")).join(led, "token").filter(_different() & _fits(percent)))
 
 
 def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -373,12 +371,12 @@ def similar_links(mates: DataFrame, sets: DataFrame, percent: int = PERCENT, lea
     while not last:
         # Buckets of one label stay so, and need no look any more.
         members = _mixed(members, labels)
-        buckets = _label_sizes(members)
+        buckets = _label_sizes(members, turn, 1 if turn == 0 else leaders)
         left = buckets.agg(F.sum("open")).first()[0] or 0
         if not left:
             break
         last = left <= 2 * size or turn >= rounds
-        pairs = _all_pairs(members, percent) if last else _led_pairs(members, buckets, turn, 1 if turn == 0 else leaders, percent)
+        pairs = _all_pairs(members, percent) if last else _led_pairs(members, buckets, percent)
         links = stored(_links(pairs, sets, percent), "similar-links")
         if links.isEmpty():
             turn = rounds  # leaders find nothing more
@@ -417,6 +415,7 @@ def similar_components(
         ),
         "similar-prefixes",
     )
+    table.destroy()
     tokens = prefixes.filter("at >= 0")
     met = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("token")
     mates = stored(tokens.join(met, "token", "left_semi").distinct(), "similar-met")
