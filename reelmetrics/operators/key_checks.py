@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -67,9 +67,9 @@ def orphan_keys(
 
     A rule is ``(child, key column, parent)``; the parent's column has the same name unless ``parent_keys``
     gives another one for its table. Each table is read once, whatever the number of its rules: a child row
-    gives one tagged value per rule, which are counted in the map tasks, and one join meets the
-    tagged values of all parents. Values are compared as text in the type of the parent's column and
-    returned as text. A missing key is not a violation. Rules on tables or columns that are
+    gives one value per rule, tagged by a number, which are counted in the map tasks, and one join meets the
+    tagged values of all parents. Values are compared in the type of the parent's column, as integers if
+    all these columns are, otherwise as text, and returned as text. A missing key is not a violation. Rules on tables or columns that are
     not there are left out; so are two rules that are the same.
     """
     def parent_key(key: str, parent: str) -> str:
@@ -83,32 +83,46 @@ def orphan_keys(
     if not rules:
         raise ValueError("none of the foreign keys is on tables that are given")
 
+    # A number stands for a rule, and one for a parent's column. Integers stay integers until they are counted
+    # and met: a map task holds an entry for each of its keys, so a narrow one bounds its memory.
+    columns = list(dict.fromkeys((parent, parent_key(key, parent)) for _, key, parent in rules))
+    types = {(parent, name): tables[parent].schema[name].dataType for parent, name in columns}
+    held_as = "bigint" if all(isinstance(t, IntegralType) for t in types.values()) else "string"
+
     # Values by child table: one array per row with an entry for each rule.
     used = []
     for child in dict.fromkeys(c for c, _, _ in rules):
         entries = [
             F.struct(
-                F.lit(key).alias("key"),
-                F.lit(parent).alias("parent"),
-                F.lit(parent_key(key, parent)).alias("parent_key"),
-                F.col(f"`{key}`").cast(tables[parent].schema[parent_key(key, parent)].dataType).cast("string").alias("value"),
+                F.lit(number).alias("rule"),
+                F.col(f"`{key}`").cast(types[parent, parent_key(key, parent)]).cast(held_as).alias("value"),
             )
-            for c, key, parent in rules
+            for number, (c, key, parent) in enumerate(rules)
             if c == child
         ]
-        used.append(tables[child].select(F.lit(child).alias("child"), F.inline(F.array(*entries))))
+        used.append(tables[child].select(F.inline(F.array(*entries))))
     counted = (
         reduce(DataFrame.unionByName, used)
         .where(F.col("value").isNotNull())
-        .groupBy("child", "key", "parent", "parent_key", "value")
+        .groupBy("rule", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     held = []
     for parent in dict.fromkeys(p for _, _, p in rules):
-        names = dict.fromkeys(parent_key(key, p) for _, key, p in rules if p == parent)
-        entries = [F.struct(F.lit(n).alias("parent_key"), F.col(f"`{n}`").cast("string").alias("value")) for n in names]
-        held.append(tables[parent].select(F.lit(parent).alias("parent"), F.inline(F.array(*entries))))
+        entries = [
+            F.struct(F.lit(number).alias("column"), F.col(f"`{name}`").cast(held_as).alias("value"))
+            for number, (p, name) in enumerate(columns)
+            if p == parent
+        ]
+        held.append(tables[parent].select(F.inline(F.array(*entries))))
     # An outer join, as an anti join would be pushed below the counting, once for each child.
     known = reduce(DataFrame.unionByName, held).where(F.col("value").isNotNull()).withColumn("known", F.lit(True))
-    met = counted.join(known, ["parent", "parent_key", "value"], "left")
-    return met.where(F.col("known").isNull()).select("child", "key", "parent", "value", "rows")
+    column = F.element_at(F.array(*[F.lit(columns.index((p, parent_key(key, p)))) for _, key, p in rules]), F.col("rule") + 1)
+    met = counted.withColumn("column", column).join(known, ["column", "value"], "left").where(F.col("known").isNull())
+
+    def named(place: int) -> Column:
+        return F.element_at(F.array(*[F.lit(rule[place]) for rule in rules]), F.col("rule") + 1)
+
+    return met.select(
+        named(0).alias("child"), named(1).alias("key"), named(2).alias("parent"), F.col("value").cast("string").alias("value"), "rows"
+    )

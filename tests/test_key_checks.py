@@ -1,6 +1,7 @@
 """Sieved duplicates, foreign keys in one scan, the quarantine, and quantiles from brackets."""
 
 import random
+import re
 import statistics
 from decimal import Decimal
 from fractions import Fraction
@@ -88,6 +89,23 @@ def test_odd_keys(spark):
         key_checks.orphan_keys({"c": child}, [("c", "b", "p")])
 
 
+def test_a_map_task_holds_narrow_keys(spark):
+    """Of a key that is counted only its rule's number and its value are held; names are added to orphans."""
+    child = spark.createDataFrame([(1, 5), (2, 5), (None, 9)], "a bigint, b int")
+    parent = spark.createDataFrame([(1, 7)], "id int, code bigint")
+    rules = [("c", "a", "p"), ("c", "b", "q")]
+    found = key_checks.orphan_keys({"c": child, "p": parent, "q": parent}, rules, {"p": "id", "q": "code"})
+    assert _rows(found) == [("c", "a", "p", "2", 1), ("c", "b", "q", "5", 2), ("c", "b", "q", "9", 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    (keys,) = re.findall(r"Aggregate \[(.*?)\], \[", plan)
+    assert [re.sub(r"#\d+L?", "", k) for k in keys.split(", ")] == ["rule", "value"]
+    mixed = key_checks.orphan_keys(
+        {"c": spark.createDataFrame([(1, "01"), (3, "x")], "a bigint, t string"), "p": parent, "q": spark.createDataFrame([("x",)], "t string")},
+        [("c", "a", "p"), ("c", "t", "q")], {"p": "id"},
+    )
+    assert _rows(mixed) == [("c", "a", "p", "3", 1), ("c", "t", "q", "01", 1)]
+
+
 # -- quarantine --------------------------------------------------------------------------
 
 
