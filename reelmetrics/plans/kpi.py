@@ -411,7 +411,13 @@ def kpi_churn_distribution(churn: DataFrame) -> DataFrame:
 
 
 def kpi_user_top_genres(
-    watch: DataFrame, movies: DataFrame, k: int = 5, how: str = "inner", ordered: bool = False, slots: int = 1
+    watch: DataFrame,
+    movies: DataFrame,
+    k: int = 5,
+    how: str = "inner",
+    ordered: bool = False,
+    slots: int = 1,
+    titled: DataFrame | None = None,
 ) -> DataFrame:
     """The ``k`` genres that each viewer watched most often.
 
@@ -419,13 +425,17 @@ def kpi_user_top_genres(
     however often a title was watched by viewers that nobody knows. The last shuffle carries
     at most one row per viewer and genre; a viewer has few genres, so none is heavy. The NULL
     viewer is one viewer with as many rows as there are genres. For ``slots`` see ``lookup``.
+
+    ``titled`` are the same events with their ``primary_genre``, if a join (with the same ``how``) was stored
+    before: then viewers and genres are counted in the map tasks, and nothing is joined.
     """
-    pairs = watch.groupBy("user_id", "show_id").agg(_rows().alias("views"))
-    counts = (
-        lookup(pairs, movies.select("show_id", "primary_genre"), "show_id", how, slots)
-        .groupBy("user_id", "primary_genre")
-        .agg(F.sum("views").alias("genre_view_count"))
-    )
+    if titled is None:
+        pairs = watch.groupBy("user_id", "show_id").agg(_rows().alias("views"))
+        found = lookup(pairs, movies.select("show_id", "primary_genre"), "show_id", how, slots)
+        genre_views = F.sum("views")
+    else:
+        found, genre_views = titled, _rows()
+    counts = found.groupBy("user_id", "primary_genre").agg(genre_views.alias("genre_view_count"))
     favourites = Window.partitionBy("user_id").orderBy(_desc("genre_view_count"), _asc("primary_genre"))
     top = counts.withColumn("genre_rank", F.row_number().over(favourites)).where(F.col("genre_rank") <= k)
     return _report(top, [_asc("user_id"), _asc("genre_rank")], None, ordered)

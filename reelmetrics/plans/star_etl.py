@@ -38,7 +38,8 @@ def run_pipeline(
     The cleaned tables are written first and read back. So the raw input is parsed once,
     each report reads only the columns it needs, and no plan reaches back over the
     cleaning if an executor is lost. Reports on titles, and reports on viewers, share one
-    rollup of the events each; with ``persist`` it is cached until they are written. A line of
+    rollup of the events each; with ``persist`` it is cached until they are written. The report on genres
+    of viewers counts the stored events that have their titles already. A line of
     a CSV file that does not fit its table is left out; ``run_from_csv`` keeps and counts them.
     """
     if isinstance(src, str):
@@ -46,9 +47,9 @@ def run_pipeline(
     raw = src
     rows: dict[str, int] = {}
 
-    def put(name: str, df: DataFrame) -> DataFrame:
+    def put(name: str, df: DataFrame, rebalance: bool | None = None) -> DataFrame:
         path = f"{dst}/{name}"
-        rows[name] = write_curated(df, path, PARTITIONED.get(name, ()))
+        rows[name] = write_curated(df, path, PARTITIONED.get(name, ()), False, rebalance)
         return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     movies = put("dim_movies", clean.clean_movies(raw["movies"], as_of))
@@ -58,9 +59,11 @@ def run_pipeline(
     ratings = clean.clean_ratings(raw["ratings"])
     plans = raw["plans"]
 
-    enriched = enrich.watch_enriched(watch, movies, users)
+    # Events are brought together by year while they are narrow, before they get the texts of titles and viewers.
+    by_year = clean.add_watch_year(watch).hint("rebalance", "watch_year").drop("watch_year")
+    enriched = enrich.watch_enriched(by_year, movies, users)
     enriched = enriched.withColumn("watch_month", kpi.month_key(enriched["watch_date"]))
-    put("watch_enriched", clean.add_watch_year(enriched))
+    enriched = put("watch_enriched", clean.add_watch_year(enriched), rebalance=False)
 
     by_show, by_user = kpi.views_by_show(watch), kpi.vw_user_engagement(watch)
     if persist:
@@ -75,7 +78,7 @@ def run_pipeline(
         put("kpi_top_rated_movies", kpi.kpi_top_rated(ratings, movies, how="left"))
         put("kpi_monthly_trend", kpi.kpi_monthly_trend(watch))
         put("kpi_user_engagement_churn", kpi.kpi_user_engagement_churn(watch, subs, as_of, rollup=by_user))
-        put("kpi_user_recommendation_genres", kpi.kpi_user_top_genres(watch, movies, genres_per_user, how="left"))
+        put("kpi_user_recommendation_genres", kpi.kpi_user_top_genres(watch, movies, genres_per_user, how="left", titled=enriched))
     finally:
         by_show.unpersist()
         by_user.unpersist()

@@ -210,3 +210,14 @@ def test_enriched_tables_keep_the_rows(watch, movies, users, subs, spark):
 def test_lookup_takes_no_other_join(watch, movies):
     with pytest.raises(ValueError):
         enrich.lookup(watch, movies, "show_id", "full", 2)
+
+
+def test_genres_of_stored_titles_need_no_join(spark):
+    """Events that carry their genre are counted as they are, also without a viewer, a title or a genre."""
+    watch = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 3), (2, 9), (None, 1), (None, None), (3, 2)], "user_id int, show_id int")
+    movies = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "show_id int, primary_genre string")
+    titled = watch.join(movies, "show_id", "left")
+    want = sorted(map(tuple, kpi.kpi_user_top_genres(watch, movies, how="left").collect()), key=repr)
+    found = kpi.kpi_user_top_genres(watch, movies, how="left", titled=titled.localCheckpoint())
+    assert sorted(map(tuple, found.collect()), key=repr) == want
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
