@@ -1107,8 +1107,9 @@ def _stored_contents(datasets: dict[str, DataFrame]) -> DataFrame:
             _, keys, value = _STORED_KPIS[dataset]
             stored.append(rows.select(name, named(keys), F.col(value).cast("double").alias("value")))
         else:
-            counted = rows.groupBy(named(_STORED_TABLES[dataset][1])).agg(F.count(F.lit(1)).cast("double").alias("value"))
-            stored.append(counted.select(name, "row_key", "value"))
+            keys = rows.select(named(_STORED_TABLES[dataset][1]))
+            counted = key_checks.rows_by_wide_key(keys, "row_key", scratch_dir(rows.sparkSession, "doubled"))
+            stored.append(counted.select(name, "row_key", F.col("rows").cast("double").alias("value")))
     return reduce(DataFrame.unionByName, stored)
 
 

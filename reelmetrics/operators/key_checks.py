@@ -13,7 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from reelmetrics.functions import free_names
 from reelmetrics.operators.quality import dq_primary_key
+from reelmetrics.sources.writers import write_curated
+
+#: A list of hashes up to this length (8 bytes each) is broadcast.
+FEW_HASHES = 1_000_000
 
 
 def _doubled_ranges(df: DataFrame, key: str) -> DataFrame:
@@ -60,6 +65,25 @@ def duplicate_keys(df: DataFrame, key: str | Sequence[str], sieve: str | None =
     return doubled.unionByName(absent)
 
 
+def rows_by_wide_key(rows: DataFrame, key: str, folder: str, few: int = FEW_HASHES) -> DataFrame:
+    """``key, rows``: how often each value of a wide column occurs, where most occur once.
+
+    Behind a sieve as in ``duplicate_keys``, so that texts are not shuffled: a 64-bit hash of each is counted, the hashes that
+    occur twice or more are written to ``folder``, which all executors share, and rows with other hashes
+    are counted as they are read. With more than ``few`` such hashes, which are broadcast, all rows are grouped.
+    The result is exact in both cases. ``rows`` is computed twice, so it should be stored.
+    """
+    sieve, n = free_names(rows, "sieve", "n")
+    hashed = rows.select(key).withColumn(sieve, F.xxhash64(key))
+    doubled = hashed.groupBy(sieve).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).select(sieve)
+    if write_curated(doubled, folder) > few:
+        return rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    doubled = F.broadcast(rows.sparkSession.read.schema(doubled.schema).parquet(folder))
+    once = hashed.join(doubled, sieve, "left_anti").select(key, F.lit(1).cast("bigint").alias("rows"))
+    grouped = hashed.join(doubled, sieve, "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    return once.unionByName(grouped)
+
+
 def orphan_keys(
     tables: Mapping[str, DataFrame], foreign_keys: Sequence[tuple[str, str, str]], parent_keys: Mapping[str, str] | None = None
 ) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 import re
 import statistics
+from collections import Counter
 from decimal import Decimal
 from fractions import Fraction
 
@@ -55,6 +56,17 @@ def test_the_sieve_passes_candidates_only(spark):
     assert _rows(key_checks.duplicate_keys(df, "id")) == [(17, 2), (700_000, 2)]
 
 
+@pytest.mark.parametrize("few", [100, 0])
+def test_wide_keys_are_counted_behind_a_sieve(spark, tmp_path, few):
+    """Texts that occur once are not grouped; with too many hashes to broadcast, all are."""
+    texts = [f"text {i}" for i in range(500)] + ["text 7", "text 7", "", "", None, None, "only"]
+    df = spark.createDataFrame([(t,) for t in texts], "row_key string")
+    got = key_checks.rows_by_wide_key(df, "row_key", str(tmp_path / "doubled"), few)
+    assert _rows(got) == sorted(Counter(texts).items(), key=repr)
+    assert spark.read.parquet(str(tmp_path / "doubled")).count() == 3
+    assert ("LeftAnti" in got._jdf.queryExecution().optimizedPlan().toString()) == (few > 0)
+
+
 # -- foreign keys ------------------------------------------------------------------------
 
 
