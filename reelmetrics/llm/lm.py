@@ -35,7 +35,7 @@ END, START = -1, -2
 #: Bits of a filter for each of its entries, of a whole filter at most, and of one of its rows.
 BITS_EACH, MOST_BITS, ROW_BITS = 16, 1 << 28, 1 << 15
 #: Bytes of text that are counted or scored at a time, and words that are walked in one go.
-BLOCK, PIECE = 1 << 23, 512
+BLOCK, PIECE = 1 << 21, 512
 
 
 @dataclass(frozen=True)

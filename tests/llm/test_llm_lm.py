@@ -1,6 +1,8 @@
 """Language model: counts and scores against dictionaries, and a proper distribution."""
 
 import math
+import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -123,3 +125,20 @@ def test_ngrams_that_are_not_broadcast_are_joined(small, near):
 def test_no_ngram_is_cut():
     """Before, 200,000 words and 300,000 bigrams and trigrams were all."""
     assert lm.Size().words == lm.Size().arcs == math.inf
+
+
+def test_a_task_counts_in_little_memory():
+    """Two workers and a heap share an executor's memory: the arrays of a block stay below 80 MB."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(400)).encode() for _ in range(3200)]
+    assert sum(map(len, texts)) > 4_000_000
+    run = next(lm.blocks(iter(texts), lm.BLOCK))
+    tracemalloc.start()
+    try:
+        block = lm._Block.of(run, 0)
+        at = block.pairs()
+        lm._distinct(block.which[at], block.which[at + 1])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 80 << 20
