@@ -15,7 +15,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -55,6 +55,14 @@ def _sums() -> dict[str, tuple[str, dict[str, Column], dict[str, Column]]]:
 FACTS = {"watch": ("watch_date", ("by_show", "by_user")), "subscriptions": ("start_date", ("by_plan",))}
 
 
+def _periods(named: DataFrame) -> list[str | None]:
+    """The periods that occur; a pass over the rows observes them, and sends a list per task."""
+    seen = Observation()
+    known, undated = F.to_json(F.collect_set(PERIOD)).alias("known"), F.count_if(F.col(PERIOD).isNull()).alias("undated")
+    named.select(PERIOD).observe(seen, known, undated).write.format("noop").mode("overwrite").save()
+    return sorted(json.loads(seen.get["known"])) + [None] * (seen.get["undated"] > 0)
+
+
 class RollupStore:
     """Facts and their sums below a folder that all executors share."""
 
@@ -72,7 +80,7 @@ class RollupStore:
         once for its periods, so it should be a stored batch.
         """
         named = rows.withColumn(PERIOD, PERIODS[self.period](F.col(FACTS[fact][0])))
-        periods = [r[0] for r in named.select(PERIOD).distinct().collect()]  # one row per period
+        periods = _periods(named)
         note = f"{self.folder}/due/{uuid.uuid4().hex}.json"
         files.create_text(self.spark, note, json.dumps({"fact": fact, "periods": periods}))
         named.hint("rebalance", PERIOD).write.mode("append").partitionBy(PERIOD).parquet(f"{self.folder}/{fact}")

@@ -9,6 +9,7 @@ Sorted by one column, as usual, files would cover the whole range of the others.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -46,6 +47,13 @@ def _shared_beginning(low: str | None, high: str | None) -> str:
     return (low or "")[:n]
 
 
+def _observed(df: DataFrame, totals: Sequence[Column]) -> dict[str, Any]:
+    """Totals over all rows by name; the one row that holds them is observed."""
+    seen, row = Observation(), df.agg(*totals)
+    row.observe(seen, *[F.any_value(c).alias(c) for c in row.columns]).write.format("noop").mode("overwrite").save()
+    return seen.get
+
+
 def range_bounds(df: DataFrame, cols: Sequence[str], bits: int = BITS, accuracy: int = 10_000) -> dict[str, tuple[str | None, list[float]]]:
     """The bounds of 2^bits ranges of each column with about equally many rows.
 
@@ -55,12 +63,12 @@ def range_bounds(df: DataFrame, cols: Sequence[str], bits: int = BITS, accuracy:
     texts = [c for c in cols if isinstance(df.schema[c].dataType, StringType)]
     shared: dict[str, str] = {}
     if texts:
-        ends = df.agg(*[f(F.col(f"`{c}`")).alias(f"{f.__name__}_{i}") for i, c in enumerate(texts) for f in (F.min, F.max)]).first()
+        ends = _observed(df, [f(F.col(f"`{c}`")).alias(f"{f.__name__}_{i}") for i, c in enumerate(texts) for f in (F.min, F.max)])
         shared = {c: _shared_beginning(ends[f"min_{i}"], ends[f"max_{i}"]) for i, c in enumerate(texts)}
     shares = [k / 2**bits for k in range(1, 2**bits)]
-    quantiles = df.agg(
-        *[F.percentile_approx(_as_number(df, c, shared.get(c)), shares, accuracy).alias(f"q{i}") for i, c in enumerate(cols)]
-    ).first()
+    quantiles = _observed(
+        df, [F.percentile_approx(_as_number(df, c, shared.get(c)), shares, accuracy).alias(f"q{i}") for i, c in enumerate(cols)]
+    )
     return {c: (shared.get(c), sorted(set(quantiles[f"q{i}"] or []))) for i, c in enumerate(cols)}
 
 
