@@ -12,7 +12,8 @@ less those of the way that the walk takes without it. These n-grams are looked u
 the sum is that of a walk over the whole automaton.
 
 Words are known by 64-bit hashes; a second hash of every word proves that no two of a corpus share one.
-N-grams are looked up by a 64-bit hash of theirs.
+N-grams are looked up by a 64-bit hash of theirs. Counts and look-ups move in wide rows, one for each bucket
+of n-grams; the buckets are as many as the size of the texts asks for, so each stays small.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 
 from reelmetrics.llm.common import in_fold, not_in_fold, ship_package, stored, whole_bytes
 from reelmetrics.llm.index import Index
-from reelmetrics.llm.wordhash import blocks, hash_places, words_of_texts
+from reelmetrics.llm.packed import joined, packed, top, unpacked
+from reelmetrics.llm.wordhash import blocks, hash_places, mixed, words_of_texts
 
 #: The ids of the end and of the start of a text among those of its words.
 END, START = -1, -2
@@ -36,6 +38,10 @@ END, START = -1, -2
 BITS_EACH, MOST_BITS, ROW_BITS = 16, 1 << 28, 1 << 15
 #: Bytes of text that are counted or scored at a time, and words that are walked in one go.
 BLOCK, PIECE = 1 << 21, 512
+#: N-grams that a task counts or looks up before it sends them, and texts that it scores before.
+HELD, HELD_TEXTS = 1 << 20, 1 << 16
+#: Bytes of all texts for a bucket of counts, and for a bucket of look-ups.
+COUNTED, ASKED = 1 << 22, 1 << 25
 
 
 @dataclass(frozen=True)
@@ -52,8 +58,8 @@ class Size:
     arcs: float = math.inf
     least_count: int = 3
     discount: float = 0.75
-    near_words: int = 1_500_000
-    near_arcs: int = 1_500_000
+    near_words: int = 300_000
+    near_arcs: int = 300_000
 
 
 # -- texts as numbers --------------------------------------------------------------------
@@ -96,12 +102,17 @@ class _Block:
 
 
 def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The first place of each distinct row of small numbers, which one each row is, and how often it occurs."""
+    """A place of each distinct row of small numbers, which one each row is, and how often it occurs."""
     code = columns[0].astype(np.int64)
     for c in columns[1:]:
         code = code * (int(c.max()) + 1 if len(c) else 1) + c
-    _, first, which, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-    return first, which, n
+    order = np.argsort(code)
+    code = code[order]
+    new = np.concatenate([[True], code[1:] != code[:-1]])[: len(code)]
+    begin = np.flatnonzero(new)
+    which = np.empty(len(code), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[begin], which, np.diff(np.append(begin, len(code)))
 
 
 # -- filters -----------------------------------------------------------------------------
@@ -183,48 +194,109 @@ def most_frequent(counts: DataFrame, limit: float) -> DataFrame:
     return counts.filter(F.lit(False) if cut is None else level >= cut)
 
 
-def _counts(texts: DataFrame, grams, names: list[str]) -> DataFrame:
-    """The rows that ``grams`` makes of blocks of texts, with the sum of their counts ``n``."""
+def _bits(total: int, each: int) -> int:
+    """The bits that number enough buckets for ``total``, with about ``each`` in one."""
+    return max(3, (total // each).bit_length())
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for run in blocks((t.as_py() for t in batch.column(0)), BLOCK):
-                for columns in grams(run):
-                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], [*names, "n"])
 
-    kinds = ", ".join(f"{k} bigint" for k in [*names, "n"])
-    return texts.mapInArrow(count, kinds).groupBy(*names).agg(F.sum("n").alias("n"))
+def _added(grams: list[np.ndarray], n: np.ndarray, bits: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Distinct n-grams in the order of their buckets, with those and the sums of their counts.
+
+    The bucket is told by a hash of all words. Below it the words' own first bits sort, so equal first
+    words come together.
+    """
+    if not len(n):
+        return np.zeros(0, np.uint64), grams, n
+    key = np.zeros(len(n), np.uint64)
+    for g in grams:
+        key = mixed(key + g.view(np.uint64))
+    left = 64 - bits
+    key = key >> np.uint64(left)
+    for k, g in enumerate(grams):
+        own = left // (len(grams) - k)
+        left -= own
+        key = key << np.uint64(own) | top(g, own)
+    order = np.argsort(key)
+
+    def differ(x: np.ndarray) -> np.ndarray:
+        return x[1:] != x[:-1]
+
+    key = key[order]
+    new = np.any([differ(g[order]) for g in grams], axis=0)
+    if np.any(new & ~differ(key)):  # different n-grams of one key may lie mixed
+        order = order[np.lexsort([g[order] for g in grams] + [key])]
+        new = np.any([differ(g[order]) for g in grams], axis=0)
+    begin = np.flatnonzero(np.concatenate([[True], new]))
+    return top(key[begin], bits), [g[order][begin] for g in grams], np.add.reduceat(n[order], begin)
+
+
+def _counts(texts: DataFrame, grams, names: list[str], bits: int, least: dict[int, int]) -> DataFrame:
+    """The rows ``kind`` and ``names`` that ``grams`` makes of blocks of texts, with the sum of their counts ``n``.
+
+    Of each kind only those that sum up to its ``least`` count. Tasks add up what they hold and send it by buckets.
+    """
+    columns = [*names, "n"]
 
+    def sent(held: dict[int, list[list[np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        for kind, parts in held.items():
+            *words, n = (np.concatenate(c) for c in zip(*parts))
+            bucket, words, n = _added(words, n, bits)
+            bucket, *wide = packed(bucket, [*words, n])
+            yield pa.RecordBatch.from_arrays([bucket, pa.array(np.full(len(bucket), kind)), *wide], ["bucket", "kind", *columns])
+        held.clear()
 
-def _words_and_pairs(texts: DataFrame, size: Size) -> tuple[DataFrame, DataFrame, int]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[list[np.ndarray]]] = {}
+        for batch in batches:
+            for run in blocks((t.as_py() for t in batch.column(0)), BLOCK):
+                for kind, *found in grams(run):
+                    held.setdefault(kind, []).append([np.ascontiguousarray(c, np.int64) for c in found])
+                if sum(len(part[0]) for parts in held.values() for part in parts) > HELD:
+                    yield from sent(held)
+        yield from sent(held)
+
+    def summed(bucket: pa.Table) -> pa.Table:
+        kinds, out = bucket.column("kind").to_numpy(), []
+        for kind in np.unique(kinds).tolist():
+            rows = bucket.filter(pa.array(kinds == kind))
+            *words, n = (joined(unpacked(rows.column(c), np.int64), np.int64) for c in columns)
+            _, words, n = _added(words, n, bits)
+            often = n >= least[kind]
+            out.append([np.full(often.sum(), kind), *(c[often] for c in (*words, n))])
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], ["kind", *columns])
+
+    wide = texts.mapInArrow(count, "bucket bigint, kind bigint, " + ", ".join(f"{c} binary" for c in columns))
+    return wide.groupBy("bucket").applyInArrow(summed, ", ".join(f"{c} bigint" for c in ["kind", *columns]))
+
+
+def _words_and_pairs(texts: DataFrame, size: Size, bits: int) -> tuple[DataFrame, DataFrame, int]:
     """``word, n`` of all words and ends, ``a, b, n`` of the bigrams that are frequent enough, and the seed of the hashes.
 
     Words come with their second hash; should two words share an id, all is counted anew with other hashes.
     """
     for seed in range(8):
 
-        def grams(run: list[bytes], seed: int = seed) -> Iterator[list[np.ndarray]]:
+        def grams(run: list[bytes], seed: int = seed) -> Iterator[tuple]:
             block = _Block.of(run, seed)
             n = np.bincount(block.which, minlength=len(block.ids))
             real = block.ids != START
-            yield [np.ones(real.sum()), block.ids[real], block.second[real], n[real]]
+            yield 1, block.ids[real], block.second[real], n[real]
             at = block.pairs()
             a, b = block.which[at], block.which[at + 1]
             first, _, n = _distinct(a, b)
-            yield [np.full(len(first), 2), block.ids[a[first]], block.ids[b[first]], n]
+            yield 2, block.ids[a[first]], block.ids[b[first]], n
 
-        counts = _counts(texts, grams, ["kind", "a", "b"])
-        counts = stored(counts.filter((F.col("kind") == 1) | (F.col("n") >= size.least_count)), "lm-counted")
+        counts = stored(_counts(texts, grams, ["a", "b"], bits, {1: 1, 2: size.least_count}), "lm-counted")
         words = counts.filter("kind = 1").select(F.col("a").alias("word"), "n")
         if words.groupBy("word").count().filter("count > 1").isEmpty():
             return words, counts.filter("kind = 2").select("a", "b", "n"), seed
     raise RuntimeError("words can't be told apart by 64 bits")
 
 
-def _triples(texts: DataFrame, kept, seed: int, least: int) -> DataFrame:
+def _triples(texts: DataFrame, kept, seed: int, least: int, bits: int) -> DataFrame:
     """``a, b, c, n`` of the trigrams that occur ``least`` times or more and whose bigrams may have arcs."""
 
-    def grams(run: list[bytes]) -> Iterator[list[np.ndarray]]:
+    def grams(run: list[bytes]) -> Iterator[tuple]:
         block = _Block.of(run, seed)
         at = block.pairs()
         passed = np.zeros(len(block.which), bool)
@@ -233,9 +305,9 @@ def _triples(texts: DataFrame, kept, seed: int, least: int) -> DataFrame:
         words = [block.which[at + k] for k in range(3)]
         pair = _distinct(words[0], words[1])[1]
         first, _, n = _distinct(pair, words[2])
-        yield [*(block.ids[w[first]] for w in words), n]
+        yield 3, *(block.ids[w[first]] for w in words), n
 
-    return stored(_counts(texts, grams, ["a", "b", "c"]).filter(F.col("n") >= least), "lm-counted-3")
+    return stored(_counts(texts, grams, ["a", "b", "c"], bits, {3: least}).drop("kind"), "lm-counted-3")
 
 
 # -- the automaton -----------------------------------------------------------------------
@@ -440,7 +512,7 @@ class _Model:
     triples: _Filter
 
     def scored(self, run: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Number of words, known words, base score and score by text; and the n-grams to look up by text."""
+        """Number of words, known words, base score and score by text; and the texts and keys of the n-grams to look up."""
         auto, block = self.automaton, _Block.of(run, self.seed)
         n = len(block.sizes)
         score = auto.walk(block)
@@ -453,12 +525,7 @@ class _Model:
         asked: list[list[np.ndarray]] = []
 
         def ask(kind: int, at: np.ndarray) -> None:
-            words = [block.which[at + k] for k in range(kind)]
-            if kind == 3:
-                words = [_distinct(*words[:2])[1], words[2]]
-            first, _, times = _distinct(block.doc[at], *words)
-            keys = _key(*(block.ids[block.which[at[first] + k]] for k in range(kind)))
-            asked.append([block.doc[at[first]], keys.view(np.int64), times])
+            asked.append([block.doc[at], _key(*(block.ids[block.which[at + k]] for k in range(kind)))])
 
         listed = (near < 0) & self.words.has(block.ids) & (block.ids != START)
         ask(1, np.flatnonzero(listed[block.which]))
@@ -484,27 +551,116 @@ class _Model:
 
 # -- scoring -----------------------------------------------------------------------------
 
-_ROWS = "row bigint, own, key bigint, times bigint, known bigint, base double, score double"
+_NUMBERS = "times bigint, known bigint, base double, score double"
+
+
+def _walked(model, bits: int):
+    names = ["bucket", "home", "at", "own", "times", "known", "base", "score", "keys", "places", "asked"]
+
+    def sent(texts: list, asks: list[list[np.ndarray]], home: int) -> Iterator[pa.RecordBatch]:
+        """A row for each text, and one for each bucket of look-ups: keys in order, the place of the text, and how often."""
+        own = pa.concat_arrays([t[0] for t in texts])
+        n = len(own)
+        numbers = [np.concatenate(c) for c in zip(*(t[1] for t in texts))]
+        at = pa.array(np.arange(n))
+        homes = pa.array(np.full(n, home))
+        none = [pa.nulls(n, pa.binary())] * 3
+        rows = [pa.array(np.arange(n) + home & (1 << bits) - 1), homes, at, own, *map(pa.array, numbers), *none]
+        yield pa.RecordBatch.from_arrays(rows, names)
+        place, key = (np.concatenate(c) for c in zip(*asks))
+        order = np.argsort(key, kind="stable")
+        place, key = place[order], key[order]
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (place[1:] != place[:-1])])[: len(key)]
+        begin = np.flatnonzero(new)
+        times = np.diff(np.append(begin, len(key))).astype(np.int32)
+        bucket, *wide = packed(top(key[begin], bits), [key[begin], place[begin].astype(np.uint16), times])
+        n = len(bucket)
+        kinds = [pa.int64(), own.type, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        yield pa.RecordBatch.from_arrays([bucket, pa.array(np.full(n, home)), *(pa.nulls(n, k) for k in kinds), *wide], names)
 
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, asks, home, n, held = [], [], 0, 0, 0
+        for whole in batches:
+            for begin in range(0, len(whole), HELD_TEXTS):
+                batch, done = whole.slice(begin, HELD_TEXTS), 0
+                for run in blocks((t.as_py() for t in batch.column(2)), BLOCK):
+                    if n and (held > HELD or n + len(run) > HELD_TEXTS):
+                        yield from sent(texts, asks, home)
+                        texts, asks, n, held = [], [], 0, 0
+                    home = home if n else batch.column(0)[done].as_py()
+                    numbers, (doc, key) = model.value.scored(run)
+                    texts.append((batch.column(1).slice(done, len(run)), numbers))
+                    asks.append([doc + n, key])
+                    done, n, held = done + len(run), n + len(run), held + len(key)
+        if n:
+            yield from sent(texts, asks, home)
 
-def _walked(model):
-    names = [f.split()[0] for f in _ROWS.split(", ")]
+    return walk
+
+
+def _gains_by_bucket(bits: int):
+    names = ["bucket", "keys", "known", "base", "gain"]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+
+        def sent() -> pa.RecordBatch:
+            key, *numbers = (np.concatenate(c) for c in zip(*held))
+            order = np.argsort(key.view(np.uint64))
+            columns = packed(top(key[order], bits), [c[order] for c in (key, *numbers)])
+            held.clear()
+            return pa.RecordBatch.from_arrays(columns, names)
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each text, with its words in ``times``, and one for each n-gram to look up, with its ``key``."""
         for batch in batches:
-            rows, own, done = batch.column(0).to_numpy(), batch.column(1), 0
-            for run in blocks((t.as_py() for t in batch.column(2)), BLOCK):
-                (sizes, known, base, score), (doc, key, times) = model.value.scored(run)
-                here = rows[done : done + len(run)]
-                numbers = [pa.array(x) for x in (sizes, known, base, score)]
-                yield pa.RecordBatch.from_arrays([pa.array(here), own.slice(done, len(run)), pa.nulls(len(run), pa.int64()), *numbers], names)
-                none = [pa.nulls(len(doc), k) for k in (pa.int64(), pa.float64(), pa.float64())]
-                asked = [pa.array(here[doc]), pa.nulls(len(doc), own.type), pa.array(key), pa.array(times.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(asked + none, names)
-                done += len(run)
+            held.append([c.to_numpy() for c in batch.columns])
+            if sum(len(part[0]) for part in held) > HELD:
+                yield sent()
+        if held:
+            yield sent()
 
-    return walk
+    return deal
+
+
+def _looked_up(walked: pa.Table, gains: pa.Table) -> pa.Table:
+    """The texts of a bucket as they are, and sums of the gains that its look-ups found, for the texts of each home."""
+    key, known, base, gain = (
+        joined(unpacked(gains.column(c), k), k)
+        for c, k in (("keys", np.uint64), ("known", np.int32), ("base", np.float64), ("gain", np.float64))
+    )
+    order = np.argsort(key)
+    key, known, base, gain = (c[order] for c in (key, known, base, gain))
+    passing = walked.drop_columns(["bucket", "keys", "asked"]).filter(walked.column("keys").is_null())
+    asks = walked.filter(walked.column("keys").is_valid())
+    names = ["places", "more_known", "more_base", "more_gain"]
+    sums: list[list[bytes]] = [[] for _ in names]
+    for keys, places, times in zip(*(unpacked(asks.column(c), k) for c, k in (("keys", np.uint64), ("places", np.uint16), ("asked", np.int32)))):
+        at = np.searchsorted(key, keys)
+        found = np.flatnonzero(at < len(key))
+        found = found[key[at[found]] == keys[found]]
+        at, places, times = at[found], places[found], times[found]
+        told = np.flatnonzero(np.bincount(places))
+        here = [np.bincount(places, times * c[at])[told] for c in (known, base, gain)]
+        for out, c in zip(sums, [told.astype(np.uint16), here[0].astype(np.int64), *here[1:]]):
+            out.append(c.tobytes())
+    for name in names[1:]:
+        passing = passing.append_column(name, pa.nulls(len(passing), pa.binary()))
+    none = {f.name: pa.nulls(len(asks), f.type) for f in passing.schema if f.name not in (*names, "home")}
+    more = pa.table({**none, "home": asks.column("home"), **{k: pa.array(c, pa.binary()) for k, c in zip(names, sums)}})
+    return pa.concat_tables([passing, more.select(passing.column_names)])
+
+
+def _summed(home: pa.Table) -> pa.Table:
+    """Rows of the texts of one home with all that they gained."""
+    text = home.column("places").is_null()
+    texts, more = home.filter(text), home.filter(home.column("places").is_valid())
+    at = texts.column("at").to_numpy()
+    sums = {c: np.zeros(len(at), k) for c, k in (("known", np.int64), ("base", np.float64), ("score", np.float64))}
+    kinds = (("places", np.uint16), ("more_known", np.int64), ("more_base", np.float64), ("more_gain", np.float64))
+    for places, *gained in zip(*(unpacked(more.column(c), k) for c, k in kinds)):
+        for total, c in zip(sums.values(), gained):
+            total[places] += c
+    columns = {"own": texts.column("own"), "times": texts.column("times")}
+    return pa.table({**columns, **{c: texts.column(c).to_numpy() + total[at] for c, total in sums.items()}})
 
 
 def lm_scores(
@@ -522,7 +678,9 @@ def lm_scores(
     spark = docs.sparkSession
     ship_package(spark)
     texts = docs.filter(not_in_fold(id_col, parts, held)).select(whole_bytes(text_col).alias("text"))
-    words, counted, seed = _words_and_pairs(texts, size)
+    length, learnt = F.octet_length(whole_bytes(text_col)), not_in_fold(id_col, parts, held)
+    n_bytes, n_learnt = docs.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (length, F.when(learnt, length))]).first()
+    words, counted, seed = _words_and_pairs(texts, size, _bits(n_learnt, COUNTED))
     total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     scale = float(total + kinds + 1)
     unknown = -math.log10(scale)
@@ -536,7 +694,7 @@ def lm_scores(
     listed = often.select("word", "n").union(marks).withColumn("root", root)
     pairs = _arcs(counted, listed, size)
     kept = _filter(pairs, "a", "b")
-    triples = _long_arcs(_triples(texts, spark.sparkContext.broadcast(kept), seed, size.least_count), pairs, size)
+    triples = _long_arcs(_triples(texts, spark.sparkContext.broadcast(kept), seed, size.least_count, _bits(n_learnt, COUNTED)), pairs, size)
     heads = pairs.groupBy("a").agg(_left(F.sum("p"), F.sum("root")).alias("fail"))
     tails = triples.groupBy("a", "b").agg(_left(F.sum("p"), F.sum("lower")).alias("fail2"))
 
@@ -562,24 +720,20 @@ def lm_scores(
     model = spark.sparkContext.broadcast(_Model(near, seed, _filter(far[0], "word"), kept, _filter(three, "a", "b", "c")))
 
     own = F.struct(F.col(f"`{id_col}`").alias("doc_id"), in_fold(id_col, parts, held).alias("held_out"))
-    kept_id = docs.schema[id_col].dataType.simpleString()
-    walked = stored(
-        docs.select(F.monotonically_increasing_id().alias("row"), own.alias("own"), whole_bytes(text_col).alias("text")).mapInArrow(
-            _walked(model), _ROWS.replace(", own,", f", own struct<doc_id:{kept_id},held_out:boolean>,")
-        ),
-        "lm-walked",
-    )
-    asked = walked.filter("key IS NOT NULL").select("row", "key", "times")
-    rest = (
-        asked.join(_gains(*far, unknown), "key")
-        .groupBy("row")
-        .agg(*[F.sum(F.col("times") * F.col(c)).alias(f"more_{c}") for c in ("known", "base", "gain")])
+    fields = f"home bigint, at bigint, own struct<doc_id:{docs.schema[id_col].dataType.simpleString()},held_out:boolean>, {_NUMBERS}"
+    bits = _bits(n_bytes, ASKED)
+    walked = docs.select(F.monotonically_increasing_id().alias("row"), own.alias("own"), whole_bytes(text_col).alias("text")).mapInArrow(
+        _walked(model, bits), f"bucket bigint, {fields}, keys binary, places binary, asked binary"
     )
-    return walked.filter("key IS NULL").join(rest, "row", "left").select(
+    gains = _gains(*far, unknown).mapInArrow(_gains_by_bucket(bits), "bucket bigint, keys binary, known binary, base binary, gain binary")
+    more = ", ".join(f"{c} binary" for c in ("places", "more_known", "more_base", "more_gain"))
+    found = walked.groupBy("bucket").cogroup(gains.groupBy("bucket")).applyInArrow(_looked_up, f"{fields}, {more}")
+    scored = found.groupBy("home").applyInArrow(_summed, fields.split(", ", 2)[2])
+    return scored.select(
         "own.*",
         (F.col("times") + 1).alias("n_tokens"),
-        (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        F.col("known").alias("n_known"),
         F.lit(int(total)).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", nil)).alias("base_score"),
-        (F.col("score") + F.coalesce("more_gain", nil)).alias("score"),
+        F.col("base").alias("base_score"),
+        "score",
     )

@@ -5,8 +5,10 @@ import random
 import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from reelmetrics.llm import lm
@@ -142,3 +144,26 @@ def test_a_task_counts_in_little_memory():
     finally:
         tracemalloc.stop()
     assert peak < 80 << 20
+
+
+def test_look_ups_move_in_wide_rows():
+    """Before, every n-gram to look up was a row of its own; now a bucket is, whatever number of texts asks."""
+    asks = [np.repeat(np.arange(100), 100), np.arange(10_000) % 5_000 << 50]
+    numbers = [np.zeros(100, np.int64), np.zeros(100, np.int64), np.zeros(100), np.zeros(100)]
+    model = SimpleNamespace(value=SimpleNamespace(scored=lambda run: (numbers, asks)))
+    batch = pa.table({"row": np.arange(100), "own": np.arange(100), "text": [b""] * 100}).to_batches()
+    rows = pa.Table.from_batches(lm._walked(model, 3)(iter(batch))).to_pylist()
+    assert len(rows) <= 100 + 2**3
+    found = [(k, p, t) for r in rows if r["keys"] for k, p, t in zip(*(np.frombuffer(r[c], d).tolist() for c, d in (("keys", "i8"), ("places", "u2"), ("asked", "i4"))))]
+    want = Counter(zip(asks[1].tolist(), asks[0].tolist()))
+    assert sorted(found) == sorted((k, p, n) for (k, p), n in want.items())
+
+
+def test_counts_add_up_when_sort_keys_meet():
+    """Words whose first bits are equal have one sort key and may lie mixed."""
+    rng = np.random.default_rng(4)
+    grams = [rng.integers(0, 3, 500), rng.integers(0, 3, 500)]
+    bucket, words, n = lm._added(grams, np.ones(500, np.int64), 3)
+    assert (np.diff(bucket.astype(int)) >= 0).all()
+    got = dict(zip(zip(*(w.tolist() for w in words)), n.tolist()))
+    assert len(got) == len(n) and got == Counter(zip(*(g.tolist() for g in grams)))
