@@ -4,7 +4,9 @@ For a Jaccard similarity of ``percent`` or more, the sets of two documents must
 their first few under *any* order of all tokens, and more of them in longer prefixes. Three orders are
 used: by rarity, and by two hashes. Pairs that meet in the prefix by rarity are candidates; they must
 fit in length and position and share enough tokens in each of the two hash prefixes as well, which
-texts with a common passage do not. Only what passes all filters is compared token by token.
+texts with a common passage do not. Before that, sketches of 256 bits tell most pairs apart: each bit is the parity
+of the tokens that fall to it, so two sketches differ in no more bits than the sets have tokens apart. Only what passes
+all filters is compared token by token.
 
 Rarity is the number of different texts that have a token. All tokens are counted; what is broadcast is a
 table of a fixed width with the counts of the most frequent ones, as many as it has room for. Others are
@@ -29,13 +31,16 @@ from pyspark.sql import functions as F
 
 from reelmetrics.llm.common import ship_package, stored, whole_bytes, whole_text
 from reelmetrics.llm.components import components
+from reelmetrics.llm.packed import joined, packed, top, unpacked
 from reelmetrics.llm.wordhash import blocks, hash_places, mixed, words_of_texts
 
 SHINGLE_WORDS, PERCENT = 3, 90
 #: Counters of the table of token counts, a byte each, how many are sent at a time, and the most tokens that are entered.
 WIDTH, SLICE, MOST_COUNTED = 1 << 25, 1 << 18, 1 << 24
-#: Tokens that a task holds before it adds up equal ones.
-HELD = 1 << 23
+#: Tokens that a task holds before it sends them, the bits that number their buckets, and those below that it sends.
+HELD, BUCKET_BITS, SENT_BITS = 1 << 20, 10, 32
+#: 64-bit words of a sketch.
+SKETCH = 4
 #: A list of candidate documents up to this length (16 bytes each) is broadcast.
 BROADCAST_KEYS = 1_000_000
 #: Bytes of texts that are hashed at a time.
@@ -112,40 +117,39 @@ def _fresh(keys: pa.Array, more: pa.Array, seen: set) -> list[int]:
 
 
 def _all_tokens(shingle_words: int):
+    def sent(held: list[np.ndarray]) -> pa.RecordBatch:
+        tokens = np.sort(np.concatenate(held))
+        held.clear()
+        below = top(tokens, BUCKET_BITS + SENT_BITS).astype(np.uint32)
+        return pa.RecordBatch.from_arrays(packed(top(tokens, BUCKET_BITS), [below]), ["bucket", "tokens"])
+
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The tokens of each different text of a task."""
-        seen: set = set()
+        """The tokens of each different text of a task, by buckets: their first bits."""
+        seen, held = set(), []
         for batch in batches:
             for at in range(0, len(batch), 2000):
                 k1, k2, texts = batch.slice(at, 2000).columns
-                found = list(shingle_sets((texts[i].as_py() for i in _fresh(k1, k2, seen)), shingle_words))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64))], ["token"])
+                for found in shingle_sets((texts[i].as_py() for i in _fresh(k1, k2, seen)), shingle_words):
+                    held.append(found)
+                if sum(map(len, held)) > HELD:
+                    yield sent(held)
+        if held:
+            yield sent(held)
 
     return tokens
 
 
-def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct tokens, and the sums of their counts."""
-    tokens, n = (np.concatenate(c) for c in zip(*parts))
-    order = np.argsort(tokens)
-    tokens, n = tokens[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
-    return tokens[first], np.add.reduceat(n, first) if len(first) else n
-
+def _shared_tokens(bucket: pa.Table) -> pa.Table:
+    """Of all tokens of a bucket, those that come twice or more, with eight times the logarithm of how often.
 
-def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of all tokens of a partition, those that come twice or more, with eight times the logarithm of how often."""
-    parts, held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
-    for batch in batches:
-        parts.append((batch.column(0).to_numpy(), np.ones(len(batch), np.int64)))
-        held += len(batch)
-        if held > HELD:
-            parts, held = [_added(parts)], 0
-    tokens, n = _added(parts)
-    tokens, n = tokens[n > 1], n[n > 1]
+    Tokens are known by their first ``BUCKET_BITS + SENT_BITS`` bits here; the others are 0.
+    """
+    below, n = np.unique(joined(unpacked(bucket.column("tokens"), np.uint32), np.uint32), return_counts=True)
+    below, n = below[n > 1].astype(np.uint64), n[n > 1]
+    first = np.uint64(bucket.column("bucket")[0].as_py()) << np.uint64(SENT_BITS)
+    tokens = (first | below) << np.uint64(64 - BUCKET_BITS - SENT_BITS)
     levels = np.minimum(np.floor(np.log2(n) * 8), 255).astype(np.int32)
-    for at in range(0, len(tokens), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)]) for c in (tokens, levels)], ["token", "level"])
+    return pa.table({"token": tokens.view(np.int64), "level": levels})
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,11 +169,11 @@ def rarity_table(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, most: int
     """Of ``k1, k2, text``, how frequent tokens are: ``WIDTH`` numbers, which grow with the logarithm of the texts that have a token.
 
     Tokens of one text have 0. So have the rarer ones of the others, if there are more than ``most``:
-    where to cut is told by the number of tokens of each level. A task counts the tokens that are dealt to it
-    in memory, so a shuffle partition should be some hundred megabytes at most.
+    where to cut is told by the number of tokens of each level. Tokens are told apart by 42 bits, those that place
+    them in the table included; two that are taken for one are only thought to be more frequent.
     """
-    tokens = texts.mapInArrow(_all_tokens(shingle_words), "token bigint").repartition("token")
-    counts = stored(tokens.mapInArrow(_shared_tokens, "token bigint, level int"), "similar-counts")
+    tokens = texts.mapInArrow(_all_tokens(shingle_words), "bucket bigint, tokens binary")
+    counts = stored(tokens.groupBy("bucket").applyInArrow(_shared_tokens, "token bigint, level int"), "similar-counts")
     left, cut = most, 256
     for r in sorted(counts.groupBy("level").count().collect(), reverse=True):
         left -= r["count"]
@@ -214,18 +218,27 @@ def _rare_prefixes(table, shingle_words: int, percent: int):
     return prefixes
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """The parities of the tokens that fall to each of some bits.
+
+    A token that only one of two sets has turns one bit, so sketches differ in that many bits at most.
+    """
+    parity = np.bincount((tokens & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+
+
 def _sets(shingle_words: int, percent: int):
-    names = [*KEY, "tokens", "a", "b"]
+    names = [*KEY, "tokens", "a", "b", "sketch"]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Whole sets, and their prefixes under the two hash orders, long enough to hold many common tokens."""
+        """Whole sets, their prefixes under the two hash orders, long enough to hold many common tokens, and sketches."""
         for batch in batches:
             for at in range(0, len(batch), 200):
                 k1, k2, texts = batch.slice(at, 200).columns
                 found = list(shingle_sets((t.as_py() for t in texts), shingle_words))
                 first = [t[: shared_prefix(len(t), percent)] for t in found]
                 second = [np.sort(_second(t))[: shared_prefix(len(t), percent)] for t in found]
-                lists = [pa.array([t.view(np.int64) for t in part], pa.list_(pa.int64())) for part in (found, first, second)]
+                lists = [pa.array([t.view(np.int64) for t in part], pa.list_(pa.int64())) for part in (found, first, second, map(sketch, found))]
                 yield pa.RecordBatch.from_arrays([k1, k2, *lists], names)
 
     return sets
@@ -258,6 +271,15 @@ def _pairs(joined: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs but those whose sketches differ in more bits than similar sets have tokens apart."""
+    own = {side: [F.col("k1").alias(f"{side}1"), F.col("k2").alias(f"{side}2")] for side in "xy"}
+    parts = {side: sets.select(*own[side], F.size("tokens").alias(f"n{side}"), F.col("sketch").alias(f"s{side}")) for side in "xy"}
+    apart = reduce(Column.__add__, [F.bit_count(F.col("sx")[k].bitwiseXOR(F.col("sy")[k])) for k in range(SKETCH)])
+    sketched = pairs.join(parts["x"], ["x1", "x2"]).join(parts["y"], ["y1", "y2"])
+    return sketched.filter(apart * (100 + percent) <= (F.col("nx") + F.col("ny")) * (100 - percent)).select(*_PAIR)
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of some pairs that share enough tokens under both hash orders and are similar indeed.
 
@@ -265,6 +287,11 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sets share the smaller p of theirs, under each order.
     """
     own = {side: [F.col("k1").alias(f"{side}1"), F.col("k2").alias(f"{side}2")] for side in "xy"}
+    pairs = stored(_near(pairs, sets, percent), "similar-near")
+    # Only the sets of these pairs move on.
+    keys = pairs.select(F.explode(F.array(F.struct(F.col("x1").alias("k1"), F.col("x2").alias("k2")), F.struct(F.col("y1").alias("k1"), F.col("y2").alias("k2")))).alias("k"))
+    keys = keys.select("k.*").distinct()
+    sets = sets.join(F.broadcast(keys) if 2 * pairs.count() <= BROADCAST_KEYS else keys, KEY, "left_semi")
     hashed = {side: sets.select(*own[side], F.col("a").alias(f"a{side}"), F.col("b").alias(f"b{side}")) for side in "xy"}
     whole = {side: sets.select(*own[side], F.col("tokens").alias(f"t{side}")) for side in "xy"}
 
@@ -432,7 +459,7 @@ def similar_components(
     named = docs.select(F.col(f"`{id_col}`").alias("id"), *keys, whole_bytes(text_col).alias("text"))
     own = (named["k1"] == wanted["w1"]) & (named["k2"] == wanted["w2"]) & named["id"].eqNullSafe(wanted["least"])
     sets = named.join(wanted, own, "left_semi").select(*KEY, "text")
-    sets = stored(sets.mapInArrow(_sets(shingle_words, percent), "k1 bigint, k2 bigint, tokens array<bigint>, a array<bigint>, b array<bigint>"), "similar-sets")
+    sets = stored(sets.mapInArrow(_sets(shingle_words, percent), "k1 bigint, k2 bigint, tokens array<bigint>, a array<bigint>, b array<bigint>, sketch array<bigint>"), "similar-sets")
     if sets.count() > n_wanted:  # rows that repeat id and text
         sets = stored(sets.dropDuplicates(KEY), "similar-sets")
     linked = similar_links(mates, sets, percent)

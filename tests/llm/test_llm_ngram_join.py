@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +155,24 @@ def test_nothing(spark, nothing):
     assert ngram_join.similar_components(nothing).collect() == []
     empty = spark.createDataFrame([(3, None), (1, ""), (2, " \n"), (None, None)], SCHEMA)
     assert _got(ngram_join.similar_components(empty)) == sorted([(3, 0, 3), (1, 0, 1), (2, 0, 2), (None, 0, None)], key=repr)
+
+
+def test_sketches_keep_similar_sets():
+    """Sketches differ in no more bits than sets have tokens apart, and tell others apart."""
+    rng = np.random.default_rng(7)
+    for n in (1, 5, 40, 300, 5000):
+        tokens = rng.integers(0, 1 << 63, 2 * n).astype(np.uint64)
+        for apart in {0, 1, n // 10, n}:
+            x, y = ngram_join.sketch(tokens[:n]), ngram_join.sketch(tokens[apart : n + apart])
+            assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) <= 2 * apart
+    x, y = (ngram_join.sketch(rng.integers(0, 1 << 63, 300).astype(np.uint64)) for _ in range(2))
+    assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) * 190 > 600 * 10
+
+
+def test_tokens_move_in_wide_rows():
+    """Before, every token of a text was a row of 8 bytes and more; now a bucket is, with 4 bytes for a token."""
+    texts = [" ".join(_prose(random.Random(k), 400, 10**6)).encode() for k in range(50)]
+    batch = pa.table({"k1": range(50), "k2": range(50), "text": texts}).to_batches()
+    rows = pa.Table.from_batches(ngram_join._all_tokens(3)(iter(batch))).to_pylist()
+    assert len(rows) <= 2**ngram_join.BUCKET_BITS
+    assert sum(len(r["tokens"]) for r in rows) == 4 * 50 * 398
