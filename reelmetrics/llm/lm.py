@@ -41,7 +41,7 @@ BLOCK, PIECE = 1 << 21, 512
 #: N-grams that a task counts or looks up before it sends them, and texts that it scores before.
 HELD, HELD_TEXTS = 1 << 20, 1 << 16
 #: Bytes of all texts for a bucket of counts, and for a bucket of look-ups.
-COUNTED, ASKED = 1 << 22, 1 << 25
+COUNTED, ASKED = 1 << 22, 1 << 24
 
 
 @dataclass(frozen=True)
@@ -238,12 +238,11 @@ def _counts(texts: DataFrame, grams, names: list[str], bits: int, least: dict[in
     columns = [*names, "n"]
 
     def sent(held: dict[int, list[list[np.ndarray]]]) -> Iterator[pa.RecordBatch]:
-        for kind, parts in held.items():
-            *words, n = (np.concatenate(c) for c in zip(*parts))
+        for kind in list(held):
+            *words, n = (np.concatenate(c) for c in zip(*held.pop(kind)))
             bucket, words, n = _added(words, n, bits)
             bucket, *wide = packed(bucket, [*words, n])
             yield pa.RecordBatch.from_arrays([bucket, pa.array(np.full(len(bucket), kind)), *wide], ["bucket", "kind", *columns])
-        held.clear()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[list[np.ndarray]]] = {}
@@ -573,7 +572,7 @@ def _walked(model, bits: int):
         new = np.concatenate([[True], (key[1:] != key[:-1]) | (place[1:] != place[:-1])])[: len(key)]
         begin = np.flatnonzero(new)
         times = np.diff(np.append(begin, len(key))).astype(np.int32)
-        bucket, *wide = packed(top(key[begin], bits), [key[begin], place[begin].astype(np.uint16), times])
+        bucket, *wide = packed(top(key[begin], bits), [key[begin], place[begin], times])
         n = len(bucket)
         kinds = [pa.int64(), own.type, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         yield pa.RecordBatch.from_arrays([bucket, pa.array(np.full(n, home)), *(pa.nulls(n, k) for k in kinds), *wide], names)
@@ -590,7 +589,7 @@ def _walked(model, bits: int):
                     home = home if n else batch.column(0)[done].as_py()
                     numbers, (doc, key) = model.value.scored(run)
                     texts.append((batch.column(1).slice(done, len(run)), numbers))
-                    asks.append([doc + n, key])
+                    asks.append([(doc + n).astype(np.uint16), key])
                     done, n, held = done + len(run), n + len(run), held + len(key)
         if n:
             yield from sent(texts, asks, home)
@@ -622,18 +621,23 @@ def _gains_by_bucket(bits: int):
 
 
 def _looked_up(walked: pa.Table, gains: pa.Table) -> pa.Table:
-    """The texts of a bucket as they are, and sums of the gains that its look-ups found, for the texts of each home."""
+    """The texts of a bucket as they are, and sums of the gains that its look-ups found, for the texts of each home.
+
+    The look-ups are most of a bucket. They are read where they lie, row by row, and never copied.
+    """
     key, known, base, gain = (
         joined(unpacked(gains.column(c), k), k)
         for c, k in (("keys", np.uint64), ("known", np.int32), ("base", np.float64), ("gain", np.float64))
     )
     order = np.argsort(key)
     key, known, base, gain = (c[order] for c in (key, known, base, gain))
-    passing = walked.drop_columns(["bucket", "keys", "asked"]).filter(walked.column("keys").is_null())
-    asks = walked.filter(walked.column("keys").is_valid())
+    asking = walked.column("keys").is_valid()
+    passing = walked.drop_columns(["bucket", "keys", "places", "asked"]).filter(walked.column("keys").is_null())
+    homes = walked.column("home").filter(asking)
     names = ["places", "more_known", "more_base", "more_gain"]
     sums: list[list[bytes]] = [[] for _ in names]
-    for keys, places, times in zip(*(unpacked(asks.column(c), k) for c, k in (("keys", np.uint64), ("places", np.uint16), ("asked", np.int32)))):
+    for i in np.flatnonzero(asking.to_numpy()).tolist():
+        keys, places, times = (np.frombuffer(walked.column(c)[i].as_buffer(), k) for c, k in (("keys", np.uint64), ("places", np.uint16), ("asked", np.int32)))
         at = np.searchsorted(key, keys)
         found = np.flatnonzero(at < len(key))
         found = found[key[at[found]] == keys[found]]
@@ -642,10 +646,10 @@ def _looked_up(walked: pa.Table, gains: pa.Table) -> pa.Table:
         here = [np.bincount(places, times * c[at])[told] for c in (known, base, gain)]
         for out, c in zip(sums, [told.astype(np.uint16), here[0].astype(np.int64), *here[1:]]):
             out.append(c.tobytes())
-    for name in names[1:]:
+    for name in names:
         passing = passing.append_column(name, pa.nulls(len(passing), pa.binary()))
-    none = {f.name: pa.nulls(len(asks), f.type) for f in passing.schema if f.name not in (*names, "home")}
-    more = pa.table({**none, "home": asks.column("home"), **{k: pa.array(c, pa.binary()) for k, c in zip(names, sums)}})
+    none = {f.name: pa.nulls(len(homes), f.type) for f in passing.schema if f.name not in (*names, "home")}
+    more = pa.table({**none, "home": homes, **{k: pa.array(c, pa.binary()) for k, c in zip(names, sums)}})
     return pa.concat_tables([passing, more.select(passing.column_names)])
 
 

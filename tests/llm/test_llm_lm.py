@@ -167,3 +167,27 @@ def test_counts_add_up_when_sort_keys_meet():
     assert (np.diff(bucket.astype(int)) >= 0).all()
     got = dict(zip(zip(*(w.tolist() for w in words)), n.tolist()))
     assert len(got) == len(n) and got == Counter(zip(*(g.tolist() for g in grams)))
+
+
+def test_look_ups_are_not_copied():
+    """Before, the look-ups of a bucket were copied whole before the first was read, beside what Spark had sent."""
+    keys = np.arange(100_000, dtype=np.uint64)
+    places, times = (keys % 50).astype(np.uint16), np.ones(len(keys), np.int32)
+    asks = {"keys": keys.tobytes(), "places": places.tobytes(), "asked": times.tobytes()}
+    text = {"home": 0, "at": 7, "own": 70, "times": 3, "known": 2, "base": -1.0, "score": -2.0}
+    kinds = [pa.field(c, pa.int64()) for c in ("bucket", "home", "at", "own", "times", "known")] + [pa.field(c, pa.float64()) for c in ("base", "score")]
+    rows = [{"bucket": 1, "home": k, **asks} for k in range(20)] + [{"bucket": 1, **text}]
+    walked = pa.Table.from_pylist(rows, pa.schema([*kinds, *(pa.field(c, pa.binary()) for c in asks)]))
+    gain = {"keys": keys[:2].tobytes(), "known": np.ones(2, np.int32).tobytes(), "base": np.ones(2).tobytes(), "gain": np.full(2, 2.0).tobytes()}
+    gains = pa.Table.from_pylist([gain])
+    pool, before = pa.proxy_memory_pool(pa.default_memory_pool()), pa.default_memory_pool()
+    pa.set_memory_pool(pool)
+    try:
+        found = lm._looked_up(walked, gains).to_pylist()
+    finally:
+        pa.set_memory_pool(before)
+    assert pool.max_memory() < walked.nbytes // 10
+    assert [{k: r[k] for k in text} for r in found if r["places"] is None] == [text]
+    more = [r for r in found if r["places"] is not None]
+    assert sorted(r["home"] for r in more) == list(range(20))
+    assert all(np.frombuffer(r["places"], "u2").tolist() == [0, 1] and np.frombuffer(r["more_gain"]).tolist() == [2.0, 2.0] for r in more)
