@@ -15,8 +15,9 @@ ordered by their hash: any order gives the same links, a good one fewer candidat
 Many documents may share a prefix token, so the pairs of a bucket are never listed as they are.
 Each round takes a few leaders per bucket, out of the largest component that it holds by then, and compares
 the other members with them; members that are connected need no comparison any more. When few pairs of different components are
-left, or a round has found no new link, all pairs that are left are compared. So every link
-between components is found, and a group of near copies costs a few comparisons for each of its members.
+left, when rounds have become slow and not too many pairs are left, or when a round has found no new link, all pairs that are left
+are compared. So every link between components is found, and a group of near copies costs a few comparisons for each of its members. Members
+bring their sketches along, so a pair that its sketches tell apart is never a row.
 """
 
 from __future__ import annotations
@@ -47,6 +48,9 @@ BROADCAST_KEYS = 1_000_000
 BLOCK = 1 << 20
 #: Members of a bucket that lead in a round, and rounds at most.
 LEADERS, ROUNDS = 8, 8
+#: A round is slow that finds fewer links than the best one by this factor. Then so many pairs left for each member of a
+#: bucket, or so many in all, are few enough to compare them at once, which takes seconds.
+SLOW, FEW, FEW_PAIRS = 16, 16, 1 << 24
 
 KEY = ["k1", "k2"]
 
@@ -247,8 +251,14 @@ def _sets(shingle_words: int, percent: int):
 # -- candidates ------------------------------------------------------------------------
 
 
+def _apart(percent: int) -> Column:
+    """Whether the sketches of ``x`` and ``y`` differ in no more bits than similar sets have tokens apart."""
+    bits = reduce(Column.__add__, [F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in _SKETCH])
+    return bits * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
+
+
 def _fits(percent: int) -> Column:
-    """Length and position: whether two members of a bucket, ``x`` and ``y``, may be similar.
+    """Length, position and sketches: whether two members of a bucket, ``x`` and ``y``, may be similar.
 
     Similar sets share enough tokens from their first common one on; other common tokens need not
     bring a pair forward.
@@ -256,10 +266,13 @@ def _fits(percent: int) -> Column:
     n, m = F.col("x.n"), F.col("y.n")
     behind = F.least(n - F.col("x.at"), m - F.col("y.at"))
     lengths = F.least(n, m) * 100 >= F.greatest(n, m) * percent
-    return lengths & (behind * (100 + percent) >= (n + m) * percent)
+    return lengths & (behind * (100 + percent) >= (n + m) * percent) & _apart(percent)
 
 
 _PAIR = ["x1", "x2", "y1", "y2"]
+_SKETCH = [f"s{k}" for k in range(SKETCH)]
+#: What a member of a bucket has besides its token.
+_MEMBER = [*KEY, "n", "at", *_SKETCH, "c1", "c2"]
 
 
 def _pairs(joined: DataFrame) -> DataFrame:
@@ -271,23 +284,13 @@ def _pairs(joined: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs but those whose sketches differ in more bits than similar sets have tokens apart."""
-    own = {side: [F.col("k1").alias(f"{side}1"), F.col("k2").alias(f"{side}2")] for side in "xy"}
-    parts = {side: sets.select(*own[side], F.size("tokens").alias(f"n{side}"), F.col("sketch").alias(f"s{side}")) for side in "xy"}
-    apart = reduce(Column.__add__, [F.bit_count(F.col("sx")[k].bitwiseXOR(F.col("sy")[k])) for k in range(SKETCH)])
-    sketched = pairs.join(parts["x"], ["x1", "x2"]).join(parts["y"], ["y1", "y2"])
-    return sketched.filter(apart * (100 + percent) <= (F.col("nx") + F.col("ny")) * (100 - percent)).select(*_PAIR)
-
-
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of some pairs that share enough tokens under both hash orders and are similar indeed.
+    """Those of some stored pairs that share enough tokens under both hash orders and are similar indeed.
 
     The prefixes of both hash orders have 2 p - 1 tokens for the p that must meet; so similar
     sets share the smaller p of theirs, under each order.
     """
     own = {side: [F.col("k1").alias(f"{side}1"), F.col("k2").alias(f"{side}2")] for side in "xy"}
-    pairs = stored(_near(pairs, sets, percent), "similar-near")
     # Only the sets of these pairs move on.
     keys = pairs.select(F.explode(F.array(F.struct(F.col("x1").alias("k1"), F.col("x2").alias("k2")), F.struct(F.col("y1").alias("k1"), F.col("y2").alias("k2")))).alias("k"))
     keys = keys.select("k.*").distinct()
@@ -344,7 +347,7 @@ def _connected(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def _mixed(mates: DataFrame, labels: DataFrame) -> DataFrame:
     """The members of buckets that hold two labels or more, each with its label."""
-    found = mates.select("token", *KEY, "n", "at").join(labels, KEY)
+    found = mates.drop("c1", "c2").join(labels, KEY)
     apart = found.groupBy("token").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("c1", "c2")])
     apart = apart.filter("min_c1 != max_c1 OR min_c2 != max_c2").select("token")
     return stored(found.join(apart, "token", "left_semi"), "similar-members")
@@ -356,7 +359,7 @@ def _label_sizes(members: DataFrame, turn: int, leaders: int) -> DataFrame:
     A leader has the smallest hash of its key in one of ``leaders`` orders, each turn in others. So one document
     leads in most buckets that it shares with others, and a bucket sends one row per task and label.
     """
-    fields = F.struct(*[F.col(c) for c in ("k1", "k2", "n", "at", "c1", "c2")])
+    fields = F.struct(*_MEMBER)
     chosen = F.array(*[F.min_by(fields, F.xxhash64(F.lit(turn), F.lit(k), "k1", "k2")) for k in range(leaders)])
     size = members.groupBy("token", "c1", "c2").agg(F.count(F.lit(1)).alias("s"), chosen.alias("led"))
     total, squares = F.sum(F.col("s").cast("double")), F.sum(F.col("s").cast("double") * F.col("s"))
@@ -372,14 +375,14 @@ def _different() -> Column:
 
 def _led_pairs(members: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
     """Pairs of members with the leaders of their bucket that have another label."""
-    fields = F.struct(*[F.col(c) for c in ("k1", "k2", "n", "at", "c1", "c2")])
+    fields = F.struct(*_MEMBER)
     led = buckets.select("token", F.explode("led").alias("x"))
     return _pairs(members.select("token", fields.alias("y")).join(led, "token").filter(_different() & _fits(percent)))
 
 
 def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
     """All pairs of members of one bucket that have different labels."""
-    fields = F.struct(*[F.col(c) for c in ("k1", "k2", "n", "at", "c1", "c2")])
+    fields = F.struct(*_MEMBER)
     one, other = members.select("token", fields.alias("x")), members.select("token", fields.alias("y"))
     ordered = (F.col("x.k1") < F.col("y.k1")) | ((F.col("x.k1") == F.col("y.k1")) & (F.col("x.k2") < F.col("y.k2")))
     return _pairs(one.join(other, "token").filter(ordered & _different() & _fits(percent)))
@@ -388,26 +391,33 @@ def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
 def similar_links(mates: DataFrame, sets: DataFrame, percent: int = PERCENT, leaders: int = LEADERS, rounds: int = ROUNDS) -> DataFrame:
     """``k1, k2, c1, c2``: for each key of ``mates`` the component, which links between similar sets make.
 
-    ``mates`` are the members of buckets, ``token, k1, k2, n, at``; ``sets`` has the keys with their tokens and
-    hash prefixes. The number of rounds bounds only the rounds with leaders: what is left
+    ``mates`` are the members of buckets, ``token, k1, k2, n, at``; ``sets`` has the keys with their tokens,
+    hash prefixes and sketches. The number of rounds bounds only the rounds with leaders: what is left
     after them is compared pair by pair.
     """
     size, found, last, turn = mates.count(), [], False, 0
+    most, slow = 0, False
     labels = mates.select(*KEY).distinct().select(*KEY, F.col("k1").alias("c1"), F.col("k2").alias("c2"))
-    members = mates
+    sketches = sets.select(*KEY, *[F.col("sketch")[k].alias(s) for k, s in enumerate(_SKETCH)])
+    own = {"c1": F.col("k1"), "c2": F.col("k2")}
+    members = stored(mates.join(sketches, KEY).withColumns(own).select("token", *_MEMBER), "similar-members")
     while not last:
         # Buckets of one label stay so, and need no look any more.
-        members = _mixed(members, labels)
+        members = _mixed(members, labels) if found else members
         buckets = _label_sizes(members, turn, 1 if turn == 0 else leaders)
         left = buckets.agg(F.sum("open")).first()[0] or 0
         if not left:
             break
-        last = left <= 2 * size or turn >= rounds
+        last = left <= 2 * size or turn >= rounds or (slow and left <= max(FEW * size, FEW_PAIRS))
         pairs = _all_pairs(members, percent) if last else _led_pairs(members, buckets, percent)
+        pairs = stored(pairs, "similar-near")
         links = stored(_links(pairs, sets, percent), "similar-links")
-        if links.isEmpty():
+        n = links.count()
+        if not n:
             turn = rounds  # leaders find nothing more
             continue
+        most = max(most, n)
+        slow = n * SLOW < most
         found.append(links)
         labels = _merged(labels, _between(links, labels))
         turn += 1

@@ -176,3 +176,26 @@ def test_tokens_move_in_wide_rows():
     rows = pa.Table.from_batches(ngram_join._all_tokens(3)(iter(batch))).to_pylist()
     assert len(rows) <= 2**ngram_join.BUCKET_BITS
     assert sum(len(r["tokens"]) for r in rows) == 4 * 50 * 398
+
+
+def test_pairs_that_sketches_tell_apart_are_no_rows(spark, monkeypatch):
+    """Before, all pairs of large buckets became rows that met their sketches in two more joins."""
+    rng = random.Random(9)
+    texts = [_prose(rng, 90, 5) for _ in range(120)]
+    texts += [_edited(rng, t, 1) for t in texts[:20]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sizes, pairs, left, listed = ngram_join._label_sizes, ngram_join._all_pairs, [], []
+
+    def seen_sizes(*a):
+        left.append(sizes(*a).agg(F.sum("open")).first()[0])
+        return sizes(*a)
+
+    def seen_pairs(*a):
+        listed.append(pairs(*a).count())
+        return pairs(*a)
+
+    monkeypatch.setattr(ngram_join, "_label_sizes", seen_sizes)
+    monkeypatch.setattr(ngram_join, "_all_pairs", seen_pairs)
+    assert _check(spark, rows) >= 10
+    assert left[0] > 5000
+    assert sum(listed) < 200
