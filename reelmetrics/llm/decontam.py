@@ -140,8 +140,10 @@ def _block_index(texts: DataFrame, rows: list[tuple[int, str, list[str]]], shing
     if len(wanted):
         shared = spark.sparkContext.broadcast((shingles, wanted))
         counts = _shingle_counts(texts, shared)
-        # Both tables have at most one row per shingle of the block.
-        entries = spark.createDataFrame(placed, "number bigint, at int, code bigint").join(counts, "code", "left")
+        # Both tables have at most one row per shingle of the block. As an Arrow table it needs no Python workers of another kind.
+        numbers, places, codes = zip(*placed)
+        table = pa.table({"number": pa.array(numbers, pa.int64()), "at": pa.array(places, pa.int32()), "code": pa.array(codes, pa.int64())})
+        entries = spark.createDataFrame(table).join(counts, "code", "left")
         rarest = Window.partitionBy("number").orderBy(F.coalesce("n", F.lit(0)), "at")
         first = entries.withColumn("place", F.row_number().over(rarest)).filter("place = 1")
         at |= {r["number"]: r["at"] for r in first.select("number", "at").collect()}

@@ -337,11 +337,11 @@ class Fit:
         """The rate of a row of ``rows``."""
         domains, steps, bounds = len(self.weights), self.steps, self.bounds
 
-        @F.arrow_udf("double")
         def fitted(p: pa.Array) -> pa.Array:
             return pa.array(rates(p.flatten().to_numpy(zero_copy_only=False).reshape(-1, domains), steps, bounds), pa.float64())
 
-        return fitted("p")
+        # A filter on the rate must not make Spark find it twice, in two Python workers for each task.
+        return F.arrow_udf(fitted, "double").asNondeterministic()("p")
 
 
 def fit_mixture(

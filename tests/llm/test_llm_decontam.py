@@ -86,3 +86,17 @@ def test_no_items(spark, docs):
     items = spark.createDataFrame([], "item_id bigint, text string")
     assert not any(r.contamination.contaminated for r in decontam.contamination(docs, items).collect())
     assert decontam.drop_contaminated(docs, items).count() == docs.count()
+
+
+def test_index_needs_no_other_workers(spark, monkeypatch):
+    """Rows of the index reach Spark as an Arrow table: no Python workers of another kind are started and stay."""
+    docs = spark.createDataFrame(DOCS, "doc_id bigint, text string")
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+
+    def none(*_):
+        raise AssertionError("rows are dealt out as pickled objects")
+
+    with monkeypatch.context() as m:
+        m.setattr(type(spark.sparkContext), "parallelize", none)
+        found = decontam.contamination(docs, items)
+    assert _rows(found) == _expected(DOCS, ITEMS)

@@ -129,3 +129,13 @@ def test_any_posteriors_end_within_bounds(monkeypatch):
         assert np.allclose(gap, ((n * r) @ p - target) / max(target.sum(), 1.0), atol=1e-9)
         met += np.abs(gap).max() <= 1e-4
     assert met >= 40
+
+
+def test_rates_are_found_once(spark, capsys):
+    """A filter on the rate takes no second Python worker in each task."""
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(20)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id bigint, quality int, toxic int")
+    mixed = mixing.mixture(docs, labels)
+    mixed.explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+    assert all(r.mix_rate > 0 for r in mixed.collect())
