@@ -22,6 +22,7 @@ bring their sketches along, so a pair that its sketches tell apart is never a ro
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
@@ -42,7 +43,7 @@ WIDTH, SLICE, MOST_COUNTED = 1 << 25, 1 << 18, 1 << 24
 HELD, BUCKET_BITS, SENT_BITS = 1 << 20, 10, 32
 #: 64-bit words of a sketch.
 SKETCH = 4
-#: A list of candidate documents up to this length (16 bytes each) is broadcast.
+#: A list of candidate documents up to this length (16 bytes each) is broadcast, and up to a quarter as many pairs of them.
 BROADCAST_KEYS = 1_000_000
 #: Bytes of texts that are hashed at a time.
 BLOCK = 1 << 20
@@ -157,7 +158,7 @@ def _shared_tokens(bucket: pa.Table) -> pa.Table:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices of the table from rows ``slot, level``."""
+    """Slices of the table from rows ``slot, level``, compressed."""
     slices: dict[int, np.ndarray] = {}
     for batch in batches:
         slots, levels = (c.to_numpy() for c in batch.columns)
@@ -166,7 +167,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = slots // SLICE == k
             np.maximum.at(part, slots[own] % SLICE, levels[own].astype(np.uint8))
     for k, part in slices.items():
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["slice", "levels"])
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part, 1)], pa.binary())], ["slice", "levels"])
 
 
 def rarity_table(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, most: int = MOST_COUNTED) -> np.ndarray:
@@ -188,8 +189,9 @@ def rarity_table(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, most: int
     entered = counts.filter(F.col("level") >= cut).select(slot.alias("slot"), "level")
     packed = entered.repartition(F.shiftright("slot", SLICE.bit_length() - 1)).mapInArrow(_packed, "slice int, levels binary")
     table = np.zeros(WIDTH, np.uint8)
-    for r in packed.toLocalIterator():
-        table[r.slice * SLICE : (r.slice + 1) * SLICE] = np.frombuffer(bytes(r.levels), np.uint8)
+    # At most the compressed table reaches the driver. One job fetches all slices; an iterator starts one for each partition.
+    for r in packed.collect():
+        table[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(zlib.decompress(r["levels"]), np.uint8)
     return table
 
 
@@ -294,7 +296,9 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # Only the sets of these pairs move on.
     keys = pairs.select(F.explode(F.array(F.struct(F.col("x1").alias("k1"), F.col("x2").alias("k2")), F.struct(F.col("y1").alias("k1"), F.col("y2").alias("k2")))).alias("k"))
     keys = keys.select("k.*").distinct()
-    sets = sets.join(F.broadcast(keys) if 2 * pairs.count() <= BROADCAST_KEYS else keys, KEY, "left_semi")
+    n = pairs.count()
+    sets = sets.join(F.broadcast(keys) if 2 * n <= BROADCAST_KEYS else keys, KEY, "left_semi")
+    pairs = F.broadcast(pairs) if 4 * n <= BROADCAST_KEYS else pairs
     hashed = {side: sets.select(*own[side], F.col("a").alias(f"a{side}"), F.col("b").alias(f"b{side}")) for side in "xy"}
     whole = {side: sets.select(*own[side], F.col("tokens").alias(f"t{side}")) for side in "xy"}
 
@@ -396,14 +400,14 @@ def similar_links(mates: DataFrame, sets: DataFrame, percent: int = PERCENT, lea
     after them is compared pair by pair.
     """
     size, found, last, turn = mates.count(), [], False, 0
-    most, slow = 0, False
+    n, most, slow = 0, 0, False
     labels = mates.select(*KEY).distinct().select(*KEY, F.col("k1").alias("c1"), F.col("k2").alias("c2"))
     sketches = sets.select(*KEY, *[F.col("sketch")[k].alias(s) for k, s in enumerate(_SKETCH)])
     own = {"c1": F.col("k1"), "c2": F.col("k2")}
     members = stored(mates.join(sketches, KEY).withColumns(own).select("token", *_MEMBER), "similar-members")
     while not last:
-        # Buckets of one label stay so, and need no look any more.
-        members = _mixed(members, labels) if found else members
+        # Buckets of one label stay so, and need no look any more. Without new links they are as before.
+        members = _mixed(members, labels) if found and n else members
         buckets = _label_sizes(members, turn, 1 if turn == 0 else leaders)
         left = buckets.agg(F.sum("open")).first()[0] or 0
         if not left:

@@ -199,3 +199,48 @@ def test_pairs_that_sketches_tell_apart_are_no_rows(spark, monkeypatch):
     assert _check(spark, rows) >= 10
     assert left[0] > 5000
     assert sum(listed) < 200
+
+
+def test_rarity_takes_few_jobs(spark, monkeypatch):
+    """Slices are not fetched partition by partition, a job each."""
+    rng = random.Random(7)
+    rows = [(i, i, " ".join(_prose(rng, 60, 50)).encode()) for i in range(200)]
+    texts = spark.createDataFrame(rows, "k1 bigint, k2 bigint, text binary")
+    options = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("rarity", "rarity")
+        table = ngram_join.rarity_table(texts)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    counts = {}
+    for _, _, text in rows:
+        for token in ngram_join.shingle_set(text).tolist():
+            counts[token] = counts.get(token, 0) + 1
+    want = np.zeros_like(table)
+    for token, n in counts.items():
+        slot = int(ngram_join._counters(np.array([token], np.uint64))[0])
+        want[slot] = max(want[slot], int(np.floor(np.log2(n) * 8)))
+    assert want.any() and (table == want).all()
+    assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("rarity")) < 20
+
+
+def test_a_round_without_links_leaves_the_members(spark, monkeypatch):
+    """Members of buckets are stored anew only after new links."""
+    stores = []
+    mixed = ngram_join._mixed
+    monkeypatch.setattr(ngram_join, "_mixed", lambda *a: stores.append(1) or mixed(*a))
+    mates = spark.createDataFrame([(1, i, i, 10, 0) for i in range(12)], "token bigint, k1 bigint, k2 bigint, n bigint, at bigint")
+    lists = [list(range(100 * (i // 2), 100 * (i // 2) + 10)) for i in range(12)]
+    sets = spark.createDataFrame(
+        [(i, i, x, x[:3], x[:3], [0] * ngram_join.SKETCH) for i, x in enumerate(lists)],
+        "k1 bigint, k2 bigint, tokens array<bigint>, a array<bigint>, b array<bigint>, sketch array<bigint>",
+    )
+    # The leader of the first round finds its twin, those of the second nothing; all pairs find the others.
+    labels = ngram_join.similar_links(mates, sets).collect()
+    assert sorted(map(tuple, labels)) == [(i, i, i // 2 * 2, i // 2 * 2) for i in range(12)]
+    assert len(stores) == 1
